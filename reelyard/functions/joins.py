@@ -11,17 +11,40 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 4_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
-                      ) -> tuple[DataFrame, bool]:
+def materialize_table(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once into a Parquet table in the shared scratch folder
+    and return a scan of it.
+
+    This cuts the lineage (a lost executor re-reads the table instead of
+    recomputing the upstream) and, unlike ``Dataset.checkpoint``, computes the
+    input only once.  The scan carries exact file-size statistics.
+    """
+    from reelyard.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      materialize: bool = False) -> tuple[DataFrame, bool]:
     """Hint ``df`` for broadcast if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows per partition
     (``limit`` before ``count``), so it is bounded work even when the side turns
-    out to be large.  Above the bound the plain frame is returned and Spark
+    out to be large.  Above the bound the frame is returned unhinted and Spark
     plans a shuffle join, which AQE may still convert or split for skew.
+
+    ``materialize`` first writes a derived side as a table under the shared
+    ``spark.checkpoint.dir`` (see ``materialize``), so the size check and the
+    join read the same stored rows instead of computing the side's whole
+    lineage twice.
     """
     if max_rows <= 0:
         return df, False
+    if materialize:
+        df = materialize_table(df, "side")
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True

@@ -95,7 +95,8 @@ def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
     broadcast join (one row per day, size checked), so result payloads are
     never shuffled.
     """
-    cuts, _ = bounded_broadcast(_page_cuts(pages, stop_on_empty, cap), broadcast_rows)
+    cuts, _ = bounded_broadcast(_page_cuts(pages, stop_on_empty, cap), broadcast_rows,
+                               materialize=True)
     return (pages.join(cuts, "day", "inner")
             .where(F.col("page") < F.col("cut"))
             .drop("cut"))
@@ -178,7 +179,7 @@ def enrich_details(ids: DataFrame, details: DataFrame, key: str = "id",
     detail row appears once whatever the id list holds; the id list is
     broadcast when within the bound, else both sides shuffle on the key.
     """
-    wanted, _ = bounded_broadcast(ids.select(key), broadcast_rows)
+    wanted, _ = bounded_broadcast(ids.select(key), broadcast_rows, materialize=True)
     return details.where(F.col("status") == 200).join(wanted, key, "left_semi")
 
 

@@ -10,16 +10,18 @@ from reelyard.schemas import MediaSpec
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str = "id",
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = True
+              ) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``.
 
     Only the right side's key column takes part.  When it is within the proven
     bound it is broadcast, so the (large) left side is streamed once with no
     shuffle at all; above it Spark plans a shuffle join (AQE can split skewed
-    partitions).  A null key on the left never matches and is kept.  Output
-    columns are ``left``'s, in its order.
+    partitions).  The key side is stored once (``materialize``) so the
+    size check does not recompute it.  A null key on the left never matches and
+    is kept.  Output columns are ``left``'s, in its order.
     """
-    keys, _ = bounded_broadcast(right.select(key), broadcast_rows)
+    keys, _ = bounded_broadcast(right.select(key), broadcast_rows, materialize)
     return left.join(keys, on=key, how="left_anti").select(*left.columns)
 
 
