@@ -308,3 +308,15 @@ ORACLE["pipeline_collect_then_apply"] = _with(
 SELECT {MOVIE_OUT} FROM (
   SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM collected c WHERE c.id = s.id)
   UNION ALL SELECT * FROM collected)""")
+
+# -------------------------------------------------------------- streaming
+_DETAIL_ROWS = """
+SELECT id, title, overview, release_date, coalesce(vote_average, '0.0') AS vote_average,
+       coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids
+FROM movie_details WHERE status = 200"""
+ORACLE["stream_apply_changes"] = _with(
+    ["bronze_movies", "movie_details"],
+    {"silver_movies": SILVER_MOVIES, "landed": _DETAIL_ROWS}, f"""
+SELECT {MOVIE_OUT} FROM (
+  SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM landed c WHERE c.id = s.id)
+  UNION ALL SELECT * FROM landed)""")

@@ -374,6 +374,19 @@ def q_pipeline_collect_then_apply(spark, sf):
     return render(S.read_snapshot(spark, silver_path))
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_apply_changes(spark, sf):
+    from reelyard.streaming.changes import apply_landed_changes
+
+    silver_path = scratch_path(spark, "silver-stream")
+    S.write_snapshot(silver_movies(spark, sf), silver_path, None)
+    landing = scratch_path(spark, "landing-details")
+    W.sink_bronze(fx.movie_details(spark, sf), landing)
+    apply_landed_changes(spark, landing, silver_path, MOVIE)
+    return render(S.read_snapshot(spark, silver_path))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -31,6 +31,7 @@ COMMIT_SCHEMA = StructType([
     StructField("rows", LongType(), False),
     StructField("base_version", LongType(), True),
     StructField("committed_at", TimestampType(), True),
+    StructField("stream_batch", LongType(), True),
 ])
 
 
@@ -71,11 +72,13 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
 
 
 def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
-                   files: int | None = None, block_size: int = BLOCK_SIZE) -> tuple[int, int]:
+                   files: int | None = None, block_size: int = BLOCK_SIZE,
+                   stream_batch: int | None = None) -> tuple[int, int]:
     """Write ``df`` as the next version, verify it, commit it.
 
     ``base_version`` is the version the caller read ``df`` from (None for the
-    first write).  Returns ``(version, rows)``.
+    first write).  ``stream_batch`` records which micro-batch produced the
+    version, so a replayed batch can be recognised.  Returns ``(version, rows)``.
     """
     spark = df.sparkSession
     new = (base_version or 0) + 1
@@ -90,12 +93,19 @@ def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
     if current_version(spark, path) != base_version:
         raise SnapshotConflict(f"{path}: committed version moved away from {base_version}")
     record = spark.createDataFrame(
-        [(new, rows, base_version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
+        [(new, rows, base_version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+          stream_batch)],
         COMMIT_SCHEMA)
     record.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/_commits")
     return new, rows
 
 
+def batch_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether a micro-batch already produced a committed version."""
+    log = _commits(spark, path)
+    return log is not None and not log.where(F.col("stream_batch") == batch_id).isEmpty()
+
+
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """All commit records, oldest first."""
     log = _commits(spark, path)
