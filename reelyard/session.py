@@ -39,6 +39,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, slots: int) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of Parquet on ``slots``
+    executor cores.
+
+    Scans split at 256 MB (compressed; payload text expands a few times in
+    memory, which a 6 GB / 1-core executor absorbs).  The initial shuffle
+    width gives ~512 MB per reducer for a full-width shuffle of the input (the
+    de-duplication is the only one; its sort spills), at least two waves of
+    tasks and at most 100k reducers, beyond which map-output metadata on the
+    driver grows faster than it helps; AQE then coalesces small partitions
+    towards 256 MB and splits skewed partitions of joins.
+    """
+    scan = 256 * MB
+    shuffle = min(100_000, max(2 * slots, -(-input_bytes // (512 * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, slots: int | None = None) -> None:
+    """Apply ``scale_settings`` to a running session."""
+    for k, v in scale_settings(input_bytes, slots or spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch area.
 
