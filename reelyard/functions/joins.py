@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # A broadcast side is at most this many rows.  Callers broadcast narrow key
@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 4_000_000
 
 
-def materialize_table(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` once into a Parquet table in the shared scratch folder
-    and return a scan of it.
+def materialize_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Compute ``df`` once into a Parquet table in the shared scratch folder;
+    return a scan of it and its row count (observed during the write).
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the upstream) and, unlike ``Dataset.checkpoint``, computes the
@@ -23,8 +23,9 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"materialize_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -44,8 +45,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     if max_rows <= 0:
         return df, False
     if materialize:
-        df = materialize_table(df, "side")
-    n = df.limit(max_rows + 1).count()
+        df, n = materialize_table(df, "side")
+    else:
+        n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False

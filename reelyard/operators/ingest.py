@@ -60,9 +60,12 @@ def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFr
     (status other than 200, or no results when ``stop_on_empty``), after the
     first page that reports it is the last (``page >= total_pages``, missing
     -> 1, capped by ``cap``), or at the first page that was never landed.
-    Formulated as partial aggregates per day plus an anti join on
-    ``(day, page)``, so a day with a huge number of pages is spread over all
-    tasks instead of being sorted in one window partition.
+
+    Two aggregates, no window: landed pages and their successors ``page + 1``
+    (plus page 1) are grouped by ``(day, page)``, where a key with no landed
+    row is a gap; then one partial aggregate per day takes the first failure,
+    the first last page and the first gap.  A day with a huge number of pages
+    is spread over all tasks instead of being sorted in one window partition.
     """
     n = F.size(F.col("results"))
     bad = (F.col("status").isNull()) | (F.col("status") != 200)
@@ -71,19 +74,22 @@ def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFr
     last = F.coalesce(F.col("total_pages"), F.lit(1))
     if cap is not None:
         last = F.least(last, F.lit(cap))
-    meta = pages.select("day", "page", bad.alias("bad"), (F.col("page") >= last).alias("done"))
-
-    per_day = meta.groupBy("day").agg(
-        F.min(F.when(F.col("bad"), F.col("page"))).alias("first_bad"),
-        F.min(F.when(~F.col("bad") & F.col("done"), F.col("page") + 1)).alias("after_done"),
-    )
-    present = meta.select("day", "page").where(F.col("page") >= 1)
-    candidates = (present.select("day", (F.col("page") + 1).alias("page"))
-                  .unionByName(present.select("day", F.lit(1).alias("page"))))
-    gaps = (candidates.join(present, ["day", "page"], "left_anti")
-            .groupBy("day").agg(F.min("page").alias("first_gap")))
-    return (per_day.join(gaps, "day", "left")
-            .select("day", F.least("first_bad", "after_done", "first_gap").alias("cut")))
+    landed = pages.select("day", "page", F.lit(True).alias("landed"), bad.alias("bad"),
+                          (F.col("page") >= last).alias("done"))
+    successors = (landed.select("day", (F.col("page") + 1).alias("page"))
+                  .unionByName(landed.select("day", F.lit(1).alias("page")))
+                  .select("day", "page", F.lit(False).alias("landed"),
+                          F.lit(False).alias("bad"), F.lit(False).alias("done")))
+    per_page = (landed.unionByName(successors).where(F.col("page") >= 1)
+                .groupBy("day", "page")
+                .agg(F.max("landed").alias("landed"), F.max("bad").alias("bad"),
+                     F.max("done").alias("done")))
+    p, ok = F.col("page"), F.col("landed")
+    return per_page.groupBy("day").agg(F.least(
+        F.min(F.when(ok & F.col("bad"), p)),
+        F.min(F.when(ok & ~F.col("bad") & F.col("done"), p + 1)),
+        F.min(F.when(~ok, p)),
+    ).alias("cut"))
 
 
 def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,

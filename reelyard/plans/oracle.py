@@ -286,6 +286,8 @@ _COLLECTED = _collected(walk(f"({CHANGE_WINDOW})", False, 500))
 ORACLE["sink_if_nonempty"] = _q(["change_pages", "movie_details"],
                                 f"SELECT {MOVIE_OUT} FROM ({_COLLECTED})")
 ORACLE["snapshot_replace"] = ORACLE["apply_changes"]
+ORACLE["sql_preview"] = _with(MOVIE_INPUTS, SILVER_CTES,
+                              f"SELECT {MOVIE_OUT} FROM silver_movies ORDER BY id LIMIT 10")
 ORACLE["preview"] = _with(MOVIE_INPUTS, SILVER_CTES,
                           f"SELECT {MOVIE_OUT} FROM silver_movies ORDER BY id LIMIT 10")
 

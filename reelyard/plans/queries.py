@@ -314,6 +314,15 @@ def q_snapshot_replace(spark, sf):
     return render(S.read_snapshot(spark, path))
 
 
+def q_sql_preview(spark, sf):
+    from reelyard.sources.scan import register_view
+
+    path = scratch_path(spark, "snapshot-sql")
+    S.write_snapshot(silver_movies(spark, sf), path, None)
+    view = register_view(S.read_snapshot(spark, path), "movies_silver")
+    return render(spark.sql(f"SELECT * FROM {view} ORDER BY id LIMIT 10"))
+
+
 def q_preview(spark, sf):
     return render(W.preview(silver_movies(spark, sf), 10, ("id",)))
 

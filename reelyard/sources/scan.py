@@ -32,3 +32,9 @@ def scan_glob(spark: SparkSession, root: str, prefix: str,
             F.regexp_extract(F.col("_metadata.file_path"), rf"/({prefix}[^/]*)/", 1),
         )
     return df
+
+
+def register_view(df: DataFrame, name: str) -> str:
+    """Expose a dataset to SQL text (``spark.sql("SELECT ... FROM name")``)."""
+    df.createOrReplaceTempView(name)
+    return name
