@@ -49,17 +49,16 @@ def sink_silver(df: DataFrame, path: str, files: int | None = None,
 def sink_if_nonempty(df: DataFrame, path: str) -> int:
     """Write only when there is at least one row (W3); returns rows written.
 
-    The frame is checkpointed first (reliable checkpoint under the shared
-    ``spark.checkpoint.dir``), so the emptiness test and the write read the
-    same materialised rows instead of computing the input twice, and a lost
-    executor does not force recomputation from the landing zone.  With no rows
-    the previous dataset is left in place.
+    The frame is computed once into a table under the shared scratch folder
+    (its row count observed on the way), so the emptiness decision and the
+    write read the same stored rows, and a lost executor re-reads them instead
+    of recomputing from the landing zone.  With no rows the previous dataset
+    is left in place.
     """
-    from reelyard.session import shared_dir
+    from reelyard.functions.joins import materialize_table
 
-    shared_dir(df.sparkSession)
-    frozen = df.checkpoint(eager=True)
-    if frozen.isEmpty():
+    frozen, rows = materialize_table(df, "guarded")
+    if rows == 0:
         log.warning("no rows to write to %s; previous data left in place", path)
         return 0
     return sink_bronze(frozen, path)

@@ -19,17 +19,21 @@ def scan_glob(spark: SparkSession, root: str, prefix: str,
               slice_column: str | None = None) -> DataFrame:
     """Every slice directory ``<root>/<prefix>*`` of one media type as one table.
 
-    ``movie_*`` matches ``movie_1970`` but not ``movies_changes``.  With
-    ``slice_column`` the name of the slice directory each row came from is added
-    (from the hidden ``_metadata`` column, so the scan stays a plain file scan
-    with pushdown and pruning); it serves as the version order when slices
-    overlap.
+    ``movie_*`` matches ``movie_1970`` but not ``movies_changes``.  Files are
+    looked up recursively, so plain slice directories and a ``decade=``
+    partitioned backfill can sit side by side (partition columns are not
+    inferred).  With ``slice_column`` the slice path each row came from (the
+    directory plus any ``k=v`` partition directories) is added from the hidden
+    ``_metadata`` column, so the scan stays a plain file scan with pushdown and
+    pruning; it serves as the version order when slices overlap.
     """
-    df = spark.read.parquet(f"{root.rstrip('/')}/{prefix}*")
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .parquet(f"{root.rstrip('/')}/{prefix}*"))
     if slice_column:
         df = df.withColumn(
             slice_column,
-            F.regexp_extract(F.col("_metadata.file_path"), rf"/({prefix}[^/]*)/", 1),
+            F.regexp_extract(F.col("_metadata.file_path"),
+                             rf"/({prefix}[^/]*(?:/[^/=]+=[^/]*)*)/[^/]+$", 1),
         )
     return df
 

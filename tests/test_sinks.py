@@ -112,3 +112,16 @@ def test_silver_pipeline_metrics(spark, scratch):
     assert (m["raw_rows"], m["removed_invalid"], m["removed_duplicates"]) == (4, 2, 1)
     assert m["raw_nulls"]["id"] == 1 and m["raw_nulls"]["title"] == 1
     assert all(v == 0 for v in m["silver_nulls"].values())
+
+
+def test_glob_scan_mixes_plain_and_partitioned_slices(spark, scratch):
+    root = scratch("bronze")
+    W.sink_bronze(movies(spark, ROWS[:1]), f"{root}/movie_legacy")
+    part = movies(spark, [(1, "newer", None, None, None, None), (3, "c", None, None, None, None)])
+    W.sink_bronze(part.withColumn("decade", F.lit(1990)), f"{root}/movie_backfill",
+                  partition_by=("decade",))
+    got = sorted((r.id, r.s) for r in scan_glob(spark, root, "movie_", slice_column="s").collect())
+    assert got == [(1, "movie_backfill/decade=1990"), (1, "movie_legacy"),
+                   (3, "movie_backfill/decade=1990")]
+    rep = P.build_silver(spark, root, MOVIE, scratch("silver"))
+    assert rep.rows_written == 2
