@@ -61,11 +61,12 @@ def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFr
     first page that reports it is the last (``page >= total_pages``, missing
     -> 1, capped by ``cap``), or at the first page that was never landed.
 
-    Two aggregates, no window: landed pages and their successors ``page + 1``
-    (plus page 1) are grouped by ``(day, page)``, where a key with no landed
-    row is a gap; then one partial aggregate per day takes the first failure,
-    the first last page and the first gap.  A day with a huge number of pages
-    is spread over all tasks instead of being sorted in one window partition.
+    One scan, two aggregates, no window: every landed page emits itself and
+    its successor ``page + 1``; grouped by ``(day, page)``, a successor with no
+    landed row is a gap.  One partial aggregate per day then takes the first
+    failure, the first last page and the first gap (or page 1 if it is
+    missing).  A day with a huge number of pages is spread over all tasks
+    instead of being sorted in one window partition.
     """
     n = F.size(F.col("results"))
     bad = (F.col("status").isNull()) | (F.col("status") != 200)
@@ -74,21 +75,23 @@ def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFr
     last = F.coalesce(F.col("total_pages"), F.lit(1))
     if cap is not None:
         last = F.least(last, F.lit(cap))
-    landed = pages.select("day", "page", F.lit(True).alias("landed"), bad.alias("bad"),
-                          (F.col("page") >= last).alias("done"))
-    successors = (landed.select("day", (F.col("page") + 1).alias("page"))
-                  .unionByName(landed.select("day", F.lit(1).alias("page")))
-                  .select("day", "page", F.lit(False).alias("landed"),
-                          F.lit(False).alias("bad"), F.lit(False).alias("done")))
-    per_page = (landed.unionByName(successors).where(F.col("page") >= 1)
-                .groupBy("day", "page")
+    p = F.col("page")
+    entries = F.array(
+        F.struct(p.alias("p"), F.lit(True).alias("landed"), bad.alias("bad"),
+                 (p >= last).alias("done")),
+        F.struct((p + 1).alias("p"), F.lit(False).alias("landed"), F.lit(False).alias("bad"),
+                 F.lit(False).alias("done")),
+    )
+    per_page = (pages.where(p >= 1).select("day", F.inline(entries))
+                .groupBy("day", "p")
                 .agg(F.max("landed").alias("landed"), F.max("bad").alias("bad"),
                      F.max("done").alias("done")))
-    p, ok = F.col("page"), F.col("landed")
+    q, ok = F.col("p"), F.col("landed")
     return per_page.groupBy("day").agg(F.least(
-        F.min(F.when(ok & F.col("bad"), p)),
-        F.min(F.when(ok & ~F.col("bad") & F.col("done"), p + 1)),
-        F.min(F.when(~ok, p)),
+        F.min(F.when(ok & F.col("bad"), q)),
+        F.min(F.when(ok & ~F.col("bad") & F.col("done"), q + 1)),
+        F.min(F.when(~ok, q)),
+        F.when(~F.max(ok & (q == 1)), F.lit(1)),
     ).alias("cut"))
 
 
@@ -104,7 +107,7 @@ def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
     cuts, _ = bounded_broadcast(_page_cuts(pages, stop_on_empty, cap), broadcast_rows,
                                materialize=True)
     return (pages.join(cuts, "day", "inner")
-            .where(F.col("page") < F.col("cut"))
+            .where((F.col("page") >= 1) & (F.col("page") < F.col("cut")))
             .drop("cut"))
 
 

@@ -41,9 +41,10 @@ def test_discover_walk_stops_on_error_empty_last_and_gap(spark):
         ("d4", 1, 200, 9, 1), ("d4", 3, 200, 9, 1),
         ("d5", 1, 200, None, 1), ("d5", 2, 200, None, 1),
         ("d6", 2, 200, 9, 1),
+        ("d7", 0, 200, 9, 1), ("d7", 1, 200, 1, 1),
     ]
     assert walk_movies(spark, rows) == [
-        ("d1", 1), ("d1", 2), ("d2", 1), ("d3", 1), ("d3", 2), ("d4", 1), ("d5", 1)]
+        ("d1", 1), ("d1", 2), ("d2", 1), ("d3", 1), ("d3", 2), ("d4", 1), ("d5", 1), ("d7", 1)]
 
 
 def test_change_walk_continues_on_empty_and_caps_pages(spark):
