@@ -192,6 +192,31 @@ def enrich_details(ids: DataFrame, details: DataFrame, key: str = "id",
     return details.where(F.col("status") == 200).join(wanted, key, "left_semi")
 
 
+LANDED_DETAIL_DDL = "id int, status int, body string"
+
+
+def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id") -> DataFrame:
+    """Look ids up in an external service, in parallel, as landed responses.
+
+    ``fetch(list_of_ids) -> iterable of (id, status, body)`` is the caller's
+    client (HTTP, a cache, ...).  Ids are spread round-robin over
+    ``partitions`` tasks and handed to it in Arrow batches through
+    ``mapInPandas``; the result has the landing-table shape that
+    ``enrich_details`` and ``reshape_details`` read, so failures stay visible
+    as statuses instead of being dropped on the way.  Nothing is collected to
+    the driver.
+    """
+    import pandas as pd
+
+    def run(batches):
+        for batch in batches:
+            rows = list(fetch([int(i) for i in batch[key]]))
+            yield pd.DataFrame(rows, columns=["id", "status", "body"]).astype(
+                {"id": "int32", "status": "int32"})
+
+    return ids.select(key).repartition(partitions).mapInPandas(run, LANDED_DETAIL_DDL)
+
+
 def reshape_details(details: DataFrame, spec: MediaSpec) -> DataFrame:
     """Typed detail bodies -> catalogue rows.
 

@@ -149,6 +149,12 @@ ORACLE["contiguous_pages"] = _q(["discover_pages"], f"""
 SELECT day, page, status, total_pages, n_results FROM ({walk('discover_pages', True, None)})""")
 ORACLE["changed_pages"] = _q(["change_pages"], f"""
 SELECT day, page, status, total_pages, n_results FROM ({walk('change_pages', False, 500)})""")
+ORACLE["page_completeness"] = _q(["change_pages"], f"""
+SELECT a.day, a.pages_landed, coalesce(k.pages_kept, 0) AS pages_kept, a.pages_reported
+FROM (SELECT day, count(*) AS pages_landed, max(total_pages) AS pages_reported
+      FROM change_pages GROUP BY day) a
+LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, 500)}) GROUP BY day) k
+  ON a.day = k.day""")
 ORACLE["project_fields"] = _q(["discover_tv_records"], f"SELECT {TV_OUT} FROM discover_tv_records")
 ORACLE["lookback_days"] = """
 SELECT event_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day FROM events

@@ -179,5 +179,13 @@ def collect_then_apply(spark: SparkSession, change_pages: DataFrame, details: Da
     With no new rows the previous change set is left in place and applied
     again, which is harmless: the upsert is idempotent.
     """
-    collect_changes(change_pages, details, spec, today, days, changes_path, cap)
+    from pyspark.errors import AnalysisException
+
+    collected = collect_changes(change_pages, details, spec, today, days, changes_path, cap)
+    if collected.rows_written == 0:
+        try:
+            spark.read.parquet(changes_path).schema  # noqa: B018 - an earlier change set?
+        except AnalysisException:
+            log.warning("no change set at %s yet; nothing to apply", changes_path)
+            return RunReport(version=current_version(spark, silver_path))
     return apply_changes_run(spark, silver_path, changes_path, spec)

@@ -138,6 +138,11 @@ def q_changed_pages(spark, sf):
     return _page_view(I.changed_pages(_typed_change_pages(spark, sf)))
 
 
+def q_page_completeness(spark, sf):
+    pages = _typed_change_pages(spark, sf)
+    return I.page_completeness(pages, I.changed_pages(pages))
+
+
 def q_project_fields(spark, sf):
     pages = typed_pages(fx.discover_tv_pages(spark, sf), TV.schema)
     return render(I.project_fields(I.flatten_pages(pages), TV.schema))

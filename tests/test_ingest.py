@@ -125,3 +125,21 @@ def test_distinct_ids_ignores_nulls_and_repeats(spark):
 def test_decade_of_days(spark):
     df = spark.createDataFrame([("1979-12-31",), ("1980-01-01",), ("2026-06-01",)], "day string")
     assert [r.decade for r in I.backfill_slices(df).collect()] == [1970, 1980, 2020]
+
+
+def test_fetch_details_runs_the_client_in_tasks(spark):
+    def fake_client(ids):
+        for i in ids:
+            if i % 3 == 0:
+                yield i, 404, "{}"
+            else:
+                yield i, 200, json.dumps({"id": i, "title": f"t{i}", "genres": [{"id": i % 5}]})
+
+    ids = spark.range(1, 31).selectExpr("CAST(id AS INT) AS id")
+    landed = I.fetch_details(ids, fake_client, partitions=4)
+    assert landed.rdd.getNumPartitions() == 4
+    assert landed.count() == 30
+    rows = I.reshape_details(
+        typed_records(I.enrich_details(ids, landed), "body", MOVIE_DETAIL_SCHEMA), MOVIE).collect()
+    assert sorted(r.id for r in rows) == [i for i in range(1, 31) if i % 3]
+    assert all(r.genre_ids == [r.id % 5] for r in rows)

@@ -125,3 +125,13 @@ def test_glob_scan_mixes_plain_and_partitioned_slices(spark, scratch):
                    (3, "movie_backfill/decade=1990")]
     rep = P.build_silver(spark, root, MOVIE, scratch("silver"))
     assert rep.rows_written == 2
+
+
+def test_collect_then_apply_with_nothing_collected_leaves_silver(spark, scratch):
+    silver = scratch("silver")
+    S.write_snapshot(movies(spark, ROWS), silver, None)
+    no_pages = spark.createDataFrame([], "day string, page int, status int, body string")
+    no_details = spark.createDataFrame([], "id int, status int, body string")
+    rep = P.collect_then_apply(spark, no_pages, no_details, MOVIE, "2024-01-10", 3,
+                               scratch("changes"), silver)
+    assert rep.version == 1 and S.current_version(spark, silver) == 1
