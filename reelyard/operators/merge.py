@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize_table
 from reelyard.operators.clean import clean, dedupe_by_id
 from reelyard.schemas import MediaSpec
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str = "id",
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = True
-              ) -> DataFrame:
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = True,
+              right_rows: int | None = None) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``.
 
     Only the right side's key column takes part.  When it is within the proven
     bound it is broadcast, so the (large) left side is streamed once with no
     shuffle at all; above it Spark plans a shuffle join (AQE can split skewed
-    partitions).  The key side is stored once (``materialize``) so the
-    size check does not recompute it.  A null key on the left never matches and
-    is kept.  Output columns are ``left``'s, in its order.
+    partitions).  A derived key side is stored once (``materialize``) so the
+    size check does not recompute it; a caller that already knows the row count
+    of a stored ``right`` passes ``right_rows``.  A null key on the left never
+    matches and is kept.  Output columns are ``left``'s, in its order.
     """
-    keys, _ = bounded_broadcast(right.select(key), broadcast_rows, materialize)
+    keys = right.select(key)
+    if right_rows is not None:
+        if right_rows <= broadcast_rows:
+            keys = F.broadcast(keys)
+    else:
+        keys, _ = bounded_broadcast(keys, broadcast_rows, materialize)
     return left.join(keys, on=key, how="left_anti").select(*left.columns)
 
 
@@ -30,6 +37,18 @@ def union_by_name(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b).select(*a.columns)
 
 
+def latest_changes(changes: DataFrame, columns: list[str], key: str = "id",
+                   order: tuple = ()) -> tuple[DataFrame, int]:
+    """The change set de-duplicated by key, stored once under the shared
+    scratch folder, with its row count.
+
+    Both sides of the upsert (the anti join's keys and the inserted rows) read
+    this one table, so the change set is de-duplicated once and its size is
+    known before the join is planned.
+    """
+    return materialize_table(dedupe_by_id(changes.select(*columns), key, order), "changes")
+
+
 def upsert(base: DataFrame, changes: DataFrame, key: str = "id",
            order: tuple = (), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Whole-row upsert (J2): a change row replaces the base row with its key,
@@ -38,8 +57,8 @@ def upsert(base: DataFrame, changes: DataFrame, key: str = "id",
     The change set is de-duplicated by key first (deterministic survivor), so
     applying it twice gives the same result as applying it once.
     """
-    latest = dedupe_by_id(changes.select(*base.columns), key, order)
-    return union_by_name(anti_join(base, latest, key, broadcast_rows), latest)
+    latest, n = latest_changes(changes, base.columns, key, order)
+    return union_by_name(anti_join(base, latest, key, broadcast_rows, right_rows=n), latest)
 
 
 def apply_changes(silver: DataFrame, changes: DataFrame, spec: MediaSpec,

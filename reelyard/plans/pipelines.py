@@ -26,7 +26,7 @@ from reelyard.operators.ingest import (
     lookback_days,
     reshape_details,
 )
-from reelyard.operators.merge import anti_join, union_by_name
+from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
 from reelyard.schemas import CHANGE_ITEM, CHANGE_PAGE_CAP, MediaSpec
 from reelyard.sinks.snapshot import current_version, read_snapshot, write_snapshot
@@ -138,8 +138,8 @@ def merged_frame(silver: DataFrame, changes: DataFrame, spec: MediaSpec,
                  ) -> tuple[DataFrame, list[Observation]]:
     """Upsert with counters observed on each branch (original, kept, change)."""
     base, obs_base = _observed(clean(silver, spec).select(*spec.silver_order), "original")
-    latest = dedupe_by_id(clean(changes, spec).select(*spec.silver_order), "id")
-    kept, obs_kept = _observed(anti_join(base, latest, "id", broadcast_rows), "kept")
+    latest, n = latest_changes(clean(changes, spec), spec.silver_order)
+    kept, obs_kept = _observed(anti_join(base, latest, "id", broadcast_rows, right_rows=n), "kept")
     latest_rows, obs_change = _observed(latest, "changes")
     merged, obs_out = _observed(union_by_name(kept, latest_rows), "updated", spec.silver_order)
     return merged, [obs_base, obs_kept, obs_change, obs_out]
