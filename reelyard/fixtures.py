@@ -399,8 +399,8 @@ SELECT day, page, [CAST(turn AS INTEGER), CAST(conv_id % 19 AS INTEGER)] AS genr
        day AS first_air_date, role AS name, CAST(conv_id % 100 AS DOUBLE) / 10 AS vote_average
 FROM discover_pages WHERE status = 200 AND n_results >= 1
 UNION ALL
-SELECT day, page, CAST(NULL AS INTEGER[]), CAST(conv_id * 100 + 50 + turn AS INTEGER),
-       CAST(NULL AS VARCHAR[]), CAST(NULL AS VARCHAR), role, CAST(NULL AS VARCHAR), day,
+SELECT day, page, CAST([] AS INTEGER[]), CAST(conv_id * 100 + 50 + turn AS INTEGER),
+       CAST([] AS VARCHAR[]), CAST(NULL AS VARCHAR), role, CAST(NULL AS VARCHAR), day,
        CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)
 FROM discover_pages WHERE status = 200 AND n_results = 2
 """
@@ -435,7 +435,7 @@ SQL["tv_details"] = """
 SELECT CAST(doc_id AS INTEGER) AS id,
        CASE WHEN doc_id % 29 = 0 THEN 404 ELSE 200 END AS status,
        CASE WHEN doc_id % 3 = 0 THEN NULL ELSE [CAST(doc_id % 5 AS INTEGER)] END AS genre_ids,
-       CASE WHEN doc_id % 8 = 0 THEN NULL ELSE [upper(lang)] END AS origin_country,
+       CASE WHEN doc_id % 8 = 0 THEN CAST([] AS VARCHAR[]) ELSE [upper(lang)] END AS origin_country,
        lang AS original_language, source || '_o' AS original_name, text AS overview,
        '2018-07-0' || CAST(doc_id % 9 + 1 AS VARCHAR) AS first_air_date,
        source AS name,

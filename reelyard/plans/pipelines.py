@@ -59,7 +59,7 @@ def _observed(df: DataFrame, name: str, columns: list[str] | None = None
 
 def backfill_records(landed_pages: DataFrame, spec: MediaSpec) -> DataFrame:
     """Landed discover pages -> typed catalogue records tagged by decade."""
-    pages = contiguous_pages(typed_pages(landed_pages, spec.schema))
+    pages = contiguous_pages(typed_pages(landed_pages, spec.schema, spec.record_missing_empty))
     records = flatten_pages(pages, keep=("day",))
     return backfill_slices(records, "day").select(*spec.columns, "decade")
 
@@ -119,7 +119,8 @@ def changed_records(change_pages: DataFrame, details: DataFrame, spec: MediaSpec
     pages = changed_pages(typed_pages(window, CHANGE_ITEM), cap, broadcast_rows)
     ids = distinct_ids(flatten_pages(pages, keep=()))
     fetched = enrich_details(ids, details, "id", broadcast_rows)
-    return reshape_details(typed_records(fetched, "body", spec.detail_schema), spec)
+    return reshape_details(typed_records(fetched, "body", spec.detail_schema,
+                                         missing_empty=spec.detail_missing_empty), spec)
 
 
 def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,

@@ -144,7 +144,7 @@ def q_page_completeness(spark, sf):
 
 
 def q_project_fields(spark, sf):
-    pages = typed_pages(fx.discover_tv_pages(spark, sf), TV.schema)
+    pages = typed_pages(fx.discover_tv_pages(spark, sf), TV.schema, TV.record_missing_empty)
     return render(I.project_fields(I.flatten_pages(pages), TV.schema))
 
 
@@ -177,7 +177,8 @@ def q_reshape_details(spark, sf):
 
 def q_reshape_details_tv(spark, sf):
     ok = fx.tv_details(spark, sf).where(F.col("status") == 200)
-    return render(I.reshape_details(typed_records(ok, "body", TV.detail_schema), TV))
+    det = typed_records(ok, "body", TV.detail_schema, missing_empty=TV.detail_missing_empty)
+    return render(I.reshape_details(det, TV))
 
 
 def q_backfill_slices(spark, sf):

@@ -102,6 +102,10 @@ class MediaSpec:
     rating_type: DataType = StringType()
     rating_fill: object = None
     date_column: str = "release_date"
+    # Array fields whose *missing* key means an empty array (an explicit JSON
+    # null stays null), in listing records and in detail bodies.
+    record_missing_empty: tuple = ()
+    detail_missing_empty: tuple = ()
 
     @property
     def columns(self) -> list[str]:
@@ -142,6 +146,8 @@ TV = MediaSpec(
     rating_type=DoubleType(),
     rating_fill=TV_RATING_FILL,
     date_column="first_air_date",
+    record_missing_empty=("genre_ids", "origin_country"),
+    detail_missing_empty=("origin_country",),
 )
 
 SPECS = {"movie": MOVIE, "tv": TV}

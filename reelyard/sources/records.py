@@ -2,37 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, VariantType
 
+from reelyard.functions.columns import empty_array
 from reelyard.schemas import page_schema
 
 
+def _parse_schema(schema: StructType, missing_empty: tuple) -> StructType:
+    """``schema`` with the ``missing_empty`` fields read as VARIANT, which keeps
+    a missing key (SQL NULL) apart from an explicit JSON null (variant null)."""
+    return StructType([StructField(f.name, VariantType(), True) if f.name in missing_empty else f
+                       for f in schema.fields])
+
+
+def _typed_field(value: Column, field: StructField, missing_empty: tuple) -> Column:
+    if field.name not in missing_empty:
+        return value
+    typed = F.try_variant_get(value, "$", field.dataType.simpleString())
+    return F.when(value.isNull(), empty_array(field.dataType.elementType)).otherwise(typed)
+
+
+def _retype(rec: Column, schema: StructType, missing_empty: tuple) -> Column:
+    return F.struct(*[_typed_field(rec[f.name], f, missing_empty).alias(f.name)
+                      for f in schema.fields])
+
+
 def typed_records(df: DataFrame, body: str, schema: StructType,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), missing_empty: tuple = ()) -> DataFrame:
     """Parse the JSON text in ``body`` against a declared schema.
 
     Fields outside the schema are dropped, missing keys become null, and a JSON
     number read into a string field keeps its numeral text (``7.25`` ->
-    ``'7.25'``).  ``keep`` columns of the input ride along in front.
+    ``'7.25'``).  Array fields named in ``missing_empty`` become ``[]`` when
+    the key is missing but stay null for an explicit JSON null.  ``keep``
+    columns of the input ride along in front.
     """
-    parsed = F.from_json(F.col(body), schema).alias("_rec")
-    return df.select(*keep, parsed).select(*keep, "_rec.*")
+    parsed = F.from_json(F.col(body), _parse_schema(schema, missing_empty))
+    rec = _retype(parsed, schema, missing_empty) if missing_empty else parsed
+    return df.select(*keep, rec.alias("_rec")).select(*keep, "_rec.*")
 
 
-def typed_pages(landed: DataFrame, record: StructType) -> DataFrame:
+def typed_pages(landed: DataFrame, record: StructType, missing_empty: tuple = ()) -> DataFrame:
     """Landed pages ``(day, page, status, body)`` -> typed envelope columns.
 
     Output: ``day, page, status, total_pages, results`` with ``results`` an
-    array of ``record``.  Error bodies parse to null envelope fields.
+    array of ``record`` (``missing_empty`` as in ``typed_records``).  Error
+    bodies parse to null envelope fields.
     """
-    env = page_schema(record)
+    env = page_schema(_parse_schema(record, missing_empty))
+    results = F.col("_env.results")
+    if missing_empty:
+        results = F.transform(results, lambda r: _retype(r, record, missing_empty))
     return (landed
             .select("day", "page", "status", F.from_json("body", env).alias("_env"))
             .select("day", "page", "status",
                     F.col("_env.total_pages").alias("total_pages"),
-                    F.col("_env.results").alias("results")))
+                    results.alias("results")))
 
 
 def typed_records_empty(spark: SparkSession, schema: StructType) -> DataFrame:

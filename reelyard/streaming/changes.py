@@ -52,7 +52,8 @@ def landed_changes(spark: SparkSession, landing_dir: str, spec: MediaSpec,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landed = reader.parquet(landing_dir)
     ok = landed.where(F.col("status") == 200)
-    return reshape_details(typed_records(ok, "body", spec.detail_schema), spec)
+    return reshape_details(typed_records(ok, "body", spec.detail_schema,
+                                         missing_empty=spec.detail_missing_empty), spec)
 
 
 def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):

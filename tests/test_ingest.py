@@ -143,3 +143,25 @@ def test_fetch_details_runs_the_client_in_tasks(spark):
         typed_records(I.enrich_details(ids, landed), "body", MOVIE_DETAIL_SCHEMA), MOVIE).collect()
     assert sorted(r.id for r in rows) == [i for i in range(1, 31) if i % 3]
     assert all(r.genre_ids == [r.id % 5] for r in rows)
+
+
+def test_tv_missing_arrays_are_empty_but_explicit_nulls_stay_null(spark):
+    body = json.dumps({"page": 1, "results": [
+        {"id": 1, "name": "a"},
+        {"id": 2, "name": "b", "genre_ids": None, "origin_country": None},
+        {"id": 3, "name": "c", "genre_ids": [4], "origin_country": ["BR"]},
+        {"id": 4, "name": "d", "genre_ids": "oops"}]})
+    df = spark.createDataFrame([("d", 1, 200, body)], "day string, page int, status int, body string")
+    pages = typed_pages(df, TV.schema, TV.record_missing_empty)
+    assert pages.schema["results"].dataType.elementType == TV.schema
+    got = {r.id: (r.genre_ids, r.origin_country) for r in I.flatten_pages(pages, keep=()).collect()}
+    assert got == {1: ([], []), 2: (None, None), 3: ([4], ["BR"]), 4: (None, [])}
+
+
+def test_tv_detail_missing_origin_country_is_empty(spark):
+    rows = [(1, 200, json.dumps({"id": 1, "name": "a"})),
+            (2, 200, json.dumps({"id": 2, "name": "b", "origin_country": None}))]
+    det = spark.createDataFrame(rows, "id int, status int, body string")
+    typed = typed_records(det, "body", TV.detail_schema, missing_empty=TV.detail_missing_empty)
+    got = {r.id: (r.origin_country, r.genre_ids) for r in I.reshape_details(typed, TV).collect()}
+    assert got == {1: ([], []), 2: (None, [])}
