@@ -83,33 +83,47 @@ def silver_frame(raw: DataFrame, spec: MediaSpec, order: tuple[str, ...] = ()) -
     return dedupe_by_id(clean(raw, spec), "id", order).select(*spec.silver_order)
 
 
+# Inputs with at least this many files use the split de-duplication; smaller
+# ones are cheaper as one aggregate job (the pre-pass has a fixed cost).
+SPLIT_MIN_FILES = 256
+
+
 def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_path: str,
-                 files: int | None = None,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> RunReport:
+                 files: int | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 strategy: str = "auto") -> RunReport:
     """P3 (movies) / P4 (TV): glob every bronze slice, clean, dedupe, snapshot.
 
-    A pre-pass reads only the key columns and stores the ids that repeat
-    across slices (size-checked).  The write job then sends rows with a unique
-    id straight from scan to file and shuffles only the repeated ids
-    (``dedupe_split``); the null profiles and row counts of the raw, cleaned
-    and silver rows are observed during that job.  At scale this replaces a
-    full-row shuffle and two sorts by a narrow key scan.
+    ``strategy="split"``: a pre-pass reads only the key columns and stores the
+    ids that repeat across slices (size-checked); the write job then sends
+    rows with a unique id straight from scan to file and shuffles only the
+    repeated ids (``dedupe_split``).  At scale this replaces a full-row shuffle
+    and two sorts by a narrow key scan.  ``"aggregate"``: one job, one
+    partially aggregated shuffle of all rows.  ``"auto"`` picks split for
+    inputs of ``SPLIT_MIN_FILES`` files or more.  Either way the null profiles
+    and row counts of the raw, cleaned and silver rows are observed during the
+    write job.
     """
     def bronze():
         return scan_glob(spark, bronze_root, spec.bronze_prefix, slice_column="_slice")
 
-    keys_only = scan_glob(spark, bronze_root, spec.bronze_prefix)
-    dup_keys, n_dups = duplicated_keys(clean(keys_only, spec).select("id"), "id")
-
+    if strategy == "auto":
+        strategy = "split" if len(bronze().inputFiles()) >= SPLIT_MIN_FILES else "aggregate"
     raw, obs_raw = _observed(bronze(), "raw", spec.columns)
     observed, obs_clean = _observed(clean(raw, spec), "cleaned")
-    out = dedupe_split(clean(bronze(), spec), dup_keys, n_dups, "id", ("_slice",),
-                       broadcast_rows, passthrough=observed, null_keys=False)
+    n_dups = None
+    if strategy == "split":
+        keys_only = scan_glob(spark, bronze_root, spec.bronze_prefix)
+        dup_keys, n_dups = duplicated_keys(clean(keys_only, spec).select("id"), "id")
+        out = dedupe_split(clean(bronze(), spec), dup_keys, n_dups, "id", ("_slice",),
+                           broadcast_rows, passthrough=observed, null_keys=False)
+    else:
+        out = dedupe_by_id(observed, "id", ("_slice",))
     out, obs_out = _observed(out.select(*spec.silver_order), "silver", spec.silver_order)
     base = current_version(spark, silver_path)
     version, rows = write_snapshot(out, silver_path, base, files)
     m_raw, m_clean, m_out = obs_raw.get, obs_clean.get, obs_out.get
     metrics = {
+        "strategy": strategy,
         "raw_rows": m_raw["rows"],
         "removed_invalid": m_raw["rows"] - m_clean["rows"],
         "removed_duplicates": m_clean["rows"] - m_out["rows"],

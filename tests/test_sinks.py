@@ -100,18 +100,23 @@ def test_glob_scan_skips_change_dataset_and_names_slices(spark, scratch):
     assert got == [(1, "movie_1970"), (2, "movie_1980")]
 
 
-def test_silver_pipeline_metrics(spark, scratch):
+@pytest.mark.parametrize("strategy", ["split", "aggregate", "auto"])
+def test_silver_pipeline_metrics(spark, scratch, strategy):
     root = scratch("bronze")
-    W.sink_bronze(movies(spark, [(1, "old", None, None, None, None), (None, "x", None, None, None, None)]),
+    W.sink_bronze(movies(spark, [(1, "old", None, None, None, None), (None, "x", None, None, None, None),
+                                 (3, "c", None, None, None, None)]),
                   f"{root}/movie_a")
     W.sink_bronze(movies(spark, [(1, "new", None, None, None, None), (2, None, None, None, None, None)]),
                   f"{root}/movie_b")
-    rep = P.build_silver(spark, root, MOVIE, scratch("silver"))
-    assert rep.rows_written == 1 and rep.version == 1
+    silver = scratch("silver")
+    rep = P.build_silver(spark, root, MOVIE, silver, strategy=strategy)
+    assert rep.rows_written == 2 and rep.version == 1
     m = rep.metrics
-    assert (m["raw_rows"], m["removed_invalid"], m["removed_duplicates"]) == (4, 2, 1)
+    assert m["strategy"] == ("aggregate" if strategy == "auto" else strategy)
+    assert (m["raw_rows"], m["removed_invalid"], m["removed_duplicates"]) == (5, 2, 1)
     assert m["raw_nulls"]["id"] == 1 and m["raw_nulls"]["title"] == 1
     assert all(v == 0 for v in m["silver_nulls"].values())
+    assert {(r.id, r.title) for r in S.read_snapshot(spark, silver).collect()} == {(1, "new"), (3, "c")}
 
 
 def test_glob_scan_mixes_plain_and_partitioned_slices(spark, scratch):
@@ -135,3 +140,23 @@ def test_collect_then_apply_with_nothing_collected_leaves_silver(spark, scratch)
     rep = P.collect_then_apply(spark, no_pages, no_details, MOVIE, "2024-01-10", 3,
                                scratch("changes"), silver)
     assert rep.version == 1 and S.current_version(spark, silver) == 1
+
+
+@pytest.mark.parametrize("spec_name", ["movie", "tv"])
+def test_silver_strategies_agree_on_fixture(spark, scratch, spec_name):
+    from reelyard import fixtures as fx
+    from reelyard.plans.queries import _write_slices
+    from reelyard.schemas import SPECS
+    from tests.conftest import SMOKE
+
+    spec = SPECS[spec_name]
+    bronze = fx.bronze_movies if spec_name == "movie" else fx.bronze_tv
+    changes = fx.movie_changes if spec_name == "movie" else fx.tv_changes
+    root = _write_slices(spark, bronze(spark, SMOKE), spec, changes(spark, SMOKE))
+    got = {}
+    for strategy in ("split", "aggregate"):
+        path = scratch("silver")
+        rep = P.build_silver(spark, root, spec, path, strategy=strategy)
+        assert rep.metrics["strategy"] == strategy
+        got[strategy] = sorted(map(str, S.read_snapshot(spark, path).collect()))
+    assert got["split"] == got["aggregate"] and got["split"]
