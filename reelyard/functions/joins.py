@@ -17,7 +17,8 @@ def materialize_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the upstream) and, unlike ``Dataset.checkpoint``, computes the
-    input only once.  The scan carries exact file-size statistics.
+    input only once.  The scan carries exact file-size statistics; the schema
+    is declared, so no footer is read to infer it.
     """
     from reelyard.session import scratch_path
 
@@ -25,7 +26,7 @@ def materialize_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     path = scratch_path(spark, name)
     obs = Observation(f"materialize_{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
