@@ -104,7 +104,7 @@ def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_
     write job.
     """
     def bronze():
-        return scan_glob(spark, bronze_root, spec.bronze_prefix, slice_column="_slice")
+        return scan_glob(spark, bronze_root, spec.bronze_prefix, "_slice", spec.schema)
 
     if strategy == "auto":
         strategy = "split" if len(bronze().inputFiles()) >= SPLIT_MIN_FILES else "aggregate"
@@ -112,7 +112,7 @@ def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_
     observed, obs_clean = _observed(clean(raw, spec), "cleaned")
     n_dups = None
     if strategy == "split":
-        keys_only = scan_glob(spark, bronze_root, spec.bronze_prefix)
+        keys_only = scan_glob(spark, bronze_root, spec.bronze_prefix, schema=spec.schema)
         dup_keys, n_dups = duplicated_keys(clean(keys_only, spec).select("id"), "id")
         out = dedupe_split(clean(bronze(), spec), dup_keys, n_dups, "id", ("_slice",),
                            broadcast_rows, passthrough=observed, null_keys=False)

@@ -160,3 +160,15 @@ def test_silver_strategies_agree_on_fixture(spark, scratch, spec_name):
         assert rep.metrics["strategy"] == strategy
         got[strategy] = sorted(map(str, S.read_snapshot(spark, path).collect()))
     assert got["split"] == got["aggregate"] and got["split"]
+
+
+def test_empty_backfill_then_silver(spark, scratch):
+    root = scratch("bronze")
+    no_pages = spark.createDataFrame([], "day string, page int, status int, body string")
+    assert P.backfill(no_pages, MOVIE, root).rows_written == 0
+    silver = scratch("silver")
+    rep = P.build_silver(spark, root, MOVIE, silver)
+    assert rep.rows_written == 0 and rep.version == 1
+    assert S.read_snapshot(spark, silver).columns == MOVIE.columns
+    W.sink_bronze(movies(spark, ROWS), f"{root}/movie_more")
+    assert P.build_silver(spark, root, MOVIE, silver).rows_written == 2
