@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
@@ -20,16 +20,6 @@ def or_empty(column: str, element_type: DataType) -> Column:
     return F.coalesce(F.col(column), empty_array(element_type))
 
 
-def is_null_count(column: str) -> Column:
-    """Number of nulls in ``column`` as a bigint (0 on an empty input)."""
-    return F.count_if(F.col(column).isNull()).alias(column)
-
-
 def iso_day(column: Column) -> Column:
     """A date as an ISO ``yyyy-MM-dd`` string."""
     return F.date_format(column, "yyyy-MM-dd")
-
-
-def reorder(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Project to exactly ``columns`` in that order (one ``Project`` node)."""
-    return df.select(*[F.col(c) for c in columns])

@@ -8,7 +8,6 @@ cluster names, never on one machine's local disk.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,12 +94,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch root."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
