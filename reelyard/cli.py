@@ -53,7 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--change-pages", required=True)
     p.add_argument("--details", required=True)
     p.add_argument("--today", required=True, help="first day not looked back at (ISO)")
-    p.add_argument("--days", type=int, required=True)
+    p.add_argument("--days", type=int, default=None,
+                   help="look-back days (default: 3 for movies, 10 for TV)")
     p.add_argument("--changes", required=True)
     p.add_argument("--cap", type=int, default=CHANGE_PAGE_CAP)
 
@@ -83,7 +84,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.cmd == "collect":
         rep = P.collect_changes(spark.read.parquet(args.change_pages),
                                 spark.read.parquet(args.details), spec,
-                                args.today, args.days, args.changes, args.cap)
+                                args.today, args.days or spec.lookback_days, args.changes,
+                                args.cap)
     elif args.cmd == "apply":
         rep = P.apply_changes_run(spark, args.silver, args.changes, spec, args.files)
     else:

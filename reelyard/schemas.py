@@ -20,13 +20,16 @@ from pyspark.sql.types import (
 
 # Fixed values that must equal the reference's for identical results:
 # the fill text for a missing overview, the fill date, the fill ratings,
-# the fill language, and the page cap of the change listing.
+# the fill language, the page cap of the change listing, and the look-back
+# days of the change collection (movies 3, TV 10).
 OVERVIEW_FILL = "Sem informação."
 DATE_FILL = "1900-01-01"
 MOVIE_RATING_FILL = "0.0"
 TV_RATING_FILL = 0.0
 LANGUAGE_FILL = "en"
 CHANGE_PAGE_CAP = 500
+MOVIE_LOOKBACK_DAYS = 3
+TV_LOOKBACK_DAYS = 10
 
 MOVIE_SCHEMA = StructType([
     StructField("id", IntegerType(), True),
@@ -106,6 +109,7 @@ class MediaSpec:
     # null stays null), in listing records and in detail bodies.
     record_missing_empty: tuple = ()
     detail_missing_empty: tuple = ()
+    lookback_days: int = MOVIE_LOOKBACK_DAYS
 
     @property
     def columns(self) -> list[str]:
@@ -148,6 +152,7 @@ TV = MediaSpec(
     date_column="first_air_date",
     record_missing_empty=("genre_ids", "origin_country"),
     detail_missing_empty=("origin_country",),
+    lookback_days=TV_LOOKBACK_DAYS,
 )
 
 SPECS = {"movie": MOVIE, "tv": TV}
