@@ -1,10 +1,10 @@
 """spark-submit entry points, one sub-command per pipeline.
 
-    spark-submit -m reelyard.cli silver --media movie --bronze s3a://bronze \\
-        --silver s3a://silver/movies_70_26
+    spark-submit --py-files reelyard.zip reelyard/cli.py silver --media movie \\
+        --bronze <bronze root> --silver <silver path>
     python -m reelyard.cli backfill --media tv --landed <pages> --bronze <root>
     python -m reelyard.cli collect  --media movie --change-pages <pages> \\
-        --details <details> --today 2024-01-31 --days 3 --changes <path>
+        --details <details> --today 2024-01-31 [--days 3] --changes <path>
     python -m reelyard.cli apply    --media movie --silver <path> --changes <path>
     python -m reelyard.cli stream   --media movie --landing <dir> --silver <path>
 
