@@ -217,12 +217,12 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
     return ids.select(key).repartition(partitions).mapInPandas(run, LANDED_DETAIL_DDL)
 
 
-def reshape_details(details: DataFrame, spec: MediaSpec) -> DataFrame:
+def reshape_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed detail bodies -> catalogue rows.
 
     ``genres[].id`` -> ``genre_ids`` (missing -> ``[]``), a missing rating
     -> the media type's default, everything else as typed; columns in the
-    catalogue schema order.
+    catalogue schema order, then the ``keep`` columns.
     """
     ids = F.transform(F.col("genres"), lambda g: g["id"])
     exprs = {
@@ -232,7 +232,7 @@ def reshape_details(details: DataFrame, spec: MediaSpec) -> DataFrame:
         .alias("vote_average"),
     }
     return details.select(*[exprs.get(c, F.col(c).cast(spec.schema[c].dataType).alias(c))
-                            for c in spec.columns])
+                            for c in spec.columns], *keep)
 
 
 # -------------------------------------------------------- I10 decade slices

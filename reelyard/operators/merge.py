@@ -44,9 +44,11 @@ def latest_changes(changes: DataFrame, columns: list[str], key: str = "id",
 
     Both sides of the upsert (the anti join's keys and the inserted rows) read
     this one table, so the change set is de-duplicated once and its size is
-    known before the join is planned.
+    known before the join is planned.  ``order`` names version columns of
+    ``changes`` (newest wins); they are dropped after the de-duplication.
     """
-    return materialize_table(dedupe_by_id(changes.select(*columns), key, order), "changes")
+    latest = dedupe_by_id(changes.select(*columns, *order), key, order).select(*columns)
+    return materialize_table(latest, "changes")
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: str = "id",

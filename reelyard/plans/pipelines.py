@@ -161,11 +161,15 @@ def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec
 # ---------------------------------------------------------------------- P6
 
 def merged_frame(silver: DataFrame, changes: DataFrame, spec: MediaSpec,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, order: tuple = ()
                  ) -> tuple[DataFrame, list[Observation]]:
-    """Upsert with counters observed on each branch (original, kept, change)."""
+    """Upsert with counters observed on each branch (original, kept, change).
+
+    ``order`` names version columns of ``changes`` (the newest change of an id
+    wins); without it the greatest row wins.
+    """
     base, obs_base = _observed(clean(silver, spec).select(*spec.silver_order), "original")
-    latest, n = latest_changes(clean(changes, spec), spec.silver_order)
+    latest, n = latest_changes(clean(changes, spec), spec.silver_order, "id", order)
     kept, obs_kept = _observed(anti_join(base, latest, "id", broadcast_rows, right_rows=n), "kept")
     latest_rows, obs_change = _observed(latest, "changes")
     merged, obs_out = _observed(union_by_name(kept, latest_rows), "updated", spec.silver_order)

@@ -44,16 +44,24 @@ LANDED_DETAIL_SCHEMA = StructType([
 ])
 
 
+# When the landing file was written: the version of a change (newest wins when
+# one micro-batch holds several fetches of the same id).
+FETCHED = "_fetched_at"
+
+
 def landed_changes(spark: SparkSession, landing_dir: str, spec: MediaSpec,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming catalogue rows from newly landed detail responses."""
+    """Streaming catalogue rows from newly landed detail responses, with the
+    landing time of each (``_fetched_at``, from the file's metadata)."""
     reader = spark.readStream.schema(LANDED_DETAIL_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    landed = reader.parquet(landing_dir)
+    landed = reader.parquet(landing_dir).withColumn(
+        FETCHED, F.col("_metadata.file_modification_time"))
     ok = landed.where(F.col("status") == 200)
-    return reshape_details(typed_records(ok, "body", spec.detail_schema,
-                                         missing_empty=spec.detail_missing_empty), spec)
+    typed = typed_records(ok, "body", spec.detail_schema, keep=(FETCHED,),
+                          missing_empty=spec.detail_missing_empty)
+    return reshape_details(typed, spec, keep=(FETCHED,))
 
 
 def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):
@@ -67,7 +75,8 @@ def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):
             if batch.isEmpty():
                 return
             base = current_version(spark, silver_path)
-            merged, _ = merged_frame(read_snapshot(spark, silver_path, base), batch, spec)
+            merged, _ = merged_frame(read_snapshot(spark, silver_path, base), batch, spec,
+                                     order=(FETCHED,))
             version, rows = write_snapshot(merged, silver_path, base, files, stream_batch=batch_id)
             log.info("batch %s -> %s v%s (%s rows)", batch_id, silver_path, version, rows)
         finally:

@@ -69,3 +69,19 @@ def test_upsert_equals_dict_model(spark, base, changes):
     assert sorted((r.id, r.title, r.overview) for r in out) == \
         sorted((i, t, o) for i, (t, o) in model.items())
     assert len({r.id for r in out}) == len(out)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 15)),
+                               st.sampled_from(["a", "b", "c"]), st.integers(0, 2)),
+                     max_size=60))
+def test_split_dedupe_equals_aggregate(spark, rows):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from reelyard.operators.clean import dedupe_by_id, dedupe_split, duplicated_keys
+
+    schema = StructType([*MOVIE_SCHEMA.fields, StructField("v", IntegerType())])
+    df = spark.createDataFrame([(i, t, None, None, None, None, v) for i, t, v in rows], schema)
+    keys, n = duplicated_keys(df)
+    want = sorted(map(str, dedupe_by_id(df, "id", ("v",)).collect()))
+    assert sorted(map(str, dedupe_split(df, keys, n, "id", ("v",)).collect())) == want

@@ -50,3 +50,29 @@ def test_replayed_batch_is_skipped(spark, scratch):
     # A fresh checkpoint replays batch 0; the commit log recognises it.
     apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=scratch("ckpt"))
     assert S.current_version(spark, silver) == 2
+
+
+def test_newest_fetch_wins_within_a_batch(spark, scratch):
+    import time
+
+    silver, landing = scratch("silver"), scratch("landing")
+    S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
+    land(spark, landing, [detail(5, "zzz")])
+    time.sleep(1.1)
+    land(spark, landing, [detail(5, "aaa")])
+    apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=scratch("ckpt"))
+    got = {r.id: r.title for r in S.read_snapshot(spark, silver).collect()}
+    assert got == {1: "a", 5: "aaa"}
+
+
+def test_one_version_per_micro_batch(spark, scratch):
+    from reelyard.streaming.changes import start_change_stream
+
+    silver, landing = scratch("silver"), scratch("landing")
+    S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
+    land(spark, landing, [detail(2, "b")])
+    land(spark, landing, [detail(3, "c")])
+    q = start_change_stream(spark, landing, silver, MOVIE, scratch("ckpt"), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert S.current_version(spark, silver) == 3
+    assert sorted(r.id for r in S.read_snapshot(spark, silver).collect()) == [1, 2, 3]
