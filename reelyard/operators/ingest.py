@@ -220,21 +220,28 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
 def reshape_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed detail bodies -> catalogue rows.
 
-    ``genres[].id`` -> ``genre_ids`` (missing -> ``[]``), a missing rating
-    -> the media type's default, everything else as typed; columns in the
-    catalogue schema order, then the ``keep`` columns.
+    ``genres[].id`` -> ``genre_ids`` (missing -> ``[]``), everything else as
+    typed; columns in the catalogue schema order, then the ``keep`` columns.
+    The rating default for a missing key is applied when the body is typed
+    (``typed_details``), where a missing key and a JSON null are told apart.
     """
     ids = F.transform(F.col("genres"), lambda g: g["id"])
     exprs = {
         "genre_ids": F.coalesce(ids, empty_array(spec.arrays["genre_ids"])).alias("genre_ids"),
-        "vote_average": F.coalesce(F.col("vote_average").cast(spec.rating_type),
-                                   F.lit(spec.rating_fill).cast(spec.rating_type))
-        .alias("vote_average"),
     }
     return details.select(*[exprs.get(c, F.col(c).cast(spec.schema[c].dataType).alias(c))
                             for c in spec.columns], *keep)
 
 
+def typed_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed detail bodies typed with the media type's missing-key rules."""
+    from reelyard.sources.records import typed_records
+
+    return typed_records(details, "body", spec.detail_schema, keep,
+                         missing_empty=spec.detail_missing_empty,
+                         missing_default=spec.detail_missing_default)
+
+
 # -------------------------------------------------------- I10 decade slices
 
 def decade_of(day: Column | str) -> Column:

@@ -25,6 +25,7 @@ from reelyard.operators.ingest import (
     flatten_pages,
     lookback_days,
     reshape_details,
+    typed_details,
 )
 from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
@@ -145,8 +146,7 @@ def changed_records(change_pages: DataFrame, details: DataFrame, spec: MediaSpec
     pages = changed_pages(typed_pages(window, CHANGE_ITEM), cap, broadcast_rows)
     ids = distinct_ids(flatten_pages(pages, keep=()))
     fetched = enrich_details(ids, details, "id", broadcast_rows)
-    return reshape_details(typed_records(fetched, "body", spec.detail_schema,
-                                         missing_empty=spec.detail_missing_empty), spec)
+    return reshape_details(typed_details(fetched, spec), spec)
 
 
 def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,

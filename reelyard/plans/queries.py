@@ -172,13 +172,12 @@ def q_enrich_details(spark, sf):
 
 def q_reshape_details(spark, sf):
     ok = fx.movie_details(spark, sf).where(F.col("status") == 200)
-    return render(I.reshape_details(typed_records(ok, "body", MOVIE.detail_schema), MOVIE))
+    return render(I.reshape_details(I.typed_details(ok, MOVIE), MOVIE))
 
 
 def q_reshape_details_tv(spark, sf):
     ok = fx.tv_details(spark, sf).where(F.col("status") == 200)
-    det = typed_records(ok, "body", TV.detail_schema, missing_empty=TV.detail_missing_empty)
-    return render(I.reshape_details(det, TV))
+    return render(I.reshape_details(I.typed_details(ok, TV), TV))
 
 
 def q_backfill_slices(spark, sf):

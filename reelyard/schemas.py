@@ -110,6 +110,9 @@ class MediaSpec:
     record_missing_empty: tuple = ()
     detail_missing_empty: tuple = ()
     lookback_days: int = MOVIE_LOOKBACK_DAYS
+    # Detail fields whose *missing* key takes a default (an explicit JSON null
+    # stays null).
+    detail_missing_default: dict = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
@@ -132,6 +135,7 @@ MOVIE = MediaSpec(
     rating_type=StringType(),
     rating_fill=MOVIE_RATING_FILL,
     date_column="release_date",
+    detail_missing_default={"vote_average": MOVIE_RATING_FILL},
 )
 
 TV = MediaSpec(
@@ -153,6 +157,7 @@ TV = MediaSpec(
     record_missing_empty=("genre_ids", "origin_country"),
     detail_missing_empty=("origin_country",),
     lookback_days=TV_LOOKBACK_DAYS,
+    detail_missing_default={"vote_average": TV_RATING_FILL},
 )
 
 SPECS = {"movie": MOVIE, "tv": TV}

@@ -30,18 +30,37 @@ def _retype(rec: Column, schema: StructType, missing_empty: tuple) -> Column:
 
 
 def typed_records(df: DataFrame, body: str, schema: StructType,
-                  keep: tuple[str, ...] = (), missing_empty: tuple = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), missing_empty: tuple = (),
+                  missing_default: dict | None = None) -> DataFrame:
     """Parse the JSON text in ``body`` against a declared schema.
 
     Fields outside the schema are dropped, missing keys become null, and a JSON
-    number read into a string field keeps its numeral text (``7.25`` ->
-    ``'7.25'``).  Array fields named in ``missing_empty`` become ``[]`` when
-    the key is missing but stay null for an explicit JSON null.  ``keep``
-    columns of the input ride along in front.
+    number read into a string field becomes its numeral text (``7.25`` ->
+    ``'7.25'``, ``6.0`` -> ``'6.0'``, ``7.50`` -> ``'7.5'``).  Array fields named in ``missing_empty`` become ``[]`` when
+    the key is missing but stay null for an explicit JSON null; fields in
+    ``missing_default`` take the given value when the key is missing, again
+    keeping an explicit null (presence comes from a VARIANT parse, the value
+    from the typed one, so numbers keep the text above).  ``keep`` columns of the input ride along in front.
     """
     parsed = F.from_json(F.col(body), _parse_schema(schema, missing_empty))
     rec = _retype(parsed, schema, missing_empty) if missing_empty else parsed
-    return df.select(*keep, rec.alias("_rec")).select(*keep, "_rec.*")
+    out = df.select(*keep, rec.alias("_rec"), *_presence(body, missing_default))
+    if not missing_default:
+        return out.select(*keep, "_rec.*")
+    fields = [F.when(F.col(f"_has.{f.name}").isNull(),
+                     F.lit(missing_default[f.name]).cast(f.dataType))
+              .otherwise(F.col(f"_rec.{f.name}")).alias(f.name)
+              if f.name in missing_default else F.col(f"_rec.{f.name}")
+              for f in schema.fields]
+    return out.select(*keep, *fields)
+
+
+def _presence(body: str, fields: dict | None) -> list[Column]:
+    """Which of ``fields`` are present as keys (null when the key is missing)."""
+    if not fields:
+        return []
+    shape = StructType([StructField(f, VariantType(), True) for f in fields])
+    return [F.from_json(F.col(body), shape).alias("_has")]
 
 
 def typed_pages(landed: DataFrame, record: StructType, missing_empty: tuple = ()) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from reelyard.operators.ingest import reshape_details
+from reelyard.operators.ingest import reshape_details, typed_details
 from reelyard.plans.pipelines import merged_frame
 from reelyard.schemas import MediaSpec
 from reelyard.session import scratch_path
@@ -33,7 +33,6 @@ from reelyard.sinks.snapshot import (
     read_snapshot,
     write_snapshot,
 )
-from reelyard.sources.records import typed_records
 
 log = logging.getLogger(__name__)
 
@@ -59,9 +58,7 @@ def landed_changes(spark: SparkSession, landing_dir: str, spec: MediaSpec,
     landed = reader.parquet(landing_dir).withColumn(
         FETCHED, F.col("_metadata.file_modification_time"))
     ok = landed.where(F.col("status") == 200)
-    typed = typed_records(ok, "body", spec.detail_schema, keep=(FETCHED,),
-                          missing_empty=spec.detail_missing_empty)
-    return reshape_details(typed, spec, keep=(FETCHED,))
+    return reshape_details(typed_details(ok, spec, keep=(FETCHED,)), spec, keep=(FETCHED,))
 
 
 def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):

@@ -111,7 +111,7 @@ def test_details_reshape_defaults_and_failures(spark):
     det = spark.createDataFrame(rows, "id int, status int, body string")
     ids = spark.createDataFrame([(1,), (2,), (3,), (5,)], "id int")
     got = I.enrich_details(ids, det)
-    out = {r.id: r for r in I.reshape_details(typed_records(got, "body", MOVIE_DETAIL_SCHEMA), MOVIE).collect()}
+    out = {r.id: r for r in I.reshape_details(I.typed_details(got, MOVIE), MOVIE).collect()}
     assert set(out) == {1, 2}
     assert out[1].genre_ids == [3, 4] and out[1].vote_average == "8.5"
     assert out[2].genre_ids == [] and out[2].vote_average == "0.0"
@@ -139,8 +139,7 @@ def test_fetch_details_runs_the_client_in_tasks(spark):
     landed = I.fetch_details(ids, fake_client, partitions=4)
     assert landed.rdd.getNumPartitions() == 4
     assert landed.count() == 30
-    rows = I.reshape_details(
-        typed_records(I.enrich_details(ids, landed), "body", MOVIE_DETAIL_SCHEMA), MOVIE).collect()
+    rows = I.reshape_details(I.typed_details(I.enrich_details(ids, landed), MOVIE), MOVIE).collect()
     assert sorted(r.id for r in rows) == [i for i in range(1, 31) if i % 3]
     assert all(r.genre_ids == [r.id % 5] for r in rows)
 
@@ -160,8 +159,19 @@ def test_tv_missing_arrays_are_empty_but_explicit_nulls_stay_null(spark):
 
 def test_tv_detail_missing_origin_country_is_empty(spark):
     rows = [(1, 200, json.dumps({"id": 1, "name": "a"})),
-            (2, 200, json.dumps({"id": 2, "name": "b", "origin_country": None}))]
+            (2, 200, json.dumps({"id": 2, "name": "b", "origin_country": None,
+                                 "vote_average": None})),
+            (3, 200, json.dumps({"id": 3, "name": "c", "vote_average": 7}))]
     det = spark.createDataFrame(rows, "id int, status int, body string")
-    typed = typed_records(det, "body", TV.detail_schema, missing_empty=TV.detail_missing_empty)
-    got = {r.id: (r.origin_country, r.genre_ids) for r in I.reshape_details(typed, TV).collect()}
-    assert got == {1: ([], []), 2: (None, [])}
+    got = {r.id: (r.origin_country, r.genre_ids, r.vote_average)
+           for r in I.reshape_details(I.typed_details(det, TV), TV).collect()}
+    assert got == {1: ([], [], 0.0), 2: (None, [], None), 3: ([], [], 7.0)}
+
+
+def test_movie_detail_rating_missing_vs_null_vs_number(spark):
+    rows = [(1, 200, json.dumps({"id": 1, "title": "a"})),
+            (2, 200, json.dumps({"id": 2, "title": "b", "vote_average": None})),
+            (3, 200, '{"id": 3, "title": "c", "vote_average": 7.50}')]
+    det = spark.createDataFrame(rows, "id int, status int, body string")
+    got = {r.id: r.vote_average for r in I.reshape_details(I.typed_details(det, MOVIE), MOVIE).collect()}
+    assert got == {1: "0.0", 2: None, 3: "7.5"}
