@@ -9,9 +9,17 @@ rows is gathered into one task.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DateType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from reelyard.functions.columns import empty_array, iso_day
 from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
@@ -153,12 +161,29 @@ def project_fields(records: DataFrame, schema: StructType) -> DataFrame:
 # ------------------------------------------------------------- I6 look-back
 
 def lookback_days(df: DataFrame, day: Column | str, days: int,
-                  today: Column | str) -> DataFrame:
+                  today: Column | str | datetime.date) -> DataFrame:
     """Rows whose day lies in ``[today - days, today - 1]`` (today excluded).
 
     ``today`` is a parameter (a literal date or a scalar column), never the
-    clock, so reruns are reproducible.
+    clock, so reruns are reproducible.  With a literal ``today`` and a column
+    name, the bounds are literals compared with the raw column (ISO day
+    strings sort like dates), so the filter reaches the Parquet scan as
+    pushed filters / partition pruning: a run reads only its look-back days of
+    an ever-growing landing table.
     """
+    if isinstance(day, str) and isinstance(today, (str, datetime.date)):
+        t = datetime.date.fromisoformat(today) if isinstance(today, str) else today
+        lo, hi = t - datetime.timedelta(days=days), t - datetime.timedelta(days=1)
+        kind = df.schema[day].dataType
+        if isinstance(kind, StringType):
+            return df.where(F.col(day).between(lo.isoformat(), hi.isoformat()))
+        if isinstance(kind, DateType):
+            return df.where(F.col(day).between(F.lit(lo), F.lit(hi)))
+        if isinstance(kind, (TimestampType, TimestampNTZType)):
+            # ISO strings cast in the session time zone, as ``to_date`` reads it
+            start = F.lit(f"{lo.isoformat()} 00:00:00").cast(kind)
+            end = F.lit(f"{t.isoformat()} 00:00:00").cast(kind)
+            return df.where((F.col(day) >= start) & (F.col(day) < end))
     d = F.to_date(F.col(day) if isinstance(day, str) else day)
     t = F.to_date(F.lit(today)) if isinstance(today, str) else F.to_date(today)
     return df.where(d.between(F.date_sub(t, days), F.date_sub(t, 1)))

@@ -175,3 +175,23 @@ def test_movie_detail_rating_missing_vs_null_vs_number(spark):
     det = spark.createDataFrame(rows, "id int, status int, body string")
     got = {r.id: r.vote_average for r in I.reshape_details(I.typed_details(det, MOVIE), MOVIE).collect()}
     assert got == {1: "0.0", 2: None, 3: "7.5"}
+
+
+def test_lookback_with_literal_today_is_pushed_to_parquet(spark, scratch):
+    path = scratch("landed")
+    rows = [(f"2024-01-{d:02d}", d) for d in range(1, 31)]
+    spark.createDataFrame(rows, "day string, n int").write.parquet(path)
+    df = spark.read.parquet(path)
+    got = I.lookback_days(df, "day", 3, "2024-01-20")
+    assert sorted(r.day for r in got.collect()) == ["2024-01-17", "2024-01-18", "2024-01-19"]
+    plan = plan_text(got)
+    assert "GreaterThanOrEqual(day,2024-01-17)" in plan and "LessThanOrEqual(day,2024-01-19)" in plan
+
+
+def test_lookback_on_timestamps_and_dates(spark):
+    import datetime as dt
+
+    ts = [dt.datetime(2024, 1, d, 23, 59) for d in (6, 7, 9, 10)]
+    df = spark.createDataFrame([(t, t.date()) for t in ts], "ts timestamp, d date")
+    assert sorted(r.ts.day for r in I.lookback_days(df, "ts", 3, "2024-01-10").collect()) == [7, 9]
+    assert sorted(r.d.day for r in I.lookback_days(df, "d", 3, dt.date(2024, 1, 10)).collect()) == [7, 9]
