@@ -7,6 +7,7 @@
         --details <details> --today 2024-01-31 [--days 3] --changes <path>
     python -m reelyard.cli apply    --media movie --silver <path> --changes <path>
     python -m reelyard.cli stream   --media movie --landing <dir> --silver <path>
+    python -m reelyard.cli vacuum   --silver <path> [--keep 2]
 
 Landed inputs are Parquet tables of responses: pages ``day, page, status,
 body`` and details ``id, status, body``.  The session comes from the launcher
@@ -63,6 +64,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--changes", required=True)
     p.add_argument("--files", type=int, default=None)
 
+    p = sub.add_parser("vacuum")
+    p.add_argument("--silver", required=True)
+    p.add_argument("--keep", type=int, default=2)
+
     p = cmd("stream")
     p.add_argument("--landing", required=True)
     p.add_argument("--silver", required=True)
@@ -76,6 +81,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName(f"reelyard-{args.cmd}").getOrCreate()
     if args.input_bytes:
         tune_for_input(spark, args.input_bytes)
+    if args.cmd == "vacuum":
+        from reelyard.sinks.snapshot import vacuum_snapshots
+
+        out = {"command": "vacuum", "removed": vacuum_snapshots(spark, args.silver, args.keep)}
+        print(json.dumps(out))
+        return out
     spec = SPECS[args.media]
     if args.cmd == "backfill":
         rep = P.backfill(spark.read.parquet(args.landed), spec, args.bronze, args.dataset)

@@ -106,6 +106,36 @@ def batch_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
     return log is not None and not log.where(F.col("stream_batch") == batch_id).isEmpty()
 
 
+def vacuum_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete the data of committed versions older than the newest ``keep``.
+
+    Commit records stay (the history is kept); only version directories go.
+    Readers pin a version when they start, so keep at least 2 while jobs may
+    still read the previous one.  Deletion goes through the Hadoop file system
+    of the session (HDFS, object stores, local), via the JVM gateway of a
+    classic session.  Returns the versions removed.
+    """
+    if keep < 1:
+        raise ValueError("keep at least the current version")
+    log = _commits(spark, path)
+    if log is None:
+        return []
+    newest = log.agg(F.max("version")).first()[0]
+    cutoff = newest - keep + 1
+    old = [int(r[0]) for r in log.where(F.col("version") < cutoff)
+           .select("version").distinct().orderBy("version").collect()]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = []
+    for v in old:
+        target = jvm.org.apache.hadoop.fs.Path(version_path(path, v))
+        fs = target.getFileSystem(conf)
+        if fs.exists(target):
+            fs.delete(target, True)
+            removed.append(v)
+    return removed
+
+
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """All commit records, oldest first."""
     log = _commits(spark, path)

@@ -172,3 +172,16 @@ def test_empty_backfill_then_silver(spark, scratch):
     assert S.read_snapshot(spark, silver).columns == MOVIE.columns
     W.sink_bronze(movies(spark, ROWS), f"{root}/movie_more")
     assert P.build_silver(spark, root, MOVIE, silver).rows_written == 2
+
+
+def test_vacuum_keeps_newest_versions(spark, scratch):
+    path = scratch("snap")
+    S.write_snapshot(movies(spark, ROWS), path, None)
+    for base in (1, 2, 3):
+        S.write_snapshot(S.read_snapshot(spark, path), path, base)
+    assert S.vacuum_snapshots(spark, path, keep=2) == [1, 2]
+    assert S.read_snapshot(spark, path).count() == 2
+    assert S.read_snapshot(spark, path, 3).count() == 2
+    assert not os.path.exists(S.version_path(path, 1))
+    assert S.vacuum_snapshots(spark, path, keep=2) == []
+    assert len(S.snapshot_history(spark, path).collect()) == 4
