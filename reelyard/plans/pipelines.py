@@ -86,7 +86,9 @@ def silver_frame(raw: DataFrame, spec: MediaSpec, order: tuple[str, ...] = ()) -
 
 # Inputs with at least this many files use the split de-duplication; smaller
 # ones are cheaper as one aggregate job (the pre-pass has a fixed cost).
-SPLIT_MIN_FILES = 256
+# Measured locally (tools/dedupe_strategy_check.py): a tie at ~1 GB, split
+# ahead at ~3 GB in 80 files, where shuffles never leave the machine.
+SPLIT_MIN_FILES = 64
 
 
 def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_path: str,
