@@ -1,8 +1,9 @@
 """Bronze -> silver cleaning operators (C1-C8) and de-duplication.
 
 All are narrow ``DataFrame -> DataFrame`` projections/filters except the
-de-duplication, which is one grouped aggregate with map-side partial
-aggregation.
+de-duplication: one grouped aggregate with map-side partial aggregation
+(``dedupe_by_id``), or, for large inputs, a broadcast split that shuffles only
+the repeated keys (``duplicated_keys`` + ``dedupe_split``).
 """
 
 from __future__ import annotations
