@@ -1 +1 @@
-
+"""DataFrame -> DataFrame operators: ingestion, cleaning, profiling, merge."""

@@ -1 +1 @@
-
+"""Writes: bronze/silver/guarded sinks and versioned snapshots."""

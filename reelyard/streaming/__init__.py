@@ -1 +1 @@
-
+"""Incremental change application with Structured Streaming."""
