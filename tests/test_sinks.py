@@ -185,3 +185,15 @@ def test_vacuum_keeps_newest_versions(spark, scratch):
     assert not os.path.exists(S.version_path(path, 1))
     assert S.vacuum_snapshots(spark, path, keep=2) == []
     assert len(S.snapshot_history(spark, path).collect()) == 4
+
+
+def test_merge_with_empty_inputs_reports_metrics(spark, scratch):
+    silver, changes = scratch("silver"), scratch("changes")
+    S.write_snapshot(movies(spark, []), silver, None)
+    W.sink_bronze(movies(spark, ROWS), changes)
+    m = P.apply_changes_run(spark, silver, changes, MOVIE).metrics
+    assert (m["original_rows"], m["change_rows"], m["updated_rows"]) == (0, 2, 2)
+    empty = scratch("empty-changes")
+    movies(spark, []).write.parquet(empty)
+    m = P.apply_changes_run(spark, silver, empty, MOVIE).metrics
+    assert (m["original_rows"], m["change_rows"], m["updated_rows"]) == (2, 0, 2)
