@@ -162,16 +162,17 @@ def test_silver_strategies_agree_on_fixture(spark, scratch, spec_name):
     assert got["split"] == got["aggregate"] and got["split"]
 
 
-def test_empty_backfill_then_silver(spark, scratch):
+@pytest.mark.parametrize("strategy", ["split", "aggregate"])
+def test_empty_backfill_then_silver(spark, scratch, strategy):
     root = scratch("bronze")
     no_pages = spark.createDataFrame([], "day string, page int, status int, body string")
     assert P.backfill(no_pages, MOVIE, root).rows_written == 0
     silver = scratch("silver")
-    rep = P.build_silver(spark, root, MOVIE, silver)
-    assert rep.rows_written == 0 and rep.version == 1
+    rep = P.build_silver(spark, root, MOVIE, silver, strategy=strategy)
+    assert rep.rows_written == 0 and rep.version == 1 and rep.metrics["raw_rows"] == 0
     assert S.read_snapshot(spark, silver).columns == MOVIE.columns
     W.sink_bronze(movies(spark, ROWS), f"{root}/movie_more")
-    assert P.build_silver(spark, root, MOVIE, silver).rows_written == 2
+    assert P.build_silver(spark, root, MOVIE, silver, strategy=strategy).rows_written == 2
 
 
 def test_vacuum_keeps_newest_versions(spark, scratch):
