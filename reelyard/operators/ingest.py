@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 )
 
 from reelyard.functions.columns import empty_array, iso_day
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize_table
 from reelyard.schemas import CHANGE_PAGE_CAP, MediaSpec
 
 
@@ -61,8 +61,14 @@ def flatten_pages(pages: DataFrame, keep: tuple[str, ...] = ("day", "page"),
 
 # --------------------------------------------------------- I3/I4 page walks
 
-def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFrame:
-    """Per day, the first page the walk does *not* keep (``cut``).
+# Why a day's walk ended (``page_cuts``): the reported last page was read, a
+# page failed, a page was empty (discover walks), or a page was never landed.
+WALK_ENDS = ("last_page", "failed_page", "empty_page", "missing_page")
+
+
+def page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFrame:
+    """Per day, the first page the walk does *not* keep (``cut``) and why the
+    walk ended there (``ended``, one of ``WALK_ENDS``).
 
     The walk reads pages 1, 2, ... and stops at the first page that failed
     (status other than 200, or no results when ``stop_on_empty``), after the
@@ -76,58 +82,80 @@ def _page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFr
     missing).  A day with a huge number of pages is spread over all tasks
     instead of being sorted in one window partition.
     """
-    n = F.size(F.col("results"))
-    bad = (F.col("status").isNull()) | (F.col("status") != 200)
-    if stop_on_empty:
-        bad = bad | F.col("results").isNull() | (n <= 0)
+    failed = (F.col("status").isNull()) | (F.col("status") != 200)
+    empty = F.col("results").isNull() | (F.size(F.col("results")) <= 0)
+    if not stop_on_empty:
+        empty = F.lit(False)
     last = F.coalesce(F.col("total_pages"), F.lit(1))
     if cap is not None:
         last = F.least(last, F.lit(cap))
     p = F.col("page")
     entries = F.array(
-        F.struct(p.alias("p"), F.lit(True).alias("landed"), bad.alias("bad"),
-                 (p >= last).alias("done")),
-        F.struct((p + 1).alias("p"), F.lit(False).alias("landed"), F.lit(False).alias("bad"),
-                 F.lit(False).alias("done")),
+        F.struct(p.alias("p"), F.lit(True).alias("landed"), failed.alias("failed"),
+                 (~failed & empty).alias("empty"), (p >= last).alias("done")),
+        F.struct((p + 1).alias("p"), F.lit(False).alias("landed"), F.lit(False).alias("failed"),
+                 F.lit(False).alias("empty"), F.lit(False).alias("done")),
     )
     per_page = (pages.where(p >= 1).select("day", F.inline(entries))
                 .groupBy("day", "p")
-                .agg(F.max("landed").alias("landed"), F.max("bad").alias("bad"),
-                     F.max("done").alias("done")))
+                .agg(*[F.max(c).alias(c) for c in ("landed", "failed", "empty", "done")]))
     q, ok = F.col("p"), F.col("landed")
-    return per_page.groupBy("day").agg(F.least(
-        F.min(F.when(ok & F.col("bad"), q)),
-        F.min(F.when(ok & ~F.col("bad") & F.col("done"), q + 1)),
-        F.min(F.when(~ok, q)),
-        F.when(~F.max(ok & (q == 1)), F.lit(1)),
-    ).alias("cut"))
+    good = ok & ~F.col("failed") & ~F.col("empty")
+    stats = per_page.groupBy("day").agg(
+        F.min(F.when(ok & F.col("failed"), q)).alias("first_failed"),
+        F.min(F.when(ok & F.col("empty"), q)).alias("first_empty"),
+        F.min(F.when(good & F.col("done"), q + 1)).alias("after_last"),
+        F.least(F.min(F.when(~ok, q)), F.when(~F.max(ok & (q == 1)), F.lit(1))).alias("first_missing"),
+    )
+    cut = F.least("first_failed", "first_empty", "after_last", "first_missing")
+    ended = (F.when(F.col("cut") == F.col("after_last"), "last_page")
+             .when(F.col("cut") == F.col("first_failed"), "failed_page")
+             .when(F.col("cut") == F.col("first_empty"), "empty_page")
+             .otherwise("missing_page"))
+    return stats.withColumn("cut", cut).select("day", "cut", ended.alias("ended"))
+
+
+def stored_page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None
+                     ) -> tuple[DataFrame, int]:
+    """``page_cuts`` computed once into a table under the shared scratch folder,
+    with its row count (one row per day)."""
+    return materialize_table(page_cuts(pages, stop_on_empty, cap), "page-cuts")
 
 
 def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Keep the pages a sequential page walk would have read.
 
     Only the narrow ``(day, page, status, total_pages, size)`` projection is
     aggregated; the wide page rows are filtered against the per-day cut with a
     broadcast join (one row per day, size checked), so result payloads are
-    never shuffled.
+    never shuffled.  ``cuts`` passes a stored cut table (``stored_page_cuts``)
+    that the caller also reports from.
     """
-    cuts, _ = bounded_broadcast(_page_cuts(pages, stop_on_empty, cap), broadcast_rows,
-                               materialize=True)
-    return (pages.join(cuts, "day", "inner")
+    table, n = cuts if cuts is not None else stored_page_cuts(pages, stop_on_empty, cap)
+    side = F.broadcast(table.select("day", "cut")) if n <= broadcast_rows else table.select("day", "cut")
+    return (pages.join(side, "day", "inner")
             .where((F.col("page") >= 1) & (F.col("page") < F.col("cut")))
             .drop("cut"))
 
 
-def contiguous_pages(pages: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def walk_ends(cuts: DataFrame) -> DataFrame:
+    """Days per walk end (``ended, days``): how many days stopped early."""
+    return cuts.groupBy("ended").agg(F.count(F.lit(1)).alias("days"))
+
+
+def contiguous_pages(pages: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Discover walk (I3): an empty page ends the day, no page cap."""
-    return walk_pages(pages, True, None, broadcast_rows)
+    return walk_pages(pages, True, None, broadcast_rows, cuts)
 
 
 def changed_pages(pages: DataFrame, cap: int = CHANGE_PAGE_CAP,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Change-list walk (I4): empty pages do not stop it; at most ``cap`` pages."""
-    return walk_pages(pages, False, cap, broadcast_rows)
+    return walk_pages(pages, False, cap, broadcast_rows, cuts)
 
 
 def page_completeness(pages: DataFrame, kept: DataFrame) -> DataFrame:

@@ -155,6 +155,17 @@ FROM (SELECT day, count(*) AS pages_landed, max(total_pages) AS pages_reported
       FROM change_pages GROUP BY day) a
 LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, 500)}) GROUP BY day) k
   ON a.day = k.day""")
+ORACLE["page_walk_ends"] = _q(["change_pages"], f"""
+SELECT d.day, coalesce(k.pages_kept, 0) AS pages_kept,
+       CASE WHEN coalesce(k.pages_kept, 0) > 0
+                 AND lp.page >= least(coalesce(lp.total_pages, 1), 500) THEN 'last_page'
+            WHEN np.page IS NOT NULL AND np.status <> 200 THEN 'failed_page'
+            ELSE 'missing_page' END AS ended
+FROM (SELECT DISTINCT day FROM change_pages WHERE page >= 1) d
+LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, 500)}) GROUP BY day) k
+  ON k.day = d.day
+LEFT JOIN change_pages lp ON lp.day = d.day AND lp.page = coalesce(k.pages_kept, 0)
+LEFT JOIN change_pages np ON np.day = d.day AND np.page = coalesce(k.pages_kept, 0) + 1""")
 ORACLE["project_fields"] = _q(["discover_tv_records"], f"SELECT {TV_OUT} FROM discover_tv_records")
 ORACLE["lookback_days"] = """
 SELECT event_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day FROM events

@@ -25,7 +25,9 @@ from reelyard.operators.ingest import (
     flatten_pages,
     lookback_days,
     reshape_details,
+    stored_page_cuts,
     typed_details,
+    walk_ends,
 )
 from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
@@ -58,10 +60,16 @@ def _observed(df: DataFrame, name: str, columns: list[str] | None = None
 
 # ---------------------------------------------------------------- P1 / P2
 
-def backfill_records(landed_pages: DataFrame, spec: MediaSpec) -> DataFrame:
+def _ends(cuts: tuple[DataFrame, int]) -> dict:
+    """Days per walk end, from the stored cut table (at most four rows)."""
+    return {r["ended"]: r["days"] for r in walk_ends(cuts[0]).collect()}
+
+
+def backfill_records(landed_pages: DataFrame, spec: MediaSpec,
+                     cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Landed discover pages -> typed catalogue records tagged by decade."""
-    pages = contiguous_pages(typed_pages(landed_pages, spec.schema, spec.record_missing_empty))
-    records = flatten_pages(pages, keep=("day",))
+    typed = typed_pages(landed_pages, spec.schema, spec.record_missing_empty)
+    records = flatten_pages(contiguous_pages(typed, cuts=cuts), keep=("day",))
     return backfill_slices(records, "day").select(*spec.columns, "decade")
 
 
@@ -70,11 +78,15 @@ def backfill(landed_pages: DataFrame, spec: MediaSpec, bronze_root: str,
     """P1 (movies) / P2 (TV): one job writes every decade slice.
 
     Dynamic partition overwrite replaces only the decades present in this
-    run, so a rerun of one decade leaves the others untouched.
+    run, so a rerun of one decade leaves the others untouched.  The report
+    counts days by how their page walk ended, so days cut short by a failed
+    or missing page are visible (the reference keeps them silently).
     """
     path = f"{bronze_root.rstrip('/')}/{dataset or spec.bronze_prefix + 'backfill'}"
-    rows = sink_bronze(backfill_records(landed_pages, spec), path, partition_by=("decade",))
-    return RunReport(rows_written=rows, metrics={"path": path})
+    typed = typed_pages(landed_pages, spec.schema, spec.record_missing_empty)
+    cuts = stored_page_cuts(typed, True, None)
+    rows = sink_bronze(backfill_records(landed_pages, spec, cuts), path, partition_by=("decade",))
+    return RunReport(rows_written=rows, metrics={"path": path, "days_by_end": _ends(cuts)})
 
 
 # ---------------------------------------------------------------- P3 / P4
@@ -142,22 +154,30 @@ def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_
 
 def changed_records(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,
                     today: str | Column, days: int, cap: int = CHANGE_PAGE_CAP,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Look-back days -> change-list walk -> distinct ids -> details -> rows."""
-    window = lookback_days(change_pages, "day", days, today)
-    pages = changed_pages(typed_pages(window, CHANGE_ITEM), cap, broadcast_rows)
+    pages = changed_pages(_change_window(change_pages, today, days), cap, broadcast_rows, cuts)
     ids = distinct_ids(flatten_pages(pages, keep=()))
     fetched = enrich_details(ids, details, "id", broadcast_rows)
     return reshape_details(typed_details(fetched, spec), spec)
 
 
+def _change_window(change_pages: DataFrame, today: str | Column, days: int) -> DataFrame:
+    return typed_pages(lookback_days(change_pages, "day", days, today), CHANGE_ITEM)
+
+
 def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,
                     today: str | Column, days: int, changes_path: str,
                     cap: int = CHANGE_PAGE_CAP) -> RunReport:
-    """P5: write the change set, or leave the previous one when there is none."""
-    rows = sink_if_nonempty(changed_records(change_pages, details, spec, today, days, cap),
-                            changes_path)
-    return RunReport(rows_written=rows, metrics={"path": changes_path})
+    """P5: write the change set, or leave the previous one when there is none.
+
+    The report counts look-back days by how their change-list walk ended.
+    """
+    cuts = stored_page_cuts(_change_window(change_pages, today, days), False, cap)
+    records = changed_records(change_pages, details, spec, today, days, cap, cuts=cuts)
+    rows = sink_if_nonempty(records, changes_path)
+    return RunReport(rows_written=rows, metrics={"path": changes_path, "days_by_end": _ends(cuts)})
 
 
 # ---------------------------------------------------------------------- P6

@@ -138,6 +138,11 @@ def q_changed_pages(spark, sf):
     return _page_view(I.changed_pages(_typed_change_pages(spark, sf)))
 
 
+def q_page_walk_ends(spark, sf):
+    cuts = I.page_cuts(_typed_change_pages(spark, sf), False, 500)
+    return cuts.select("day", (F.col("cut") - 1).cast("long").alias("pages_kept"), "ended")
+
+
 def q_page_completeness(spark, sf):
     pages = _typed_change_pages(spark, sf)
     return I.page_completeness(pages, I.changed_pages(pages))

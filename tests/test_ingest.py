@@ -195,3 +195,17 @@ def test_lookback_on_timestamps_and_dates(spark):
     df = spark.createDataFrame([(t, t.date()) for t in ts], "ts timestamp, d date")
     assert sorted(r.ts.day for r in I.lookback_days(df, "ts", 3, "2024-01-10").collect()) == [7, 9]
     assert sorted(r.d.day for r in I.lookback_days(df, "d", 3, dt.date(2024, 1, 10)).collect()) == [7, 9]
+
+
+def test_walk_ends_say_why_each_day_stopped(spark):
+    rows = [("a", 1, 200, 2, 1), ("a", 2, 200, 2, 1), ("a", 3, 200, 2, 1),   # reported last page
+            ("b", 1, 200, 9, 1), ("b", 2, 500, None, None),                   # failed page
+            ("c", 1, 200, 9, 1), ("c", 2, 200, 9, 0),                         # empty page
+            ("d", 1, 200, 9, 1), ("d", 3, 200, 9, 1),                         # page 2 never landed
+            ("e", 2, 200, 9, 1)]                                              # page 1 never landed
+    pages = typed_pages(landed(spark, rows), MOVIE.schema)
+    got = {r.day: (r.cut, r.ended) for r in I.page_cuts(pages, True, None).collect()}
+    assert got == {"a": (3, "last_page"), "b": (2, "failed_page"), "c": (2, "empty_page"),
+                   "d": (2, "missing_page"), "e": (1, "missing_page")}
+    ends = {r.ended: r.days for r in I.walk_ends(I.page_cuts(pages, True, None)).collect()}
+    assert ends == {"last_page": 1, "failed_page": 1, "empty_page": 1, "missing_page": 2}

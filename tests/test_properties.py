@@ -11,7 +11,7 @@ from reelyard.operators import ingest as I
 from reelyard.operators import merge as J
 from reelyard.schemas import CHANGE_ITEM, MOVIE, MOVIE_SCHEMA
 from reelyard.sources.records import typed_pages
-from tests.test_walk_bruteforce import walk
+from tests.test_walk_bruteforce import walk, walk_reasons
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -42,8 +42,11 @@ def landed_rows(ds):
 def test_walk_equals_sequential_walk(spark, ds, cap, stop_on_empty):
     rows = landed_rows(ds)
     df = spark.createDataFrame(rows, "day string, page int, status int, body string")
-    got = I.walk_pages(typed_pages(df, CHANGE_ITEM), stop_on_empty, cap)
+    typed = typed_pages(df, CHANGE_ITEM)
+    got = I.walk_pages(typed, stop_on_empty, cap)
     assert {(r.day, r.page) for r in got.collect()} == walk(rows, stop_on_empty, cap)
+    ends = {r.day: r.ended for r in I.page_cuts(typed, stop_on_empty, cap).collect()}
+    assert ends == walk_reasons(rows, stop_on_empty, cap)
 
 
 movie = st.tuples(st.integers(0, 30), st.sampled_from(["a", "b", "c", None]),

@@ -57,3 +57,41 @@ def test_change_walk_equals_sequential_walk(spark):
     for cap in (500, 20):
         got = spark_walk(I.changed_pages(typed_pages(landed, CHANGE_ITEM), cap))
         assert got == walk(rows, stop_on_empty=False, cap=cap)
+
+
+def walk_reasons(pages, stop_on_empty, cap):
+    """Why the sequential walk of each day stopped."""
+    by_day = defaultdict(dict)
+    for day, page, status, body in pages:
+        by_day[day][page] = (status, body)
+    out = {}
+    for day, got in by_day.items():
+        if not any(p >= 1 for p in got):
+            continue
+        page, last, reason = 1, 1, None
+        while reason is None:
+            if page > last:
+                reason = "last_page"
+            elif page not in got:
+                reason = "missing_page"
+            elif got[page][0] != 200:
+                reason = "failed_page"
+            else:
+                data = json.loads(got[page][1])
+                if stop_on_empty and not data.get("results"):
+                    reason = "empty_page"
+                else:
+                    last = data.get("total_pages") or 1
+                    if cap is not None:
+                        last = min(last, cap)
+                    page += 1
+        out[day] = reason
+    return out
+
+
+def test_walk_ends_equal_sequential_walk(spark):
+    for landed, record, stop, cap in ((fx.discover_movie_pages(spark, SMOKE), MOVIE.schema, True, None),
+                                      (fx.change_pages(spark, SMOKE), CHANGE_ITEM, False, 500)):
+        rows = [tuple(r) for r in landed.collect()]
+        got = {r.day: r.ended for r in I.page_cuts(typed_pages(landed, record), stop, cap).collect()}
+        assert got == walk_reasons(rows, stop, cap)

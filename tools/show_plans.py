@@ -45,7 +45,7 @@ def main() -> None:
 
     pages = typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM)
     print("### change-list walk (I4): per-day cut table\n")
-    I._page_cuts(pages, False, 500).explain()
+    I.page_cuts(pages, False, 500).explain()
     print("### change-list walk (I4): pages filtered by the broadcast cuts\n")
     I.changed_pages(pages).explain()
     spark.stop()
