@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--landed", required=True)
     p.add_argument("--bronze", required=True)
     p.add_argument("--dataset", default=None)
+    p.add_argument("--years", type=int, nargs=2, default=None, metavar=("FIRST", "LAST"),
+                   help="report calendar days of this range with no landed page")
 
     p = cmd("silver")
     p.add_argument("--bronze", required=True)
@@ -89,7 +91,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         return out
     spec = SPECS[args.media]
     if args.cmd == "backfill":
-        rep = P.backfill(spark.read.parquet(args.landed), spec, args.bronze, args.dataset)
+        rep = P.backfill(spark.read.parquet(args.landed), spec, args.bronze, args.dataset,
+                         tuple(args.years) if args.years else None)
     elif args.cmd == "silver":
         rep = P.build_silver(spark, args.bronze, spec, args.silver, args.files)
     elif args.cmd == "collect":

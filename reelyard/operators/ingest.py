@@ -140,6 +140,15 @@ def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
             .drop("cut"))
 
 
+def days_not_landed(calendar: DataFrame, landed_days: DataFrame) -> DataFrame:
+    """Calendar days with no landed page at all (never fetched).
+
+    Both sides hold one row per day (bounded by the calendar), so the anti
+    join is small whatever the page volume.
+    """
+    return calendar.join(landed_days.select("day").distinct(), "day", "left_anti")
+
+
 def walk_ends(cuts: DataFrame) -> DataFrame:
     """Days per walk end (``ended, days``): how many days stopped early."""
     return cuts.groupBy("ended").agg(F.count(F.lit(1)).alias("days"))

@@ -143,6 +143,12 @@ SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS day
 FROM (SELECT unnest(generate_series(make_date(CAST(year(min(o_orderdate)) AS BIGINT), 1, 1),
                                     make_date(CAST(year(max(o_orderdate)) AS BIGINT), 12, 31),
                                     INTERVAL 1 DAY)) AS d FROM orders)"""
+ORACLE["calendar_gaps"] = _q(["discover_pages"], """
+SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS day
+FROM (SELECT unnest(generate_series(make_date(year(min(CAST(day AS DATE))), 1, 1),
+                                    make_date(year(max(CAST(day AS DATE))), 12, 31),
+                                    INTERVAL 1 DAY)) AS d FROM discover_pages)
+WHERE strftime(CAST(d AS DATE), '%Y-%m-%d') NOT IN (SELECT day FROM discover_pages)""")
 ORACLE["flatten_pages"] = _q(["discover_movie_records"], f"SELECT day, page, {MOVIE_OUT} "
                                                          "FROM discover_movie_records")
 ORACLE["contiguous_pages"] = _q(["discover_pages"], f"""

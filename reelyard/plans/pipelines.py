@@ -18,8 +18,10 @@ from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS
 from reelyard.operators.clean import clean, dedupe_by_id, dedupe_split, duplicated_keys
 from reelyard.operators.ingest import (
     backfill_slices,
+    calendar_for_years,
     changed_pages,
     contiguous_pages,
+    days_not_landed,
     distinct_ids,
     enrich_details,
     flatten_pages,
@@ -74,19 +76,25 @@ def backfill_records(landed_pages: DataFrame, spec: MediaSpec,
 
 
 def backfill(landed_pages: DataFrame, spec: MediaSpec, bronze_root: str,
-             dataset: str | None = None) -> RunReport:
+             dataset: str | None = None, years: tuple[int, int] | None = None) -> RunReport:
     """P1 (movies) / P2 (TV): one job writes every decade slice.
 
     Dynamic partition overwrite replaces only the decades present in this
     run, so a rerun of one decade leaves the others untouched.  The report
     counts days by how their page walk ended, so days cut short by a failed
-    or missing page are visible (the reference keeps them silently).
+    or missing page are visible (the reference keeps them silently).  With
+    ``years`` it also counts the calendar days of that range with no landed
+    page at all.
     """
     path = f"{bronze_root.rstrip('/')}/{dataset or spec.bronze_prefix + 'backfill'}"
     typed = typed_pages(landed_pages, spec.schema, spec.record_missing_empty)
     cuts = stored_page_cuts(typed, True, None)
     rows = sink_bronze(backfill_records(landed_pages, spec, cuts), path, partition_by=("decade",))
-    return RunReport(rows_written=rows, metrics={"path": path, "days_by_end": _ends(cuts)})
+    metrics = {"path": path, "days_by_end": _ends(cuts)}
+    if years is not None:
+        calendar = calendar_for_years(landed_pages.sparkSession, *years)
+        metrics["days_not_landed"] = days_not_landed(calendar, cuts[0]).count()
+    return RunReport(rows_written=rows, metrics=metrics)
 
 
 # ---------------------------------------------------------------- P3 / P4

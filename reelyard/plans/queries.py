@@ -143,6 +143,14 @@ def q_page_walk_ends(spark, sf):
     return cuts.select("day", (F.col("cut") - 1).cast("long").alias("pages_kept"), "ended")
 
 
+def q_calendar_gaps(spark, sf):
+    """Days of the landed years with no landed discover page."""
+    landed = fx.discover_movie_pages(spark, sf)
+    years = landed.agg(F.year(F.min(F.to_date("day"))).alias("start_year"),
+                       F.year(F.max(F.to_date("day"))).alias("end_year"))
+    return I.days_not_landed(I.calendar_days(years), landed)
+
+
 def q_page_completeness(spark, sf):
     pages = _typed_change_pages(spark, sf)
     return I.page_completeness(pages, I.changed_pages(pages))

@@ -198,3 +198,18 @@ def test_merge_with_empty_inputs_reports_metrics(spark, scratch):
     movies(spark, []).write.parquet(empty)
     m = P.apply_changes_run(spark, silver, empty, MOVIE).metrics
     assert (m["original_rows"], m["change_rows"], m["updated_rows"]) == (2, 0, 2)
+
+
+def test_backfill_reports_walk_ends_and_days_not_landed(spark, scratch):
+    import json as _json
+
+    def page(day, n, total):
+        return (day, n, 200, _json.dumps({"page": n, "total_pages": total,
+                                           "results": [{"id": n, "title": "t"}]}))
+    landed = spark.createDataFrame(
+        [page("2020-01-01", 1, 1), page("2020-01-02", 1, 5), ("2020-01-02", 2, 500, "{}")],
+        "day string, page int, status int, body string")
+    rep = P.backfill(landed, MOVIE, scratch("bronze"), years=(2020, 2020))
+    assert rep.rows_written == 2
+    assert rep.metrics["days_by_end"] == {"last_page": 1, "failed_page": 1}
+    assert rep.metrics["days_not_landed"] == 366 - 2
