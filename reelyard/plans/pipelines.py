@@ -25,6 +25,7 @@ from reelyard.operators.ingest import (
     distinct_ids,
     enrich_details,
     flatten_pages,
+    lookback_calendar,
     lookback_days,
     reshape_details,
     stored_page_cuts,
@@ -180,12 +181,17 @@ def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec
                     cap: int = CHANGE_PAGE_CAP) -> RunReport:
     """P5: write the change set, or leave the previous one when there is none.
 
-    The report counts look-back days by how their change-list walk ended.
+    The report counts look-back days by how their change-list walk ended and,
+    for a literal ``today``, the look-back days with no landed page at all.
     """
     cuts = stored_page_cuts(_change_window(change_pages, today, days), False, cap)
     records = changed_records(change_pages, details, spec, today, days, cap, cuts=cuts)
     rows = sink_if_nonempty(records, changes_path)
-    return RunReport(rows_written=rows, metrics={"path": changes_path, "days_by_end": _ends(cuts)})
+    metrics = {"path": changes_path, "days_by_end": _ends(cuts)}
+    if isinstance(today, str):
+        calendar = lookback_calendar(change_pages.sparkSession, days, today)
+        metrics["days_not_landed"] = days_not_landed(calendar, cuts[0]).count()
+    return RunReport(rows_written=rows, metrics=metrics)
 
 
 # ---------------------------------------------------------------------- P6

@@ -39,6 +39,8 @@ def _cycle(spark, scratch):
     out = main(["collect", "--media", "movie", "--change-pages", change_pages, "--details", details,
                 "--today", today.isoformat(), "--days", "3", "--changes", changes], spark)
     assert out["rows_written"] > 0
+    assert sum(out["metrics"]["days_by_end"].values()) == 3
+    assert out["metrics"]["days_not_landed"] == 0
 
     out = main(["apply", "--media", "movie", "--silver", silver, "--changes", changes], spark)
     assert out["version"] == 2
