@@ -274,7 +274,7 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
         for batch in batches:
             rows = list(fetch([int(i) for i in batch[key]]))
             yield pd.DataFrame(rows, columns=["id", "status", "body"]).astype(
-                {"id": "int32", "status": "int32"})
+                {"id": "Int32", "status": "Int32"})  # nullable: a client may not know either
 
     return ids.select(key).repartition(partitions).mapInPandas(run, LANDED_DETAIL_DDL)
 

@@ -209,3 +209,15 @@ def test_walk_ends_say_why_each_day_stopped(spark):
                    "d": (2, "missing_page"), "e": (1, "missing_page")}
     ends = {r.ended: r.days for r in I.walk_ends(I.page_cuts(pages, True, None)).collect()}
     assert ends == {"last_page": 1, "failed_page": 1, "empty_page": 1, "missing_page": 2}
+
+
+def test_fetch_details_tolerates_missing_status(spark):
+    def client(ids):
+        for i in ids:
+            yield i, (None if i == 2 else 200), json.dumps({"id": i, "title": "t"})
+
+    ids = spark.range(1, 4).selectExpr("CAST(id AS INT) AS id")
+    got = sorted((r.id, r.status) for r in I.fetch_details(ids, client, partitions=2).collect())
+    assert got == [(1, 200), (2, None), (3, 200)]
+    kept = I.enrich_details(ids, I.fetch_details(ids, client, partitions=2))
+    assert sorted(r.id for r in kept.collect()) == [1, 3]
