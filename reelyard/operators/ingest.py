@@ -265,14 +265,24 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
     ``partitions`` tasks and handed to it in Arrow batches through
     ``mapInPandas``; the result has the landing-table shape that
     ``enrich_details`` and ``reshape_details`` read, so failures stay visible
-    as statuses instead of being dropped on the way.  Nothing is collected to
-    the driver.
+    as statuses instead of being dropped on the way.  If the client raises for
+    a batch, its ids are retried one by one and an id that still raises lands
+    with a null status (dropped by ``enrich_details``), as one failed lookup
+    drops only that id.  Nothing is collected to the driver.
     """
     import pandas as pd
 
+    def lookup(ids: list[int]) -> list:
+        try:
+            return list(fetch(ids))
+        except Exception:  # noqa: BLE001 - a client error is one failed lookup
+            if len(ids) == 1:
+                return [(ids[0], None, None)]
+            return [row for i in ids for row in lookup([i])]
+
     def run(batches):
         for batch in batches:
-            rows = list(fetch([int(i) for i in batch[key]]))
+            rows = lookup([int(i) for i in batch[key]])
             yield pd.DataFrame(rows, columns=["id", "status", "body"]).astype(
                 {"id": "Int32", "status": "Int32"})  # nullable: a client may not know either
 

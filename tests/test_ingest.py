@@ -221,3 +221,16 @@ def test_fetch_details_tolerates_missing_status(spark):
     assert got == [(1, 200), (2, None), (3, 200)]
     kept = I.enrich_details(ids, I.fetch_details(ids, client, partitions=2))
     assert sorted(r.id for r in kept.collect()) == [1, 3]
+
+
+def test_fetch_details_isolates_a_failing_id(spark):
+    def client(ids):
+        if 5 in ids:
+            raise ConnectionError("reset by peer")
+        return [(i, 200, json.dumps({"id": i, "title": "t"})) for i in ids]
+
+    ids = spark.range(1, 9).selectExpr("CAST(id AS INT) AS id")
+    landed = I.fetch_details(ids, client, partitions=2)
+    assert sorted((r.id, r.status) for r in landed.collect()) == \
+        [(i, None if i == 5 else 200) for i in range(1, 9)]
+    assert sorted(r.id for r in I.enrich_details(ids, landed).collect()) == [1, 2, 3, 4, 6, 7, 8]
