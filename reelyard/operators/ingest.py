@@ -266,7 +266,7 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
     ``mapInPandas``; the result has the landing-table shape that
     ``enrich_details`` and ``reshape_details`` read, so failures stay visible
     as statuses instead of being dropped on the way.  If the client raises for
-    a batch, its ids are retried one by one and an id that still raises lands
+    a batch, the batch is bisected and retried, and an id that still raises lands
     with a null status (dropped by ``enrich_details``), as one failed lookup
     drops only that id.  Nothing is collected to the driver.
     """
@@ -278,7 +278,8 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
         except Exception:  # noqa: BLE001 - a client error is one failed lookup
             if len(ids) == 1:
                 return [(ids[0], None, None)]
-            return [row for i in ids for row in lookup([i])]
+            half = len(ids) // 2  # bisect: a few bad ids cost O(log n) extra calls
+            return lookup(ids[:half]) + lookup(ids[half:])
 
     def run(batches):
         for batch in batches:
