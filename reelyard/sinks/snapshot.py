@@ -2,27 +2,31 @@
 
 The reference reads silver, caches it and overwrites the same path; without
 the cache (or after losing an executor that held it) the job deletes its own
-input.  Here every replacement writes a new version directory next to the old
-ones, verifies it, and only then appends a commit record:
+input, and two schedules writing the same path can interleave.  Here every
+replacement writes a new directory of its own, verifies it, and only then
+appends a commit record:
 
-    <path>/version=00000001/part-*.parquet
-    <path>/version=00000002/part-*.parquet
-    <path>/_commits/part-*.json      one record per committed version
+    <path>/version=00000002/attempt=<id>/part-*.parquet
+    <path>/_commits/part-*.json      one record per commit
 
 Readers take the highest committed version, so a failed or half-written
-version is never visible and the previous one stays readable.  A writer that
-finds the committed version moved since it read its base refuses to commit
-(one writer per snapshot).
+version is never visible and the previous one stays readable.  Concurrency is
+optimistic and needs no atomic rename: a writer refuses to start or commit if
+the committed version moved away from its base, and if two writers still race
+to the same version, the earliest commit record wins (ties by attempt id).
+Every writer re-reads the log after committing and raises if it lost, so the
+losing data is never read.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from reelyard.sinks.write import BLOCK_SIZE, sink_silver
 
@@ -32,6 +36,7 @@ COMMIT_SCHEMA = StructType([
     StructField("base_version", LongType(), True),
     StructField("committed_at", TimestampType(), True),
     StructField("stream_batch", LongType(), True),
+    StructField("attempt", StringType(), True),
 ])
 
 
@@ -44,9 +49,14 @@ class SnapshotVerificationError(RuntimeError):
 
 
 def version_path(path: str, version: int) -> str:
+    """Directory of all attempts at one version."""
     return f"{path.rstrip('/')}/version={version:08d}"
 
 
+def attempt_path(path: str, version: int, attempt: str) -> str:
+    return f"{version_path(path, version)}/attempt={attempt}"
+
+
 def _commits(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema(COMMIT_SCHEMA).json(f"{path.rstrip('/')}/_commits")
@@ -54,6 +64,14 @@ def _commits(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _winners(log: DataFrame) -> DataFrame:
+    """One commit record per version: the earliest (then smallest attempt)."""
+    record = F.struct(*[F.col(c) for c in log.columns])
+    return (log.groupBy("version")
+            .agg(F.min_by(record, F.struct("committed_at", "attempt")).alias("_w"))
+            .select("_w.*"))
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version, or None for a dataset never written."""
     log = _commits(spark, path)
@@ -63,12 +81,24 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None if v is None else int(v)
 
 
+def _winning_attempt(spark: SparkSession, path: str, version: int) -> str | None:
+    log = _commits(spark, path)
+    if log is None:
+        return None
+    row = log.where(F.col("version") == version).agg(
+        F.min(F.struct("committed_at", "attempt")).alias("w")).first()
+    return None if row is None or row["w"] is None else row["w"]["attempt"]
+
+
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The committed version (default: current) as a DataFrame."""
     v = current_version(spark, path) if version is None else version
     if v is None:
         raise FileNotFoundError(f"no committed snapshot at {path}")
-    return spark.read.parquet(version_path(path, v))
+    attempt = _winning_attempt(spark, path, v)
+    if attempt is None:
+        raise FileNotFoundError(f"version {v} of {path} was never committed")
+    return spark.read.parquet(attempt_path(path, v, attempt))
 
 
 def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
@@ -85,7 +115,8 @@ def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
     latest = current_version(spark, path)
     if latest is not None and latest >= new:
         raise SnapshotConflict(f"{path}: version {latest} exists, base was {base_version}")
-    target = version_path(path, new)
+    attempt = uuid.uuid4().hex
+    target = attempt_path(path, new, attempt)
     rows = sink_silver(df, target, files, block_size)
     written = spark.read.parquet(target).count()
     if written != rows:
@@ -94,16 +125,18 @@ def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
         raise SnapshotConflict(f"{path}: committed version moved away from {base_version}")
     record = spark.createDataFrame(
         [(new, rows, base_version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-          stream_batch)],
+          stream_batch, attempt)],
         COMMIT_SCHEMA)
     record.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/_commits")
+    if _winning_attempt(spark, path, new) != attempt:
+        raise SnapshotConflict(f"{path}: another writer committed version {new} first")
     return new, rows
 
 
 def batch_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
-    """Whether a micro-batch already produced a committed version."""
+    """Whether a micro-batch already produced a winning commit."""
     log = _commits(spark, path)
-    return log is not None and not log.where(F.col("stream_batch") == batch_id).isEmpty()
+    return log is not None and not _winners(log).where(F.col("stream_batch") == batch_id).isEmpty()
 
 
 def vacuum_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
@@ -137,8 +170,8 @@ def vacuum_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
-    """All commit records, oldest first."""
+    """The winning commit record of every version, oldest first."""
     log = _commits(spark, path)
     if log is None:
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return log.orderBy("version")
+    return _winners(log).orderBy("version")

@@ -32,7 +32,7 @@ def test_snapshot_versions_and_history(spark, scratch):
     assert [r.version for r in S.snapshot_history(spark, path).collect()] == [1, 2]
 
 
-def test_stale_base_is_refused(spark, scratch):
+def test_stale_base_is_refused(spark, scratch):  # noqa: D103
     path = scratch("snap")
     S.write_snapshot(movies(spark, ROWS), path, None)
     S.write_snapshot(movies(spark, ROWS), path, 1)
@@ -213,3 +213,29 @@ def test_backfill_reports_walk_ends_and_days_not_landed(spark, scratch):
     assert rep.rows_written == 2
     assert rep.metrics["days_by_end"] == {"last_page": 1, "failed_page": 1}
     assert rep.metrics["days_not_landed"] == 366 - 2
+
+
+def test_racing_writers_one_wins(spark, scratch):
+    import threading
+
+    path = scratch("snap")
+    S.write_snapshot(movies(spark, ROWS), path, None)
+    results = {}
+
+    def writer(name, title):
+        df = movies(spark, [(9, title, None, None, None, None)])
+        try:
+            results[name] = S.write_snapshot(df, path, 1)
+        except S.SnapshotConflict as e:
+            results[name] = e
+
+    threads = [threading.Thread(target=writer, args=(n, n)) for n in ("w1", "w2")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    won = [n for n, r in results.items() if not isinstance(r, Exception)]
+    assert len(won) == 1, results
+    assert S.current_version(spark, path) == 2
+    assert [r.title for r in S.read_snapshot(spark, path).collect()] == won
+    assert [r.version for r in S.snapshot_history(spark, path).collect()] == [1, 2]

@@ -88,7 +88,7 @@ def main() -> None:
                     totals[group]["shuffle_write_bytes"] += \
                         (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
                     totals[group]["tasks"] += 1
-    silver_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{snap}/version=00000001/*.parquet"))
+    silver_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{snap}/version=00000001/*/*.parquet"))
     change_bytes = sum(os.path.getsize(f) for f in glob.glob(f"{changes}/*.parquet"))
     print(json.dumps({"silver_file_bytes": silver_bytes, "change_file_bytes": change_bytes,
                       "pipelines": {k: dict(v) for k, v in totals.items()}}, indent=1))
