@@ -7,8 +7,8 @@ import json
 from pyspark.sql import functions as F
 
 from reelyard.operators import ingest as I
-from reelyard.schemas import CHANGE_ITEM, MOVIE, MOVIE_DETAIL_SCHEMA, TV
-from reelyard.sources.records import typed_pages, typed_records
+from reelyard.schemas import CHANGE_ITEM, MOVIE, TV
+from reelyard.sources.records import typed_pages
 from tests.conftest import plan_text
 
 
