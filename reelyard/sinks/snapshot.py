@@ -81,24 +81,27 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None if v is None else int(v)
 
 
-def _winning_attempt(spark: SparkSession, path: str, version: int) -> str | None:
+def _winner(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
+    """``(version, attempt)`` of the winning commit of ``version`` (default: the
+    highest committed version): the earliest record, ties by attempt id.  One
+    read of the log (a top-1, not a sort)."""
     log = _commits(spark, path)
     if log is None:
         return None
-    row = log.where(F.col("version") == version).agg(
-        F.min(F.struct("committed_at", "attempt")).alias("w")).first()
-    return None if row is None or row["w"] is None else row["w"]["attempt"]
+    if version is not None:
+        log = log.where(F.col("version") == version)
+    row = log.orderBy(F.col("version").desc(), "committed_at", "attempt") \
+        .select("version", "attempt").first()
+    return None if row is None else (int(row["version"]), row["attempt"])
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The committed version (default: current) as a DataFrame."""
-    v = current_version(spark, path) if version is None else version
-    if v is None:
-        raise FileNotFoundError(f"no committed snapshot at {path}")
-    attempt = _winning_attempt(spark, path, v)
-    if attempt is None:
-        raise FileNotFoundError(f"version {v} of {path} was never committed")
-    return spark.read.parquet(attempt_path(path, v, attempt))
+    won = _winner(spark, path, version)
+    if won is None:
+        what = "snapshot" if version is None else f"version {version}"
+        raise FileNotFoundError(f"no committed {what} at {path}")
+    return spark.read.parquet(attempt_path(path, *won))
 
 
 def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
@@ -128,7 +131,7 @@ def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
           stream_batch, attempt)],
         COMMIT_SCHEMA)
     record.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/_commits")
-    if _winning_attempt(spark, path, new) != attempt:
+    if _winner(spark, path, new) != (new, attempt):
         raise SnapshotConflict(f"{path}: another writer committed version {new} first")
     return new, rows
 
