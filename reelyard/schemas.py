@@ -31,6 +31,8 @@ CHANGE_PAGE_CAP = 500
 MOVIE_LOOKBACK_DAYS = 3
 TV_LOOKBACK_DAYS = 10
 
+# The field names, types and order of the two catalogue schemas,
+# and the column order of silver TV shows, as the reference's datasets have them.
 MOVIE_SCHEMA = StructType([
     StructField("id", IntegerType(), True),
     StructField("title", StringType(), True),
@@ -53,7 +55,7 @@ TV_SCHEMA = StructType([
 ])
 
 # Silver TV keeps the column order the clean step produces: both name columns
-# are rebuilt and therefore move to the end.
+# are rebuilt and therefore move to the end (fixed value, see above).
 TV_SILVER_ORDER = [
     "genre_ids", "id", "origin_country", "original_language", "overview",
     "first_air_date", "vote_average", "name", "original_name",
