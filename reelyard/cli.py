@@ -51,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--files", type=int, default=None)
+    p.add_argument("--strategy", choices=["auto", "split", "aggregate"], default="auto",
+                   help="de-duplication: split shuffles only repeated ids (large inputs)")
 
     p = cmd("collect")
     p.add_argument("--change-pages", required=True)
@@ -94,7 +96,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         rep = P.backfill(spark.read.parquet(args.landed), spec, args.bronze, args.dataset,
                          tuple(args.years) if args.years else None)
     elif args.cmd == "silver":
-        rep = P.build_silver(spark, args.bronze, spec, args.silver, args.files)
+        rep = P.build_silver(spark, args.bronze, spec, args.silver, args.files,
+                             strategy=args.strategy)
     elif args.cmd == "collect":
         rep = P.collect_changes(spark.read.parquet(args.change_pages),
                                 spark.read.parquet(args.details), spec,

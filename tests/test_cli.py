@@ -31,8 +31,8 @@ def _cycle(spark, scratch):
     assert out["rows_written"] > 0
 
     out = main(["--input-bytes", "1000000", "silver", "--media", "movie",
-                "--bronze", bronze, "--silver", silver], spark)
-    assert out["version"] == 1
+                "--bronze", bronze, "--silver", silver, "--strategy", "split"], spark)
+    assert out["version"] == 1 and out["metrics"]["strategy"] == "split"
     assert all(v == 0 for v in out["metrics"]["silver_nulls"].values())
 
     today = fx.change_pages(spark, SMOKE).agg(F.date_add(F.max(F.to_date("day")), 1)).first()[0]
