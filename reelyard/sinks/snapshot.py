@@ -11,9 +11,9 @@ appends a commit record:
 
 Readers take the highest committed version, so a failed or half-written
 version is never visible and the previous one stays readable.  Concurrency is
-optimistic and needs no atomic rename: a writer refuses to start or commit if
-the committed version moved away from its base, and if two writers still race
-to the same version, the earliest commit record wins (ties by attempt id).
+optimistic and needs no atomic rename: a writer refuses to start if the
+committed version already moved past its base, and if two writers race to the
+same version, the earliest commit record wins (ties by attempt id).
 Every writer re-reads the log after committing and raises if it lost, so the
 losing data is never read.
 """
