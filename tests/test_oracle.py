@@ -48,11 +48,21 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SMOKE)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    rel = duck.execute(E.oracle_sql()[key])
+    sql = E.oracle_sql()[key]
+    described = duck.sql(sql)
+    d_types = {c: str(t) for c, t in zip(described.columns, described.types)}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == d_types
+    rel = duck.execute(sql)
     d_cols = [c[0] for c in rel.description]
     d_rows = rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
