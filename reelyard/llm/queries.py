@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import quality
+from reelyard.llm import neardup, quality
 from reelyard.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_superminhash_neardup": op10_superminhash_neardup,
     "op7_quality_rules": op7_quality_rules,
 }
