@@ -1,3 +1,20 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+LINES = f"""
+WITH lines AS (
+    SELECT doc_id, pos, line, translate(trim(line, {_BLANK}), '{_UPPER}', '{_LOWER}') AS key
+    FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), often AS (
+    SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE often.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE often.key IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN often ON lines.key = often.key
+GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op6_bloom_line_dedup": LINES}
