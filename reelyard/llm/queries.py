@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import linededup, neardup, quality
+from reelyard.llm import decontaminate, linededup, neardup, quality
 from reelyard.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op6_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.report(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -25,6 +29,7 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
+    "op9_string_tiling": op9_string_tiling,
     "op10_superminhash_neardup": op10_superminhash_neardup,
     "op7_quality_rules": op7_quality_rules,
 }

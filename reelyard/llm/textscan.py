@@ -24,6 +24,8 @@ _FOLD[65:91] += 32
 _LOWER = _RAW[_FOLD]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes that end a word when punctuation does not count: all ASCII but letters and digits.
+PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(int(_R), -1, 2**64))
 _GRAM = _RNG.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,10 +95,10 @@ class Chunk:
         np.cumsum(flags, out=sums[1:])
         return np.diff(sums[self.offsets])
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and document of each word ``[^\\x20\\x09-\\x0D]+``; documents end words."""
+    def words(self, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and document of each word ``[^\\x20\\x09-\\x0D]+`` (or run outside ``between``); documents end words."""
         inside = np.zeros(len(self.data) + 2, dtype=bool)
-        np.logical_not(_SPACE[self.data], out=inside[1:-1])
+        np.logical_not(between[self.data], out=inside[1:-1])
         first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
         cut = self.offsets[1:-1]
         cut = cut[(cut > 0) & (cut < len(self.data))]
