@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import decontaminate, linededup, neardup, quality
+from reelyard.llm import bpe, decontaminate, linededup, neardup, quality
 from reelyard.llm.common import table
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe.digests(encoded, RANKS, public_tokenizers.PATTERN)
+
+
 def op6_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -28,6 +37,7 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
     "op9_string_tiling": op9_string_tiling,
     "op10_superminhash_neardup": op10_superminhash_neardup,
