@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelyard.llm import quality
+from reelyard.llm import bpe, decontaminate, linededup, neardup, quality
 from reelyard.llm.common import store, table
 
 
@@ -19,8 +21,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten or more of the remaining documents go from all of them; the documents stay."""
+    out = linededup.drop_repeated_lines(docs)
+    # n_chars describes the text, so it follows it.
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return neardup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the passages of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every remaining document."""
+    return bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("byte_bpe", byte_bpe),
 ]
 
 #: SQL cannot express the fitted quality verdict, so the run is tested against a brute-force version.
