@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, linededup, neardup, quality
+from reelyard.llm import bpe, decontaminate, linededup, neardup, quality, toxicity
 from reelyard.llm.common import table
 
 
+def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -37,6 +42,7 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
     "op9_string_tiling": op9_string_tiling,
