@@ -181,18 +181,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = store(reps.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "bands"))
 
     banded = reps.select("id", "n_shingles", F.explode("bands").alias("key"))
-    hubs = store(banded.groupBy("key").agg(F.min("id").alias("hub"), F.min_by("n_shingles", "id").alias("hub_size"), F.count(F.lit(1)).alias("members")).where("members > 1"))
-    rivals = banded.join(hubs, "key").where("id <> hub")
-    fits = f"100 * least(n_shingles, hub_size) >= {PERCENT} * greatest(n_shingles, hub_size)"
-    pairs = store(rivals.where(fits).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
+    hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = store(banded.join(hubs, "key"))  # only buckets of two or more
+    pairs = store(shared.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
 
-    needed = rivals.select("id").unionByName(hubs.select(F.col("hub").alias("id"))).distinct()
+    needed = shared.select("id").distinct()
     sets = store(map_arrow(texts.join(needed.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), _packed, "id long, grams binary"))
     both = pairs.join(sets.withColumnRenamed("id", "a"), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("hub_grams")), "b")
     links = store(map_arrow(both.select("a", "b", "grams", "hub_grams"), _confirm, "a long, b long"))
 
     found = components(links)
-    members = store(_with_component(banded.join(hubs.where("members > 2").select("key", "members"), "key"), found))
+    members = store(_with_component(shared.where("members > 2").drop("hub"), found))
     mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     spread = (
