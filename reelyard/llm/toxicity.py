@@ -5,9 +5,8 @@ interpolated Kneser-Ney model of order ``ORDER`` gives each byte's probability i
 both goes to one backoff distribution, made of the continuation counts of both classes together.  So an expression
 that neither class has seen gets the same probability from both and weighs nothing, and a rare one weighs little.
 
-The models compare as ``log p_toxic - log p_ordinary``.  A document gives three length-normalised values: the mean over
-its bytes, the largest mean over a word's bytes, and the largest word total against the logarithm of the word count
-(with more words, large values come by chance).  A logistic scale fitted on labelled documents that the models have
+The models compare as ``log p_toxic - log p_ordinary``.  A document gives two length-normalised values: the mean over its
+bytes, and the largest mean over the bytes of one word (totals would favour long words, such as random keys).  A logistic scale fitted on labelled documents that the models have
 not seen turns them into the score; empty texts get the value of "no evidence".
 
 The labelled rows used are a bounded sample (``LABELLED_ROWS``, smallest id hashes, never a held-out row), so the
@@ -88,8 +87,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _evidence(chunk: Chunk, model: ToxicityModel) -> np.ndarray:
-    """The three length-normalised values of each document."""
-    out = np.zeros((len(chunk), 3))
+    """The two length-normalised values of each document."""
+    out = np.zeros((len(chunk), 2))
     start, end, which, doc, span = _distinct_words(chunk)
     if not len(start):
         return out
@@ -100,10 +99,8 @@ def _evidence(chunk: Chunk, model: ToxicityModel) -> np.ndarray:
     size = (end - start).astype(float)
     at = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     own = doc[at]
-    n = np.add.reduceat(np.ones(len(doc)), at)
     out[own, 0] = np.add.reduceat(total[which], at) / np.add.reduceat(size[which], at)
     out[own, 1] = np.maximum.reduceat((total / (size + 1))[which], at)
-    out[own, 2] = np.maximum.reduceat(total[which], at) - 0.5 * np.log(n)
     return out
 
 
@@ -148,14 +145,13 @@ def _table(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps, classes weighted equally (last weight: intercept)."""
+    """Weights of a ridge logistic regression by Newton steps (last weight: intercept)."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
     w = np.zeros(x.shape[1])
-    ridge = np.diag([0.5, 0.5, 0.5, 1e-3])
+    ridge = np.diag([0.1, 0.1, 1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (share * p * (1 - p))) @ x + ridge, x.T @ (share * (y - p)) - ridge @ w)
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -169,9 +165,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Toxici
     part = F.pmod(F.xxhash64(F.lit("part"), "label_id"), F.lit(4))
     marked = store(_texts(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", F.col("toxic").cast("long").alias("toxic"), (part != 0).alias("train")))
     values, unseen = _ratios(map_arrow(marked.where("train").select("text", "toxic"), _count, GRAMS))
-    model = ToxicityModel(*_table(values), *_table(unseen), np.array([0.0, 0.0, 0.0, -30.0]))
+    model = ToxicityModel(*_table(values), *_table(unseen), np.array([0.0, 0.0, -30.0]))
     judged = _evidences(marked.where("NOT train").select("doc_id", "text", "toxic"), model).toPandas()
-    x, y = judged[["mean", "word", "peak"]].to_numpy(dtype=float), (judged["toxic"] == 1).to_numpy(dtype=float)
+    x, y = judged[["mean", "word"]].to_numpy(dtype=float), (judged["toxic"] == 1).to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():
         return model
     return ToxicityModel(model.grams, model.gram_values, model.contexts, model.context_values, _logistic(x, y))
@@ -182,27 +178,27 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _evidences(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``docs(doc_id, text, toxic)`` with the three values in place of the text."""
+    """``docs(doc_id, text, toxic)`` with the two values in place of the text."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.concatenate([np.zeros((0, 3)), *[_evidence(c, model) for c in text_chunks(batch.column("text"))]])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *map(pa.array, x.T.copy())], ["doc_id", "toxic", "mean", "word", "peak"])
+            x = np.concatenate([np.zeros((0, 2)), *[_evidence(c, model) for c in text_chunks(batch.column("text"))]])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *map(pa.array, x.T.copy())], ["doc_id", "toxic", "mean", "word"])
 
-    return map_arrow(docs, judge, "doc_id long, toxic long, mean double, word double, peak double")
+    return map_arrow(docs, judge, "doc_id long, toxic long, mean double, word double")
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` and the three values of every document."""
+    """``doc_id, held_out, score, predicted`` and the two values of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            x = np.concatenate([np.zeros((0, 3)), *[_evidence(c, model) for c in text_chunks(batch.column("text"))]])
+            x = np.concatenate([np.zeros((0, 2)), *[_evidence(c, model) for c in text_chunks(batch.column("text"))]])
             p = 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30)))
             p = np.where(model.weights[-1] == -30.0, 0.0, p)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), *map(pa.array, x.T.copy())], ["doc_id", "score", "mean", "word", "peak"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), *map(pa.array, x.T.copy())], ["doc_id", "score", "mean", "word"])
 
-    judged = map_arrow(_texts(docs), judge, "doc_id long, score double, mean double, word double, peak double")
-    return judged.select("doc_id", F.coalesce(crc_fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "mean", "word", "peak")
+    judged = map_arrow(_texts(docs), judge, "doc_id long, score double, mean double, word double")
+    return judged.select("doc_id", F.coalesce(crc_fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "mean", "word")
