@@ -15,7 +15,7 @@ import numpy as np
 from reelyard.llm.textscan import mix
 
 #: Elements whose permutation states are held at once.
-_BLOCK = 100_000
+_BLOCK = 50_000
 _STEP = 0x9E3779B97F4A7C15
 
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2_000_000
+CHUNK = 500_000
 _RNG = np.random.default_rng(20240229)
 _RAW = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
