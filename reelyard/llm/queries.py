@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, linededup, neardup, quality, toxicity
+from reelyard.llm import bpe, decontaminate, linededup, neardup, quality, suffixdedup, toxicity
 from reelyard.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded, RANKS, public_tokenizers.PATTERN)
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
     "op9_string_tiling": op9_string_tiling,
     "op10_superminhash_neardup": op10_superminhash_neardup,
