@@ -188,8 +188,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None =
     encoded = map_arrow(words, lambda batches: _encode_shards(batches, _vocabulary(ranks.value, pattern)), PARTS)
     both = parts.where(F.col("kind") == POSITIONS).unionByName(encoded)
     ordered = both.repartition(shards, "block").sortWithinPartitions("block", "kind", "shard")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return ordered.mapInArrow(_assemble, "doc_id long, ids array<int>")
+    return map_arrow(ordered, _assemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
