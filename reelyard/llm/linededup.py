@@ -179,7 +179,8 @@ def repeated_keys(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
 
     seen = store(map_arrow(rows, suspects, "line_row long, doc_id long, key binary"))
     often = seen.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where(F.col("n") >= min_docs)
-    return seen.join(often.select("key", "first_id"), "key")
+    # Stored, so that the join has two shuffled sides and a very common line can be split over tasks.
+    return seen.join(store(often.select("key", "first_id")), "key")
 
 
 def _row() -> F.Column:
