@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, linededup, neardup, quality, suffixdedup, toxicity
+from reelyard.llm import bpe, decontaminate, linededup, neardup, pii, quality, suffixdedup, toxicity
 from reelyard.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op6_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs, counted=True).select("doc_id", "n_entities", "text")
+
+
 def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_string_tiling": op9_string_tiling,
     "op10_superminhash_neardup": op10_superminhash_neardup,
     "op7_quality_rules": op7_quality_rules,
