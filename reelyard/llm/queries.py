@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, linededup, neardup, pii, quality, suffixdedup, toxicity
+from reelyard.llm import bpe, decontaminate, fuzzydedup, linededup, neardup, pii, quality, suffixdedup, toxicity
 from reelyard.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_chained_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzydedup.report(table(spark, sf_dir, "documents"))
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -52,6 +56,7 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
+    "op2_chained_substrings": op2_chained_substrings,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
