@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelyard.llm.common import map_arrow, store
+from reelyard.llm.packing import pack, press, unpack, unpress
 from reelyard.llm.textscan import SpanHasher, strings, text_chunks
 
 BLOCK_BYTES = 4_000_000
-_ZSTD = "zstd"
 PARTS = "kind int, block long, shard int, base int, items binary, sizes binary, doc_ids array<long>, counts array<int>"
 _PART_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 POSITIONS, WORDS = 0, 1
@@ -64,23 +64,6 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def _press(values: np.ndarray | bytes) -> bytes:
-    return pa.compress(values if isinstance(values, bytes) else values.tobytes(), _ZSTD, asbytes=True)
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Unsigned integers: the width in one byte, the length, then planes of equal significance, compressed."""
-    width = 1 if not len(values) or values.max() < 1 << 8 else 2 if values.max() < 1 << 16 else 4
-    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + len(values).to_bytes(8, "little") + _press(np.ascontiguousarray(planes))
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    width, n = data[0], int.from_bytes(data[1:9], "little")
-    planes = np.frombuffer(pa.decompress(data[9:], width * n, _ZSTD, asbytes=True), np.uint8).reshape(width, n)
-    return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.int64)
-
-
 def _parts(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _PART_TYPES]
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PART_TYPES, strict=True)], [f.split()[0] for f in PARTS.split(", ")])
@@ -110,19 +93,19 @@ def _split(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, shards: in
             rank = np.empty(len(order), dtype=np.int64)
             rank[order] = np.arange(len(order))
             ids = batch.column("doc_id").slice(chunk.rows.start, len(chunk)).to_pylist()
-            rows: list[tuple] = [(POSITIONS, block, -1, 0, _pack(rank[index]), None, ids, counts)]
+            rows: list[tuple] = [(POSITIONS, block, -1, 0, pack(rank[index]), None, ids, counts)]
             listed = words.take(pa.array(order))
             at = np.searchsorted(shard[order], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(at)):
                 part = listed.slice(at[s], at[s + 1] - at[s]).to_pylist()
-                rows.append((WORDS, block, int(s), int(at[s]), _press(b"".join(part)), _pack(np.array([len(w) for w in part])), None, None))
+                rows.append((WORDS, block, int(s), int(at[s]), press(b"".join(part)), pack(np.array([len(w) for w in part])), None, None))
             yield _parts(rows)
             block += 1
 
 
 def _unlist(items: bytes, sizes: bytes) -> list[bytes]:
-    ends = np.cumsum(_unpack(sizes))
-    data = pa.decompress(items, int(ends[-1]), _ZSTD, asbytes=True)
+    ends = np.cumsum(unpack(sizes))
+    data = unpress(items, int(ends[-1]))
     return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
 
@@ -139,7 +122,7 @@ def _encode_shards(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) ->
                     ids = known[word] = merge(word.decode())
                 answers.append(ids)
             flat = np.array([i for ids in answers for i in ids], dtype=np.int64)
-            yield _parts([(WORDS, row["block"], row["shard"], row["base"], _pack(flat), _pack(np.array([len(a) for a in answers])), None, None)])
+            yield _parts([(WORDS, row["block"], row["shard"], row["base"], pack(flat), pack(np.array([len(a) for a in answers])), None, None)])
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +137,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield _documents(head, ids, sizes)
                 head, ids, sizes = row, [], []
             else:
-                ids.append(_unpack(row["items"]))
-                sizes.append(_unpack(row["sizes"]))
+                ids.append(unpack(row["items"]))
+                sizes.append(unpack(row["sizes"]))
     if head:
         yield _documents(head, ids, sizes)
 
@@ -164,7 +147,7 @@ def _documents(head: dict, ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa
     flat = np.concatenate([np.empty(0, np.int64), *ids])
     size = np.concatenate([np.empty(0, np.int64), *sizes])
     start = np.cumsum(size) - size
-    index = _unpack(head["items"])
+    index = unpack(head["items"])
     many = size[index]
     ends = np.concatenate([[0], np.cumsum(many)])
     out = flat[np.repeat(start[index] - ends[:-1], many) + np.arange(ends[-1])].astype(np.int32)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, fuzzydedup, linededup, neardup, pii, quality, suffixdedup, toxicity
+from reelyard.llm import bpe, decontaminate, fuzzydedup, linededup, neardup, pii, pitmanyor, quality, suffixdedup, toxicity
 from reelyard.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded, RANKS, public_tokenizers.PATTERN)
 
 
+def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.report(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op2_chained_substrings": op2_chained_substrings,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_pitman_yor_scores": op4_pitman_yor_scores,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_bloom_line_dedup": op6_bloom_line_dedup,
     "op8_pii_surrogates": op8_pii_surrogates,
