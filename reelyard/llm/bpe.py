@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelyard.llm.common import map_arrow, store
-from reelyard.llm.packing import pack, press, unpack, unpress
-from reelyard.llm.textscan import SpanHasher, strings, text_chunks
+from reelyard.llm.packing import pack, pack_ranks, press, unpack, unpack_ranks, unpress
+from reelyard.llm.textscan import SpanHasher, strings
 
-BLOCK_BYTES = 4_000_000
-PARTS = "kind int, block long, shard int, base int, items binary, sizes binary, doc_ids array<long>, counts array<int>"
-_PART_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+BLOCK_BYTES = 12_000_000
+PARTS = "kind int, block long, shard int, items binary, sizes binary, doc_ids array<long>, counts array<int>"
+_PART_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 POSITIONS, WORDS = 0, 1
 
 
@@ -72,35 +72,43 @@ def _parts(rows: list[tuple]) -> pa.RecordBatch:
 def _split(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, shards: int) -> Iterator[pa.RecordBatch]:
     """Blocks of documents: a row of positions and one row of distinct pre-tokens for each shard."""
     block = TaskContext.get().partitionId() << 32
+    pieces, counts, ids, size = [], [], [], 0
     for batch in batches:
-        texts = strings(batch.column("text"))
-        for chunk in text_chunks(texts, BLOCK_BYTES):
-            counts, pieces = [], []
-            for text in texts.slice(chunk.rows.start, len(chunk)):
-                found = vocabulary.split(text.as_py())
-                counts.append(len(found))
-                pieces.append(pa.array(found, pa.string()).dictionary_encode())
-            unified = pa.chunked_array(pieces).unify_dictionaries().combine_chunks()
-            unified = unified.chunk(0) if isinstance(unified, pa.ChunkedArray) else unified
-            index = unified.indices.to_numpy(zero_copy_only=False)
-            words = unified.dictionary.cast(pa.binary())
-            data, bounds = np.frombuffer(words.buffers()[2] or b"", np.uint8), np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
-            if len(words):
-                shard = (SpanHasher(data)(bounds[:-1], bounds[1:]) % np.uint64(shards)).astype(np.int64)
-            else:
-                shard = np.empty(0, dtype=np.int64)
-            order = np.argsort(shard, kind="stable")
-            rank = np.empty(len(order), dtype=np.int64)
-            rank[order] = np.arange(len(order))
-            ids = batch.column("doc_id").slice(chunk.rows.start, len(chunk)).to_pylist()
-            rows: list[tuple] = [(POSITIONS, block, -1, 0, pack(rank[index]), None, ids, counts)]
-            listed = words.take(pa.array(order))
-            at = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in np.flatnonzero(np.diff(at)):
-                part = listed.slice(at[s], at[s + 1] - at[s]).to_pylist()
-                rows.append((WORDS, block, int(s), int(at[s]), press(b"".join(part)), pack(np.array([len(w) for w in part])), None, None))
-            yield _parts(rows)
-            block += 1
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")), strict=True):
+            found = vocabulary.split(text.as_py())
+            pieces.append(pa.array(found, pa.string()).dictionary_encode())
+            counts.append(len(found))
+            ids.append(doc_id)
+            size += text.as_buffer().size
+            if size >= BLOCK_BYTES:
+                yield _block_rows(block, pieces, counts, ids, shards)
+                pieces, counts, ids, size = [], [], [], 0
+                block += 1
+    if ids:
+        yield _block_rows(block, pieces, counts, ids, shards)
+
+
+def _block_rows(block: int, pieces: list[pa.DictionaryArray], counts: list[int], ids: list[int], shards: int) -> pa.RecordBatch:
+    """Positions as frequency ranks of the block's distinct words, with each rank's shard; then the words by shard."""
+    unified = pa.chunked_array(pieces).unify_dictionaries()
+    index = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in unified.chunks])
+    words = unified.chunk(0).dictionary.cast(pa.binary())
+    order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    words = words.take(pa.array(order))
+    _, bounds, data = words.buffers()
+    bounds = np.frombuffer(bounds, np.int32)[: len(words) + 1].astype(np.int64)
+    hashes = SpanHasher(np.frombuffer(data or b"", np.uint8))(bounds[:-1], bounds[1:])
+    shard = (hashes % np.uint64(shards)).astype(np.int64)
+    rows: list[tuple] = [(POSITIONS, block, -1, pack_ranks(rank[index]), pack(shard), ids, counts)]
+    dealt = np.argsort(shard, kind="stable")
+    listed = words.take(pa.array(dealt))
+    at = np.searchsorted(shard[dealt], np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(at)):
+        part = listed.slice(at[s], at[s + 1] - at[s]).to_pylist()
+        rows.append((WORDS, block, int(s), press(b"".join(part)), pack(np.array([len(w) for w in part])), None, None))
+    return _parts(rows)
 
 
 def _unlist(items: bytes, sizes: bytes) -> list[bytes]:
@@ -122,7 +130,7 @@ def _encode_shards(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) ->
                     ids = known[word] = merge(word.decode())
                 answers.append(ids)
             flat = np.array([i for ids in answers for i in ids], dtype=np.int64)
-            yield _parts([(WORDS, row["block"], row["shard"], row["base"], pack(flat), pack(np.array([len(a) for a in answers])), None, None)])
+            yield _parts([(WORDS, row["block"], row["shard"], pack(flat), pack(np.array([len(a) for a in answers])), None, None)])
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,8 +154,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _documents(head: dict, ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
     flat = np.concatenate([np.empty(0, np.int64), *ids])
     size = np.concatenate([np.empty(0, np.int64), *sizes])
-    start = np.cumsum(size) - size
-    index = unpack(head["items"])
+    # The answers come by shard; within a shard they keep the order of the ranks.
+    dealt = np.argsort(unpack(head["sizes"]), kind="stable")
+    size, start = _at(dealt, size), _at(dealt, np.cumsum(size) - size)
+    index = unpack_ranks(head["items"])
     many = size[index]
     ends = np.concatenate([[0], np.cumsum(many)])
     out = flat[np.repeat(start[index] - ends[:-1], many) + np.arange(ends[-1])].astype(np.int32)
@@ -156,6 +166,12 @@ def _documents(head: dict, ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa
     return pa.RecordBatch.from_arrays([pa.array(head["doc_ids"], pa.int64()), listed], ["doc_id", "ids"])
 
 
+def _at(places: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[places] = values
+    return out
+
+
 def _shard_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,7 +9,7 @@ _ZSTD = "zstd"
 
 
 def press(data: bytes) -> bytes:
-    return pa.compress(data, _ZSTD, asbytes=True)
+    return pa.Codec(_ZSTD, compression_level=3).compress(data, asbytes=True)
 
 
 def unpress(data: bytes, size: int) -> bytes:
@@ -39,3 +39,32 @@ def pack_sorted(values: np.ndarray) -> bytes:
 
 def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data))
+
+
+#: Ranks below this take one byte; the other first bytes stand for the higher bits of larger ranks.
+_SHORT = 192
+MAX_RANK = (256 - _SHORT) << 16
+
+
+def pack_ranks(ranks: np.ndarray) -> bytes:
+    """Frequency ranks (small numbers are common), below ``MAX_RANK``: first bytes, then two more where needed."""
+    if len(ranks) and int(ranks.max()) >= MAX_RANK:
+        return b"\0" + pack(ranks)
+    short = ranks < _SHORT
+    head = np.where(short, ranks, _SHORT + (ranks >> 16)).astype(np.uint8)
+    rest = (ranks[~short] & 0xFFFF).astype(np.int64)
+    parts = [press(x.astype(np.uint8).tobytes()) for x in (head, rest >> 8, rest & 0xFF)]
+    sizes = np.array([len(ranks), len(rest), len(parts[0]), len(parts[1])], dtype="<i8")
+    return b"\1" + sizes.tobytes() + b"".join(parts)
+
+
+def unpack_ranks(data: bytes) -> np.ndarray:
+    if data[0] == 0:
+        return unpack(data[1:])
+    n, m, a, b = np.frombuffer(data[1:33], dtype="<i8").tolist()
+    at = 33
+    out = np.frombuffer(unpress(data[at : at + a], n), np.uint8).astype(np.int64)
+    high, low = (np.frombuffer(unpress(x, m), np.uint8).astype(np.int64) for x in (data[at + a : at + a + b], data[at + a + b :]))
+    large = out >= _SHORT
+    out[large] = (out[large] - _SHORT) << 16 | high << 8 | low
+    return out
