@@ -50,8 +50,9 @@ def bronze_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_if(d % 7 == 0, F.concat(F.lit("2020-01-0"), (d % 9 + 1).cast("string")))
         .alias("release_date"),
         _null_if(d % 13 == 0, F.col("n_chars").cast("string")).alias("vote_average"),
-        _null_if(d % 3 == 0, F.array((d % 5).cast("int"), (d % 7).cast("int")))
-        .alias("genre_ids"),
+        F.when(d % 3 == 0, F.lit(None))
+        .when(d % 4 == 1, F.array((d % 5).cast("int"), F.lit(None).cast("int")))
+        .otherwise(F.array((d % 5).cast("int"), (d % 7).cast("int"))).alias("genre_ids"),
         F.lit(0).alias("slice"),
     )
     s1 = _labelled(spark, sf_dir).select(
@@ -133,6 +134,11 @@ def tv_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 ERROR_BODY = '{"status_code": 34, "status_message": "The resource could not be found."}'
 
 
+# A body cut short in transit: a 200 response that is no JSON.
+def _cut_short(body: Column) -> Column:
+    return F.substring(body, 1, 9)
+
+
 def _empty_like(arr: Column) -> Column:
     return F.filter(arr, lambda _: F.lit(False))
 
@@ -147,6 +153,7 @@ def _discover_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c % 5 == 0, 2).when(c % 11 == 1, F.lit(None)).otherwise(99)
         .cast("int").alias("total_pages"),
         ((c % 7 == 0) & (t == 3)).alias("empty"),
+        ((c % 13 == 5) & (t == 1)).alias("cut"),
     )
 
 
@@ -158,7 +165,8 @@ def _pages(frame: DataFrame, r1: Column, r2: Column) -> DataFrame:
     body = F.to_json(F.struct(F.col("page"), F.col("total_pages"), results.alias("results")))
     return frame.select(
         "day", "page", "status",
-        F.when(F.col("status") == 200, body).otherwise(F.lit(ERROR_BODY)).alias("body"),
+        F.when(F.col("status") != 200, F.lit(ERROR_BODY)).when(F.col("cut"), _cut_short(body))
+        .otherwise(body).alias("body"),
     )
 
 
@@ -245,11 +253,13 @@ def change_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct((u * 7).cast("int").alias("id"), F.lit(False).alias("adult")),
             F.struct((u * 7 + 3).cast("int").alias("id"), F.lit(False).alias("adult")),
         )).alias("results"),
+        (e % 991 == 350).alias("cut"),
     )
     body = F.to_json(F.struct("page", "total_pages", "results"))
     return framed.select(
         "day", "page", "status",
-        F.when(F.col("status") == 200, body).otherwise(F.lit(ERROR_BODY)).alias("body"),
+        F.when(F.col("status") != 200, F.lit(ERROR_BODY)).when(F.col("cut"), _cut_short(body))
+        .otherwise(body).alias("body"),
     )
 
 
@@ -272,7 +282,8 @@ def movie_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(d % 29 == 0, 404).otherwise(200)
     return table(spark, sf_dir, "documents").select(
         d.cast("int").alias("id"), status.alias("status"),
-        F.when(status == 200, body).otherwise(F.lit(ERROR_BODY)).alias("body"),
+        F.when(status != 200, F.lit(ERROR_BODY)).when(d % 31 == 7, _cut_short(body))
+        .otherwise(body).alias("body"),
     )
 
 
@@ -294,7 +305,8 @@ def tv_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(d % 29 == 0, 404).otherwise(200)
     return table(spark, sf_dir, "documents").select(
         d.cast("int").alias("id"), status.alias("status"),
-        F.when(status == 200, body).otherwise(F.lit(ERROR_BODY)).alias("body"),
+        F.when(status != 200, F.lit(ERROR_BODY)).when(d % 31 == 7, _cut_short(body))
+        .otherwise(body).alias("body"),
     )
 
 
@@ -311,7 +323,7 @@ SELECT CAST(CASE WHEN doc_id % 17 = 0 THEN NULL ELSE doc_id END AS INTEGER) AS i
        CASE WHEN doc_id % 7 = 0 THEN NULL
             ELSE '2020-01-0' || CAST(doc_id % 9 + 1 AS VARCHAR) END AS release_date,
        CASE WHEN doc_id % 13 = 0 THEN NULL ELSE CAST(n_chars AS VARCHAR) END AS vote_average,
-       CASE WHEN doc_id % 3 = 0 THEN NULL
+       CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN [CAST(doc_id % 5 AS INTEGER), NULL]
             ELSE [CAST(doc_id % 5 AS INTEGER), CAST(doc_id % 7 AS INTEGER)] END AS genre_ids,
        0 AS slice
 FROM documents
@@ -371,9 +383,10 @@ SQL["discover_pages"] = """
 SELECT strftime(DATE '1970-01-01' + CAST(conv_id * 20 AS INTEGER), '%Y-%m-%d') AS day,
        CAST(turn + 1 AS INTEGER) AS page,
        CASE WHEN conv_id % 9 = 0 AND turn = 2 THEN 500 ELSE 200 END AS status,
-       CASE WHEN conv_id % 9 = 0 AND turn = 2 THEN NULL
+       NOT (conv_id % 13 = 5 AND turn = 1) AS readable,
+       CASE WHEN conv_id % 9 = 0 AND turn = 2 OR conv_id % 13 = 5 AND turn = 1 THEN NULL
             WHEN conv_id % 5 = 0 THEN 2 WHEN conv_id % 11 = 1 THEN NULL ELSE 99 END AS total_pages,
-       CASE WHEN conv_id % 9 = 0 AND turn = 2 THEN NULL
+       CASE WHEN conv_id % 9 = 0 AND turn = 2 OR conv_id % 13 = 5 AND turn = 1 THEN NULL
             WHEN conv_id % 7 = 0 AND turn = 3 THEN 0
             WHEN turn % 2 = 0 THEN 2 ELSE 1 END AS n_results,
        conv_id, turn, role, text
@@ -409,11 +422,12 @@ SQL["change_pages"] = """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
        CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS INTEGER) AS page,
        CASE WHEN event_id % 997 = 500 THEN 500 ELSE 200 END AS status,
-       CASE WHEN event_id % 997 = 500 THEN NULL
+       event_id % 997 = 500 OR event_id % 991 <> 350 AS readable,
+       CASE WHEN event_id % 997 = 500 OR event_id % 991 = 350 THEN NULL
             WHEN day(CAST(ts AS DATE)) % 7 = 3 THEN 100
             WHEN day(CAST(ts AS DATE)) % 11 = 5 THEN NULL
             ELSE CAST(count(*) OVER (PARTITION BY CAST(ts AS DATE)) + 2 AS INTEGER) END AS total_pages,
-       CASE WHEN event_id % 997 = 500 THEN NULL
+       CASE WHEN event_id % 997 = 500 OR event_id % 991 = 350 THEN NULL
             WHEN event_type = 'view' AND value < 5.0 THEN 0 ELSE 2 END AS n_results,
        user_id
 FROM events
@@ -422,6 +436,7 @@ FROM events
 SQL["movie_details"] = """
 SELECT CAST(doc_id AS INTEGER) AS id,
        CASE WHEN doc_id % 29 = 0 THEN 404 ELSE 200 END AS status,
+       doc_id % 29 <> 0 AND doc_id % 31 <> 7 AS ok,
        source AS title, text AS overview,
        '2019-05-0' || CAST(doc_id % 9 + 1 AS VARCHAR) AS release_date,
        CASE WHEN doc_id % 13 = 0 THEN NULL
@@ -434,6 +449,7 @@ FROM documents
 SQL["tv_details"] = """
 SELECT CAST(doc_id AS INTEGER) AS id,
        CASE WHEN doc_id % 29 = 0 THEN 404 ELSE 200 END AS status,
+       doc_id % 29 <> 0 AND doc_id % 31 <> 7 AS ok,
        CASE WHEN doc_id % 3 = 0 THEN NULL ELSE [CAST(doc_id % 5 AS INTEGER)] END AS genre_ids,
        CASE WHEN doc_id % 8 = 0 THEN CAST([] AS VARCHAR[]) ELSE [upper(lang)] END AS origin_country,
        lang AS original_language, source || '_o' AS original_name, text AS overview,

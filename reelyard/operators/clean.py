@@ -1,9 +1,8 @@
 """Bronze -> silver cleaning operators (C1-C8) and de-duplication.
 
 All are narrow ``DataFrame -> DataFrame`` projections/filters except the
-de-duplication: one grouped aggregate with map-side partial aggregation
-(``dedupe_by_id``), or, for large inputs, a broadcast split that shuffles only
-the repeated keys (``duplicated_keys`` + ``dedupe_split``).
+de-duplication: one grouped aggregate with map-side partial aggregation,
+whatever the size of the input.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelyard.functions.columns import or_empty
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, materialize_table
 from reelyard.schemas import MediaSpec
 
 
@@ -120,42 +118,3 @@ def dedupe_by_id(df: DataFrame, key: str = "id", order: list[str] | tuple = ())
     return (df.groupBy(key)
             .agg(F.max(packed).alias("_best"))
             .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in cols]))
-
-
-def duplicated_keys(df: DataFrame, key: str = "id") -> tuple[DataFrame, int]:
-    """Keys that occur more than once, stored once, with their count.
-
-    Reads only the key (column pruning) and shuffles only partial key counts,
-    so it costs a fraction of a full-row shuffle.
-    """
-    dups = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .where((F.col("_n") > 1) & F.col(key).isNotNull()).select(key))
-    return materialize_table(dups, "dup-keys")
-
-
-def dedupe_split(df: DataFrame, dup_keys: DataFrame, n_dups: int, key: str = "id",
-                 order: list[str] | tuple = (),
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 passthrough: DataFrame | None = None, null_keys: bool = True) -> DataFrame:
-    """``dedupe_by_id`` that shuffles only the rows whose key repeats.
-
-    With the repeated keys known (``duplicated_keys``) and within the broadcast
-    bound, rows with a unique key pass straight through (a broadcast anti join,
-    no shuffle); only repeated keys (and null keys, which group together) go
-    through the aggregate.  Above the bound it is the plain aggregate.  The
-    result equals ``dedupe_by_id``.
-
-    ``passthrough`` is the same rows as ``df`` with observations attached; it
-    feeds the branch that sees every row, so metrics are taken exactly once.
-    ``null_keys=False`` declares that ``df`` has no null key (it was filtered),
-    which saves scanning for them.
-    """
-    full = df if passthrough is None else passthrough
-    if n_dups > broadcast_rows:
-        return dedupe_by_id(full, key, order)
-    dups = F.broadcast(dup_keys)
-    unique = full.where(F.col(key).isNotNull()).join(dups, key, "left_anti").select(*df.columns)
-    repeated = df.join(dups, key, "left_semi")
-    if null_keys:
-        repeated = repeated.unionByName(df.where(F.col(key).isNull()))
-    return unique.unionByName(dedupe_by_id(repeated, key, order))

@@ -22,7 +22,12 @@ from pyspark.sql.types import (
 )
 
 from reelyard.functions.columns import empty_array, iso_day
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize_table
+from reelyard.functions.joins import (
+    DEFAULT_BROADCAST_BYTES,
+    Stored,
+    bounded_broadcast,
+    materialize_table,
+)
 from reelyard.schemas import CHANGE_PAGE_CAP, MediaSpec
 
 
@@ -61,9 +66,11 @@ def flatten_pages(pages: DataFrame, keep: tuple[str, ...] = ("day", "page"),
 
 # --------------------------------------------------------- I3/I4 page walks
 
-# Why a day's walk ended (``page_cuts``): the reported last page was read, a
-# page failed, a page was empty (discover walks), or a page was never landed.
-WALK_ENDS = ("last_page", "failed_page", "empty_page", "missing_page")
+# Why a day's walk ended (``page_cuts``): the reported last page was read, the
+# page cap was reached with more pages reported, a page failed (bad status or a
+# body that cannot be read), a page was empty (discover walks), or a page was
+# never landed.
+WALK_ENDS = ("last_page", "page_cap", "failed_page", "empty_page", "missing_page")
 
 
 def page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFrame:
@@ -71,7 +78,7 @@ def page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFra
     walk ended there (``ended``, one of ``WALK_ENDS``).
 
     The walk reads pages 1, 2, ... and stops at the first page that failed
-    (status other than 200, or no results when ``stop_on_empty``), after the
+    (status other than 200, an unreadable body, or no results when ``stop_on_empty``), after the
     first page that reports it is the last (``page >= total_pages``, missing
     -> 1, capped by ``cap``), or at the first page that was never landed.
 
@@ -82,64 +89,75 @@ def page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> DataFra
     missing).  A day with a huge number of pages is spread over all tasks
     instead of being sorted in one window partition.
     """
-    failed = (F.col("status").isNull()) | (F.col("status") != 200)
+    failed = F.col("status").isNull() | (F.col("status") != 200) | ~F.col("readable")
     empty = F.col("results").isNull() | (F.size(F.col("results")) <= 0)
     if not stop_on_empty:
         empty = F.lit(False)
-    last = F.coalesce(F.col("total_pages"), F.lit(1))
-    if cap is not None:
-        last = F.least(last, F.lit(cap))
+    total = F.coalesce(F.col("total_pages"), F.lit(1))
     p = F.col("page")
+    capped = (p >= cap) & (p < total) if cap is not None else F.lit(False)
     entries = F.array(
         F.struct(p.alias("p"), F.lit(True).alias("landed"), failed.alias("failed"),
-                 (~failed & empty).alias("empty"), (p >= last).alias("done")),
+                 (~failed & empty).alias("empty"), ((p >= total) | capped).alias("done"),
+                 capped.alias("capped")),
         F.struct((p + 1).alias("p"), F.lit(False).alias("landed"), F.lit(False).alias("failed"),
-                 F.lit(False).alias("empty"), F.lit(False).alias("done")),
+                 F.lit(False).alias("empty"), F.lit(False).alias("done"),
+                 F.lit(False).alias("capped")),
     )
     per_page = (pages.where(p >= 1).select("day", F.inline(entries))
                 .groupBy("day", "p")
-                .agg(*[F.max(c).alias(c) for c in ("landed", "failed", "empty", "done")]))
+                .agg(*[F.max(c).alias(c) for c in ("landed", "failed", "empty", "done", "capped")]))
     q, ok = F.col("p"), F.col("landed")
     good = ok & ~F.col("failed") & ~F.col("empty")
     stats = per_page.groupBy("day").agg(
         F.min(F.when(ok & F.col("failed"), q)).alias("first_failed"),
         F.min(F.when(ok & F.col("empty"), q)).alias("first_empty"),
         F.min(F.when(good & F.col("done"), q + 1)).alias("after_last"),
+        F.min(F.when(good & F.col("capped"), q + 1)).alias("after_cap"),
         F.least(F.min(F.when(~ok, q)), F.when(~F.max(ok & (q == 1)), F.lit(1))).alias("first_missing"),
     )
     cut = F.least("first_failed", "first_empty", "after_last", "first_missing")
-    ended = (F.when(F.col("cut") == F.col("after_last"), "last_page")
+    ended = (F.when(F.col("cut") == F.col("after_cap"), "page_cap")
+             .when(F.col("cut") == F.col("after_last"), "last_page")
              .when(F.col("cut") == F.col("first_failed"), "failed_page")
              .when(F.col("cut") == F.col("first_empty"), "empty_page")
              .otherwise("missing_page"))
     return stats.withColumn("cut", cut).select("day", "cut", ended.alias("ended"))
 
 
-def stored_page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None
-                     ) -> tuple[DataFrame, int]:
+def stored_page_cuts(pages: DataFrame, stop_on_empty: bool, cap: int | None) -> Stored:
     """``page_cuts`` computed once into a table under the shared scratch folder,
-    with its row count (one row per day)."""
+    with its size (one row per day)."""
     return materialize_table(page_cuts(pages, stop_on_empty, cap), "page-cuts")
 
 
 def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
+               broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               cuts: Stored | None = None) -> DataFrame:
     """Keep the pages a sequential page walk would have read.
 
     Only the narrow ``(day, page, status, total_pages, size)`` projection is
     aggregated; the wide page rows are filtered against the per-day cut with a
     broadcast join (one row per day, size checked), so result payloads are
     never shuffled.  ``cuts`` passes a stored cut table (``stored_page_cuts``)
-    that the caller also reports from.
+    that the caller also reports from.  Pass stored pages (``stored_pages``):
+    they are read twice, and their bodies should be parsed once.
     """
-    table, n = cuts if cuts is not None else stored_page_cuts(pages, stop_on_empty, cap)
-    side = F.broadcast(table.select("day", "cut")) if n <= broadcast_rows else table.select("day", "cut")
+    cuts = cuts if cuts is not None else stored_page_cuts(pages, stop_on_empty, cap)
+    side = cuts.df.select("day", "cut")
+    if cuts.bytes <= broadcast_bytes:
+        side = F.broadcast(side)
     return (pages.join(side, "day", "inner")
             .where((F.col("page") >= 1) & (F.col("page") < F.col("cut")))
             .drop("cut"))
 
 
+def stored_pages(typed: DataFrame) -> DataFrame:
+    """Typed pages stored once, so that the cuts, the walk and the flattening
+    read columns instead of parsing the bodies again."""
+    return materialize_table(typed, "typed-pages").df
+
+
 def days_not_landed(calendar: DataFrame, landed_days: DataFrame) -> DataFrame:
     """Calendar days with no landed page at all (never fetched).
 
@@ -154,17 +172,17 @@ def walk_ends(cuts: DataFrame) -> DataFrame:
     return cuts.groupBy("ended").agg(F.count(F.lit(1)).alias("days"))
 
 
-def contiguous_pages(pages: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
+def contiguous_pages(pages: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                     cuts: Stored | None = None) -> DataFrame:
     """Discover walk (I3): an empty page ends the day, no page cap."""
-    return walk_pages(pages, True, None, broadcast_rows, cuts)
+    return walk_pages(pages, True, None, broadcast_bytes, cuts)
 
 
 def changed_pages(pages: DataFrame, cap: int = CHANGE_PAGE_CAP,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                  cuts: Stored | None = None) -> DataFrame:
     """Change-list walk (I4): empty pages do not stop it; at most ``cap`` pages."""
-    return walk_pages(pages, False, cap, broadcast_rows, cuts)
+    return walk_pages(pages, False, cap, broadcast_bytes, cuts)
 
 
 def page_completeness(pages: DataFrame, kept: DataFrame) -> DataFrame:
@@ -242,27 +260,36 @@ def distinct_ids(items: DataFrame, key: str = "id") -> DataFrame:
 
 # ----------------------------------------------------- I8/I9 detail handling
 
-def enrich_details(ids: DataFrame, details: DataFrame, key: str = "id",
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Successful detail responses of the wanted ids (I8).
+def wanted_details(ids: DataFrame, details: DataFrame, key: str = "id",
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Detail responses of the wanted ids, failed ones included.
 
-    Failed lookups (status other than 200) are dropped.  A semi join, so each
-    detail row appears once whatever the id list holds; the id list is
-    broadcast when within the bound, else both sides shuffle on the key.
+    A semi join, so each detail row appears once whatever the id list holds;
+    the id list is broadcast when within the bound, else both sides shuffle on
+    the key.
     """
-    wanted, _ = bounded_broadcast(ids.select(key), broadcast_rows, materialize=True)
-    return details.where(F.col("status") == 200).join(wanted, key, "left_semi")
+    wanted, _ = bounded_broadcast(ids.select(key), broadcast_bytes, materialize=True)
+    return details.join(wanted, key, "left_semi")
+
+
+def enrich_details(ids: DataFrame, details: DataFrame, key: str = "id",
+                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Successful detail responses of the wanted ids (I8); failed lookups
+    (status other than 200) are dropped, and so are unreadable bodies when they
+    are typed (``typed_details``)."""
+    return wanted_details(ids, details.where(F.col("status") == 200), key, broadcast_bytes)
 
 
 LANDED_DETAIL_DDL = "id int, status int, body string"
 
 
-def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id") -> DataFrame:
+def fetch_details(ids: DataFrame, fetch, partitions: int | None = None, key: str = "id") -> DataFrame:
     """Look ids up in an external service, in parallel, as landed responses.
 
     ``fetch(list_of_ids) -> iterable of (id, status, body)`` is the caller's
     client (HTTP, a cache, ...).  Ids are spread round-robin over
-    ``partitions`` tasks and handed to it in Arrow batches through
+    ``partitions`` tasks (default: the session's shuffle partitions, sized for
+    the input) and handed to it in Arrow batches through
     ``mapInPandas``; the result has the landing-table shape that
     ``enrich_details`` and ``reshape_details`` read, so failures stay visible
     as statuses instead of being dropped on the way.  If the client raises for
@@ -272,6 +299,8 @@ def fetch_details(ids: DataFrame, fetch, partitions: int = 50, key: str = "id")
     """
     import pandas as pd
 
+    partitions = partitions or int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def lookup(ids: list[int]) -> list:
         try:
             return list(fetch(ids))
@@ -307,12 +336,21 @@ def reshape_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] =
 
 
 def typed_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Landed detail bodies typed with the media type's missing-key rules."""
+    """Landed detail bodies typed with the media type's missing-key rules.
+
+    A body that cannot be read, or has no id, is dropped: it is a failed lookup.
+    """
+    return judged_details(details, spec, keep).where("readable").drop("readable")
+
+
+def judged_details(details: DataFrame, spec: MediaSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``typed_details`` with all rows and a last column ``readable`` (JSON with an id)."""
     from reelyard.sources.records import typed_records
 
-    return typed_records(details, "body", spec.detail_schema, keep,
-                         missing_empty=spec.detail_missing_empty,
-                         missing_default=spec.detail_missing_default)
+    typed = typed_records(details, "body", spec.detail_schema, keep,
+                          missing_empty=spec.detail_missing_empty,
+                          missing_default=spec.detail_missing_default, readable="readable")
+    return typed.withColumn("readable", F.col("readable") & F.col("id").isNotNull())
 
 
 # -------------------------------------------------------- I10 decade slices

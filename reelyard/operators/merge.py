@@ -5,30 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialize_table
+from reelyard.functions.joins import (
+    DEFAULT_BROADCAST_BYTES,
+    Stored,
+    bounded_broadcast,
+    materialize_table,
+)
 from reelyard.operators.clean import clean, dedupe_by_id
 from reelyard.schemas import MediaSpec
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str = "id",
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = True,
-              right_rows: int | None = None) -> DataFrame:
+              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, materialize: bool = True,
+              right_bytes: int | None = None) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``.
 
     Only the right side's key column takes part.  When it is within the proven
     bound it is broadcast, so the (large) left side is streamed once with no
     shuffle at all; above it Spark plans a shuffle join (AQE can split skewed
     partitions).  A derived key side is stored once (``materialize``) so the
-    size check does not recompute it; a caller that already knows the row count
-    of a stored ``right`` passes ``right_rows``.  A null key on the left never
+    size check does not recompute it; a caller that already knows the size of a
+    stored ``right`` passes ``right_bytes``.  A null key on the left never
     matches and is kept.  Output columns are ``left``'s, in its order.
     """
     keys = right.select(key)
-    if right_rows is not None:
-        if right_rows <= broadcast_rows:
+    if right_bytes is not None:
+        if right_bytes <= broadcast_bytes:
             keys = F.broadcast(keys)
     else:
-        keys, _ = bounded_broadcast(keys, broadcast_rows, materialize)
+        keys, _ = bounded_broadcast(keys, broadcast_bytes, materialize)
     return left.join(keys, on=key, how="left_anti").select(*left.columns)
 
 
@@ -38,9 +43,9 @@ def union_by_name(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def latest_changes(changes: DataFrame, columns: list[str], key: str = "id",
-                   order: tuple = ()) -> tuple[DataFrame, int]:
+                   order: tuple = ()) -> Stored:
     """The change set de-duplicated by key, stored once under the shared
-    scratch folder, with its row count.
+    scratch folder, with its size.
 
     Both sides of the upsert (the anti join's keys and the inserted rows) read
     this one table, so the change set is de-duplicated once and its size is
@@ -52,20 +57,20 @@ def latest_changes(changes: DataFrame, columns: list[str], key: str = "id",
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: str = "id",
-           order: tuple = (), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           order: tuple = (), broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Whole-row upsert (J2): a change row replaces the base row with its key,
     new keys are inserted, nothing is deleted.
 
     The change set is de-duplicated by key first (deterministic survivor), so
     applying it twice gives the same result as applying it once.
     """
-    latest, n = latest_changes(changes, base.columns, key, order)
-    return union_by_name(anti_join(base, latest, key, broadcast_rows, right_rows=n), latest)
+    latest, _, size = latest_changes(changes, base.columns, key, order)
+    return union_by_name(anti_join(base, latest, key, broadcast_bytes, right_bytes=size), latest)
 
 
 def apply_changes(silver: DataFrame, changes: DataFrame, spec: MediaSpec,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Clean both sides (a no-op on clean silver), then upsert."""
     return upsert(clean(silver, spec).select(*spec.silver_order),
                   clean(changes, spec).select(*spec.silver_order),
-                  "id", (), broadcast_rows)
+                  "id", (), broadcast_bytes)

@@ -8,12 +8,13 @@ is ``row_number``, anti joins are ``NOT EXISTS``.
 from __future__ import annotations
 
 from reelyard.fixtures import with_fixtures
-
-FILL_TEXT = "Sem informação."
+from reelyard.schemas import CHANGE_PAGE_CAP, DATE_FILL, LANGUAGE_FILL, MOVIE_RATING_FILL
+from reelyard.schemas import OVERVIEW_FILL as FILL_TEXT
 
 
 def arr(col: str, alias: str | None = None) -> str:
-    return f"'[' || array_to_string({col}, ',') || ']' AS {alias or col}"
+    items = f"[coalesce(CAST(x AS VARCHAR), 'null') for x in {col}]"
+    return f"'[' || array_to_string({items}, ',') || ']' AS {alias or col}"
 
 
 MOVIE_OUT = f"id, title, overview, release_date, vote_average, {arr('genre_ids')}"
@@ -22,7 +23,7 @@ TV_OUT = (f"{arr('genre_ids')}, id, {arr('origin_country')}, original_language,
 
 
 def walk(src: str, stop_on_empty: bool, cap: int | None) -> str:
-    bad = "status <> 200" + (" OR coalesce(n_results, 0) = 0" if stop_on_empty else "")
+    bad = "status <> 200 OR NOT readable" + (" OR coalesce(n_results, 0) = 0" if stop_on_empty else "")
     last = "coalesce(total_pages, 1)" if cap is None else f"least(coalesce(total_pages, 1), {cap})"
     return f"""
 SELECT * EXCLUDE (bad_run, done_run, rn) FROM (
@@ -38,8 +39,8 @@ SELECT * EXCLUDE (bad_run, done_run, rn) FROM (
 
 CLEAN_MOVIES = f"""
 SELECT id, title, coalesce(overview, '{FILL_TEXT}') AS overview,
-       coalesce(release_date, '1900-01-01') AS release_date,
-       coalesce(vote_average, '0.0') AS vote_average,
+       coalesce(release_date, '{DATE_FILL}') AS release_date,
+       coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average,
        coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids, slice
 FROM bronze_movies WHERE id IS NOT NULL AND title IS NOT NULL"""
 
@@ -51,8 +52,8 @@ SELECT id, title, overview, release_date, vote_average, genre_ids FROM (
 
 CLEAN_MOVIE_CHANGES = f"""
 SELECT id, title, coalesce(overview, '{FILL_TEXT}') AS overview,
-       coalesce(release_date, '1900-01-01') AS release_date,
-       coalesce(vote_average, '0.0') AS vote_average,
+       coalesce(release_date, '{DATE_FILL}') AS release_date,
+       coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average,
        coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids
 FROM movie_changes WHERE id IS NOT NULL AND title IS NOT NULL"""
 
@@ -61,9 +62,9 @@ def clean_tv(src: str, extra: str = "") -> str:
     return f"""
 SELECT coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids, id,
        coalesce(origin_country, CAST([] AS VARCHAR[])) AS origin_country,
-       coalesce(original_language, 'en') AS original_language,
+       coalesce(original_language, '{LANGUAGE_FILL}') AS original_language,
        coalesce(overview, '{FILL_TEXT}') AS overview,
-       coalesce(first_air_date, '1900-01-01') AS first_air_date,
+       coalesce(first_air_date, '{DATE_FILL}') AS first_air_date,
        CASE WHEN vote_average IS NULL OR isnan(vote_average) THEN CAST(0 AS DOUBLE)
             ELSE vote_average END AS vote_average,
        coalesce(name, original_name) AS name, coalesce(original_name, name) AS original_name{extra}
@@ -83,12 +84,17 @@ UNION ALL SELECT * FROM clean_movie_changes"""
 
 DECADE = "CAST(floor(year(CAST(day AS DATE)) / 10) * 10 AS INTEGER) AS decade"
 
-CHANGE_WINDOW = """
+def change_window(days: int) -> str:
+    """The last ``days`` landed days (today is the day after the last one)."""
+    return f"""
 SELECT * FROM change_pages
-WHERE CAST(day AS DATE) BETWEEN (SELECT max(CAST(day AS DATE)) FROM change_pages) - 2
+WHERE CAST(day AS DATE) BETWEEN (SELECT max(CAST(day AS DATE)) FROM change_pages) - {days - 1}
                             AND (SELECT max(CAST(day AS DATE)) FROM change_pages)"""
 
 
+CHANGE_WINDOW = change_window(3)
+
+
 def _ids_of(pages: str) -> str:
     return f"""
 SELECT DISTINCT CAST(user_id * 7 AS INTEGER) AS id FROM ({pages}) WHERE n_results = 2
@@ -97,9 +103,17 @@ UNION SELECT DISTINCT CAST(user_id * 7 + 3 AS INTEGER) FROM ({pages}) WHERE n_re
 
 def _collected(pages: str) -> str:
     return f"""
-SELECT id, title, overview, release_date, coalesce(vote_average, '0.0') AS vote_average,
+SELECT id, title, overview, release_date, coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average,
        coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids
-FROM movie_details WHERE status = 200 AND id IN ({_ids_of(pages)})"""
+FROM movie_details WHERE ok AND id IN ({_ids_of(pages)})"""
+
+
+def _collected_tv(pages: str) -> str:
+    return f"""
+SELECT coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids, id, origin_country,
+       original_language, original_name, overview, first_air_date, name,
+       coalesce(vote_average, CAST(0 AS DOUBLE)) AS vote_average
+FROM tv_details WHERE ok AND id IN ({_ids_of(pages)})"""
 
 
 def _q(names: list[str], body: str) -> str:
@@ -123,14 +137,14 @@ ORACLE: dict[str, str] = {}
 ORACLE["scan_glob"] = _q(["bronze_movies"], f"""
 SELECT {MOVIE_OUT}, 'movie_slice' || CAST(slice AS VARCHAR) AS slice_dir FROM bronze_movies""")
 ORACLE["scan_path"] = _q(["bronze_movies"], f"SELECT {MOVIE_OUT}, slice FROM bronze_movies")
-ORACLE["typed_records"] = _q(["movie_details"], """
+ORACLE["typed_records"] = _q(["movie_details"], f"""
 SELECT status,
-       CASE WHEN status = 200 THEN id END AS id,
-       CASE WHEN status = 200 THEN title END AS title,
-       CASE WHEN status = 200 THEN overview END AS overview,
-       CASE WHEN status = 200 THEN release_date END AS release_date,
-       CASE WHEN status = 200 THEN vote_average END AS vote_average,
-       CASE WHEN status = 200 AND genre_ids IS NOT NULL THEN 2 END AS n_genres
+       CASE WHEN ok THEN id END AS id,
+       CASE WHEN ok THEN title END AS title,
+       CASE WHEN ok THEN overview END AS overview,
+       CASE WHEN ok THEN release_date END AS release_date,
+       CASE WHEN ok THEN vote_average END AS vote_average,
+       {arr("CASE WHEN ok THEN genre_ids END", "genre_ids")}
 FROM movie_details""")
 ORACLE["typed_records_empty"] = _q(["discover_movie_records"], f"""
 SELECT r.day, r.page, {MOVIE_OUT}
@@ -154,44 +168,54 @@ ORACLE["flatten_pages"] = _q(["discover_movie_records"], f"SELECT day, page, {MO
 ORACLE["contiguous_pages"] = _q(["discover_pages"], f"""
 SELECT day, page, status, total_pages, n_results FROM ({walk('discover_pages', True, None)})""")
 ORACLE["changed_pages"] = _q(["change_pages"], f"""
-SELECT day, page, status, total_pages, n_results FROM ({walk('change_pages', False, 500)})""")
+SELECT day, page, status, total_pages, n_results FROM ({walk('change_pages', False, CHANGE_PAGE_CAP)})""")
 ORACLE["page_completeness"] = _q(["change_pages"], f"""
 SELECT a.day, a.pages_landed, coalesce(k.pages_kept, 0) AS pages_kept, a.pages_reported
 FROM (SELECT day, count(*) AS pages_landed, max(total_pages) AS pages_reported
       FROM change_pages GROUP BY day) a
-LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, 500)}) GROUP BY day) k
+LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, CHANGE_PAGE_CAP)}) GROUP BY day) k
   ON a.day = k.day""")
-ORACLE["page_walk_ends"] = _q(["change_pages"], f"""
+
+
+def _walk_ends(cap: int) -> str:
+    return f"""
 SELECT d.day, coalesce(k.pages_kept, 0) AS pages_kept,
-       CASE WHEN coalesce(k.pages_kept, 0) > 0
-                 AND lp.page >= least(coalesce(lp.total_pages, 1), 500) THEN 'last_page'
-            WHEN np.page IS NOT NULL AND np.status <> 200 THEN 'failed_page'
+       CASE WHEN lp.page >= {cap} AND lp.page < coalesce(lp.total_pages, 1) THEN 'page_cap'
+            WHEN lp.page >= coalesce(lp.total_pages, 1) THEN 'last_page'
+            WHEN np.page IS NOT NULL AND (np.status <> 200 OR NOT np.readable) THEN 'failed_page'
             ELSE 'missing_page' END AS ended
 FROM (SELECT DISTINCT day FROM change_pages WHERE page >= 1) d
-LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, 500)}) GROUP BY day) k
+LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('change_pages', False, cap)}) GROUP BY day) k
   ON k.day = d.day
-LEFT JOIN change_pages lp ON lp.day = d.day AND lp.page = coalesce(k.pages_kept, 0)
-LEFT JOIN change_pages np ON np.day = d.day AND np.page = coalesce(k.pages_kept, 0) + 1""")
+LEFT JOIN change_pages lp ON lp.day = d.day AND lp.page = k.pages_kept
+LEFT JOIN change_pages np ON np.day = d.day AND np.page = coalesce(k.pages_kept, 0) + 1"""
+
+
+ORACLE["page_walk_ends"] = _q(["change_pages"], _walk_ends(CHANGE_PAGE_CAP))
+# A cap that the landed days exceed at any size of the tables.
+LOW_CAP = 20
+ORACLE["page_walk_ends_capped"] = _q(["change_pages"], _walk_ends(LOW_CAP))
+ORACLE["changed_pages_capped"] = _q(["change_pages"], f"""
+SELECT day, page, status, total_pages, n_results FROM ({walk('change_pages', False, LOW_CAP)})""")
 ORACLE["project_fields"] = _q(["discover_tv_records"], f"SELECT {TV_OUT} FROM discover_tv_records")
 ORACLE["lookback_days"] = """
 SELECT event_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day FROM events
 WHERE CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) FROM events) - 3
                            AND (SELECT max(CAST(ts AS DATE)) FROM events) - 1"""
-_WALKED_CHANGES = walk("change_pages", False, 500)
+_WALKED_CHANGES = walk("change_pages", False, CHANGE_PAGE_CAP)
 ORACLE["distinct_ids"] = _q(["change_pages"], _ids_of(_WALKED_CHANGES))
 ORACLE["enrich_details"] = _q(["change_pages", "movie_details"], f"""
-SELECT id, title, overview, release_date, vote_average,
-       CASE WHEN genre_ids IS NOT NULL THEN 2 END AS n_genres
-FROM movie_details WHERE status = 200 AND id IN ({_ids_of(_WALKED_CHANGES)})""")
+SELECT id, title, overview, release_date, vote_average, {arr("genre_ids")}
+FROM movie_details WHERE ok AND id IN ({_ids_of(_WALKED_CHANGES)})""")
 ORACLE["reshape_details"] = _q(["movie_details"], f"""
-SELECT id, title, overview, release_date, coalesce(vote_average, '0.0') AS vote_average,
+SELECT id, title, overview, release_date, coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average,
        {arr("coalesce(genre_ids, CAST([] AS INTEGER[]))", "genre_ids")}
-FROM movie_details WHERE status = 200""")
+FROM movie_details WHERE ok""")
 ORACLE["reshape_details_tv"] = _q(["tv_details"], f"""
 SELECT {arr("coalesce(genre_ids, CAST([] AS INTEGER[]))", "genre_ids")}, id,
        {arr('origin_country')}, original_language, original_name, overview, first_air_date,
        name, coalesce(vote_average, CAST(0 AS DOUBLE)) AS vote_average
-FROM tv_details WHERE status = 200""")
+FROM tv_details WHERE ok""")
 _KEPT_RECORDS = f"""
 SELECT r.* FROM discover_movie_records r
 JOIN ({walk('discover_pages', True, None)}) k ON k.day = r.day AND k.page = r.page"""
@@ -209,22 +233,22 @@ SELECT count(*) AS input_rows,
 FROM bronze_movies""")
 _TV_NAMED = f"""
 SELECT {arr('genre_ids')}, id, {arr('origin_country')}, original_language, overview,
-       first_air_date, slice, coalesce(name, original_name) AS name,
-       coalesce(original_name, name) AS original_name
+       first_air_date, CASE WHEN isnan(vote_average) THEN -1.0 ELSE vote_average END AS vote_average,
+       slice, coalesce(name, original_name) AS name, coalesce(original_name, name) AS original_name
 FROM bronze_tv"""
 ORACLE["mutual_coalesce"] = _q(["bronze_tv"], _TV_NAMED)
 ORACLE["tv_valid_rows"] = _q(["bronze_tv"], f"""
 SELECT * FROM ({_TV_NAMED}) WHERE id IS NOT NULL AND (name IS NOT NULL OR original_name IS NOT NULL)""")
 ORACLE["fill_defaults"] = _q(["bronze_movies"], f"""
 SELECT id, title, coalesce(overview, '{FILL_TEXT}') AS overview,
-       coalesce(release_date, '1900-01-01') AS release_date,
-       coalesce(vote_average, '0.0') AS vote_average, {arr('genre_ids')}, slice
+       coalesce(release_date, '{DATE_FILL}') AS release_date,
+       coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average, {arr('genre_ids')}, slice
 FROM bronze_movies WHERE id IS NOT NULL AND title IS NOT NULL""")
 ORACLE["fill_defaults_tv"] = _q(["bronze_tv"], f"""
 SELECT {arr('genre_ids')}, id, {arr('origin_country')},
-       coalesce(original_language, 'en') AS original_language,
+       coalesce(original_language, '{LANGUAGE_FILL}') AS original_language,
        coalesce(overview, '{FILL_TEXT}') AS overview,
-       coalesce(first_air_date, '1900-01-01') AS first_air_date,
+       coalesce(first_air_date, '{DATE_FILL}') AS first_air_date,
        CASE WHEN vote_average IS NULL OR isnan(vote_average) THEN CAST(0 AS DOUBLE)
             ELSE vote_average END AS vote_average, slice,
        coalesce(name, original_name) AS name, coalesce(original_name, name) AS original_name
@@ -302,10 +326,12 @@ SELECT {TV_OUT} FROM (
   SELECT * FROM silver_tv s WHERE NOT EXISTS (SELECT 1 FROM clean_tv_changes c WHERE c.id = s.id)
   UNION ALL SELECT * FROM clean_tv_changes)""")
 
+ORACLE["anti_join_shuffled"] = ORACLE["anti_join"]
+
 # ------------------------------------------------------------------ sinks
 ORACLE["sink_bronze"] = ORACLE["scan_path"]
 ORACLE["sink_silver"] = _with(MOVIE_INPUTS, SILVER_CTES, f"SELECT {MOVIE_OUT} FROM silver_movies")
-_COLLECTED = _collected(walk(f"({CHANGE_WINDOW})", False, 500))
+_COLLECTED = _collected(walk(f"({CHANGE_WINDOW})", False, CHANGE_PAGE_CAP))
 ORACLE["sink_if_nonempty"] = _q(["change_pages", "movie_details"],
                                 f"SELECT {MOVIE_OUT} FROM ({_COLLECTED})")
 ORACLE["snapshot_replace"] = ORACLE["apply_changes"]
@@ -334,14 +360,29 @@ SELECT {MOVIE_OUT} FROM (
   SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM collected c WHERE c.id = s.id)
   UNION ALL SELECT * FROM collected)""")
 
+_COLLECTED_TV = _collected_tv(walk(f"({change_window(10)})", False, CHANGE_PAGE_CAP))
+ORACLE["pipeline_collect_changes_tv"] = _q(["change_pages", "tv_details"],
+                                           f"SELECT {TV_OUT} FROM ({_COLLECTED_TV})")
+ORACLE["pipeline_collect_then_apply_tv"] = _with(
+    ["bronze_tv", "change_pages", "tv_details"],
+    {"silver_tv": SILVER_TV, "collected": _COLLECTED_TV,
+     "clean_collected": clean_tv("collected")}, f"""
+SELECT {TV_OUT} FROM (
+  SELECT * FROM silver_tv s WHERE NOT EXISTS (SELECT 1 FROM clean_collected c WHERE c.id = s.id)
+  UNION ALL SELECT * FROM clean_collected)""")
+# Days with an odd day of the month are moved ten years on, and all their pages fail in the rerun.
+ORACLE["backfill_emptied_decade"] = _q(["discover_movie_records"], f"""
+SELECT {MOVIE_OUT}, {DECADE} FROM ({_KEPT_RECORDS}) WHERE day(CAST(day AS DATE)) % 2 = 0""")
+
 # -------------------------------------------------------------- streaming
-_DETAIL_ROWS = """
-SELECT id, title, overview, release_date, coalesce(vote_average, '0.0') AS vote_average,
+_DETAIL_ROWS = f"""
+SELECT id, title, overview, release_date, coalesce(vote_average, '{MOVIE_RATING_FILL}') AS vote_average,
        coalesce(genre_ids, CAST([] AS INTEGER[])) AS genre_ids
-FROM movie_details WHERE status = 200"""
+FROM movie_details WHERE ok"""
 ORACLE["stream_apply_changes"] = _with(
     ["bronze_movies", "movie_details"],
     {"silver_movies": SILVER_MOVIES, "landed": _DETAIL_ROWS}, f"""
 SELECT {MOVIE_OUT} FROM (
   SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM landed c WHERE c.id = s.id)
   UNION ALL SELECT * FROM landed)""")
+ORACLE["stream_apply_twice"] = ORACLE["stream_apply_changes"]

@@ -14,29 +14,31 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from reelyard.functions.joins import DEFAULT_BROADCAST_ROWS
-from reelyard.operators.clean import clean, dedupe_by_id, dedupe_split, duplicated_keys
+from reelyard.functions.joins import DEFAULT_BROADCAST_BYTES, Stored
+from reelyard.operators.clean import clean, dedupe_by_id
 from reelyard.operators.ingest import (
     backfill_slices,
     calendar_for_years,
     changed_pages,
     contiguous_pages,
     days_not_landed,
+    decade_of,
     distinct_ids,
-    enrich_details,
     flatten_pages,
+    judged_details,
     lookback_calendar,
     lookback_days,
     reshape_details,
     stored_page_cuts,
-    typed_details,
+    stored_pages,
     walk_ends,
+    wanted_details,
 )
 from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
 from reelyard.schemas import CHANGE_ITEM, CHANGE_PAGE_CAP, MediaSpec
 from reelyard.sinks.snapshot import current_version, read_snapshot, write_snapshot
-from reelyard.sinks.write import sink_bronze, sink_if_nonempty
+from reelyard.sinks.write import path_exists, sink_bronze, sink_if_nonempty
 from reelyard.sources.records import typed_pages
 from reelyard.sources.scan import scan_glob
 
@@ -63,15 +65,14 @@ def _observed(df: DataFrame, name: str, columns: list[str] | None = None
 
 # ---------------------------------------------------------------- P1 / P2
 
-def _ends(cuts: tuple[DataFrame, int]) -> dict:
-    """Days per walk end, from the stored cut table (at most four rows)."""
-    return {r["ended"]: r["days"] for r in walk_ends(cuts[0]).collect()}
+def _ends(cuts: Stored) -> dict:
+    """Days per walk end, from the stored cut table (a row for each kind of end)."""
+    return {r["ended"]: r["days"] for r in walk_ends(cuts.df).collect()}
 
 
-def backfill_records(landed_pages: DataFrame, spec: MediaSpec,
-                     cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
-    """Landed discover pages -> typed catalogue records tagged by decade."""
-    typed = typed_pages(landed_pages, spec.schema, spec.record_missing_empty)
+def backfill_records(typed: DataFrame, spec: MediaSpec, cuts: Stored | None = None) -> DataFrame:
+    """Typed discover pages (stored: they are read twice) -> catalogue records
+    tagged by decade."""
     records = flatten_pages(contiguous_pages(typed, cuts=cuts), keep=("day",))
     return backfill_slices(records, "day").select(*spec.columns, "decade")
 
@@ -80,21 +81,27 @@ def backfill(landed_pages: DataFrame, spec: MediaSpec, bronze_root: str,
              dataset: str | None = None, years: tuple[int, int] | None = None) -> RunReport:
     """P1 (movies) / P2 (TV): one job writes every decade slice.
 
-    Dynamic partition overwrite replaces only the decades present in this
-    run, so a rerun of one decade leaves the others untouched.  The report
-    counts days by how their page walk ended, so days cut short by a failed
-    or missing page are visible (the reference keeps them silently).  With
-    ``years`` it also counts the calendar days of that range with no landed
-    page at all.
+    The bodies are parsed once, into a table of typed pages; the cuts, the walk
+    and the records read that.  Dynamic partition overwrite replaces only the
+    decades present in this run, so a rerun of one decade leaves the others
+    untouched; a decade with landed pages but no record left is emptied.  The
+    report counts days by how their page walk ended, so days cut short by a
+    failed or missing page are visible (the reference keeps them silently).
+    With ``years`` it also counts the calendar days of that range with no
+    landed page at all.
     """
     path = f"{bronze_root.rstrip('/')}/{dataset or spec.bronze_prefix + 'backfill'}"
-    typed = typed_pages(landed_pages, spec.schema, spec.record_missing_empty)
+    typed = stored_pages(typed_pages(landed_pages, spec.schema, spec.record_missing_empty))
     cuts = stored_page_cuts(typed, True, None)
-    rows = sink_bronze(backfill_records(landed_pages, spec, cuts), path, partition_by=("decade",))
-    metrics = {"path": path, "days_by_end": _ends(cuts)}
+    records = backfill_records(typed, spec, cuts)
+    landed = {r[0] for r in cuts.df.select(decade_of("day")).distinct().collect()}
+    filled = {r[0] for r in records.select("decade").distinct().collect()}  # a few decades each
+    emptied = [f"decade={d}" for d in sorted(landed - filled - {None})]
+    rows = sink_bronze(records, path, partition_by=("decade",), emptied=emptied)
+    metrics = {"path": path, "days_by_end": _ends(cuts), "emptied": emptied}
     if years is not None:
         calendar = calendar_for_years(landed_pages.sparkSession, *years)
-        metrics["days_not_landed"] = days_not_landed(calendar, cuts[0]).count()
+        metrics["days_not_landed"] = days_not_landed(calendar, cuts.df).count()
     return RunReport(rows_written=rows, metrics=metrics)
 
 
@@ -105,53 +112,28 @@ def silver_frame(raw: DataFrame, spec: MediaSpec, order: tuple[str, ...] = ()) -
     return dedupe_by_id(clean(raw, spec), "id", order).select(*spec.silver_order)
 
 
-# Inputs with at least this many files use the split de-duplication; smaller
-# ones are cheaper as one aggregate job (the pre-pass has a fixed cost).
-# Measured locally (tools/dedupe_strategy_check.py): a tie at ~1 GB, split
-# ahead at ~3 GB in 80 files, where shuffles never leave the machine.
-SPLIT_MIN_FILES = 64
-
-
 def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_path: str,
-                 files: int | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 strategy: str = "auto") -> RunReport:
+                 files: int | None = None) -> RunReport:
     """P3 (movies) / P4 (TV): glob every bronze slice, clean, dedupe, snapshot.
 
-    ``strategy="split"``: a pre-pass reads only the key columns and stores the
-    ids that repeat across slices (size-checked); the write job then sends
-    rows with a unique id straight from scan to file and shuffles only the
-    repeated ids (``dedupe_split``).  At scale this replaces a full-row shuffle
-    and two sorts by a narrow key scan.  ``"aggregate"``: one job, one
-    partially aggregated shuffle of all rows.  ``"auto"`` picks split for
-    inputs of ``SPLIT_MIN_FILES`` files or more.  Either way the null profiles
-    and row counts of the raw, cleaned and silver rows are observed during the
-    write job.
+    One job, with one partially aggregated shuffle whatever the size of the
+    input.  Of an id in several slices the row whose file was written last
+    wins.  The null profiles and row counts of the raw, cleaned and silver rows
+    are observed during the write job.
     """
-    def bronze():
-        return scan_glob(spark, bronze_root, spec.bronze_prefix, "_slice", spec.schema)
-
-    if strategy == "auto":
-        strategy = "split" if len(bronze().inputFiles()) >= SPLIT_MIN_FILES else "aggregate"
-    raw, obs_raw = _observed(bronze(), "raw", spec.columns)
-    observed, obs_clean = _observed(clean(raw, spec), "cleaned")
-    n_dups = None
-    if strategy == "split":
-        keys_only = scan_glob(spark, bronze_root, spec.bronze_prefix, schema=spec.schema)
-        dup_keys, n_dups = duplicated_keys(clean(keys_only, spec).select("id"), "id")
-        out = dedupe_split(clean(bronze(), spec), dup_keys, n_dups, "id", ("_slice",),
-                           broadcast_rows, passthrough=observed, null_keys=False)
-    else:
-        out = dedupe_by_id(observed, "id", ("_slice",))
+    bronze = scan_glob(spark, bronze_root, spec.bronze_prefix, schema=spec.schema,
+                       version_column="_written")
+    raw, obs_raw = _observed(bronze, "raw", spec.columns)
+    cleaned, obs_clean = _observed(clean(raw, spec), "cleaned")
+    out = dedupe_by_id(cleaned, "id", ("_written",))
     out, obs_out = _observed(out.select(*spec.silver_order), "silver", spec.silver_order)
     base = current_version(spark, silver_path)
     version, rows = write_snapshot(out, silver_path, base, files)
     m_raw, m_clean, m_out = obs_raw.get, obs_clean.get, obs_out.get
     metrics = {
-        "strategy": strategy,
         "raw_rows": m_raw["rows"],
         "removed_invalid": m_raw["rows"] - m_clean["rows"],
         "removed_duplicates": m_clean["rows"] - m_out["rows"],
-        "repeated_ids": n_dups,
         "raw_nulls": {c: m_raw[f"null_{c}"] for c in spec.columns},
         "silver_nulls": {c: m_out[f"null_{c}"] for c in spec.silver_order},
     }
@@ -161,55 +143,74 @@ def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_
 
 # ---------------------------------------------------------------------- P5
 
+def change_window(change_pages: DataFrame, today: str, days: int) -> DataFrame:
+    """The look-back days' change-list pages, typed and stored."""
+    return stored_pages(typed_pages(lookback_days(change_pages, "day", days, today), CHANGE_ITEM))
+
+
+def changed_details(pages: DataFrame, details: DataFrame, spec: MediaSpec, cap: int = CHANGE_PAGE_CAP,
+                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                    cuts: Stored | None = None) -> DataFrame:
+    """Change-list walk -> distinct ids -> their detail responses, typed, with
+    ``status`` and ``readable`` (failed lookups included)."""
+    ids = distinct_ids(flatten_pages(changed_pages(pages, cap, broadcast_bytes, cuts), keep=()))
+    return judged_details(wanted_details(ids, details, "id", broadcast_bytes)
+                          .withColumn("_status", F.col("status")), spec, keep=("_status",))
+
+
 def changed_records(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,
-                    today: str | Column, days: int, cap: int = CHANGE_PAGE_CAP,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    cuts: tuple[DataFrame, int] | None = None) -> DataFrame:
+                    today: str, days: int, cap: int = CHANGE_PAGE_CAP,
+                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Look-back days -> change-list walk -> distinct ids -> details -> rows."""
-    pages = changed_pages(_change_window(change_pages, today, days), cap, broadcast_rows, cuts)
-    ids = distinct_ids(flatten_pages(pages, keep=()))
-    fetched = enrich_details(ids, details, "id", broadcast_rows)
-    return reshape_details(typed_details(fetched, spec), spec)
+    found = changed_details(change_window(change_pages, today, days), details, spec, cap, broadcast_bytes)
+    return _records(found, spec)
 
 
-def _change_window(change_pages: DataFrame, today: str | Column, days: int) -> DataFrame:
-    return typed_pages(lookback_days(change_pages, "day", days, today), CHANGE_ITEM)
+def _records(found: DataFrame, spec: MediaSpec) -> DataFrame:
+    return reshape_details(found.where((F.col("_status") == 200) & F.col("readable")), spec)
 
 
 def collect_changes(change_pages: DataFrame, details: DataFrame, spec: MediaSpec,
-                    today: str | Column, days: int, changes_path: str,
+                    today: str, days: int, changes_path: str,
                     cap: int = CHANGE_PAGE_CAP) -> RunReport:
     """P5: write the change set, or leave the previous one when there is none.
 
-    The report counts look-back days by how their change-list walk ended and,
-    for a literal ``today``, the look-back days with no landed page at all.
+    ``today`` is a literal day, so the look-back reaches the scan.  The report
+    counts look-back days by how their change-list walk ended (``page_cap``:
+    more pages were reported than are read), days with no landed page at all,
+    and the changed ids whose lookup failed or whose body cannot be read.
     """
-    cuts = stored_page_cuts(_change_window(change_pages, today, days), False, cap)
-    records = changed_records(change_pages, details, spec, today, days, cap, cuts=cuts)
-    rows = sink_if_nonempty(records, changes_path)
-    metrics = {"path": changes_path, "days_by_end": _ends(cuts)}
-    if isinstance(today, str):
-        calendar = lookback_calendar(change_pages.sparkSession, days, today)
-        metrics["days_not_landed"] = days_not_landed(calendar, cuts[0]).count()
+    pages = change_window(change_pages, today, days)
+    cuts = stored_page_cuts(pages, False, cap)
+    obs = Observation("details")
+    failed = F.coalesce(F.col("_status") != 200, F.lit(True))
+    found = changed_details(pages, details, spec, cap, cuts=cuts).observe(
+        obs, F.count_if(failed).alias("failed_lookups"),
+        F.count_if(~failed & ~F.col("readable")).alias("unreadable_details"))
+    rows = sink_if_nonempty(_records(found, spec), changes_path)
+    metrics = {"path": changes_path, "days_by_end": _ends(cuts), **obs.get}
+    calendar = lookback_calendar(change_pages.sparkSession, days, today)
+    metrics["days_not_landed"] = days_not_landed(calendar, cuts.df).count()
     return RunReport(rows_written=rows, metrics=metrics)
 
 
 # ---------------------------------------------------------------------- P6
 
 def merged_frame(silver: DataFrame, changes: DataFrame, spec: MediaSpec,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, order: tuple = ()
-                 ) -> tuple[DataFrame, list[Observation]]:
-    """Upsert with counters observed on each branch (original, kept, change).
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, order: tuple = ()
+                 ) -> tuple[DataFrame, list[Observation], int]:
+    """Upsert with counters observed on each branch (original, kept, change),
+    and how many changes there are.
 
     ``order`` names version columns of ``changes`` (the newest change of an id
     wins); without it the greatest row wins.
     """
     base, obs_base = _observed(clean(silver, spec).select(*spec.silver_order), "original")
-    latest, n = latest_changes(clean(changes, spec), spec.silver_order, "id", order)
-    kept, obs_kept = _observed(anti_join(base, latest, "id", broadcast_rows, right_rows=n), "kept")
+    latest, n, size = latest_changes(clean(changes, spec), spec.silver_order, "id", order)
+    kept, obs_kept = _observed(anti_join(base, latest, "id", broadcast_bytes, right_bytes=size), "kept")
     latest_rows, obs_change = _observed(latest, "changes")
     merged, obs_out = _observed(union_by_name(kept, latest_rows), "updated", spec.silver_order)
-    return merged, [obs_base, obs_kept, obs_change, obs_out]
+    return merged, [obs_base, obs_kept, obs_change, obs_out], n
 
 
 def apply_changes_run(spark: SparkSession, silver_path: str, changes_path: str,
@@ -223,7 +224,7 @@ def apply_changes_run(spark: SparkSession, silver_path: str, changes_path: str,
     base_version = current_version(spark, silver_path)
     silver = read_snapshot(spark, silver_path, base_version)
     changes = spark.read.parquet(changes_path)
-    merged, (o_base, o_kept, o_change, o_out) = merged_frame(silver, changes, spec)
+    merged, (o_base, o_kept, o_change, o_out), _ = merged_frame(silver, changes, spec)
     version, rows = write_snapshot(merged, silver_path, base_version, files)
     metrics = {
         "original_rows": o_base.get["rows"],
@@ -239,20 +240,15 @@ def apply_changes_run(spark: SparkSession, silver_path: str, changes_path: str,
 # ---------------------------------------------------------------------- P7
 
 def collect_then_apply(spark: SparkSession, change_pages: DataFrame, details: DataFrame,
-                       spec: MediaSpec, today: str | Column, days: int, changes_path: str,
+                       spec: MediaSpec, today: str, days: int, changes_path: str,
                        silver_path: str, cap: int = CHANGE_PAGE_CAP) -> RunReport:
     """Collect the change set; apply it only if the collection succeeded.
 
     With no new rows the previous change set is left in place and applied
     again, which is harmless: the upsert is idempotent.
     """
-    from pyspark.errors import AnalysisException
-
     collected = collect_changes(change_pages, details, spec, today, days, changes_path, cap)
-    if collected.rows_written == 0:
-        try:
-            spark.read.parquet(changes_path).schema  # noqa: B018 - an earlier change set?
-        except AnalysisException:
-            log.warning("no change set at %s yet; nothing to apply", changes_path)
-            return RunReport(version=current_version(spark, silver_path))
+    if collected.rows_written == 0 and not path_exists(spark, changes_path):
+        log.warning("no change set at %s yet; nothing to apply", changes_path)
+        return RunReport(version=current_version(spark, silver_path))
     return apply_changes_run(spark, silver_path, changes_path, spec)

@@ -22,6 +22,7 @@ from reelyard.operators import profile as G
 from reelyard.plans import pipelines as P
 from reelyard.schemas import (
     CHANGE_ITEM,
+    CHANGE_PAGE_CAP,
     MOVIE,
     MOVIE_DETAIL_SCHEMA,
     TV,
@@ -37,9 +38,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def render(df: DataFrame) -> DataFrame:
-    """Arrays -> ``[a,b]`` text (null stays null, nulls inside are skipped)."""
+    """Arrays -> ``[a,null]`` text (a null array stays null)."""
     return df.select(*[
-        F.concat(F.lit("["), F.array_join(F.col(f.name), ","), F.lit("]")).alias(f.name)
+        F.concat(F.lit("["), F.array_join(F.transform(
+            f.name, lambda x: F.coalesce(x.cast("string"), F.lit("null"))), ","), F.lit("]")).alias(f.name)
         if isinstance(f.dataType, ArrayType) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -65,27 +67,33 @@ def _typed_movie_pages(spark, sf):
 
 
 def _typed_change_pages(spark, sf):
-    return typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM)
+    return I.stored_pages(typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM))
+
+
+def _genre_ids(details: DataFrame) -> DataFrame:
+    """Typed details with the genres' ids in place of the genres."""
+    ids = F.transform("genres", lambda g: g["id"])
+    return render(details.withColumn("genre_ids", ids).drop("genres"))
 
 
 def _page_view(df: DataFrame) -> DataFrame:
     return df.select("day", "page", "status", "total_pages", _n("results").alias("n_results"))
 
 
-def _change_today(spark: SparkSession, sf: str):
-    """Scalar subquery: the day after the last landed change-list day."""
-    last = fx.change_pages(spark, sf).agg(F.max(F.to_date("day")))
-    return F.date_add(last.scalar(), 1)
+def _change_today(spark: SparkSession, sf: str) -> str:
+    """The day after the last landed change-list day, as a literal (one value)."""
+    last = fx.table(spark, sf, "events").agg(F.date_add(F.to_date(F.max("ts")), 1)).first()[0]
+    return last.isoformat()
 
 
 def _write_slices(spark: SparkSession, bronze: DataFrame, spec: MediaSpec,
-                  changes: DataFrame) -> str:
-    """Land a bronze fixture as slice directories ``<prefix>slice<k>`` plus
-    the change set (which the slice glob must not pick up)."""
+                  changes: DataFrame, names: tuple[str, str] = ("slice0", "slice1")) -> str:
+    """Land a bronze fixture as slice directories ``<prefix><name>``, the newer
+    one later, plus the change set (which the slice glob must not pick up)."""
     root = scratch_path(spark, f"bronze-{spec.name}")
     for k in (0, 1):
         W.sink_bronze(bronze.where(F.col("slice") == k).drop("slice"),
-                      f"{root}/{spec.bronze_prefix}slice{k}")
+                      f"{root}/{spec.bronze_prefix}{names[k]}")
     W.sink_bronze(changes, f"{root}/{spec.changes_dataset}")
     return root
 
@@ -106,8 +114,7 @@ def q_scan_path(spark, sf):
 
 def q_typed_records(spark, sf):
     det = typed_records(fx.movie_details(spark, sf), "body", MOVIE_DETAIL_SCHEMA, keep=("status",))
-    return det.select("status", *[c for c in MOVIE.columns if c != "genre_ids"],
-                      _n("genres").alias("n_genres"))
+    return _genre_ids(det)
 
 
 def q_typed_records_empty(spark, sf):
@@ -131,18 +138,34 @@ def q_flatten_pages(spark, sf):
 
 
 def q_contiguous_pages(spark, sf):
-    return _page_view(I.contiguous_pages(_typed_movie_pages(spark, sf)))
+    return _page_view(I.contiguous_pages(I.stored_pages(_typed_movie_pages(spark, sf))))
 
 
 def q_changed_pages(spark, sf):
     return _page_view(I.changed_pages(_typed_change_pages(spark, sf)))
 
 
-def q_page_walk_ends(spark, sf):
-    cuts = I.page_cuts(_typed_change_pages(spark, sf), False, 500)
+def _walk_ends(spark, sf, cap):
+    cuts = I.page_cuts(typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM), False, cap)
     return cuts.select("day", (F.col("cut") - 1).cast("long").alias("pages_kept"), "ended")
 
 
+def q_page_walk_ends(spark, sf):
+    return _walk_ends(spark, sf, CHANGE_PAGE_CAP)
+
+
+# A cap that the landed days exceed at any size of the tables.
+LOW_CAP = 20
+
+
+def q_page_walk_ends_capped(spark, sf):
+    return _walk_ends(spark, sf, LOW_CAP)
+
+
+def q_changed_pages_capped(spark, sf):
+    return _page_view(I.changed_pages(_typed_change_pages(spark, sf), LOW_CAP))
+
+
 def q_calendar_gaps(spark, sf):
     """Days of the landed years with no landed discover page."""
     landed = fx.discover_movie_pages(spark, sf)
@@ -178,9 +201,8 @@ def q_distinct_ids(spark, sf):
 
 def q_enrich_details(spark, sf):
     got = I.enrich_details(_walked_change_ids(spark, sf), fx.movie_details(spark, sf))
-    det = typed_records(got, "body", MOVIE_DETAIL_SCHEMA)
-    return det.select(*[c for c in MOVIE.columns if c != "genre_ids"],
-                      _n("genres").alias("n_genres"))
+    det = typed_records(got, "body", MOVIE_DETAIL_SCHEMA, readable="readable")
+    return _genre_ids(det.where("readable").drop("readable"))
 
 
 def q_reshape_details(spark, sf):
@@ -194,7 +216,20 @@ def q_reshape_details_tv(spark, sf):
 
 
 def q_backfill_slices(spark, sf):
-    return render(P.backfill_records(fx.discover_movie_pages(spark, sf), MOVIE))
+    return render(P.backfill_records(I.stored_pages(_typed_movie_pages(spark, sf)), MOVIE))
+
+
+def q_backfill_emptied_decade(spark, sf):
+    """A rerun in which every page of one decade fails empties that decade."""
+    pages = fx.discover_movie_pages(spark, sf)
+    odd = F.dayofmonth(F.to_date("day")) % 2 == 1
+    later = F.date_format(F.add_months(F.to_date("day"), 120), "yyyy-MM-dd")
+    root = scratch_path(spark, "backfill-rerun")
+    moved = pages.withColumn("moved", odd).withColumn("day", F.when(odd, later).otherwise(F.col("day")))
+    P.backfill(moved.drop("moved"), MOVIE, root)
+    failed = moved.withColumn("status", F.when(F.col("moved"), 500).otherwise(F.col("status")))
+    rep = P.backfill(failed.drop("moved"), MOVIE, root)
+    return render(spark.read.parquet(rep.metrics["path"]))
 
 
 # ------------------------------------------------------------ C projections
@@ -211,14 +246,18 @@ def _tv_named(spark, sf):
     return C.mutual_coalesce(fx.bronze_tv(spark, sf))
 
 
-# Pre-fill TV frames still hold NaN ratings, which no engine compares equal to
-# itself; those two views leave the rating out (it is untouched by them).
+def _visible_nan(df: DataFrame) -> DataFrame:
+    """Pre-fill TV frames still hold NaN ratings, which no engine compares equal
+    to itself: they are shown as -1."""
+    return df.withColumn("vote_average", F.nanvl("vote_average", F.lit(-1.0)))
+
+
 def q_mutual_coalesce(spark, sf):
-    return render(_tv_named(spark, sf).drop("vote_average"))
+    return render(_visible_nan(_tv_named(spark, sf)))
 
 
 def q_tv_valid_rows(spark, sf):
-    return render(C.tv_valid_rows(_tv_named(spark, sf)).drop("vote_average"))
+    return render(_visible_nan(C.tv_valid_rows(_tv_named(spark, sf))))
 
 
 def q_fill_defaults(spark, sf):
@@ -289,6 +328,12 @@ def q_anti_join(spark, sf):
     return render(J.anti_join(silver_movies(spark, sf), changes))
 
 
+def q_anti_join_shuffled(spark, sf):
+    """The same join with no broadcast allowed: the plan beyond the size bound."""
+    changes = C.clean(fx.movie_changes(spark, sf), MOVIE)
+    return render(J.anti_join(silver_movies(spark, sf), changes, broadcast_bytes=0))
+
+
 def q_upsert(spark, sf):
     return render(J.upsert(silver_movies(spark, sf), fx.movie_changes(spark, sf)))
 
@@ -362,7 +407,8 @@ def q_pipeline_backfill_tv(spark, sf):
 
 
 def _silver(spark, sf, spec, bronze_fn, changes_fn):
-    root = _write_slices(spark, bronze_fn(spark, sf), spec, changes_fn(spark, sf))
+    # The newer slice has the name that sorts first: when it was written decides.
+    root = _write_slices(spark, bronze_fn(spark, sf), spec, changes_fn(spark, sf), ("z", "a"))
     path = scratch_path(spark, f"silver-{spec.name}")
     P.build_silver(spark, root, spec, path)
     return render(S.read_snapshot(spark, path))
@@ -376,13 +422,21 @@ def q_pipeline_silver_tv(spark, sf):
     return _silver(spark, sf, TV, fx.bronze_tv, fx.tv_changes)
 
 
-def q_pipeline_collect_changes(spark, sf):
-    path = scratch_path(spark, "changes")
-    P.collect_changes(fx.change_pages(spark, sf), fx.movie_details(spark, sf), MOVIE,
-                      _change_today(spark, sf), 3, path)
+def _collect(spark, sf, spec, details_fn):
+    path = scratch_path(spark, f"changes-{spec.name}")
+    P.collect_changes(fx.change_pages(spark, sf), details_fn(spark, sf), spec,
+                      _change_today(spark, sf), spec.lookback_days, path)
     return render(spark.read.parquet(path))
 
 
+def q_pipeline_collect_changes(spark, sf):
+    return _collect(spark, sf, MOVIE, fx.movie_details)
+
+
+def q_pipeline_collect_changes_tv(spark, sf):
+    return _collect(spark, sf, TV, fx.tv_details)
+
+
 def q_pipeline_apply_changes(spark, sf):
     silver_path = scratch_path(spark, "silver-apply")
     S.write_snapshot(silver_movies(spark, sf), silver_path, None)
@@ -392,15 +446,23 @@ def q_pipeline_apply_changes(spark, sf):
     return render(S.read_snapshot(spark, silver_path))
 
 
-def q_pipeline_collect_then_apply(spark, sf):
-    silver_path = scratch_path(spark, "silver-p7")
-    S.write_snapshot(silver_movies(spark, sf), silver_path, None)
-    changes_path = scratch_path(spark, "changes-p7")
-    P.collect_then_apply(spark, fx.change_pages(spark, sf), fx.movie_details(spark, sf), MOVIE,
-                         _change_today(spark, sf), 3, changes_path, silver_path)
+def _collect_then_apply(spark, sf, spec, silver, details_fn):
+    silver_path = scratch_path(spark, f"silver-p7-{spec.name}")
+    S.write_snapshot(silver, silver_path, None)
+    P.collect_then_apply(spark, fx.change_pages(spark, sf), details_fn(spark, sf), spec,
+                         _change_today(spark, sf), spec.lookback_days,
+                         scratch_path(spark, f"changes-p7-{spec.name}"), silver_path)
     return render(S.read_snapshot(spark, silver_path))
 
 
+def q_pipeline_collect_then_apply(spark, sf):
+    return _collect_then_apply(spark, sf, MOVIE, silver_movies(spark, sf), fx.movie_details)
+
+
+def q_pipeline_collect_then_apply_tv(spark, sf):
+    return _collect_then_apply(spark, sf, TV, silver_tv(spark, sf), fx.tv_details)
+
+
 # ---------------------------------------------------------------- streaming
 
 def q_stream_apply_changes(spark, sf):
@@ -414,6 +476,20 @@ def q_stream_apply_changes(spark, sf):
     return render(S.read_snapshot(spark, silver_path))
 
 
+def q_stream_apply_twice(spark, sf):
+    """Two landings, each applied by a run of its own with default arguments."""
+    from reelyard.streaming.changes import apply_landed_changes
+
+    silver_path = scratch_path(spark, "silver-stream-twice")
+    S.write_snapshot(silver_movies(spark, sf), silver_path, None)
+    landing = scratch_path(spark, "landing-twice")
+    details = fx.movie_details(spark, sf)
+    for part in (0, 1):
+        details.where(F.col("id") % 2 == part).write.mode("append").parquet(landing)
+        apply_landed_changes(spark, landing, silver_path, MOVIE)
+    return render(S.read_snapshot(spark, silver_path))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

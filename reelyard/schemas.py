@@ -97,16 +97,12 @@ class MediaSpec:
     schema: StructType
     bronze_prefix: str            # slice directories are ``<prefix><suffix>``
     changes_dataset: str
-    silver_dataset: str
     fills: dict
     arrays: dict                  # column -> element type of a typed empty array
     required: tuple               # columns that must be non-null (movies)
     name_pair: tuple | None       # mutually coalesced columns (TV)
     silver_order: list = field(default_factory=list)
     detail_schema: StructType | None = None
-    rating_type: DataType = StringType()
-    rating_fill: object = None
-    date_column: str = "release_date"
     # Array fields whose *missing* key means an empty array (an explicit JSON
     # null stays null), in listing records and in detail bodies.
     record_missing_empty: tuple = ()
@@ -126,7 +122,6 @@ MOVIE = MediaSpec(
     schema=MOVIE_SCHEMA,
     bronze_prefix="movie_",
     changes_dataset="movies_changes",
-    silver_dataset="movies_70_26",
     fills={"overview": OVERVIEW_FILL, "release_date": DATE_FILL,
            "vote_average": MOVIE_RATING_FILL},
     arrays={"genre_ids": IntegerType()},
@@ -134,9 +129,6 @@ MOVIE = MediaSpec(
     name_pair=None,
     silver_order=[f.name for f in MOVIE_SCHEMA.fields],
     detail_schema=MOVIE_DETAIL_SCHEMA,
-    rating_type=StringType(),
-    rating_fill=MOVIE_RATING_FILL,
-    date_column="release_date",
     detail_missing_default={"vote_average": MOVIE_RATING_FILL},
 )
 
@@ -145,7 +137,6 @@ TV = MediaSpec(
     schema=TV_SCHEMA,
     bronze_prefix="tv_shows_",
     changes_dataset="tv_changes",
-    silver_dataset="tv_shows_70_26",
     fills={"overview": OVERVIEW_FILL, "first_air_date": DATE_FILL,
            "vote_average": TV_RATING_FILL, "original_language": LANGUAGE_FILL},
     arrays={"origin_country": StringType(), "genre_ids": IntegerType()},
@@ -153,9 +144,6 @@ TV = MediaSpec(
     name_pair=("name", "original_name"),
     silver_order=TV_SILVER_ORDER,
     detail_schema=TV_DETAIL_SCHEMA,
-    rating_type=DoubleType(),
-    rating_fill=TV_RATING_FILL,
-    date_column="first_air_date",
     record_missing_empty=("genre_ids", "origin_country"),
     detail_missing_empty=("origin_country",),
     lookback_days=TV_LOOKBACK_DAYS,

@@ -8,7 +8,6 @@ cluster names, never on one machine's local disk.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,20 +40,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 MB = 1024 * 1024
 
 
-def scale_settings(input_bytes: int, slots: int) -> dict[str, str]:
+def scale_settings(input_bytes: int, slots: int, most_reducers: int | None = None) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of Parquet on ``slots``
     executor cores.
 
     Scans split at 256 MB (compressed; payload text expands a few times in
     memory, which a 6 GB / 1-core executor absorbs).  The initial shuffle
     width gives ~512 MB per reducer for a full-width shuffle of the input (the
-    de-duplication is the only one; its sort spills), at least two waves of
-    tasks and at most 100k reducers, beyond which map-output metadata on the
-    driver grows faster than it helps; AQE then coalesces small partitions
-    towards 256 MB and splits skewed partitions of joins.
+    de-duplication is the only one; its sort spills) and at least two waves of
+    tasks; AQE then coalesces small partitions towards 256 MB and splits skewed
+    partitions of joins.  ``most_reducers`` bounds the width for a driver that
+    cannot hold the map-output metadata; each reducer then gets more data.
     """
     scan = 256 * MB
-    shuffle = min(100_000, max(2 * slots, -(-input_bytes // (512 * MB))))
+    shuffle = max(2 * slots, -(-input_bytes // (512 * MB)))
+    if most_reducers is not None:
+        shuffle = min(shuffle, most_reducers)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -75,17 +76,12 @@ def tune_for_input(spark: SparkSession, input_bytes: int, slots: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared scratch area.
-
-    Uses ``spark.checkpoint.dir`` as configured by the cluster.  Only when it is
-    unset (local tests) a fresh directory is created and registered.
-    """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """Root of the shared scratch area: ``spark.checkpoint.dir`` as the cluster
+    sets it, else the session's checkpoint directory (``setCheckpointDir``)."""
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="reelyard-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        raise RuntimeError(f"side tables need a folder that driver and executors share: set {CHECKPOINT_CONF}, "
+                           "or call SparkContext.setCheckpointDir")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -2,39 +2,37 @@
 
 The reference reads silver, caches it and overwrites the same path; without
 the cache (or after losing an executor that held it) the job deletes its own
-input, and two schedules writing the same path can interleave.  Here every
-replacement writes a new directory of its own, verifies it, and only then
-appends a commit record:
+input.  Here every replacement writes a directory of its own, verifies it, and
+only then creates the version's commit record:
 
     <path>/version=00000002/attempt=<id>/part-*.parquet
-    <path>/_commits/part-*.json      one record per commit
-
-Readers take the highest committed version, so a failed or half-written
-version is never visible and the previous one stays readable.  Concurrency is
-optimistic and needs no atomic rename: a writer refuses to start if the
-committed version already moved past its base, and if two writers race to the
-same version, the earliest commit record wins (ties by attempt id).
-Every writer re-reads the log after committing and raises if it lost, so the
-losing data is never read.
+    <path>/_commits/v00000002.json
+
+Readers take the highest record, so a failed or half-written version is never
+visible and the previous one stays readable.  A record is created exclusively
+(``FileSystem.create`` without overwrite): of two writers of one version the
+second gets ``SnapshotConflict``, whatever their clocks say.  A store without
+exclusive create (some object stores) needs a single writer.
+
+A record also carries, for each change stream that feeds the dataset, the last
+micro-batch applied, copied from version to version.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelyard.sinks.write import BLOCK_SIZE, sink_silver
 
-COMMIT_SCHEMA = StructType([
+HISTORY_SCHEMA = StructType([
     StructField("version", LongType(), False),
     StructField("rows", LongType(), False),
     StructField("base_version", LongType(), True),
-    StructField("committed_at", TimestampType(), True),
+    StructField("stream", StringType(), True),
     StructField("stream_batch", LongType(), True),
     StructField("attempt", StringType(), True),
 ])
@@ -57,125 +55,129 @@ def attempt_path(path: str, version: int, attempt: str) -> str:
     return f"{version_path(path, version)}/attempt={attempt}"
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+def _record_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/_commits/v{version:08d}.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it (HDFS, object stores, local)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions with a commit record, ascending (``vacuum_snapshots`` keeps the list short)."""
+    fs, folder = _fs(spark, f"{path.rstrip('/')}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
+
+
+def _record(spark: SparkSession, path: str, version: int) -> dict:
+    fs, target = _fs(spark, _record_path(path, version))
+    if not fs.exists(target):
+        raise FileNotFoundError(f"no committed version {version} at {path}")
+    with_stream = fs.open(target)
     try:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{path.rstrip('/')}/_commits")
-    except AnalysisException:
-        return None
+        text = bytes(with_stream.readAllBytes()).decode()
+    finally:
+        with_stream.close()
+    if not text:
+        raise SnapshotConflict(f"{path}: version {version} is being committed or its writer died; "
+                               f"remove {_record_path(path, version)} if it did")
+    return json.loads(text)
 
 
-def _winners(log: DataFrame) -> DataFrame:
-    """One commit record per version: the earliest (then smallest attempt)."""
-    record = F.struct(*[F.col(c) for c in log.columns])
-    return (log.groupBy("version")
-            .agg(F.min_by(record, F.struct("committed_at", "attempt")).alias("_w"))
-            .select("_w.*"))
+def _commit(spark: SparkSession, path: str, record: dict) -> None:
+    """Create the version's record; an existing one raises ``SnapshotConflict``."""
+    from py4j.protocol import Py4JJavaError
+
+    fs, target = _fs(spark, _record_path(path, record["version"]))
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        if fs.exists(target):
+            raise SnapshotConflict(
+                f"{path}: another writer committed version {record['version']} first") from e
+        raise
+    try:
+        out.write(bytearray(json.dumps(record).encode()))
+    finally:
+        out.close()
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version, or None for a dataset never written."""
-    log = _commits(spark, path)
-    if log is None:
-        return None
-    v = log.agg(F.max("version")).first()[0]
-    return None if v is None else int(v)
-
-
-def _winner(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
-    """``(version, attempt)`` of the winning commit of ``version`` (default: the
-    highest committed version): the earliest record, ties by attempt id.  One
-    read of the log (a top-1, not a sort)."""
-    log = _commits(spark, path)
-    if log is None:
-        return None
-    if version is not None:
-        log = log.where(F.col("version") == version)
-    row = log.orderBy(F.col("version").desc(), "committed_at", "attempt") \
-        .select("version", "attempt").first()
-    return None if row is None else (int(row["version"]), row["attempt"])
+    versions = _versions(spark, path)
+    return versions[-1] if versions else None
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The committed version (default: current) as a DataFrame."""
-    won = _winner(spark, path, version)
-    if won is None:
-        what = "snapshot" if version is None else f"version {version}"
-        raise FileNotFoundError(f"no committed {what} at {path}")
-    return spark.read.parquet(attempt_path(path, *won))
+    if version is None:
+        version = current_version(spark, path)
+        if version is None:
+            raise FileNotFoundError(f"no committed snapshot at {path}")
+    record = _record(spark, path, version)
+    return spark.read.parquet(attempt_path(path, version, record["attempt"]))
 
 
 def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
                    files: int | None = None, block_size: int = BLOCK_SIZE,
-                   stream_batch: int | None = None) -> tuple[int, int]:
+                   stream: tuple[str, int] | None = None) -> tuple[int, int]:
     """Write ``df`` as the next version, verify it, commit it.
 
     ``base_version`` is the version the caller read ``df`` from (None for the
-    first write).  ``stream_batch`` records which micro-batch produced the
-    version, so a replayed batch can be recognised.  Returns ``(version, rows)``.
+    first write).  ``stream`` names the change stream and the micro-batch that
+    made the version, so a replayed batch can be recognised.  The row count is
+    that of the written files.  Returns ``(version, rows)``.
     """
     spark = df.sparkSession
     new = (base_version or 0) + 1
     latest = current_version(spark, path)
     if latest is not None and latest >= new:
         raise SnapshotConflict(f"{path}: version {latest} exists, base was {base_version}")
+    streams = _record(spark, path, base_version)["streams"] if base_version else {}
     attempt = uuid.uuid4().hex
     target = attempt_path(path, new, attempt)
-    rows = sink_silver(df, target, files, block_size)
-    written = spark.read.parquet(target).count()
-    if written != rows:
-        raise SnapshotVerificationError(f"{target}: wrote {rows} rows, read back {written}")
-    # No second "base moved" check before committing: if another writer
-    # committed this version meanwhile, its record is earlier and the winner
-    # check below raises.
-    record = spark.createDataFrame(
-        [(new, rows, base_version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-          stream_batch, attempt)],
-        COMMIT_SCHEMA)
-    record.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/_commits")
-    if _winner(spark, path, new) != (new, attempt):
-        raise SnapshotConflict(f"{path}: another writer committed version {new} first")
+    observed = sink_silver(df, target, files, block_size)
+    rows = spark.read.parquet(target).count()  # from the files' footers
+    if rows != observed:
+        raise SnapshotVerificationError(f"{target}: wrote {observed} rows, read back {rows}")
+    name, batch = stream or (None, None)
+    if name is not None:
+        streams = streams | {name: batch}
+    _commit(spark, path, {"version": new, "rows": rows, "base_version": base_version,
+                          "stream": name, "stream_batch": batch, "streams": streams,
+                          "attempt": attempt})
     return new, rows
 
 
-def batch_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
-    """Whether a micro-batch already produced a winning commit."""
-    log = _commits(spark, path)
-    return log is not None and not _winners(log).where(F.col("stream_batch") == batch_id).isEmpty()
+def batch_committed(spark: SparkSession, path: str, stream: str, batch_id: int) -> bool:
+    """Whether this micro-batch of this stream is in the current version."""
+    version = current_version(spark, path)
+    return version is not None and _record(spark, path, version)["streams"].get(stream, -1) >= batch_id
 
 
 def vacuum_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete the data of committed versions older than the newest ``keep``.
+    """Delete the versions, records included, older than the newest ``keep``.
 
-    Commit records stay (the history is kept); only version directories go.
     Readers pin a version when they start, so keep at least 2 while jobs may
-    still read the previous one.  Deletion goes through the Hadoop file system
-    of the session (HDFS, object stores, local), via the JVM gateway of a
-    classic session.  Returns the versions removed.
+    still read the previous one.  Returns the versions removed.
     """
     if keep < 1:
         raise ValueError("keep at least the current version")
-    log = _commits(spark, path)
-    if log is None:
-        return []
-    newest = log.agg(F.max("version")).first()[0]
-    cutoff = newest - keep + 1
-    old = [int(r[0]) for r in log.where(F.col("version") < cutoff)
-           .select("version").distinct().orderBy("version").collect()]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = []
+    old = _versions(spark, path)[:-keep]
     for v in old:
-        target = jvm.org.apache.hadoop.fs.Path(version_path(path, v))
-        fs = target.getFileSystem(conf)
-        if fs.exists(target):
-            fs.delete(target, True)
-            removed.append(v)
-    return removed
+        fs, data = _fs(spark, version_path(path, v))
+        fs.delete(data, True)
+        fs.delete(_fs(spark, _record_path(path, v))[1], False)
+    return old
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
-    """The winning commit record of every version, oldest first."""
-    log = _commits(spark, path)
-    if log is None:
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    return _winners(log).orderBy("version")
+    """The commit records of the versions kept, oldest first."""
+    rows = [tuple(_record(spark, path, v)[f.name] for f in HISTORY_SCHEMA.fields)
+            for v in _versions(spark, path)]
+    return spark.createDataFrame(rows, HISTORY_SCHEMA)

@@ -12,21 +12,37 @@ log = logging.getLogger(__name__)
 BLOCK_SIZE = 256 * 1024 * 1024
 
 
-def sink_bronze(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
+def sink_bronze(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
+                emptied: list[str] | None = None) -> int:
     """Overwrite one Parquet dataset (W1); returns the rows written.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced
-    (dynamic partition overwrite), so decade slices are independent.  The row
-    count is observed during the write, not by a second job.
+    (dynamic partition overwrite), so decade slices are independent.
+    ``emptied`` names partitions (``decade=1990``) that this run covers but has
+    no rows for: they are removed, as an empty slice replaces an old one.  The
+    row count is observed during the write, not by a second job.
     """
     obs = Observation("sink_bronze")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    for partition in emptied or ():
+        delete_path(df.sparkSession, f"{path.rstrip('/')}/{partition}")
     return int(obs.get["rows"])
 
 
+def path_exists(spark, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete_path(spark, path: str) -> None:
+    """Remove a file or folder through the Hadoop file system, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def sink_silver(df: DataFrame, path: str, files: int | None = None,
                 block_size: int = BLOCK_SIZE) -> int:
     """Overwrite a silver dataset with large row groups (W2); returns rows.
@@ -36,9 +52,10 @@ def sink_silver(df: DataFrame, path: str, files: int | None = None,
     partitions), which avoids an extra full shuffle.
     """
     obs = Observation("sink_silver")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if files is not None:
-        out = out.repartition(files)
+        df = df.repartition(files)
+    # Observed in the write's own stage: a map stage that runs again cannot count twice.
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.mode("overwrite")
         .option("parquet.block.size", block_size)
         .option("compression", "snappy")
@@ -49,19 +66,26 @@ def sink_silver(df: DataFrame, path: str, files: int | None = None,
 def sink_if_nonempty(df: DataFrame, path: str) -> int:
     """Write only when there is at least one row (W3); returns rows written.
 
-    The frame is computed once into a table under the shared scratch folder
-    (its row count observed on the way), so the emptiness decision and the
-    write read the same stored rows, and a lost executor re-reads them instead
-    of recomputing from the landing zone.  With no rows the previous dataset
-    is left in place.
+    The rows are written once, into a folder beside ``path``, and counted on
+    the way; with rows, that folder takes the place of ``path``, without, it is
+    removed and the previous dataset is left in place.  Readers of ``path``
+    during the exchange see the old data or none; the change set has one writer
+    and is read after it.
     """
-    from reelyard.functions.joins import materialize_table
-
-    frozen, rows = materialize_table(df, "guarded")
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.new"
+    rows = sink_bronze(df, fresh)
     if rows == 0:
         log.warning("no rows to write to %s; previous data left in place", path)
+        delete_path(spark, fresh)
         return 0
-    return sink_bronze(frozen, path)
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{fresh} could not take the place of {path}; the new rows are there")
+    return rows
 
 
 def preview(df: DataFrame, n: int = 10, order_by: tuple[str, ...] = ("id",)) -> DataFrame:

@@ -16,7 +16,8 @@ def scan_path(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def scan_glob(spark: SparkSession, root: str, prefix: str,
-              slice_column: str | None = None, schema: StructType | None = None) -> DataFrame:
+              slice_column: str | None = None, schema: StructType | None = None,
+              version_column: str | None = None) -> DataFrame:
     """Every slice directory ``<root>/<prefix>*`` of one media type as one table.
 
     ``movie_*`` matches ``movie_1970`` but not ``movies_changes``.  Files are
@@ -25,14 +26,19 @@ def scan_glob(spark: SparkSession, root: str, prefix: str,
     inferred).  With ``slice_column`` the slice path each row came from (the
     directory plus any ``k=v`` partition directories) is added from the hidden
     ``_metadata`` column, so the scan stays a plain file scan with pushdown and
-    pruning; it serves as the version order when slices overlap.  With a
-    declared ``schema`` no footer is read for inference, and slices that hold
+    pruning.  ``version_column`` adds when the row's file was written
+    (microseconds), then its path: the version order when slices overlap, so a
+    slice written later wins whatever its name.  With a declared ``schema`` no footer is read for inference, and slices that hold
     no rows (an empty backfill) read as zero rows instead of failing.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(f"{root.rstrip('/')}/{prefix}*")
+    if version_column:
+        df = df.withColumn(version_column, F.struct(
+            F.unix_micros("_metadata.file_modification_time").alias("written"),
+            F.col("_metadata.file_path").alias("path")))
     if slice_column:
         df = df.withColumn(
             slice_column,

@@ -8,15 +8,18 @@ the next silver snapshot version.  Run it with ``availableNow`` from the
 scheduler for batch-like runs, or with a processing-time trigger to apply
 changes continuously.
 
-Exactly-once: the stream's checkpoint (under the shared checkpoint folder)
-records which files each batch consumed; a batch that is replayed after a
-failure finds its id already in the snapshot commit log and is skipped, so a
-change set is never applied twice to different bases.
+Exactly-once: the stream's checkpoint records which files each batch consumed;
+by default it lies in the dataset itself (``<silver>/_stream_checkpoint/<feed>``),
+so every run of one feed goes on where the last one stopped.  A commit records
+the stream (the id Spark keeps in the checkpoint) and its batch; a batch that is
+replayed after a failure finds itself there and is skipped.  Two feeds, or a
+feed started anew with another checkpoint, are different streams.
 """
 
 from __future__ import annotations
 
 import logging
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,6 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from reelyard.operators.ingest import reshape_details, typed_details
 from reelyard.plans.pipelines import merged_frame
 from reelyard.schemas import MediaSpec
-from reelyard.session import scratch_path
 from reelyard.sinks.snapshot import (
     batch_committed,
     current_version,
@@ -64,20 +66,18 @@ def landed_changes(spark: SparkSession, landing_dir: str, spec: MediaSpec,
 def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_committed(spark, silver_path, batch_id):
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if batch_committed(spark, silver_path, stream, batch_id):
             log.info("batch %s already applied to %s; skipping replay", batch_id, silver_path)
             return
-        batch.persist()  # read by the emptiness test, the key side and the union
-        try:
-            if batch.isEmpty():
-                return
-            base = current_version(spark, silver_path)
-            merged, _ = merged_frame(read_snapshot(spark, silver_path, base), batch, spec,
-                                     order=(FETCHED,))
-            version, rows = write_snapshot(merged, silver_path, base, files, stream_batch=batch_id)
-            log.info("batch %s -> %s v%s (%s rows)", batch_id, silver_path, version, rows)
-        finally:
-            batch.unpersist()
+        base = current_version(spark, silver_path)
+        # ``merged_frame`` stores the batch's latest changes once; the rest reads that table.
+        merged, _, changes = merged_frame(read_snapshot(spark, silver_path, base), batch, spec,
+                                          order=(FETCHED,))
+        if changes == 0:
+            return
+        version, rows = write_snapshot(merged, silver_path, base, files, stream=(stream, batch_id))
+        log.info("batch %s -> %s v%s (%s rows)", batch_id, silver_path, version, rows)
 
     return apply
 
@@ -87,11 +87,16 @@ def start_change_stream(spark: SparkSession, landing_dir: str, silver_path: str,
                         available_now: bool = True, processing_time: str | None = None,
                         files: int | None = None,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the upsert stream; returns the running query."""
+    """Start the upsert stream; returns the running query.
+
+    Every micro-batch rewrites the silver snapshot, so run it on a schedule
+    (``available_now``) at size; a processing-time trigger suits small sets.
+    """
+    feed = f"{landing_dir.rstrip('/').rsplit('/', 1)[-1]}-{zlib.crc32(landing_dir.rstrip('/').encode()):08x}"
     rows = landed_changes(spark, landing_dir, spec, max_files_per_trigger)
     writer = (rows.writeStream
               .foreachBatch(_apply_batch(silver_path, spec, files))
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{silver_path.rstrip('/')}/_stream_checkpoint/{feed}"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,8 @@ def spark():
     from reelyard.session import local_session
 
     s = local_session(cores=4, shuffle_partitions=4)
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelyard-tests-"))
     yield s
     s.stop()
 

@@ -122,17 +122,3 @@ def test_nan_in_rating_is_not_null_in_profile(spark):
     df = tv(spark, [([1], 1, ["US"], "en", "o", "x", "d", "n", float("nan"))])
     assert G.null_profile(df).collect()[0]["vote_average"] == 0
     assert math.isnan(df.collect()[0].vote_average)
-
-
-def test_split_dedupe_equals_aggregate_dedupe(spark):
-    rows = [(i % 40 if i % 3 else i + 1000, f"t{i}", None, None, str(i % 7), None) for i in range(600)]
-    rows += [(None, "n1", None, None, None, None), (None, "n2", None, None, None, None)]
-    df = movies(spark, rows)
-    keys, n = C.duplicated_keys(df)
-    assert n == 40
-    split = C.dedupe_split(df, keys, n)
-    assert sorted(split.collect(), key=str) == sorted(C.dedupe_by_id(df).collect(), key=str)
-    assert sorted(C.dedupe_split(df, keys, n, broadcast_rows=1).collect(), key=str) == \
-        sorted(split.collect(), key=str)
-    plan = plan_text(split)
-    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan

@@ -70,7 +70,7 @@ def test_anti_join_above_bound_shuffles_and_agrees(spark):
     base, ch = movies(spark, BASE), movies(spark, CHANGES)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = J.anti_join(base, ch, broadcast_rows=1)
+        big = J.anti_join(base, ch, broadcast_bytes=1)
         plan = plan_text(big)
         assert "BroadcastHashJoin" not in plan
         assert sorted(big.collect()) == sorted(J.anti_join(base, ch).collect())

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from reelyard import fixtures as fx
-from reelyard.operators.clean import clean, dedupe_split, duplicated_keys
+from reelyard.operators.ingest import (
+    changed_pages,
+    flatten_pages,
+    lookback_days,
+    reshape_details,
+    stored_pages,
+    typed_details,
+)
+from reelyard.operators.merge import anti_join
 from reelyard.plans import pipelines as P
-from reelyard.plans.queries import _write_slices, silver_movies
-from reelyard.schemas import MOVIE
+from reelyard.plans.queries import silver_movies
+from reelyard.schemas import CHANGE_ITEM, MOVIE, TV
 from reelyard.sinks.write import sink_bronze
-from reelyard.sources.scan import scan_glob
+from reelyard.sources.records import typed_pages
 from tests.conftest import SMOKE, plan_text
 
 
@@ -16,7 +24,7 @@ def test_merge_streams_silver_through_a_broadcast_anti_join(spark, scratch):
     silver, changes = scratch("silver"), scratch("changes")
     silver_movies(spark, SMOKE).write.parquet(silver)
     sink_bronze(fx.movie_changes(spark, SMOKE), changes)
-    merged, _ = P.merged_frame(spark.read.parquet(silver), spark.read.parquet(changes), MOVIE)
+    merged, _, n = P.merged_frame(spark.read.parquet(silver), spark.read.parquet(changes), MOVIE)
     plan = plan_text(merged, "simple")
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     silver_side = plan.split("BroadcastExchange")[0]
@@ -24,12 +32,30 @@ def test_merge_streams_silver_through_a_broadcast_anti_join(spark, scratch):
     assert "PushedFilters: [IsNotNull(id), IsNotNull(title)]" in plan
 
 
-def test_split_dedupe_shuffles_only_repeated_ids(spark):
-    root = _write_slices(spark, fx.bronze_movies(spark, SMOKE), MOVIE, fx.movie_changes(spark, SMOKE))
-    keys, n = duplicated_keys(clean(scan_glob(spark, root, MOVIE.bronze_prefix), MOVIE).select("id"))
-    raw = scan_glob(spark, root, MOVIE.bronze_prefix, "_slice", MOVIE.schema)
-    plan = plan_text(dedupe_split(clean(raw, MOVIE), keys, n, "id", ("_slice",), null_keys=False),
-                     "simple")
-    unique_branch = plan.split("+- Project")[0]
-    assert "LeftAnti" in unique_branch and "Exchange hashpartitioning" not in unique_branch
-    assert plan.count("Exchange hashpartitioning") == 1   # the repeated ids only
+def test_tv_details_are_parsed_once(spark):
+    ok = fx.tv_details(spark, SMOKE).where("status = 200")
+    for spec in (MOVIE, TV):
+        plan = plan_text(reshape_details(typed_details(ok, spec), spec), "simple")
+        assert plan.count("from_json(") == 1
+
+
+def test_the_walk_reads_stored_pages(spark):
+    pages = stored_pages(typed_pages(fx.change_pages(spark, SMOKE), CHANGE_ITEM))
+    assert "from_json(" not in plan_text(flatten_pages(changed_pages(pages)), "simple")
+
+
+def test_look_back_reaches_the_scan(spark, scratch):
+    path = scratch("pages")
+    fx.change_pages(spark, SMOKE).write.parquet(path)
+    plan = plan_text(lookback_days(spark.read.parquet(path), "day", 3, "2024-01-10"), "simple")
+    assert "GreaterThanOrEqual(day,2024-01-07)" in plan
+
+
+def test_no_broadcast_beyond_the_bound(spark):
+    left, right = spark.range(1000), spark.range(10)
+    assert "BroadcastHashJoin" in plan_text(anti_join(left, right), "simple")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan_text(anti_join(left, right, broadcast_bytes=100), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

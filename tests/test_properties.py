@@ -78,13 +78,15 @@ def test_upsert_equals_dict_model(spark, base, changes):
 @given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 15)),
                                st.sampled_from(["a", "b", "c"]), st.integers(0, 2)),
                      max_size=60))
-def test_split_dedupe_equals_aggregate(spark, rows):
+def test_dedupe_equals_a_dict_model(spark, rows):
     from pyspark.sql.types import IntegerType, StructField, StructType
 
-    from reelyard.operators.clean import dedupe_by_id, dedupe_split, duplicated_keys
+    from reelyard.operators.clean import dedupe_by_id
 
     schema = StructType([*MOVIE_SCHEMA.fields, StructField("v", IntegerType())])
     df = spark.createDataFrame([(i, t, None, None, None, None, v) for i, t, v in rows], schema)
-    keys, n = duplicated_keys(df)
-    want = sorted(map(str, dedupe_by_id(df, "id", ("v",)).collect()))
-    assert sorted(map(str, dedupe_split(df, keys, n, "id", ("v",)).collect())) == want
+    model = {}
+    for i, t, v in rows:
+        model[i] = max(model.get(i, (v, t)), (v, t))
+    got = {r.id: (r.v, r.title) for r in dedupe_by_id(df, "id", ("v",)).collect()}
+    assert got == model

@@ -100,8 +100,7 @@ def test_glob_scan_skips_change_dataset_and_names_slices(spark, scratch):
     assert got == [(1, "movie_1970"), (2, "movie_1980")]
 
 
-@pytest.mark.parametrize("strategy", ["split", "aggregate", "auto"])
-def test_silver_pipeline_metrics(spark, scratch, strategy):
+def test_silver_pipeline_metrics(spark, scratch):
     root = scratch("bronze")
     W.sink_bronze(movies(spark, [(1, "old", None, None, None, None), (None, "x", None, None, None, None),
                                  (3, "c", None, None, None, None)]),
@@ -109,10 +108,9 @@ def test_silver_pipeline_metrics(spark, scratch, strategy):
     W.sink_bronze(movies(spark, [(1, "new", None, None, None, None), (2, None, None, None, None, None)]),
                   f"{root}/movie_b")
     silver = scratch("silver")
-    rep = P.build_silver(spark, root, MOVIE, silver, strategy=strategy)
+    rep = P.build_silver(spark, root, MOVIE, silver)
     assert rep.rows_written == 2 and rep.version == 1
     m = rep.metrics
-    assert m["strategy"] == ("aggregate" if strategy == "auto" else strategy)
     assert (m["raw_rows"], m["removed_invalid"], m["removed_duplicates"]) == (5, 2, 1)
     assert m["raw_nulls"]["id"] == 1 and m["raw_nulls"]["title"] == 1
     assert all(v == 0 for v in m["silver_nulls"].values())
@@ -142,37 +140,28 @@ def test_collect_then_apply_with_nothing_collected_leaves_silver(spark, scratch)
     assert rep.version == 1 and S.current_version(spark, silver) == 1
 
 
-@pytest.mark.parametrize("spec_name", ["movie", "tv"])
-def test_silver_strategies_agree_on_fixture(spark, scratch, spec_name):
-    from reelyard import fixtures as fx
-    from reelyard.plans.queries import _write_slices
-    from reelyard.schemas import SPECS
-    from tests.conftest import SMOKE
-
-    spec = SPECS[spec_name]
-    bronze = fx.bronze_movies if spec_name == "movie" else fx.bronze_tv
-    changes = fx.movie_changes if spec_name == "movie" else fx.tv_changes
-    root = _write_slices(spark, bronze(spark, SMOKE), spec, changes(spark, SMOKE))
-    got = {}
-    for strategy in ("split", "aggregate"):
-        path = scratch("silver")
-        rep = P.build_silver(spark, root, spec, path, strategy=strategy)
-        assert rep.metrics["strategy"] == strategy
-        got[strategy] = sorted(map(str, S.read_snapshot(spark, path).collect()))
-    assert got["split"] == got["aggregate"] and got["split"]
-
-
-@pytest.mark.parametrize("strategy", ["split", "aggregate"])
-def test_empty_backfill_then_silver(spark, scratch, strategy):
+def test_a_slice_written_later_wins_whatever_its_name(spark, scratch):
+    import time
+
+    root = scratch("bronze")
+    W.sink_bronze(movies(spark, [(1, "old", None, None, None, None)]), f"{root}/movie_z")
+    time.sleep(0.05)
+    W.sink_bronze(movies(spark, [(1, "new", None, None, None, None)]), f"{root}/movie_a")
+    silver = scratch("silver")
+    P.build_silver(spark, root, MOVIE, silver)
+    assert [r.title for r in S.read_snapshot(spark, silver).collect()] == ["new"]
+
+
+def test_empty_backfill_then_silver(spark, scratch):
     root = scratch("bronze")
     no_pages = spark.createDataFrame([], "day string, page int, status int, body string")
     assert P.backfill(no_pages, MOVIE, root).rows_written == 0
     silver = scratch("silver")
-    rep = P.build_silver(spark, root, MOVIE, silver, strategy=strategy)
+    rep = P.build_silver(spark, root, MOVIE, silver)
     assert rep.rows_written == 0 and rep.version == 1 and rep.metrics["raw_rows"] == 0
     assert S.read_snapshot(spark, silver).columns == MOVIE.columns
     W.sink_bronze(movies(spark, ROWS), f"{root}/movie_more")
-    assert P.build_silver(spark, root, MOVIE, silver, strategy=strategy).rows_written == 2
+    assert P.build_silver(spark, root, MOVIE, silver).rows_written == 2
 
 
 def test_vacuum_keeps_newest_versions(spark, scratch):
@@ -185,7 +174,9 @@ def test_vacuum_keeps_newest_versions(spark, scratch):
     assert S.read_snapshot(spark, path, 3).count() == 2
     assert not os.path.exists(S.version_path(path, 1))
     assert S.vacuum_snapshots(spark, path, keep=2) == []
-    assert len(S.snapshot_history(spark, path).collect()) == 4
+    assert [r.version for r in S.snapshot_history(spark, path).collect()] == [3, 4]  # records go, too
+    with pytest.raises(FileNotFoundError):
+        S.read_snapshot(spark, path, 1)
 
 
 def test_merge_with_empty_inputs_reports_metrics(spark, scratch):
@@ -215,27 +206,100 @@ def test_backfill_reports_walk_ends_and_days_not_landed(spark, scratch):
     assert rep.metrics["days_not_landed"] == 366 - 2
 
 
-def test_racing_writers_one_wins(spark, scratch):
+def test_racing_writers_the_loser_gets_a_conflict(spark, scratch):
     import threading
 
     path = scratch("snap")
     S.write_snapshot(movies(spark, ROWS), path, None)
     results = {}
 
-    def writer(name, title):
-        df = movies(spark, [(9, title, None, None, None, None)])
+    def writer(name):
+        df = movies(spark, [(9, name, None, None, None, None)])
         try:
             results[name] = S.write_snapshot(df, path, 1)
-        except S.SnapshotConflict as e:
+        except Exception as e:  # noqa: BLE001 - told apart below
             results[name] = e
 
-    threads = [threading.Thread(target=writer, args=(n, n)) for n in ("w1", "w2")]
+    threads = [threading.Thread(target=writer, args=(n,)) for n in ("w1", "w2")]
     for t in threads:
         t.start()
     for t in threads:
         t.join()
-    won = [n for n, r in results.items() if not isinstance(r, Exception)]
-    assert len(won) == 1, results
+    won = [n for n, r in results.items() if r == (2, 1)]
+    lost = [r for r in results.values() if isinstance(r, S.SnapshotConflict)]
+    assert len(won) == 1 and len(lost) == 1, results
     assert S.current_version(spark, path) == 2
     assert [r.title for r in S.read_snapshot(spark, path).collect()] == won
     assert [r.version for r in S.snapshot_history(spark, path).collect()] == [1, 2]
+
+
+def test_a_late_writer_loses_whatever_its_clock_says(spark, scratch, monkeypatch):
+    path = scratch("snap")
+    S.write_snapshot(movies(spark, ROWS), path, None)
+    real = S.sink_silver
+
+    def slow(df, target, *args):
+        rows = real(df, target, *args)
+        monkeypatch.setattr(S, "sink_silver", real)  # the other writer commits meanwhile
+        assert S.write_snapshot(movies(spark, ROWS[:1]), path, 1) == (2, 1)
+        return rows
+
+    monkeypatch.setattr(S, "sink_silver", slow)
+    with pytest.raises(S.SnapshotConflict, match="another writer committed version 2"):
+        S.write_snapshot(movies(spark, [(9, "late", None, None, None, None)]), path, 1)
+    assert [r.title for r in S.read_snapshot(spark, path).collect()] == ["a"]
+
+
+def test_an_unfinished_record_blocks_with_a_clear_error(spark, scratch):
+    path = scratch("snap")
+    S.write_snapshot(movies(spark, ROWS), path, None)
+    fs, record = S._fs(spark, S._record_path(path, 2))
+    fs.create(record, False).close()
+    with pytest.raises(S.SnapshotConflict, match="being committed"):
+        S.read_snapshot(spark, path)
+    with pytest.raises(S.SnapshotConflict):
+        S.write_snapshot(movies(spark, ROWS), path, 1)
+
+
+def test_an_emptied_decade_is_replaced(spark, scratch):
+    import json as _json
+
+    def page(day, status):
+        return (day, 1, status, _json.dumps({"page": 1, "total_pages": 1, "results": [{"id": 1, "title": day}]}))
+
+    root, ddl = scratch("bronze"), "day string, page int, status int, body string"
+    rep = P.backfill(spark.createDataFrame([page("1975-01-01", 200), page("1985-01-01", 200)], ddl), MOVIE, root)
+    assert rep.metrics["emptied"] == []
+    rep = P.backfill(spark.createDataFrame([page("1985-01-01", 500)], ddl), MOVIE, root)
+    assert rep.metrics["emptied"] == ["decade=1980"] and rep.rows_written == 0
+    assert [r.title for r in spark.read.parquet(rep.metrics["path"]).collect()] == ["1975-01-01"]
+
+
+def test_bad_details_are_counted_and_leave_the_change_set(spark, scratch):
+    import json as _json
+
+    def collect(details):
+        pages = spark.createDataFrame([("2024-01-09", 1, 200, _json.dumps(
+            {"page": 1, "total_pages": 1, "results": [{"id": 1}, {"id": 2}]}))],
+            "day string, page int, status int, body string")
+        frame = spark.createDataFrame(details, "id int, status int, body string")
+        return P.collect_changes(pages, frame, MOVIE, "2024-01-10", 3, path)
+
+    path = scratch("changes")
+    rep = collect([(1, 200, '{"id": 1, "title": "a"}'), (2, 500, "{}")])
+    assert rep.rows_written == 1 and rep.metrics["failed_lookups"] == 1
+    rep = collect([(1, 200, '{"id": 1, "ti'), (2, 404, "{}")])
+    assert rep.rows_written == 0
+    assert (rep.metrics["failed_lookups"], rep.metrics["unreadable_details"]) == (1, 1)
+    assert [r.title for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_a_capped_day_is_reported(spark, scratch):
+    import json as _json
+
+    pages = [("2024-01-09", n, 200, _json.dumps({"page": n, "total_pages": 9, "results": [{"id": n}]})) for n in range(1, 10)]
+    details = [(n, 200, _json.dumps({"id": n, "title": "t"})) for n in range(1, 10)]
+    rep = P.collect_changes(spark.createDataFrame(pages, "day string, page int, status int, body string"),
+                            spark.createDataFrame(details, "id int, status int, body string"),
+                            MOVIE, "2024-01-10", 3, scratch("changes"), cap=5)
+    assert rep.rows_written == 5 and rep.metrics["days_by_end"] == {"page_cap": 1}

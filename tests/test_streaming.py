@@ -40,16 +40,44 @@ def test_stream_applies_each_landing_once(spark, scratch):
     assert batches[0] is None and len(set(batches[1:])) == 2
 
 
-def test_replayed_batch_is_skipped(spark, scratch):
+def titles(spark, silver):
+    return {r.id: r.title for r in S.read_snapshot(spark, silver).collect()}
+
+
+def test_default_runs_go_on_where_the_last_one_stopped(spark, scratch):
     silver, landing = scratch("silver"), scratch("landing")
-    base = spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA)
-    S.write_snapshot(base, silver, None)
+    S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
     land(spark, landing, [detail(1, "a2")])
-    apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=scratch("ckpt"))
-    assert S.batch_committed(spark, silver, 0)
-    # A fresh checkpoint replays batch 0; the commit log recognises it.
-    apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=scratch("ckpt"))
-    assert S.current_version(spark, silver) == 2
+    assert apply_landed_changes(spark, landing, silver, MOVIE) == 2
+    land(spark, landing, [detail(3, "c")])
+    assert apply_landed_changes(spark, landing, silver, MOVIE) == 3
+    assert apply_landed_changes(spark, landing, silver, MOVIE) == 3   # nothing new
+    assert titles(spark, silver) == {1: "a2", 3: "c"}
+
+
+def test_two_feeds_into_one_silver(spark, scratch):
+    silver, one, two = scratch("silver"), scratch("one"), scratch("two")
+    S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
+    land(spark, one, [detail(2, "b")])
+    land(spark, two, [detail(9, "z")])
+    apply_landed_changes(spark, one, silver, MOVIE)
+    apply_landed_changes(spark, two, silver, MOVIE, checkpoint=scratch("ckpt"))
+    assert titles(spark, silver) == {1: "a", 2: "b", 9: "z"}
+
+
+def test_a_batch_committed_before_a_crash_is_not_applied_again(spark, scratch):
+    import shutil
+
+    silver, landing, ckpt = scratch("silver"), scratch("landing"), scratch("ckpt")
+    S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
+    land(spark, landing, [detail(1, "a2")])
+    apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt)
+    (record,) = [r for r in S.snapshot_history(spark, silver).collect() if r.stream]
+    assert S.batch_committed(spark, silver, record.stream, record.stream_batch)
+    assert not S.batch_committed(spark, silver, "another stream", record.stream_batch)
+    # The stream dies after the snapshot's commit and before its own: the batch is run again.
+    shutil.rmtree(ckpt.removeprefix("file:") + "/commits")
+    assert apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt) == 2
 
 
 def test_newest_fetch_wins_within_a_batch(spark, scratch):

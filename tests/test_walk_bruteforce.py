@@ -12,6 +12,14 @@ from reelyard.sources.records import typed_pages
 from tests.conftest import SMOKE
 
 
+def readable(body):
+    try:
+        json.loads(body)
+    except ValueError:
+        return False
+    return True
+
+
 def walk(pages, stop_on_empty, cap):
     """Sequential walk per day, as a crawler would fetch: 1, 2, ..."""
     by_day = defaultdict(dict)
@@ -24,7 +32,7 @@ def walk(pages, stop_on_empty, cap):
             if page not in got:
                 break
             status, body = got[page]
-            if status != 200:
+            if status != 200 or not readable(body):
                 break
             data = json.loads(body)
             if stop_on_empty and not data.get("results"):
@@ -68,13 +76,13 @@ def walk_reasons(pages, stop_on_empty, cap):
     for day, got in by_day.items():
         if not any(p >= 1 for p in got):
             continue
-        page, last, reason = 1, 1, None
+        page, last, more, reason = 1, 1, False, None
         while reason is None:
             if page > last:
-                reason = "last_page"
+                reason = "page_cap" if more else "last_page"
             elif page not in got:
                 reason = "missing_page"
-            elif got[page][0] != 200:
+            elif got[page][0] != 200 or not readable(got[page][1]):
                 reason = "failed_page"
             else:
                 data = json.loads(got[page][1])
@@ -82,8 +90,9 @@ def walk_reasons(pages, stop_on_empty, cap):
                     reason = "empty_page"
                 else:
                     last = data.get("total_pages") or 1
-                    if cap is not None:
-                        last = min(last, cap)
+                    more = cap is not None and last > cap
+                    if more:
+                        last = cap
                     page += 1
         out[day] = reason
     return out
@@ -91,7 +100,8 @@ def walk_reasons(pages, stop_on_empty, cap):
 
 def test_walk_ends_equal_sequential_walk(spark):
     for landed, record, stop, cap in ((fx.discover_movie_pages(spark, SMOKE), MOVIE.schema, True, None),
-                                      (fx.change_pages(spark, SMOKE), CHANGE_ITEM, False, 500)):
+                                      (fx.change_pages(spark, SMOKE), CHANGE_ITEM, False, 500),
+                                      (fx.change_pages(spark, SMOKE), CHANGE_ITEM, False, 20)):
         rows = [tuple(r) for r in landed.collect()]
         got = {r.day: r.ended for r in I.page_cuts(typed_pages(landed, record), stop, cap).collect()}
         assert got == walk_reasons(rows, stop, cap)

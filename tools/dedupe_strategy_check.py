@@ -1,11 +1,10 @@
-"""Silver build at a larger size: split vs aggregate de-duplication.
+"""De-duplication at a larger size: the aggregate in use vs ``row_number() = 1``.
 
     python tools/dedupe_strategy_check.py [sf_dir] [copies]
 
 Each document of ``documents`` is expanded into ``copies`` catalogue rows with
-distinct ids (``explode(sequence(...))``, no join), landed as one big slice;
-a second slice re-lands every tenth id with a newer title, so ~10% of the ids
-repeat.  Both strategies build the same silver snapshot; prints their times.
+distinct ids (``explode(sequence(...))``, no join); every tenth id comes again
+with a newer title.  Both plans write the same rows; prints their times.
 """
 
 from __future__ import annotations
@@ -17,12 +16,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from reelyard.plans import pipelines as P  # noqa: E402
+from reelyard.operators.clean import dedupe_by_id  # noqa: E402
 from reelyard.schemas import MOVIE  # noqa: E402
 from reelyard.session import local_session, scratch_path  # noqa: E402
-from reelyard.sinks import snapshot as S  # noqa: E402
 
 
 def main() -> None:
@@ -36,23 +35,25 @@ def main() -> None:
         F.col("source").alias("title"), F.col("text").alias("overview"),
         F.lit("2020-01-01").alias("release_date"), F.col("n_chars").cast("string").alias("vote_average"),
         F.array((F.col("doc_id") % 5).cast("int")).alias("genre_ids"))
-    root = scratch_path(spark, "big-bronze")
-    rows.repartition(64).write.parquet(f"{root}/movie_a")
-    rows.where(F.col("id") % 10 == 0).withColumn("title", F.concat("title", F.lit("_v2"))) \
-        .repartition(16).write.parquet(f"{root}/movie_b")
-
-    out, snaps = {}, {}
-    for strategy in ("aggregate", "split", "aggregate", "split"):
-        path = scratch_path(spark, f"big-silver-{strategy}")
+    path = scratch_path(spark, "big-bronze")
+    newer = rows.where(F.col("id") % 10 == 0).withColumn("title", F.concat("title", F.lit("_v2")))
+    rows.withColumn("v", F.lit(0)).unionByName(newer.withColumn("v", F.lit(1))).repartition(64).write.parquet(path)
+
+    def window(df):
+        w = Window.partitionBy("id").orderBy(*[F.col(c).desc() for c in ("v", *MOVIE.columns[1:])])
+        return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+    plans = {"aggregate": lambda df: dedupe_by_id(df, "id", ("v",)), "window": window}
+    out, written = {}, {}
+    for name in ("aggregate", "window", "aggregate", "window"):
+        target = scratch_path(spark, f"big-{name}")
         t0 = time.perf_counter()
-        rep = P.build_silver(spark, root, MOVIE, path, strategy=strategy)
+        plans[name](spark.read.parquet(path)).write.parquet(target)
         dt = time.perf_counter() - t0
-        out[strategy] = round(min(dt, out.get(strategy, dt)), 2)
-        snaps[strategy] = (path, rep.rows_written)
-    a, b = (S.read_snapshot(spark, snaps[k][0]) for k in ("aggregate", "split"))
-    same = a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    print(json.dumps({"rows": n_docs * copies, "silver_rows": snaps["split"][1],
-                      "seconds": out, "same_result": same}))
+        out[name] = round(min(dt, out.get(name, dt)), 2)
+        written[name] = spark.read.parquet(target)
+    same = written["aggregate"].exceptAll(written["window"].select(*written["aggregate"].columns)).isEmpty()
+    print(json.dumps({"rows": n_docs * copies, "seconds": out, "same_result": same}))
 
 
 if __name__ == "__main__":

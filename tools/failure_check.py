@@ -62,7 +62,7 @@ def main() -> None:
     changes = f"{scratch}/changes"
     sink_bronze(fx.movie_changes(spark, SMOKE), changes)
     base = S.read_snapshot(spark, silver)
-    merged, obs = P.merged_frame(base, spark.read.parquet(changes), MOVIE)
+    merged, obs, _ = P.merged_frame(base, spark.read.parquet(changes), MOVIE)
     flaky_merge = merged.mapInPandas(fail_once(f"{scratch}/marker-merge"), merged.schema)
     v2, rows2 = S.write_snapshot(flaky_merge, silver, v1)
     got = S.read_snapshot(spark, silver)

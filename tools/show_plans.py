@@ -12,7 +12,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from reelyard import fixtures as fx  # noqa: E402
 from reelyard.operators import ingest as I  # noqa: E402
-from reelyard.operators.clean import clean, dedupe_split, duplicated_keys  # noqa: E402
 from reelyard.plans import pipelines as P  # noqa: E402
 from reelyard.plans.queries import _write_slices, silver_movies  # noqa: E402
 from reelyard.schemas import CHANGE_ITEM, MOVIE  # noqa: E402
@@ -32,18 +31,14 @@ def main() -> None:
 
     root = _write_slices(spark, fx.bronze_movies(spark, sf), MOVIE, fx.movie_changes(spark, sf))
     raw = scan_glob(spark, root, MOVIE.bronze_prefix, slice_column="_slice")
-    print("### silver build (P3), aggregate: clean + dedupe by id\n")
+    print("### silver build (P3): clean + dedupe by id\n")
     P.silver_frame(raw, MOVIE, ("_slice",)).explain()
 
-    keys, n = duplicated_keys(clean(scan_glob(spark, root, MOVIE.bronze_prefix), MOVIE).select("id"))
-    print(f"### silver build (P3), split: {n} repeated ids; unique ids skip the shuffle\n")
-    dedupe_split(clean(raw, MOVIE), keys, n, "id", ("_slice",), null_keys=False).explain()
-
-    merged, _ = P.merged_frame(spark.read.parquet(silver), spark.read.parquet(changes), MOVIE)
+    merged, _, _ = P.merged_frame(spark.read.parquet(silver), spark.read.parquet(changes), MOVIE)
     print("### change merge (P6): anti join + union\n")
     merged.explain()
 
-    pages = typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM)
+    pages = I.stored_pages(typed_pages(fx.change_pages(spark, sf), CHANGE_ITEM))
     print("### change-list walk (I4): per-day cut table\n")
     I.page_cuts(pages, False, 500).explain()
     print("### change-list walk (I4): pages filtered by the broadcast cuts\n")

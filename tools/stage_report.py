@@ -52,10 +52,7 @@ def main() -> None:
     sink_bronze(fx.movie_changes(spark, sf), changes)
 
     runs = {
-        "silver build, aggregate": lambda: P.build_silver(
-            spark, root, MOVIE, scratch_path(spark, "r1"), strategy="aggregate"),
-        "silver build, split": lambda: P.build_silver(
-            spark, root, MOVIE, scratch_path(spark, "r2"), strategy="split"),
+        "silver build": lambda: P.build_silver(spark, root, MOVIE, scratch_path(spark, "r1")),
         "change merge": lambda: P.apply_changes_run(spark, snap, changes, MOVIE),
     }
     for name, fn in runs.items():
