@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark import TaskContext
@@ -33,7 +34,9 @@ from reelyard.llm.common import map_arrow, store
 from reelyard.llm.packing import pack, pack_ranks, press, unpack, unpack_ranks, unpress
 from reelyard.llm.textscan import SpanHasher, strings
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 24_000_000
+#: Pre-tokens whose ids are put together at once.
+STEP = 200_000
 PARTS = "kind int, block long, shard int, items binary, sizes binary, doc_ids array<long>, counts array<int>"
 _PART_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 POSITIONS, WORDS = 0, 1
@@ -92,8 +95,11 @@ def _block_rows(block: int, pieces: list[pa.DictionaryArray], counts: list[int],
     """Positions as frequency ranks of the block's distinct words, with each rank's shard; then the words by shard."""
     unified = pa.chunked_array(pieces).unify_dictionaries()
     index = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in unified.chunks])
-    words = unified.chunk(0).dictionary.cast(pa.binary())
-    order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")
+    words = unified.chunk(0).dictionary
+    # By falling count, then by the word itself: the many words seen once lie in order, which packs well.
+    both = pa.table({"n": np.bincount(index, minlength=len(words)), "word": words})
+    order = pc.sort_indices(both, sort_keys=[("n", "descending"), ("word", "ascending")]).to_numpy()
+    words = words.cast(pa.binary())
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     words = words.take(pa.array(order))
@@ -107,7 +113,7 @@ def _block_rows(block: int, pieces: list[pa.DictionaryArray], counts: list[int],
     at = np.searchsorted(shard[dealt], np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(at)):
         part = listed.slice(at[s], at[s + 1] - at[s]).to_pylist()
-        rows.append((WORDS, block, int(s), press(b"".join(part)), pack(np.array([len(w) for w in part])), None, None))
+        rows.append((WORDS, block, int(s), press(b"".join(part), level=9), pack(np.array([len(w) for w in part])), None, None))
     return _parts(rows)
 
 
@@ -142,28 +148,33 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             if row["kind"] == POSITIONS:
                 if head:
-                    yield _documents(head, ids, sizes)
+                    yield from _documents(head, ids, sizes)
                 head, ids, sizes = row, [], []
             else:
-                ids.append(unpack(row["items"]))
+                ids.append(unpack(row["items"]).astype(np.int32))
                 sizes.append(unpack(row["sizes"]))
     if head:
-        yield _documents(head, ids, sizes)
+        yield from _documents(head, ids, sizes)
 
 
-def _documents(head: dict, ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
-    flat = np.concatenate([np.empty(0, np.int64), *ids])
+def _documents(head: dict, ids: list[np.ndarray], sizes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    flat = np.concatenate([np.empty(0, np.int32), *ids])
     size = np.concatenate([np.empty(0, np.int64), *sizes])
     # The answers come by shard; within a shard they keep the order of the ranks.
     dealt = np.argsort(unpack(head["sizes"]), kind="stable")
     size, start = _at(dealt, size), _at(dealt, np.cumsum(size) - size)
     index = unpack_ranks(head["items"])
-    many = size[index]
-    ends = np.concatenate([[0], np.cumsum(many)])
-    out = flat[np.repeat(start[index] - ends[:-1], many) + np.arange(ends[-1])].astype(np.int32)
-    bounds = ends[np.concatenate([[0], np.cumsum(head["counts"])]).astype(np.int64)]
-    listed = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(out))
-    return pa.RecordBatch.from_arrays([pa.array(head["doc_ids"], pa.int64()), listed], ["doc_id", "ids"])
+    ends = np.concatenate([[0], np.cumsum(head["counts"])]).astype(np.int64)
+    lo = 0
+    while lo < len(ends) - 1:  # some documents at a time
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + STEP, "right")) - 1)
+        own = index[ends[lo] : ends[hi]]
+        many = size[own]
+        at = np.concatenate([[0], np.cumsum(many)])
+        out = flat[np.repeat(start[own] - at[:-1], many) + np.arange(at[-1])]
+        listed = pa.ListArray.from_arrays(pa.array(at[ends[lo : hi + 1] - ends[lo]].astype(np.int32)), pa.array(out))
+        yield pa.RecordBatch.from_arrays([pa.array(head["doc_ids"][lo:hi], pa.int64()), listed], ["doc_id", "ids"])
+        lo = hi
 
 
 def _at(places: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -8,8 +8,8 @@ import pyarrow as pa
 _ZSTD = "zstd"
 
 
-def press(data: bytes) -> bytes:
-    return pa.Codec(_ZSTD, compression_level=3).compress(data, asbytes=True)
+def press(data: bytes, level: int = 3) -> bytes:
+    return pa.Codec(_ZSTD, compression_level=level).compress(data, asbytes=True)
 
 
 def unpress(data: bytes, size: int) -> bytes:
