@@ -189,7 +189,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """``mark, text, spans`` of the documents with a removable byte; spans may touch or overlap."""
     texts = _texts(docs)
     anchors = store(map_arrow(texts.select("mark", "text"), lambda b: _anchor_rows(b, length, gram), "mark long, anchor long"))
-    twice = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Stored, so that the join has two shuffled sides and a very common anchor can be split over tasks.
+    twice = store(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
     listed = anchors.join(twice, "anchor", "left_semi").groupBy("mark").agg(F.collect_set("anchor").alias("anchors"))
     rich = store(texts.select("mark", "text").join(listed, "mark"))
     segments = map_arrow(rich, lambda b: _segment_rows(b, length, gram), SEGMENTS)
