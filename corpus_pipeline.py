@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reelyard.llm import bpe, decontaminate, linededup, neardup, quality
 from reelyard.llm.common import store, table
@@ -23,9 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten or more of the remaining documents go from all of them; the documents stay."""
-    out = linededup.drop_repeated_lines(docs)
-    # n_chars describes the text, so it follows it.
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return linededup.drop_repeated_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,14 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_fold(doc_id: str = "doc_id") -> F.Column:
     """crc32 of the id as text, modulo 5: the fold rule of the held-out documents."""
     return F.crc32(F.col(doc_id).cast("string")) % 5

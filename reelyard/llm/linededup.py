@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import map_arrow, store
+from reelyard.llm.common import map_arrow, spare_name, store
 from reelyard.llm.textscan import strings
 
 STRIP = b" \t\n\x0b\x0c\r"
@@ -191,8 +191,9 @@ def _with_keys(docs: DataFrame, min_docs: int, min_chars: int, bits: int | None)
     """``docs`` with a last column ``dropped_line_keys``: its repeated keys, and whether the row holds the first one."""
     pair = F.struct("key", F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False)).alias("first"))
     lists = repeated_keys(docs, min_docs, min_chars, bits).groupBy("line_row").agg(F.collect_set(pair).alias("dropped_line_keys"))
-    joined = docs.withColumn("dropped_line_of", _row()).join(lists.withColumnRenamed("line_row", "dropped_line_of"), "dropped_line_of", "left")
-    return joined.drop("dropped_line_of")
+    row, keys = spare_name(docs, "line_row"), spare_name(docs, "dropped_line_keys")
+    lists = lists.select(F.col("line_row").alias(row), F.col("dropped_line_keys").alias(keys))
+    return docs.withColumn(row, _row()).join(lists, row, "left").select(*docs.columns, keys)
 
 
 def _rest(text: bytes, keys: list[dict] | None, min_chars: int, keep_first: bool) -> tuple[bytes, int, int]:

@@ -10,7 +10,7 @@
 
 Odds that two sets at the threshold share no band: (1 - 0.85**5)**24, below 1e-6.
 
-Defined results: null, empty or wordless texts have an empty set and stand alone; fewer than five words make one
+Defined results: null, empty or wordless texts have an empty set and stand alone; a null doc_id stays; fewer than five words make one
 shingle of the whole sequence; repeated rows with one doc_id are one document (their links join it); an empty table
 gives an empty result; other columns are ignored, whatever their names.
 """
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import map_arrow, store
+from reelyard.llm.common import map_arrow, spare_name, store
 from reelyard.llm.graph import components
 from reelyard.llm.superminhash import signatures
 from reelyard.llm.textscan import Chunk, SpanHasher, grams, mix, text_chunks
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grouped = _with_component(classes.select("k1", "k2", "n_shingles", F.col("rep").alias("id")), grouped)
     out = signed.join(grouped.select("k1", "k2", "n_shingles", "component"), ["k1", "k2", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -215,5 +215,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with one doc_id all stay or all go; a null doc_id stays.
     """
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    name = spare_name(docs, "dropped_id")
+    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import map_arrow, store
+from reelyard.llm.common import map_arrow, spare_name, store
 from reelyard.llm.textscan import Chunk, SpanHasher, strings, text_chunks
 
 KEY = b"reelyard surrogates"
@@ -300,8 +300,9 @@ def replace(docs: DataFrame, key: bytes = KEY, counted: bool = False) -> DataFra
     held = store(mentions(docs))
     redrawn = store(attempts(held.select("kind", "entity").distinct(), key))
     pair = F.struct("kind", "entity", "attempt")
-    special = store(held.join(redrawn, ["kind", "entity"]).groupBy("mark").agg(F.collect_set(pair).alias("redrawn_entities")).withColumnRenamed("mark", "redrawn_mark"))
-    joined = docs.withColumn("redrawn_of", _mark()).join(special, F.col("redrawn_of") == F.col("redrawn_mark"), "left").drop("redrawn_of", "redrawn_mark")
+    row, entities, number = (spare_name(docs, n) for n in ("mark", "redrawn", "n_entities"))
+    special = store(held.join(redrawn, ["kind", "entity"]).groupBy(F.col("mark").alias(row)).agg(F.collect_set(pair).alias(entities)))
+    joined = docs.withColumn(row, _mark()).join(special, row, "left").select(*docs.columns, entities)
     schema = docs.schema
     where = schema.fieldNames().index("text")
 
@@ -321,6 +322,6 @@ def replace(docs: DataFrame, key: bytes = KEY, counted: bool = False) -> DataFra
             columns = [pa.array(told, pa.string()) if j == where else c for j, c in enumerate(batch.columns[:-1])]
             if counted:
                 columns.append(pa.array(n))
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames() + ["n_entities"] * counted)
+            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames() + [number] * counted)
 
-    return map_arrow(joined, apply, schema if not counted else type(schema)(schema.fields).add("n_entities", "long"))
+    return map_arrow(joined, apply, schema if not counted else type(schema)(schema.fields).add(number, "long"))

@@ -145,13 +145,17 @@ def _table(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps (last weight: intercept)."""
+    """Weights of a ridge logistic regression by Newton steps (last weight: intercept).
+
+    The rarer class counts more, by the square root of how much rarer it is.
+    """
     x = np.hstack([x, np.ones((len(x), 1))])
+    share = np.where(y == 1, np.sqrt((1 - y).sum() / max(y.sum(), 1)), 1.0)
     w = np.zeros(x.shape[1])
     ridge = np.diag([0.1, 0.1, 1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x.T * (share * p * (1 - p))) @ x + ridge, x.T @ (share * (y - p)) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
