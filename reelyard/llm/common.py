@@ -35,14 +35,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, at: str | None = None) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back: later steps re-read it, also after lost executors."""
     spark = df.sparkSession
-    path = shared_folder(spark)
+    path = at or shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spare_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one if ``df`` has a column of that name (in any case)."""
     taken = {c.lower() for c in df.columns}

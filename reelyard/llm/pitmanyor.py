@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import crc_fold, map_arrow, store
+from reelyard.llm.common import crc_fold, discard, map_arrow, shared_folder, store
 from reelyard.llm.packing import pack, pack_sorted, unpack, unpack_sorted
 from reelyard.llm.textscan import SpanHasher, mix, text_chunks
 
@@ -383,12 +383,14 @@ def score(docs: DataFrame, shards: int | None = None) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_fold() == 1, F.lit(False)).alias("held"), F.col("text").cast("string").alias("text"))
-    blocks = store(map_arrow(texts, _blocks, BLOCKS))
-    words = store(map_arrow(_dealt(map_arrow(blocks, lambda b: _word_rows(b, shards), ROWS), shards), _number_words, ROWS))
+    used = [shared_folder(spark), shared_folder(spark)]
+    blocks = store(map_arrow(texts, _blocks, BLOCKS), used[0])
+    words = store(map_arrow(_dealt(map_arrow(blocks, lambda b: _word_rows(b, shards), ROWS), shards), _number_words, ROWS), used[1])
     heads = words.where(F.col("kind") == SHARD).select("block", "shard", "a", "b").toPandas()  # a row for each shard
     n, v = int(heads["block"].sum()), int(sum(unpack(x)[0] for x in heads["b"]))
     heavy = np.sort(np.array([r * shards + s for s, a in zip(heads["shard"], heads["a"], strict=True) for r, c in enumerate(unpack(a)) if c * HEAVY > n], dtype=np.uint64))
     numbered = store(map_arrow(_union(blocks, words, shards), lambda b: _join_words(b, shards, n, v), NUMBERED))
+    discard(spark, *used)  # all that follows reads ``numbered``
 
     asked = map_arrow(numbered, lambda b: _bigram_rows(b, shards, heavy), ROWS)
     seated = store(map_arrow(_dealt(asked.where(F.col("kind") == BIGRAM), shards), lambda b: _seat_shards(b, shards, heavy), ROWS))
