@@ -39,6 +39,16 @@ def _fixed_width(df: DataFrame) -> int:
     return ROW_OVERHEAD + 8 * len(df.schema.fields)
 
 
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared scratch folder, for frames that
+    are read several times and never broadcast (no size is measured)."""
+    from reelyard.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize_table(df: DataFrame, name: str) -> Stored:
     """Compute ``df`` once into a Parquet table in the shared scratch folder;
     return a scan of it with its row count and size (observed during the write).

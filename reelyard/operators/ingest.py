@@ -27,6 +27,7 @@ from reelyard.functions.joins import (
     Stored,
     bounded_broadcast,
     materialize_table,
+    store_table,
 )
 from reelyard.schemas import CHANGE_PAGE_CAP, MediaSpec
 
@@ -155,7 +156,7 @@ def walk_pages(pages: DataFrame, stop_on_empty: bool, cap: int | None,
 def stored_pages(typed: DataFrame) -> DataFrame:
     """Typed pages stored once, so that the cuts, the walk and the flattening
     read columns instead of parsing the bodies again."""
-    return materialize_table(typed, "typed-pages").df
+    return store_table(typed, "typed-pages")
 
 
 def days_not_landed(calendar: DataFrame, landed_days: DataFrame) -> DataFrame:
