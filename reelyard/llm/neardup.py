@@ -8,7 +8,7 @@
    are compared too, in blocks of bounded size, until every pair of one bucket is linked, in one component, or known to
    be below the threshold.  No cap: large buckets become many block pairs in many tasks.
 
-Odds that two sets at the threshold share no band: (1 - 0.85**5)**24, below 1e-6.
+Odds that two sets of similarity 0.8 share no band: (1 - 0.8**5)**30, below 1e-5 (at 0.85 below 1e-7).
 
 Defined results: null, empty or wordless texts have an empty set and stand alone; a null doc_id stays; fewer than five words make one
 shingle of the whole sequence; repeated rows with one doc_id are one document (their links join it); an empty table
@@ -30,9 +30,9 @@ from reelyard.llm.superminhash import signatures
 from reelyard.llm.textscan import Chunk, SpanHasher, grams, mix, text_chunks
 
 WORDS = 5
-ROWS, BANDS = 5, 24
-#: Similarity at which documents are linked: 100 * intersection >= PERCENT * union.
-PERCENT = 85
+ROWS, BANDS = 5, 30
+#: Similarity at which documents are linked, by default: 100 * intersection >= PERCENT * union.
+PERCENT = 80
 
 
 def shingle_sets(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -94,20 +94,20 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["id", "grams"])
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted distinct hash arrays reach the threshold."""
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)) or not len(a):
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)) or not len(a):
         return False
     both = np.concatenate([a, b])
     both.sort()
     same = int((both[1:] == both[:-1]).sum())
-    return 100 * same >= PERCENT * (len(a) + len(b) - same)
+    return 100 * same >= percent * (len(a) + len(b) - same)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column("grams").to_pylist(), batch.column("hub_grams").to_pylist()
-        yield batch.filter(pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], pa.bool_())).select(["a", "b"])
+        yield batch.filter(pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)], pa.bool_())).select(["a", "b"])
 
 
 #: Members of a bucket that one side of a block pair holds.
@@ -131,7 +131,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _block_links(members: pa.Table) -> pa.Table:
+def _block_links(members: pa.Table, percent: int) -> pa.Table:
     """Links that join components among the members of one block pair, each pair tested in its first shared band only."""
     ids = members.column("id").to_numpy()
     order = np.argsort(ids)
@@ -141,7 +141,7 @@ def _block_links(members: pa.Table) -> pa.Table:
     comp = members.column("component").to_numpy()
     size = members.column("n_shingles").to_numpy()
     at = int(np.flatnonzero(band[0] == key)[0])
-    test = (comp[:, None] != comp[None, :]) & (100 * np.minimum.outer(size, size) >= PERCENT * np.maximum.outer(size, size))
+    test = (comp[:, None] != comp[None, :]) & (100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size))
     for b in range(at):
         test &= band[:, None, b] != band[None, :, b]
     test &= np.tri(len(ids), k=-1, dtype=bool)
@@ -151,7 +151,7 @@ def _block_links(members: pa.Table) -> pa.Table:
     packed = members.column("grams").take(pa.array(used)).to_pylist()
     same = _overlaps([np.frombuffer(x, np.uint64) for x in packed])
     union = size[used][:, None] + size[used][None, :] - same
-    found = np.argwhere((100 * same >= PERCENT * union) & test[np.ix_(used, used)])
+    found = np.argwhere((100 * same >= percent * union) & test[np.ix_(used, used)])
     root = {int(c): int(c) for c in comp[used]}
     links = []
     for i, j in found:  # a spanning forest of the components is enough
@@ -171,7 +171,7 @@ def _with_component(ids: DataFrame, found: DataFrame) -> DataFrame:
     return ids.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document (see the module for the method)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = store(map_arrow(texts, _signed, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     needed = shared.select("id").distinct()
     sets = store(map_arrow(texts.join(needed.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), _packed, "id long, grams binary"))
     both = pairs.join(sets.withColumnRenamed("id", "a"), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("hub_grams")), "b")
-    links = store(map_arrow(both.select("a", "b", "grams", "hub_grams"), _confirm, "a long, b long"))
+    links = store(map_arrow(both.select("a", "b", "grams", "hub_grams"), lambda b: _confirm(b, percent), "a long, b long"))
 
     found = components(links)
     members = store(_with_component(shared.where("members > 2").drop("hub"), found))
@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("id", "key", "n_shingles", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
     full = spread.join(sets, "id").join(reps.select("id", "bands"), "id")
-    more = store(full.groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long"))
+    more = store(full.groupBy("key", "i", "j").applyInArrow(lambda members: _block_links(members, percent), "a long, b long"))
 
     grouped = components(links.unionByName(more))
     grouped = _with_component(classes.select("k1", "k2", "n_shingles", F.col("rep").alias("id")), grouped)
@@ -210,11 +210,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group (the smallest doc_id) and every document that stands alone, with their own columns.
 
     Of repeated rows with one doc_id all stay or all go; a null doc_id stays.
     """
     name = spare_name(docs, "dropped_id")
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
