@@ -10,8 +10,8 @@
 Surrogates keep the format: digits, letters, case, punctuation and grouping stay where they were; card numbers keep
 their first digit and their check digit's validity, IBANs their country and check digits, addresses their private
 ranges, e-mail addresses move to a reserved domain.  Personal names (after a title) keep script, case and gender: given
-names come from the list of the title's or the name's gender, family names from the script's syllables; a family name
-keeps its surrogate also where it stands with another title.
+names come from the list of the title's or the name's gender (two of them, joined, where one is taken), family names from
+the script's syllables; a family name keeps its surrogate also where it stands with another title.
 
 Defined results: a null text stays null without entities, an empty one stays empty; repeated rows are replaced alike; an
 empty table gives an empty result; other columns pass through unread, whatever their names.
@@ -69,7 +69,6 @@ KINDS = {
     "person": rf"(?i:\b(?P<title>{_TITLE}))\.?\s+(?P<name>{_NAME}(?:\s+{_NAME}){{0,2}})",
 }
 FIND = regex.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in KINDS.items()))
-_VALUE = [regex.compile(KINDS["secret"]), regex.compile(KINDS["person"])]
 _TRIGGER = np.zeros(256, dtype=bool)
 _TRIGGER[list(b"0123456789@=:")] = True
 
@@ -98,7 +97,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, entity)`` of the entities of a text, in order; entities are normalised."""
     out = []
     for m in FIND.finditer(text):
-        kind, (lo, hi) = m.lastgroup, m.span()
+        lo, hi = m.span()
         kind = next(k for k in KINDS if m.group(k) is not None)
         value = m.group()
         if kind == "secret":
@@ -285,8 +284,7 @@ def attempts(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     drawn = store(map_arrow(entities.withColumn("attempt", F.lit(0)), draw, schema))
     taken = entities.select("kind", F.col("entity").alias("core"), F.lit(True).alias("real"))
     while True:
-        # Given names are few, and telling people apart rests on family names: they may share a surrogate.
-        shared = drawn.where("kind NOT LIKE 'given-%'").groupBy("kind", "core").agg(F.min(F.struct("attempt", "entity")).alias("owner"), F.count(F.lit(1)).alias("n"))
+        shared = drawn.groupBy("kind", "core").agg(F.min(F.struct("attempt", "entity")).alias("owner"), F.count(F.lit(1)).alias("n"))
         clash = shared.join(taken, ["kind", "core"], "left").where("n > 1 OR real")
         lost = store(drawn.join(clash.select("kind", "core", F.when(F.col("real"), None).otherwise(F.col("owner.entity")).alias("keeper")), ["kind", "core"]).where("keeper IS NULL OR entity <> keeper").select("kind", "entity", (F.col("attempt") + 1).alias("attempt")))
         if lost.isEmpty():

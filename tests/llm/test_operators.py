@@ -357,7 +357,7 @@ def test_surrogates_keep_type_format_and_coreference(spark):
 
 
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
-    rows = [("phone", f"45655{i:05d}") for i in range(300)] + [("family", f"name{i}") for i in range(300)] + [("secret", f"{i:01d}a") for i in range(10)]
+    rows = [("phone", f"45655{i:05d}") for i in range(300)] + [("family", f"name{i}") for i in range(300)] + [("secret", f"{i:01d}a") for i in range(10)] + [("given-f", f"name{i}") for i in range(60)]
     entities = spark.createDataFrame(rows, "kind string, entity string")
     redrawn = {(r.kind, r.entity): r.attempt for r in pii.attempts(entities).collect()}
     cores = [(k, pii.surrogate(pii.KEY, k, e, redrawn.get((k, e), 0))) for k, e in rows]
