@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from reelyard.llm.common import map_arrow, store
 from reelyard.llm.packing import pack, pack_ranks, press, unpack, unpack_ranks, unpress
 from reelyard.llm.textscan import SpanHasher, strings
 
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
 #: Pre-tokens whose ids are put together at once.
 STEP = 200_000
 PARTS = "kind int, block long, shard int, items binary, sizes binary, doc_ids array<long>, counts array<int>"
@@ -43,17 +43,32 @@ POSITIONS, WORDS = 0, 1
 
 
 class Vocabulary:
-    """Ranks of a byte-level BPE and the pattern that splits text before merging."""
+    """Ranks of a byte-level BPE and the pattern that splits text before merging; each part is made when first used."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        self.tokens = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines() if line)}
+        self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        # The pre-token arrives alone, so the merges' own pattern takes all of it.
-        self.merge = tiktoken.Encoding("pre-token", pat_str=r"(?s:.+)", mergeable_ranks=self.tokens, special_tokens={}).encode_ordinary
-        self.table: list[bytes] = [b""] * (max(self.tokens.values()) + 1)
-        for token, rank in self.tokens.items():
-            self.table[rank] = token
-        self.decimal = [str(i).encode() for i in range(len(self.table))]
+
+    def _tokens(self) -> dict[bytes, int]:
+        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in self.ranks.splitlines() if line)}
+
+    @cached_property
+    def merge(self):
+        """Ids of one pre-token: it arrives alone, so the merges' own pattern takes all of it."""
+        return tiktoken.Encoding("pre-token", pat_str=r"(?s:.+)", mergeable_ranks=self._tokens(), special_tokens={}).encode_ordinary
+
+    @cached_property
+    def table(self) -> list[bytes]:
+        """Bytes of each id."""
+        tokens = self._tokens()
+        out = [b""] * (max(tokens.values()) + 1)
+        for token, rank in tokens.items():
+            out[rank] = token
+        return out
+
+    @cached_property
+    def decimal(self) -> list[bytes]:
+        return [str(i).encode() for i in range(len(self.table))]
 
 
 @lru_cache(maxsize=2)
@@ -94,14 +109,16 @@ def _split(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, shards: in
 def _block_rows(block: int, pieces: list[pa.DictionaryArray], counts: list[int], ids: list[int], shards: int) -> pa.RecordBatch:
     """Positions as frequency ranks of the block's distinct words, with each rank's shard; then the words by shard."""
     unified = pa.chunked_array(pieces).unify_dictionaries()
+    pieces.clear()
     index = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in unified.chunks])
     words = unified.chunk(0).dictionary
+    del unified
     # By falling count, then by the word itself: the many words seen once lie in order, which packs well.
     both = pa.table({"n": np.bincount(index, minlength=len(words)), "word": words})
     order = pc.sort_indices(both, sort_keys=[("n", "descending"), ("word", "ascending")]).to_numpy()
     words = words.cast(pa.binary())
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     words = words.take(pa.array(order))
     _, bounds, data = words.buffers()
     bounds = np.frombuffer(bounds, np.int32)[: len(words) + 1].astype(np.int64)
@@ -114,6 +131,7 @@ def _block_rows(block: int, pieces: list[pa.DictionaryArray], counts: list[int],
     for s in np.flatnonzero(np.diff(at)):
         part = listed.slice(at[s], at[s + 1] - at[s]).to_pylist()
         rows.append((WORDS, block, int(s), press(b"".join(part), level=9), pack(np.array([len(w) for w in part])), None, None))
+    pa.default_memory_pool().release_unused()
     return _parts(rows)
 
 
@@ -187,8 +205,8 @@ def _shard_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None = None) -> DataFrame:
-    """``doc_id, ids`` of every document: the ranks' byte-level BPE of each match of ``pattern``, no special tokens."""
+def _answered_blocks(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None) -> DataFrame:
+    """Each block's positions and the ids of its words, together and in order."""
     spark = docs.sparkSession
     shards = shards or _shard_count(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
@@ -197,8 +215,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None =
     words = parts.where(F.col("kind") == WORDS).repartition(shards, "shard")
     encoded = map_arrow(words, lambda batches: _encode_shards(batches, _vocabulary(ranks.value, pattern)), PARTS)
     both = parts.where(F.col("kind") == POSITIONS).unionByName(encoded)
-    ordered = both.repartition(shards, "block").sortWithinPartitions("block", "kind", "shard")
-    return map_arrow(ordered, _assemble, "doc_id long, ids array<int>")
+    return both.repartition(shards, "block").sortWithinPartitions("block", "kind", "shard")
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None = None) -> DataFrame:
+    """``doc_id, ids`` of every document: the ranks' byte-level BPE of each match of ``pattern``, no special tokens."""
+    return map_arrow(_answered_blocks(docs, ranks_path, pattern, shards), _assemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -221,14 +243,18 @@ def _id_lists(batch: pa.RecordBatch) -> Iterator[list[int]]:
         yield values[a:b].tolist()
 
 
-def digests(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: hashes of the ids in decimal and of the bytes they decode to."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+def digests(docs: DataFrame, ranks_path: str, pattern: str, shards: int | None = None) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document.
+
+    The ids that ``encode`` gives are hashed in decimal, and so are the bytes that they decode to, in the task that puts
+    them together: they need not leave it.
+    """
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(ranks.value, pattern)
         decimal, table = vocabulary.decimal.__getitem__, vocabulary.table.__getitem__
-        for batch in batches:
+        for batch in _assemble(batches):
             n, told, decoded = [], [], []
             for ids in _id_lists(batch):
                 n.append(len(ids))
@@ -236,4 +262,4 @@ def digests(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(b"".join(map(table, ids))).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(told, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return map_arrow(encoded, hashes, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(_answered_blocks(docs, ranks_path, pattern, shards), hashes, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -52,8 +52,8 @@ def pack_ranks(ranks: np.ndarray) -> bytes:
         return b"\0" + pack(ranks)
     short = ranks < _SHORT
     head = np.where(short, ranks, _SHORT + (ranks >> 16)).astype(np.uint8)
-    rest = (ranks[~short] & 0xFFFF).astype(np.int64)
-    parts = [press(x.astype(np.uint8).tobytes()) for x in (head, rest >> 8, rest & 0xFF)]
+    rest = ranks[~short].astype(np.uint16)
+    parts = [press(x.tobytes()) for x in (head, (rest >> 8).astype(np.uint8), rest.astype(np.uint8))]
     sizes = np.array([len(ranks), len(rest), len(parts[0]), len(parts[1])], dtype="<i8")
     return b"\1" + sizes.tobytes() + b"".join(parts)
 

@@ -24,8 +24,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe.digests(encoded, RANKS, public_tokenizers.PATTERN)
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
 def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

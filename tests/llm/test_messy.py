@@ -32,7 +32,7 @@ REPORTS = {
     "op1": lambda s, d: toxicity.score(d, toxicity.fit(d, cases.labels(s, SOME))),
     "op1_unlabelled": lambda s, d: toxicity.score(d, toxicity.fit(d, cases.labels(s))),
     "op2": lambda s, d: fuzzydedup.report(d),
-    "op3": lambda s, d: bpe.digests(bpe.encode(d, RANKS, P.PATTERN), RANKS, P.PATTERN),
+    "op3": lambda s, d: bpe.digests(d, RANKS, P.PATTERN),
     "op4": lambda s, d: pitmanyor.score(d),
     "op5": lambda s, d: suffixdedup.report(d),
     "op6": lambda s, d: linededup.report(d),

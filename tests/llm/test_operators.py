@@ -143,7 +143,7 @@ def test_bpe_equals_the_library_and_decodes_back(docs, texts):
     want = {d: library.encode_ordinary(t.decode()) for d, t in texts.items()}
     assert {r.doc_id: r.ids for r in encoded.collect()} == want
     assert {r.doc_id: bytes(r.bytes) for r in bpe.decode(encoded, RANKS, P.PATTERN).collect()} == texts
-    for r in bpe.digests(encoded, RANKS, P.PATTERN).collect():
+    for r in bpe.digests(docs, RANKS, P.PATTERN).collect():
         assert r.n_tokens == len(want[r.doc_id])
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want[r.doc_id])).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id]).hexdigest()
