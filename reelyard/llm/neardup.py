@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     found = components(links)
     members = store(_with_component(shared.where("members > 2").drop("hub"), found))
-    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    mixed = store(members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     spread = (
         members.join(mixed, "key")

@@ -195,7 +195,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     rich = store(texts.select("mark", "text").join(listed, "mark"))
     segments = map_arrow(rich, lambda b: _segment_rows(b, length, gram), SEGMENTS)
     distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes")))
-    groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = store(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     salts = F.ceil(F.col("n") / SALTED).cast("int")
     dealt = distinct.join(groups, "anchor").withColumn("salts", salts).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     dealt = dealt.select("anchor", "salt", "salts", "segment", "starts", "bytes").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
