@@ -4,9 +4,10 @@
 2. Documents with equal sets are one class; its smallest doc_id represents it from here on.
 3. Representatives that share a band key are candidates.  Each is compared with the smallest member of its bucket (the
    hub) on the full sets; confirmed links are joined into components.
-4. A bucket whose members still lie in several components may hide links between members other than the hub.  These
-   are compared too, in blocks of bounded size, until every pair of one bucket is linked, in one component, or known to
-   be below the threshold.  No cap: large buckets become many block pairs in many tasks.
+4. A bucket whose members still lie in several components may hide links between members other than the hub.  The
+   documents that such buckets connect are compared too, in blocks of bounded size, until every pair of one bucket is
+   linked, in one component, or known to be below the threshold.  No cap: many documents become many block pairs in
+   many tasks; a family beyond ``FAMILY`` documents is compared bucket by bucket, so that chains of buckets stay cheap.
 
 Odds that two sets of similarity 0.8 share no band: (1 - 0.8**5)**30, below 1e-5 (at 0.85 below 1e-7).
 
@@ -110,8 +111,10 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.filter(pa.array([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b, strict=True)], pa.bool_())).select(["a", "b"])
 
 
-#: Members of a bucket that one side of a block pair holds.
+#: Members of a family or bucket that one side of a block pair holds.
 BLOCK = 256
+#: Families up to this size are compared as a whole, larger ones bucket by bucket (the links found are the same).
+FAMILY = 20_000
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -132,18 +135,17 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _block_links(members: pa.Table, percent: int) -> pa.Table:
-    """Links that join components among the members of one block pair, each pair tested in its first shared band only."""
+    """Links that join components among the members of one block pair (of buckets, each pair in its first shared one)."""
     ids = members.column("id").to_numpy()
     order = np.argsort(ids)
     members, ids = members.take(pa.array(order)), ids[order]
-    band = members.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)
-    key = members.column("key")[0].as_py()
     comp = members.column("component").to_numpy()
     size = members.column("n_shingles").to_numpy()
-    at = int(np.flatnonzero(band[0] == key)[0])
     test = (comp[:, None] != comp[None, :]) & (100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size))
-    for b in range(at):
-        test &= band[:, None, b] != band[None, :, b]
+    if members.column("bucket")[0].as_py():
+        band = members.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)
+        for b in range(int(np.flatnonzero(band[0] == members.column("key")[0].as_py())[0])):
+            test &= band[:, None, b] != band[None, :, b]
     test &= np.tri(len(ids), k=-1, dtype=bool)
     if not test.any():
         return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
@@ -193,15 +195,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = components(links)
     members = store(_with_component(shared.where("members > 2").drop("hub"), found))
     mixed = store(members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
+    # Documents that such buckets connect form a family; each lies in one family, but in many buckets.
+    tied = store(shared.join(mixed, "key").where("members > 2").select("id", "key", "hub", "members"))
+    family = components(tied.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    sizes = family.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    family = store(family.join(sizes, "component").select("id", F.col("component").alias("family"), "size"))
+    whole = family.where(F.col("size") <= FAMILY).select("id", F.lit(False).alias("bucket"), F.col("family").alias("key"), F.col("size").alias("members"))
+    large = family.where(F.col("size") > FAMILY).select("id")
+    parts = tied.join(large, "id", "left_semi").select("id", F.lit(True).alias("bucket"), "key", "members")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     spread = (
-        members.join(mixed, "key")
+        whole.unionByName(parts)
         .withColumn("own", F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("id", "key", "n_shingles", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("id", "bucket", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    full = spread.join(sets, "id").join(reps.select("id", "bands"), "id")
-    more = store(full.groupBy("key", "i", "j").applyInArrow(lambda members: _block_links(members, percent), "a long, b long"))
+    details = _with_component(reps, found).join(sets, "id")
+    full = spread.join(details, "id")
+    more = store(full.groupBy("bucket", "key", "i", "j").applyInArrow(lambda members: _block_links(members, percent), "a long, b long"))
 
     grouped = components(links.unionByName(more))
     grouped = _with_component(classes.select("k1", "k2", "n_shingles", F.col("rep").alias("id")), grouped)

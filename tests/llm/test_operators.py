@@ -459,10 +459,11 @@ def test_near_duplicates_equal_brute_force(docs, texts, percent):
         assert (got[d].n_shingles, got[d].component_id, got[d].kept) == (n, component, d == component)
 
 
-@pytest.mark.parametrize("block", [256, 7])
-def test_links_between_members_that_are_not_the_hub(spark, block, monkeypatch):
+@pytest.mark.parametrize("block,family", [(256, 20_000), (7, 20_000), (7, 0)])
+def test_links_between_members_that_are_not_the_hub(spark, block, family, monkeypatch):
     """A family around one text whose members lie on both sides of the threshold."""
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "FAMILY", family)
     draw = random.Random(9)
     base = cases.prose(70, 150, 3000).split()
     texts = {}
