@@ -38,7 +38,7 @@ from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
 from reelyard.schemas import CHANGE_ITEM, CHANGE_PAGE_CAP, MediaSpec
 from reelyard.sinks.snapshot import current_version, read_snapshot, write_snapshot
-from reelyard.sinks.write import path_exists, sink_bronze, sink_if_nonempty
+from reelyard.sinks.write import delete_path, path_exists, sink_bronze, sink_if_nonempty
 from reelyard.sources.records import typed_pages
 from reelyard.sources.scan import scan_glob
 
@@ -70,6 +70,10 @@ def _ends(cuts: Stored) -> dict:
     return {r["ended"]: r["days"] for r in walk_ends(cuts.df).collect()}
 
 
+# Decades of the catalogue are told from here on (62 of them fit a report).
+FIRST_DECADE = 1870
+
+
 def backfill_records(typed: DataFrame, spec: MediaSpec, cuts: Stored | None = None) -> DataFrame:
     """Typed discover pages (stored: they are read twice) -> catalogue records
     tagged by decade."""
@@ -93,12 +97,22 @@ def backfill(landed_pages: DataFrame, spec: MediaSpec, bronze_root: str,
     path = f"{bronze_root.rstrip('/')}/{dataset or spec.bronze_prefix + 'backfill'}"
     typed = stored_pages(typed_pages(landed_pages, spec.schema, spec.record_missing_empty))
     cuts = stored_page_cuts(typed, True, None)
-    records = backfill_records(typed, spec, cuts)
-    landed = {r[0] for r in cuts.df.select(decade_of("day")).distinct().collect()}
-    filled = {r[0] for r in records.select("decade").distinct().collect()}  # a few decades each
-    emptied = [f"decade={d}" for d in sorted(landed - filled - {None})]
-    rows = sink_bronze(records, path, partition_by=("decade",), emptied=emptied)
-    metrics = {"path": path, "days_by_end": _ends(cuts), "emptied": emptied}
+    obs = Observation("decades")
+    # Bit n stands for the n-th decade from FIRST_DECADE: which decades the write fills.
+    filled = F.bit_or(F.expr(f"shiftleft(1L, CAST((decade - {FIRST_DECADE}) / 10 AS INT))"))
+    records = backfill_records(typed, spec, cuts).observe(obs, filled.alias("filled"))
+    rows = sink_bronze(records, path, partition_by=("decade",))
+    # A row for each kind of end and decade; days that are no dates have none.
+    days = cuts.df.groupBy("ended", decade_of("day").alias("decade")).agg(F.count(F.lit(1)).alias("days")).collect()
+    written = obs.get["filled"] or 0
+    emptied = [f"decade={d}" for d in sorted({r["decade"] for r in days} - {None})
+               if not written >> (d - FIRST_DECADE) // 10 & 1]
+    for decade in emptied:
+        delete_path(landed_pages.sparkSession, f"{path}/{decade}")
+    ends: dict[str, int] = {}
+    for r in days:
+        ends[r["ended"]] = ends.get(r["ended"], 0) + r["days"]
+    metrics = {"path": path, "days_by_end": ends, "emptied": emptied}
     if years is not None:
         calendar = calendar_for_years(landed_pages.sparkSession, *years)
         metrics["days_not_landed"] = days_not_landed(calendar, cuts.df).count()
