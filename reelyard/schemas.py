@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.types import (
     ArrayType,
-    DataType,
     DoubleType,
     IntegerType,
     StringType,
