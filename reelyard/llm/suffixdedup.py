@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import map_arrow, store
+from reelyard.llm.common import discard, map_arrow, shared_folder, store
 from reelyard.llm.suffixsort import common_prefix, suffix_order
 from reelyard.llm.textscan import SpanHasher, strings
 
@@ -188,20 +188,24 @@ def _united(spans: list[dict]) -> list[tuple[int, int]]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``mark, text, spans`` of the documents with a removable byte; spans may touch or overlap."""
     texts = _texts(docs)
-    anchors = store(map_arrow(texts.select("mark", "text"), lambda b: _anchor_rows(b, length, gram), "mark long, anchor long"))
+    spark = docs.sparkSession
+    used = [shared_folder(spark) for _ in range(4)]
+    anchors = store(map_arrow(texts.select("mark", "text"), lambda b: _anchor_rows(b, length, gram), "mark long, anchor long"), used[0])
     # Stored, so that the join has two shuffled sides and a very common anchor can be split over tasks.
-    twice = store(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    twice = store(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), used[1])
     listed = anchors.join(twice, "anchor", "left_semi").groupBy("mark").agg(F.collect_set("anchor").alias("anchors"))
     rich = store(texts.select("mark", "text").join(listed, "mark"))
+    discard(spark, *used[:2])  # from here on all comes from ``rich``
     segments = map_arrow(rich, lambda b: _segment_rows(b, length, gram), SEGMENTS)
-    distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes")))
-    groups = store(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes")), used[2])
+    groups = store(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), used[3])
     salts = F.ceil(F.col("n") / SALTED).cast("int")
     dealt = distinct.join(groups, "anchor").withColumn("salts", salts).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     dealt = dealt.select("anchor", "salt", "salts", "segment", "starts", "bytes").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
     found = map_arrow(dealt, lambda b: _sort_groups(b, length), REPEATS)
     whole = distinct.where("copies > 1").select("anchor", "segment", "starts", F.lit(0).alias("lo"), F.col("starts").alias("hi"))
     runs = store(whole.unionByName(found))
+    discard(spark, *used[2:])
     places = segments.select("mark", "anchor", "segment", "starts", "place").join(runs, ["anchor", "segment", "starts"])
     span = F.struct((F.col("place") + F.col("lo")).alias("lo"), (F.col("place") + F.col("hi") + length - 1).alias("hi"))
     spans = places.groupBy("mark").agg(F.collect_set(span).alias("spans"))
