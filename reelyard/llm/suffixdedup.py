@@ -6,12 +6,13 @@
    compared: all strings of a segment found twice repeat.
 3. Suffix arrays.  The distinct segments of an anchor are joined into one text, whose suffixes are put in order by
    two-stage sorting: those smaller than their successors directly, the others induced by bucket scans.  Neighbours
-   with a common prefix of ``LENGTH`` bytes are repeated strings.  Segments are dealt by anchor; an anchor with many
-   distinct segments is salted: each of its strings belongs to one salt by its content, so equal ones still meet.
+   with a common prefix of ``LENGTH`` bytes are repeated strings.  Segments are dealt by anchor.  An anchor with more
+   than ``SALTED`` distinct segments is not gathered: each of its strings is one row, dealt and counted by its 128-bit
+   digest, so rows grow with the strings and no task holds more of the anchor than its share.
 4. Repeated strings are mapped back to their documents, their spans united and removed.
 
-Nothing is compared by hash alone but anchors and whole segments (64 bits each, both needed); strings are compared byte
-by byte in the suffix array.
+Nothing is compared by hash alone but anchors and whole segments (64 bits each, both needed) and the strings of the
+anchors that are too common to gather (128 bits); all others are compared byte by byte in the suffix array.
 
 Defined results: null and empty texts have nothing to remove; repeated rows repeat each other's strings like any other
 documents; texts shorter than ``LENGTH`` bytes keep all; an empty table gives an empty result; other columns are
@@ -36,7 +37,7 @@ LENGTH = 200
 GRAM = 64
 #: Bytes of text that are hashed at once; longer documents are walked in pieces that overlap.
 PIECE = 400_000
-#: Distinct segments of one anchor and salt, on average, at most.
+#: Distinct segments of one anchor that are sorted together, at most.
 SALTED = 2048
 #: Bytes of segments whose suffixes are sorted together.
 SORTED_BYTES = 400_000
@@ -129,32 +130,28 @@ REPEATS = "anchor long, segment long, starts int, lo int, hi int"
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor and salt: whole groups are gathered up to ``SORTED_BYTES`` and sorted together."""
+    """Rows sorted by anchor: whole groups are gathered up to ``SORTED_BYTES`` and sorted together."""
     rows: list[tuple] = []
     size, last = 0, None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "salt", "salts", "segment", "starts", "bytes")), strict=True):
-            if row[:2] != last and size >= SORTED_BYTES:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "starts", "bytes")), strict=True):
+            if row[0] != last and size >= SORTED_BYTES:
                 yield _repeats(rows, length)
                 rows, size = [], 0
-            last = row[:2]
+            last = row[0]
             rows.append(row)
-            size += len(row[5])
+            size += len(row[3])
     if rows:
         yield _repeats(rows, length)
 
 
 def _repeats(rows: list[tuple], length: int) -> pa.RecordBatch:
     """Runs of starts, within each segment, of strings that also start in another segment or elsewhere in it."""
-    text = np.frombuffer(b"\0".join(r[5] for r in rows) + b"\0", dtype=np.uint8)
-    begin = np.cumsum([0] + [len(r[5]) + 1 for r in rows[:-1]])
-    starts = np.array([r[4] for r in rows])
+    text = np.frombuffer(b"\0".join(r[3] for r in rows) + b"\0", dtype=np.uint8)
+    begin = np.cumsum([0] + [len(r[3]) + 1 for r in rows[:-1]])
+    starts = np.array([r[2] for r in rows])
     of = np.repeat(np.arange(len(rows)), starts)
     at = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts) + begin[of]
-    salts = np.array([r[2] for r in rows])[of]
-    if (salts > 1).any():  # a salted anchor's strings belong to one salt each, by content
-        own = SpanHasher(text)(at, at + length) % salts.astype(np.uint64) == np.array([r[1] for r in rows])[of].astype(np.uint64)
-        of, at = of[own], at[own]
     wanted = np.zeros(len(text), dtype=bool)
     wanted[at] = True
     order = suffix_order(text, wanted, length)
@@ -170,11 +167,44 @@ def _repeats(rows: list[tuple], length: int) -> pa.RecordBatch:
     lo, hi = at[first] - begin[of[first]], at[final] - begin[of[first]] + 1
     pick = [rows[i] for i in of[first].tolist()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in pick], pa.int64()), pa.array([r[3] for r in pick], pa.int64()), pa.array([r[4] for r in pick], pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
+        [pa.array([r[0] for r in pick], pa.int64()), pa.array([r[1] for r in pick], pa.int64()), pa.array([r[2] for r in pick], pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
         [f.split()[0] for f in REPEATS.split(", ")],
     )
 
 
+STRINGS = "anchor long, segment long, starts int, at int, string binary"
+
+
+def _string_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Each string of the segments, by place and digest."""
+    for batch in batches:
+        starts = batch.column("starts").to_numpy()
+        for lo in range(0, batch.num_rows, 256):
+            n = starts[lo : lo + 256]
+            texts = batch.column("bytes").slice(lo, 256).to_pylist()
+            told = [hashlib.blake2b(t[i : i + length], digest_size=16).digest() for t, k in zip(texts, n.tolist(), strict=True) for i in range(k)]
+            of = pa.array(np.repeat(np.arange(len(n)), n) + lo)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in ("anchor", "segment", "starts")), pa.array(at, pa.int32()), pa.array(told, pa.binary())], [f.split()[0] for f in STRINGS.split(", ")])
+
+
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of starts from the places listed with each segment."""
+    for batch in batches:
+        runs = [_united([{"lo": a, "hi": a + 1} for a in places]) for places in batch.column("places").to_pylist()]
+        of = pa.array(np.repeat(np.arange(len(runs)), [len(r) for r in runs]))
+        lo, hi = ([r[k] for own in runs for r in own] for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in ("anchor", "segment", "starts")), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], [f.split()[0] for f in REPEATS.split(", ")])
+
+
+def _dealt(distinct: DataFrame, groups: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The segments to sort, gathered by anchor, and the single strings of the anchors with more than ``SALTED``."""
+    columns = ("anchor", "segment", "starts", "bytes")
+    few = distinct.select(*columns).join(groups.where(F.col("n") <= SALTED), "anchor", "left_semi")
+    many = distinct.select(*columns).join(groups.where(F.col("n") > SALTED), "anchor", "left_semi")
+    return few.repartition("anchor").sortWithinPartitions("anchor"), map_arrow(many, lambda b: _string_rows(b, length), STRINGS)
+
+
 def _united(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
@@ -189,7 +219,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """``mark, text, spans`` of the documents with a removable byte; spans may touch or overlap."""
     texts = _texts(docs)
     spark = docs.sparkSession
-    used = [shared_folder(spark) for _ in range(4)]
+    used = [shared_folder(spark) for _ in range(5)]
     anchors = store(map_arrow(texts.select("mark", "text"), lambda b: _anchor_rows(b, length, gram), "mark long, anchor long"), used[0])
     # Stored, so that the join has two shuffled sides and a very common anchor can be split over tasks.
     twice = store(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), used[1])
@@ -199,10 +229,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     segments = map_arrow(rich, lambda b: _segment_rows(b, length, gram), SEGMENTS)
     distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes")), used[2])
     groups = store(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), used[3])
-    salts = F.ceil(F.col("n") / SALTED).cast("int")
-    dealt = distinct.join(groups, "anchor").withColumn("salts", salts).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    dealt = dealt.select("anchor", "salt", "salts", "segment", "starts", "bytes").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    found = map_arrow(dealt, lambda b: _sort_groups(b, length), REPEATS)
+    sorted_, strings_ = _dealt(distinct, groups, length)
+    found = map_arrow(sorted_, lambda b: _sort_groups(b, length), REPEATS)
+    # Stored like the anchors above: a very common string is split over tasks.
+    common = store(strings_.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string"), used[4])
+    held = strings_.join(common, "string", "left_semi").groupBy("anchor", "segment", "starts").agg(F.collect_set("at").alias("places"))
+    found = found.unionByName(map_arrow(held, _run_rows, REPEATS))
     whole = distinct.where("copies > 1").select("anchor", "segment", "starts", F.lit(0).alias("lo"), F.col("starts").alias("hi"))
     runs = store(whole.unionByName(found))
     discard(spark, *used[2:])

@@ -242,6 +242,25 @@ def test_suffix_dedup_equals_brute_force(spark, docs, texts, length, gram, salte
     assert all(hashlib.sha256(kept[d]).hexdigest() == got[d].kept_sha256 for d in small)
 
 
+def test_strings_of_a_common_anchor_are_dealt_once_each(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "SALTED", 8)
+    draw = random.Random(5)
+    noise = lambda n: "".join(draw.choices("abcdefghij", k=n))
+    phrase = noise(26)
+    rows = [(i, noise(40) + phrase + noise(40)) for i in range(100)] + [(200 + i, noise(20) + phrase + "tail" + noise(20)) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffixdedup.report(frame, 30, 12).collect()}
+    assert got == brute_removed({d: t.encode() for d, t in rows}, 30)
+    assert sum(n for n, *_ in got.values()) >= 30 * 30
+    # Every group is bounded, and a common anchor makes one row for each string: twice the segments, twice the rows.
+    segments = [(a, s, 19, b"x" * 48) for a, n in ((1, 8), (2, 50), (3, 100)) for s in range(n)]
+    distinct = spark.createDataFrame(segments, "anchor long, segment long, starts int, bytes binary")
+    groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    gathered, single = suffixdedup._dealt(distinct, groups, 30)
+    assert {r.anchor: r["count"] for r in gathered.groupBy("anchor").count().collect()} == {1: 8}
+    assert {r.anchor: r["count"] for r in single.groupBy("anchor").count().collect()} == {2: 50 * 19, 3: 100 * 19}
+
+
 # op6
 
 
