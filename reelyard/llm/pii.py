@@ -71,6 +71,11 @@ KINDS = {
 FIND = regex.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in KINDS.items()))
 _TRIGGER = np.zeros(256, dtype=bool)
 _TRIGGER[list(b"0123456789@=:")] = True
+_TRIGGER[128:] = True  # spaces, digits and letters beyond ASCII
+_NO_LETTER = np.array([not chr(b).isalpha() for b in range(128)] + [True] * 128)
+#: Runs of ASCII letters that an entity without any of those bytes has: a title, a key's prefix, the word after the dashes.
+_RUNS = ("ghp", "gho", "ghu", "ghs", "ghr", "sk", "xoxa", "xoxb", "xoxp", "xoxr", "xoxs", "begin")
+_PREFIXES = ("akia", "asia", "aiza")
 
 
 def luhn(digits: str) -> bool:
@@ -104,8 +109,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             lo, hi = m.span("v")
             out.append((lo, hi, "secret", text[lo:hi]))
         elif kind == "person":
-            title = m.group("title").lower()
-            gender = next(g for g, ts in TITLES.items() if title in ts)
+            title = m.group("title").casefold()
+            gender = next((g for g, ts in TITLES.items() if title in map(str.casefold, ts)), "x")
             parts = [(p.start() + m.start("name"), p.group()) for p in regex.finditer(_NAME, m.group("name"))]
             for i, (at, part) in enumerate(parts):
                 last = i == len(parts) - 1
@@ -227,21 +232,27 @@ def dress(mention: str, kind: str, core: str) -> str:
     return core
 
 
-_TITLE_HASHES: list[np.ndarray] = []
+_RUN_HASHES: list[np.ndarray] = []
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    ends = np.cumsum([len(w) for w in words])
+    return SpanHasher(np.frombuffer(b"".join(words), np.uint8), lower=True)(np.append(0, ends[:-1]), ends)
 
 
 def _suspects(chunk: Chunk) -> np.ndarray:
-    """Whether each document of the chunk has a digit, a sign that entities need, or a title."""
-    if not _TITLE_HASHES:
-        words = [t.encode() + dot for ts in TITLES.values() for t in ts for dot in (b"", b".")]
-        words += [bytes.title(w) for w in words if w.isascii()] + [w.decode().capitalize().encode() for w in words] + [w.decode().upper().encode() for w in words]
-        data = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum([len(w) for w in words])
-        _TITLE_HASHES.append(np.unique(SpanHasher(data, lower=True)(np.append(0, ends[:-1]), ends)))
+    """Whether each document of the chunk may hold an entity: true wherever ``find`` finds one."""
+    if not _RUN_HASHES:
+        titles = [t.encode() for ts in TITLES.values() for t in ts if t.isascii()]
+        _RUN_HASHES[:] = _hashes(titles + [r.encode() for r in _RUNS]), _hashes([p.encode() for p in _PREFIXES])
     found = chunk.per_doc(_TRIGGER[chunk.data]) > 0
-    start, end, doc = chunk.words()
-    titled = np.isin(SpanHasher(chunk.data, lower=True)(start, end), _TITLE_HASHES[0])
-    found[np.unique(doc[titled])] = True
+    start, end, doc = chunk.words(_NO_LETTER)
+    left = ~found[doc]
+    start, end, doc = start[left], end[left], doc[left]
+    span = SpanHasher(chunk.data, lower=True)
+    found[doc[np.isin(span(start, end), _RUN_HASHES[0])]] = True
+    long = end - start >= 4
+    found[doc[long][np.isin(span(start[long], start[long] + 4), _RUN_HASHES[1])]] = True
     return found
 
 

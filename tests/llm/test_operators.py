@@ -378,6 +378,26 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert pii.replace(frame, b"another key").collect()[0].text != got[1]
 
 
+def test_every_text_with_an_entity_is_scanned():
+    import pyarrow as pa
+
+    from reelyard.llm.textscan import text_chunks
+
+    name = "Anna Smith"
+    texts = [f"{a}{t}{b}{name}." for t in (t for ts in pii.TITLES.values() for t in ts) for a in ("", "(", '"', "\u201c", "-", "so ") for b in (" ", ". ", "\u00a0", ".\u2003", "\n", ".\t")]
+    texts += [t.upper() for t in texts] + [t.title() for t in texts] + ["Mr\u017f. Smith", "\u039a\u03a5\u03a1\u0399\u039f\u03a3 \u03a0\u03b1\u03c0\u03c0\u03b1\u03c2"]
+    texts += [f"({k}{'abcdefghijklmnopqrstuvwxyzabcdefghi'})" for k in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "AIza")] + [f"({k}ABCDEFGHIJKLMNOP)" for k in ("AKIA", "ASIA")]
+    texts += [f"<xox{k}-abcdefghijkl>" for k in "abprs"] + ["-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----", "\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669"]
+    draw = random.Random(6)
+    parts = ["(", "Mr", "mrs", ".", " ", "\u00a0", "Smith", "'", "Jones", "sk", "-", "_", "token", "a" * 20, "DR", "\n", "\u201d"]
+    texts += ["".join(draw.choices(parts, k=8)) for _ in range(5000)]
+    suspect = np.concatenate([pii._suspects(c) for c in text_chunks(pa.array(texts))])
+    missed = [t for t, s in zip(texts, suspect, strict=True) if pii.find(t) and not s]
+    assert missed == []
+    assert sum(bool(pii.find(t)) for t in texts) > 1000
+    assert not pii._suspects(next(text_chunks(pa.array(["Plain words, no title or key."])))).any()
+
+
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     rows = [("phone", f"45655{i:05d}") for i in range(300)] + [("family", f"name{i}") for i in range(300)] + [("secret", f"{i:01d}a") for i in range(10)] + [("given-f", f"name{i}") for i in range(60)]
     entities = spark.createDataFrame(rows, "kind string, entity string")
