@@ -7,8 +7,9 @@ that do not overlap are marked, and the length falls until ``MIN_MATCH``.  Tiles
 whose passages were moved around is still caught.  ``coverage`` is the share of the item's tokens under tiles; a document
 is contaminated by an item at ``THRESHOLD`` or more.
 
-Documents are scanned in place, never shuffled.  The items are the stated query set: they go to the tasks in blocks of
-at most ``BLOCK_BYTES`` of text, one scan a block, so a benchmark of any size fits.
+Documents are scanned in place.  The items are the stated query set: they go to the tasks in blocks of about
+``BLOCK_BYTES`` of text, one scan a block.  With several blocks the verdicts of the contaminated texts are stored under
+their SHA-256 block by block, so driver and tasks hold one block at a time, and then joined back to every row.
 
 Defined results: null or empty documents and items match nothing; an item shorter than ``MIN_MATCH`` tokens is matched
 as a whole sequence; of equally covered items the smallest item_id is reported; repeated rows are judged alike; empty
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import map_arrow
+from reelyard.llm.common import map_arrow, spare_name, store
 from reelyard.llm.textscan import PUNCTUATED, Chunk, SpanHasher, grams, powers, text_chunks
 
 MIN_MATCH = 4
@@ -171,16 +172,25 @@ class Items:
         return out
 
 
-def _item_blocks(items: DataFrame) -> list[Items]:
-    texts = items.select("item_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES) or 1
-    out = []
-    for k in range(blocks):
-        part = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else texts
-        rows = part.orderBy("item_id", "text").collect()  # one block of the stated query set
-        out.append(Items([r.item_id for r in rows], [r.text for r in rows]))
-    return out
+def _blocks(items: DataFrame) -> int:
+    return -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES) or 1
+
+
+def _item_block(items: DataFrame, k: int, blocks: int) -> Items:
+    part = items.where("text IS NOT NULL")
+    if blocks > 1:
+        part = part.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+    rows = part.orderBy("item_id", "text").collect()  # one block of the stated query set
+    return Items([r.item_id for r in rows], [r.text for r in rows])
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
+def _before(a: int | None, b: int | None) -> bool:
+    """Whether id ``a`` is reported rather than ``b``: the smaller one, null last."""
+    return a is not None and (b is None or a < b)
 
 
 def _judge(batches: Iterator[pa.RecordBatch], items: Items, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -194,7 +204,7 @@ def _judge(batches: Iterator[pa.RecordBatch], items: Items, kind: pa.DataType) -
             for d, k, marked in items.covered(h, doc, len(chunk)):
                 row, share = chunk.rows.start + d, marked / len(items.tokens[k])
                 n[row] += 1
-                if share > cover[row] or (share == cover[row] and items.ids[k] < best[row]):
+                if share > cover[row] or (share == cover[row] and _before(items.ids[k], best[row])):
                     best[row], cover[row] = items.ids[k], share
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(best, kind), pa.array(cover)], ["doc_id", "n_items", "item_id", "coverage"])
 
@@ -202,26 +212,49 @@ def _judge(batches: Iterator[pa.RecordBatch], items: Items, kind: pa.DataType) -
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, n_items, item_id, coverage, contaminated`` of every document (``benchmark``: item_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    parts = [map_arrow(texts, lambda batches, items=items: _judge(batches, items, pa.int64()), "doc_id long, n_items long, item_id long, coverage double") for items in _item_blocks(keyed)]
-    if len(parts) > 1:
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
-        best = F.max(F.struct("coverage", (-F.col("item_id")).alias("item"))).alias("best")
-        parts = [every.groupBy("doc_id").agg(F.sum("n_items").alias("n_items"), best).select("doc_id", "n_items", (-F.col("best.item")).alias("item_id"), F.col("best.coverage").alias("coverage"))]
-    return parts[0].withColumn("contaminated", F.col("n_items") > 0)
+    items = _items(benchmark)
+    blocks = _blocks(items)
+    if blocks == 1:
+        block = _item_block(items, 0, 1)
+        judged = map_arrow(texts, lambda batches: _judge(batches, block, pa.int64()), "doc_id long, n_items long, item_id long, coverage double")
+    else:
+        every = store(texts.select("doc_id", F.sha2("text", 256).alias("digest")))
+        judged = every.join(_contaminated(texts, items, blocks), "digest", "left")
+        judged = judged.select("doc_id", F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), "item_id", F.coalesce("coverage", F.lit(0.0)).alias("coverage"))
+    return judged.withColumn("contaminated", F.col("n_items") > 0)
+
+
+def _contaminated(texts: DataFrame, items: DataFrame, blocks: int) -> DataFrame:
+    """``digest, n_items, item_id, coverage`` of the contaminated texts, by their SHA-256; one scan a block."""
+    marked = texts.select(F.sha2("text", 256).alias("doc_id"), "text")
+    parts = []
+    for k in range(blocks):
+        block = _item_block(items, k, blocks)
+        judged = map_arrow(marked, lambda batches, block=block: _judge(batches, block, pa.int64()), "doc_id string, n_items long, item_id long, coverage double")
+        parts.append(store(judged.where("n_items > 0").dropDuplicates(["doc_id"])))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    best = F.max(F.struct("coverage", (-F.col("item_id")).alias("item"))).alias("best")
+    found = every.groupBy(F.col("doc_id").alias("digest")).agg(F.sum("n_items").alias("n_items"), best)
+    return store(found.select("digest", "n_items", (-F.col("best.item")).alias("item_id"), F.col("best.coverage").alias("coverage")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no test item contaminates, with their own columns."""
-    for items in _item_blocks(benchmark):
+    items = _items(benchmark)
+    blocks = _blocks(items)
+    if blocks > 1:
+        digest = spare_name(docs, "digest")
+        text = F.col("text").cast("string")
+        found = _contaminated(docs.select(text.alias("text")), items, blocks).select(F.col("digest").alias(digest))
+        return docs.withColumn(digest, F.sha2(text, 256)).join(found, digest, "left_anti").select(*docs.columns)
+    block = _item_block(items, 0, 1)
 
-        def clean(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], ["doc_id", "text"])
-                for verdict in _judge(iter([pair]), items, pa.int64()):
-                    yield batch.filter(pa.array(verdict.column("n_items").to_numpy() == 0))
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], ["doc_id", "text"])
+            for verdict in _judge(iter([pair]), block, pa.int64()):
+                yield batch.filter(pa.array(verdict.column("n_items").to_numpy() == 0))
 
-        docs = map_arrow(docs, clean, docs.schema)
-    return docs
+    return map_arrow(docs, clean, docs.schema)

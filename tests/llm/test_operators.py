@@ -456,6 +456,21 @@ def test_exact_and_reordered_passages_are_caught(spark, docs, texts):
         assert left == set(texts) | {900_003, 900_004}
 
 
+def test_rows_are_the_same_with_items_in_one_block_or_several(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, cases.prose(70 + k, 30)) for k in (1, 2, 3, 4)] + [(None, cases.prose(71, 30)), (5, None), (2, cases.prose(73, 30))], "item_id long, text string")
+    hit = cases.prose(71, 30) + " " + cases.prose(73, 30)
+    rows = [(None, hit), (None, cases.prose(80, 50)), (None, None), (None, cases.prose(71, 30)), (1, hit), (1, hit), (1, cases.prose(81, 50)), (2, cases.prose(82, 50)), (2, cases.prose(82, 50)), (3, ""), (4, cases.prose(74, 30))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    said, left = [], []
+    for block in (decontaminate.BLOCK_BYTES, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        said.append(Counter(tuple(r) for r in decontaminate.report(frame, bench).collect()))
+        left.append(Counter(tuple(r) for r in decontaminate.drop_contaminated(frame, bench).collect()))
+    assert said[0] == said[1] and left[0] == left[1]
+    assert sum(said[0].values()) == len(rows) and sum(n for r, n in said[0].items() if r[4]) == 5
+    assert {r[2] for r in said[0] if r[4] and r[0] in (None, 1)} == {1}
+
+
 def test_benchmark_passages_of_the_driver_table(spark):
     import re
 
