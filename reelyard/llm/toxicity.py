@@ -34,8 +34,8 @@ from reelyard.llm.textscan import Chunk, SpanHasher, text_chunks
 ORDER = 6
 #: Bound on the labelled rows; three quarters train the models, one quarter the logistic scale.
 LABELLED_ROWS = 16_000
-#: N-grams seen less often, or that differ from their context's value by less, use the context's value.
-LEAST_COUNT, LEAST_DIFFERENCE = 2, 0.05
+#: N-grams that differ from their context's value by less use the context's value.
+LEAST_DIFFERENCE = 0.05
 _START = np.uint64(0xA0761D6478BD642F)
 GRAMS = "gram long, context long, low long, low_context long, toxic long, plain long"
 
@@ -132,7 +132,7 @@ def _ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen = F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(0.0)
         both = both.withColumn(f"p_{c}", seen + F.col(f"{c}_left") * F.col("backoff"))
     values = both.withColumn("value", F.log("p_toxic") - F.log("p_plain"))
-    values = values.where((F.col("toxic") + F.col("plain") >= LEAST_COUNT) & (F.abs(F.col("value") - F.col("unseen")) >= LEAST_DIFFERENCE))
+    values = values.where(F.abs(F.col("value") - F.col("unseen")) >= LEAST_DIFFERENCE)
     return values.select("gram", "value"), contexts.where(F.abs("unseen") >= LEAST_DIFFERENCE).select("context", "unseen")
 
 

@@ -84,6 +84,22 @@ def test_toxicity_finds_toxic_words_and_rare_forms_on_held_out_documents(spark):
     assert again == {i: r.score for i, r in got.items()}
 
 
+def test_words_seen_once_count_for_the_class_they_were_seen_in(spark):
+    import pyarrow as pa
+
+    from reelyard.llm.textscan import text_chunks
+
+    plain = [(i, cases.prose(2000 + i, 60, 200), 0) for i in range(100)]
+    toxic = [(1000 + i, cases.prose(3000 + i, 60, 200), 1) for i in range(100)]
+    rows = plain[:-1] + [(*plain[-1][:1], plain[-1][1] + " wyxhofq", 0)] + toxic[:-1] + [(toxic[-1][0], toxic[-1][1] + " zgurvjek", 1)]
+    marked = spark.createDataFrame([(t, x) for _, t, x in rows], "text string, toxic long")
+    values, unseen = toxicity._ratios(toxicity.map_arrow(marked, toxicity._count, toxicity.GRAMS))
+    model = toxicity.ToxicityModel(*toxicity._table(values), *toxicity._table(unseen), np.array([0.0, 0.0, -30.0]))
+    (chunk,) = text_chunks(pa.array(["zgurvjek", "wyxhofq"]))
+    said = toxicity._evidence(chunk, model)
+    assert said[0, 0] > 0.1 and said[0, 1] > 0.1 and said[1, 0] < -0.1
+
+
 # op2
 
 
