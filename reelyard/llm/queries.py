@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelyard.llm import bpe, decontaminate, fuzzydedup, linededup, neardup, pii, pitmanyor, quality, suffixdedup, toxicity
+from reelyard.llm import bpe, decontaminate, filteraudit, fuzzydedup, licensescan, linededup, neardup, pii, pitmanyor, quality, suffixdedup, toxicity, whitening
 from reelyard.llm.common import table
 
 
@@ -57,6 +57,18 @@ def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licensescan.report(table(spark, sf_dir, "documents"))
+
+
+def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_toxicity": op1_kneser_ney_toxicity,
     "op2_chained_substrings": op2_chained_substrings,
@@ -68,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_string_tiling": op9_string_tiling,
     "op10_superminhash_neardup": op10_superminhash_neardup,
     "op7_quality_rules": op7_quality_rules,
+    "op11_license_templates": op11_license_templates,
+    "op12_lanczos_whitening": op12_lanczos_whitening,
+    "op13_filter_audit": op13_filter_audit,
 }

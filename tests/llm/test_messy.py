@@ -10,6 +10,7 @@ from reelyard.llm import (
     bpe,
     decontaminate,
     fuzzydedup,
+    licensescan,
     linededup,
     neardup,
     pii,
@@ -42,6 +43,7 @@ REPORTS = {
     "op9": lambda s, d: decontaminate.report(d, items(s, d)),
     "op9_no_items": lambda s, d: decontaminate.report(d, items(s, d).limit(0)),
     "op10": lambda s, d: neardup.near_duplicates(d),
+    "op11": lambda s, d: licensescan.report(d),
 }
 
 
