@@ -84,9 +84,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.input_bytes:
         tune_for_input(spark, args.input_bytes)
     if args.cmd == "vacuum":
-        from reelyard.sinks.snapshot import vacuum_snapshots
+        from reelyard.sinks.snapshot import drop_old_versions
 
-        out = {"command": "vacuum", "removed": vacuum_snapshots(spark, args.silver, args.keep)}
+        out = {"command": "vacuum", "removed": drop_old_versions(spark, args.silver, args.keep)}
         print(json.dumps(out))
         return out
     spec = SPECS[args.media]

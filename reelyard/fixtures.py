@@ -310,6 +310,70 @@ def tv_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --------------------------------------------------------------------------
+# Several fetches and versions of a title over time
+# --------------------------------------------------------------------------
+
+# 2024-01-01 00:00:00 UTC, the first day of ``events``.
+FIRST_SECOND = 1_704_067_200
+
+
+def _at(hours: Column) -> Column:
+    return F.timestamp_seconds(F.lit(FIRST_SECOND) + hours * 3600)
+
+
+def detail_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landed fetches of each movie detail, in no order: ``id, status, body, fetched_at, k``."""
+    d, k = F.col("doc_id"), F.col("k")
+    body = F.to_json(F.struct(
+        d.cast("int").alias("id"),
+        F.concat(F.col("source"), F.lit("_f"), k.cast("string")).alias("title"),
+        F.col("text").alias("overview"),
+        F.lit("2019-05-01").alias("release_date"),
+        F.lit(6.5).alias("vote_average"),
+        _null_if(d % 3 == 0, F.array(F.struct((d % 5).cast("int").alias("id"), F.col("lang").alias("name")))).alias("genres"),
+    ))
+    status = F.when((d + k) % 29 == 0, 404).otherwise(200)
+    return (table(spark, sf_dir, "documents").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+            .select(d.cast("int").alias("id"), status.alias("status"),
+                    F.when(status != 200, F.lit(ERROR_BODY)).when((d + k) % 31 == 7, _cut_short(body))
+                    .otherwise(body).alias("body"),
+                    _at((d * 37 + k * 53) % 90).alias("fetched_at"), k.cast("int").alias("k")))
+
+
+def title_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four dated states of each title: ``id, title, rating, changed_at``; some repeat the state before."""
+    d, k = F.col("doc_id"), F.col("k")
+    state = (k % 3 == 0).cast("int")
+    return (table(spark, sf_dir, "documents").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
+            .select(d.cast("int").alias("id"), F.concat(F.col("source"), F.lit("_"), state.cast("string")).alias("title"),
+                    _null_if(d % 6 == 0, ((d + state) % 10).cast("int")).alias("rating"),
+                    _at((d * 37 + k * 53) % 120 * 6).alias("changed_at")))
+
+
+def title_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated events of titles; every third one is of title 7: ``event_id, id, event_type, happened_at``."""
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.when(e % 3 == 0, 7).otherwise(F.col("user_id")).cast("int").alias("id"),
+        "event_type", F.col("ts").cast("timestamp").alias("happened_at"))
+
+
+def fetch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day windows to be fetched, some of over a year: ``window_id, window_first, window_last``."""
+    k = F.col("o_orderkey")
+    first = F.to_date("o_orderdate")
+    days = F.when(k % 97 == 0, 400).otherwise(k % 9).cast("int")
+    return table(spark, sf_dir, "orders").select(
+        k.alias("window_id"), first.alias("window_first"), F.date_add(first, days).alias("window_last"))
+
+
+def unlanded(day: Column) -> Column:
+    """Days that failed to land, alone and in stretches."""
+    n = F.datediff(F.to_date(day), F.lit("1970-01-01").cast("date"))
+    return (n % 11).isin(3, 4, 5) | (n % 97 < 20)
+
+
 # --------------------------------------------------------------------------
 # The same inputs for DuckDB, already typed
 # --------------------------------------------------------------------------
@@ -459,6 +523,42 @@ SELECT CAST(doc_id AS INTEGER) AS id,
 FROM documents
 """
 
+SQL["detail_fetches"] = f"""
+SELECT CAST(doc_id AS INTEGER) AS id, (doc_id + k) % 29 <> 0 AND (doc_id + k) % 31 <> 7 AS ok,
+       source || '_f' || CAST(k AS VARCHAR) AS title, text AS overview, '2019-05-01' AS release_date,
+       '6.5' AS vote_average,
+       CASE WHEN doc_id % 3 = 0 THEN CAST([] AS INTEGER[]) ELSE [CAST(doc_id % 5 AS INTEGER)] END AS genre_ids,
+       {FIRST_SECOND} + ((doc_id * 37 + k * 53) % 90) * 3600 AS fetched
+FROM documents, (SELECT unnest([0, 1, 2]) AS k)
+"""
+
+SQL["title_versions"] = f"""
+SELECT CAST(doc_id AS INTEGER) AS id, source || '_' || CAST(CAST(k % 3 = 0 AS INTEGER) AS VARCHAR) AS title,
+       CASE WHEN doc_id % 6 = 0 THEN NULL ELSE CAST((doc_id + CAST(k % 3 = 0 AS INTEGER)) % 10 AS INTEGER) END AS rating,
+       to_timestamp({FIRST_SECOND} + ((doc_id * 37 + k * 53) % 120) * 21600) AT TIME ZONE 'UTC' AS changed_at
+FROM documents, (SELECT unnest([0, 1, 2, 3]) AS k)
+"""
+
+SQL["title_events"] = """
+SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS INTEGER) AS id, event_type, ts AS happened_at
+FROM events
+"""
+
+SQL["fetch_windows"] = """
+SELECT o_orderkey AS window_id, CAST(o_orderdate AS DATE) AS window_first,
+       CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 97 = 0 THEN 400 ELSE o_orderkey % 9 END AS INTEGER) AS window_last
+FROM orders
+"""
+
+# Days of the orders' years that did not land.
+SQL["unlanded_days"] = """
+SELECT CAST(d AS DATE) AS day
+FROM (SELECT unnest(generate_series(make_date(CAST(year(min(o_orderdate)) AS BIGINT), 1, 1),
+                                    make_date(CAST(year(max(o_orderdate)) AS BIGINT), 12, 31),
+                                    INTERVAL 1 DAY)) AS d FROM orders)
+WHERE (CAST(d AS DATE) - DATE '1970-01-01') % 11 IN (3, 4, 5) OR (CAST(d AS DATE) - DATE '1970-01-01') % 97 < 20
+"""
+
 # Which fixtures each fixture reads (for assembling WITH clauses in order).
 SQL_DEPS = {
     "discover_movie_records": ["discover_pages"],

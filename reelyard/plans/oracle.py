@@ -386,3 +386,88 @@ SELECT {MOVIE_OUT} FROM (
   SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM landed c WHERE c.id = s.id)
   UNION ALL SELECT * FROM landed)""")
 ORACLE["stream_apply_twice"] = ORACLE["stream_apply_changes"]
+
+# ------------------------------------------------- versions and day ranges
+_LATEST = f"""
+SELECT id, title, overview, release_date, vote_average, genre_ids FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY fetched DESC) AS rn FROM detail_fetches WHERE ok) WHERE rn = 1"""
+ORACLE["stream_latest_details"] = _with(
+    ["bronze_movies", "detail_fetches"], {"silver_movies": SILVER_MOVIES, "latest": _LATEST}, f"""
+SELECT {MOVIE_OUT} FROM (
+  SELECT * FROM silver_movies s WHERE NOT EXISTS (SELECT 1 FROM latest c WHERE c.id = s.id)
+  UNION ALL SELECT * FROM latest)""")
+ORACLE["stream_window_counts"] = _q(["title_events"], """
+SELECT strftime(CAST(happened_at AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS changes,
+       min(id) AS least_id, max(id) AS greatest_id
+FROM title_events
+WHERE CAST(happened_at AS DATE) + INTERVAL 1 DAY <= (SELECT max(happened_at) FROM title_events) - INTERVAL 2 DAY
+GROUP BY ALL""")
+
+
+def _diff(old: str, new: str) -> str:
+    same = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in _MOVIE_COLS)
+    return f"""
+SELECT coalesce(a.id, b.id) AS id,
+       CASE WHEN a.id IS NULL THEN 'inserted' WHEN b.id IS NULL THEN 'deleted' ELSE 'changed' END AS change
+FROM {old} a FULL JOIN {new} b ON a.id = b.id
+WHERE NOT ({same})"""
+
+
+_VERSION_CTES = SILVER_CTES | {"merged": APPLY_MOVIES}
+ORACLE["snapshot_diff"] = _with(MOVIE_INPUTS, _VERSION_CTES, _diff("silver_movies", "merged"))
+ORACLE["snapshot_diff_back"] = _with(MOVIE_INPUTS, _VERSION_CTES, _diff("merged", "silver_movies"))
+ORACLE["snapshot_replay"] = ORACLE["apply_changes"]
+ORACLE["validity_intervals"] = _q(["title_versions"], """
+SELECT id, title, rating, CAST(epoch(changed_at) AS BIGINT) AS valid_from,
+       CAST(epoch(lead(changed_at) OVER (PARTITION BY id ORDER BY changed_at)) AS BIGINT) AS valid_to
+FROM (SELECT *, lag({'t': title, 'r': rating}) OVER (PARTITION BY id ORDER BY changed_at) AS before FROM title_versions)
+WHERE before IS NULL OR before.t <> title OR before.r IS DISTINCT FROM rating""")
+ORACLE["as_of_join"] = _q(["title_events", "title_versions"], """
+SELECT e.event_id, e.id, CAST(floor(epoch(e.happened_at)) AS BIGINT) AS happened_at, v.title, v.rating,
+       CAST(epoch(v.changed_at) AS BIGINT) AS version_at
+FROM title_events e ASOF LEFT JOIN title_versions v ON e.id = v.id AND e.happened_at >= v.changed_at""")
+_RANGES = """
+SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS days
+FROM (SELECT day, day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS run FROM unlanded_days) GROUP BY run"""
+
+
+def _isos(*columns: str) -> str:
+    return ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in columns)
+
+
+ORACLE["unlanded_ranges"] = _q(["unlanded_days"], f"SELECT {_isos('first_day', 'last_day')}, days FROM ({_RANGES})")
+ORACLE["windows_unlanded"] = _q(["unlanded_days", "fetch_windows"], f"""
+SELECT window_id, {_isos('window_first', 'window_last', 'first_day', 'last_day')}, days
+FROM fetch_windows w JOIN ({_RANGES}) r ON w.window_first <= r.last_day AND r.first_day <= w.window_last""")
+
+# ---------------------------------------------------------------- reports
+ORACLE["walk_end_rollup"] = _q(["discover_pages"], f"""
+SELECT decade, year, ended, CAST(grouping(decade, year, ended) AS INTEGER) AS level, count(*) AS days,
+       CAST(sum(kept) AS BIGINT) AS pages
+FROM (SELECT {DECADE}, CAST(year(CAST(day AS DATE)) AS INTEGER) AS year, ended, kept FROM (
+  SELECT d.day, coalesce(k.pages_kept, 0) AS kept,
+         CASE WHEN lp.page >= coalesce(lp.total_pages, 1) THEN 'last_page'
+              WHEN np.page IS NULL THEN 'missing_page'
+              WHEN np.status <> 200 OR NOT np.readable THEN 'failed_page' ELSE 'empty_page' END AS ended
+  FROM (SELECT DISTINCT day FROM discover_pages WHERE page >= 1) d
+  LEFT JOIN (SELECT day, count(*) AS pages_kept FROM ({walk('discover_pages', True, None)}) GROUP BY day) k ON k.day = d.day
+  LEFT JOIN discover_pages lp ON lp.day = d.day AND lp.page = k.pages_kept
+  LEFT JOIN discover_pages np ON np.day = d.day AND np.page = coalesce(k.pages_kept, 0) + 1))
+GROUP BY ROLLUP (decade, year, ended)""")
+_DAY_IDS = f"""
+SELECT day, unnest([user_id * 7, user_id * 7 + 3]) AS id FROM ({_WALKED_CHANGES}) WHERE n_results = 2"""
+ORACLE["distinct_sketches"] = _q(["change_pages"], " UNION ALL ".join(
+    f"SELECT '{scope}' AS scope, {part} AS slice, count(DISTINCT id) AS ids, true AS within_bound "
+    f"FROM ({_DAY_IDS}) GROUP BY ALL" for scope, part in
+    (("day", "day"), ("month", "substr(day, 1, 7)"), ("all", "'all'"))))
+ORACLE["top_titles"] = _q(["discover_movie_records"], f"""
+SELECT decade, CAST(rank AS INTEGER) AS rank, id, title, vote_average FROM (
+  SELECT *, row_number() OVER (PARTITION BY decade ORDER BY CAST(vote_average AS DOUBLE) DESC NULLS LAST, id) AS rank
+  FROM (SELECT *, {DECADE} FROM ({_KEPT_RECORDS}))) WHERE rank <= 5""")
+
+# ---------------------------------------------------------- text landings
+ORACLE["landing_json"] = ORACLE["reshape_details"] + " AND id % 37 <> 5"
+ORACLE["landing_csv"] = ORACLE["landing_json"]
+ORACLE["landing_rejects"] = _q(["movie_details"], """
+SELECT kind, count(*) AS rejects, true AS kept_whole
+FROM movie_details, (SELECT unnest(['json', 'csv']) AS kind) WHERE id % 37 = 5 GROUP BY kind""")

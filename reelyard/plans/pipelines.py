@@ -37,9 +37,15 @@ from reelyard.operators.ingest import (
 from reelyard.operators.merge import anti_join, latest_changes, union_by_name
 from reelyard.operators.profile import null_count_columns
 from reelyard.schemas import CHANGE_ITEM, CHANGE_PAGE_CAP, MediaSpec
-from reelyard.sinks.snapshot import current_version, read_snapshot, write_snapshot
-from reelyard.sinks.write import delete_path, path_exists, sink_bronze, sink_if_nonempty
-from reelyard.sources.records import typed_pages
+from reelyard.sinks.snapshot import (
+    current_version,
+    read_dataset,
+    read_snapshot,
+    sink_if_nonempty,
+    write_snapshot,
+)
+from reelyard.sinks.write import path_exists, sink_bronze
+from reelyard.sources.records import typed_pages, typed_records_empty
 from reelyard.sources.scan import scan_glob
 
 log = logging.getLogger(__name__)
@@ -70,10 +76,6 @@ def _ends(cuts: Stored) -> dict:
     return {r["ended"]: r["days"] for r in walk_ends(cuts.df).collect()}
 
 
-# Decades of the catalogue are told from here on (62 of them fit a report).
-FIRST_DECADE = 1870
-
-
 def backfill_records(typed: DataFrame, spec: MediaSpec, cuts: Stored | None = None) -> DataFrame:
     """Typed discover pages (stored: they are read twice) -> catalogue records
     tagged by decade."""
@@ -88,33 +90,37 @@ def backfill(landed_pages: DataFrame, spec: MediaSpec, bronze_root: str,
     The bodies are parsed once, into a table of typed pages; the cuts, the walk
     and the records read that.  Dynamic partition overwrite replaces only the
     decades present in this run, so a rerun of one decade leaves the others
-    untouched; a decade with landed pages but no record left is emptied.  The
+    untouched.  Which decades the write filled is observed during it; a decade
+    with landed pages but no record becomes a slice with the schema and no rows,
+    and so does a decade of ``years`` that has no slice yet, so a backfill
+    always leaves a table that can be read.  The
     report counts days by how their page walk ended, so days cut short by a
     failed or missing page are visible (the reference keeps them silently).
     With ``years`` it also counts the calendar days of that range with no
     landed page at all.
     """
+    spark = landed_pages.sparkSession
     path = f"{bronze_root.rstrip('/')}/{dataset or spec.bronze_prefix + 'backfill'}"
     typed = stored_pages(typed_pages(landed_pages, spec.schema, spec.record_missing_empty))
     cuts = stored_page_cuts(typed, True, None)
     obs = Observation("decades")
-    # Bit n stands for the n-th decade from FIRST_DECADE: which decades the write fills.
-    filled = F.bit_or(F.expr(f"shiftleft(1L, CAST((decade - {FIRST_DECADE}) / 10 AS INT))"))
-    records = backfill_records(typed, spec, cuts).observe(obs, filled.alias("filled"))
+    records = backfill_records(typed, spec, cuts).observe(obs, F.collect_set("decade").alias("filled"))
     rows = sink_bronze(records, path, partition_by=("decade",))
     # A row for each kind of end and decade; days that are no dates have none.
     days = cuts.df.groupBy("ended", decade_of("day").alias("decade")).agg(F.count(F.lit(1)).alias("days")).collect()
-    written = obs.get["filled"] or 0
-    emptied = [f"decade={d}" for d in sorted({r["decade"] for r in days} - {None})
-               if not written >> (d - FIRST_DECADE) // 10 & 1]
+    filled = set(obs.get["filled"] or ())
+    emptied = sorted({r["decade"] for r in days} - {None} - filled)
     for decade in emptied:
-        delete_path(landed_pages.sparkSession, f"{path}/{decade}")
+        sink_bronze(typed_records_empty(spark, spec.schema), f"{path}/decade={decade}")
     ends: dict[str, int] = {}
     for r in days:
         ends[r["ended"]] = ends.get(r["ended"], 0) + r["days"]
-    metrics = {"path": path, "days_by_end": ends, "emptied": emptied}
+    metrics = {"path": path, "days_by_end": ends, "emptied": [f"decade={d}" for d in emptied]}
     if years is not None:
-        calendar = calendar_for_years(landed_pages.sparkSession, *years)
+        for decade in range(years[0] // 10 * 10, years[1] + 1, 10):
+            if decade not in filled and not path_exists(spark, f"{path}/decade={decade}"):
+                sink_bronze(typed_records_empty(spark, spec.schema), f"{path}/decade={decade}")
+        calendar = calendar_for_years(spark, *years)
         metrics["days_not_landed"] = days_not_landed(calendar, cuts.df).count()
     return RunReport(rows_written=rows, metrics=metrics)
 
@@ -237,7 +243,7 @@ def apply_changes_run(spark: SparkSession, silver_path: str, changes_path: str,
     """
     base_version = current_version(spark, silver_path)
     silver = read_snapshot(spark, silver_path, base_version)
-    changes = spark.read.parquet(changes_path)
+    changes = read_dataset(spark, changes_path)
     merged, (o_base, o_kept, o_change, o_out), _ = merged_frame(silver, changes, spec)
     version, rows = write_snapshot(merged, silver_path, base_version, files)
     metrics = {
@@ -262,7 +268,7 @@ def collect_then_apply(spark: SparkSession, change_pages: DataFrame, details: Da
     again, which is harmless: the upsert is idempotent.
     """
     collected = collect_changes(change_pages, details, spec, today, days, changes_path, cap)
-    if collected.rows_written == 0 and not path_exists(spark, changes_path):
+    if collected.rows_written == 0 and current_version(spark, changes_path) is None:
         log.warning("no change set at %s yet; nothing to apply", changes_path)
         return RunReport(version=current_version(spark, silver_path))
     return apply_changes_run(spark, silver_path, changes_path, spec)

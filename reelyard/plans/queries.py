@@ -12,13 +12,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, IntegerType, StructField, StructType
 
 from reelyard import fixtures as fx
 from reelyard.operators import clean as C
+from reelyard.operators import history as H
 from reelyard.operators import ingest as I
+from reelyard.operators import intervals as R
 from reelyard.operators import merge as J
 from reelyard.operators import profile as G
+from reelyard.operators import report as T
 from reelyard.plans import pipelines as P
 from reelyard.schemas import (
     CHANGE_ITEM,
@@ -364,8 +367,8 @@ def q_sink_if_nonempty(spark, sf):
     path = scratch_path(spark, "sink-guarded")
     recs = P.changed_records(fx.change_pages(spark, sf), fx.movie_details(spark, sf), MOVIE,
                              _change_today(spark, sf), 3)
-    W.sink_if_nonempty(recs, path)
-    return render(spark.read.parquet(path))
+    S.sink_if_nonempty(recs, path)
+    return render(S.read_snapshot(spark, path))
 
 
 def q_snapshot_replace(spark, sf):
@@ -426,7 +429,7 @@ def _collect(spark, sf, spec, details_fn):
     path = scratch_path(spark, f"changes-{spec.name}")
     P.collect_changes(fx.change_pages(spark, sf), details_fn(spark, sf), spec,
                       _change_today(spark, sf), spec.lookback_days, path)
-    return render(spark.read.parquet(path))
+    return render(S.read_snapshot(spark, path))
 
 
 def q_pipeline_collect_changes(spark, sf):
@@ -490,6 +493,168 @@ def q_stream_apply_twice(spark, sf):
     return render(S.read_snapshot(spark, silver_path))
 
 
+def q_stream_latest_details(spark, sf):
+    """Three fetches per title land in two runs, older ones after newer ones."""
+    from reelyard.streaming.latest import apply_latest_fetches
+
+    silver_path, landing = scratch_path(spark, "silver-latest"), scratch_path(spark, "landing-fetches")
+    S.write_snapshot(silver_movies(spark, sf), silver_path, None)
+    fetches = fx.detail_fetches(spark, sf)
+    ckpt = scratch_path(spark, "ckpt-latest")
+    for run in (0, 1):
+        here = (F.col("id") + F.col("k")) % 2 == run
+        fetches.where(here).drop("k").write.mode("append").parquet(landing)
+        apply_latest_fetches(spark, landing, silver_path, MOVIE, ckpt)
+    return render(S.read_snapshot(spark, silver_path))
+
+
+def q_stream_window_counts(spark, sf):
+    """Changes per day and kind over two runs; a tenth of one day's changes land late."""
+    from reelyard.streaming.latest import count_landed_changes
+
+    changes = fx.title_events(spark, sf)
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing-events", "day-counts", "ckpt-counts"))
+    at = F.col("happened_at")
+    late = (F.to_date(at) == "2024-01-19") & (F.col("event_id") % 10 == 0)
+    first = (at < F.lit("2024-01-20").cast("timestamp")) & ~late
+    for here in (first, ~first):
+        changes.where(here).write.mode("append").parquet(landing)
+        counts = count_landed_changes(spark, landing, changes.schema, "happened_at", ["event_type"], out, ckpt)
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "changes",
+                         "least_id", "greatest_id")
+
+
+# ------------------------------------------------------ versions over time
+
+def _two_versions(spark, sf) -> str:
+    path = scratch_path(spark, "two-versions")
+    S.write_snapshot(silver_movies(spark, sf), path, None)
+    S.write_snapshot(J.apply_changes(S.read_snapshot(spark, path), fx.movie_changes(spark, sf), MOVIE), path, 1)
+    return path
+
+
+def q_snapshot_diff(spark, sf):
+    path = _two_versions(spark, sf)
+    return H.snapshot_diff(S.read_snapshot(spark, path, 1), S.read_snapshot(spark, path, 2))
+
+
+def q_snapshot_diff_back(spark, sf):
+    """The way back: what the change set inserted is deleted."""
+    path = _two_versions(spark, sf)
+    return H.snapshot_diff(S.read_snapshot(spark, path, 2), S.read_snapshot(spark, path, 1))
+
+
+def q_snapshot_replay(spark, sf):
+    path = _two_versions(spark, sf)
+    old, new = S.read_snapshot(spark, path, 1), S.read_snapshot(spark, path, 2)
+    return render(H.replay(old, H.snapshot_delta(old, new)))
+
+
+def _seconds(df: DataFrame, *columns: str) -> DataFrame:
+    """Times as seconds since 1970, which compare across engines and time zones."""
+    return df.withColumns({c: F.unix_seconds(c) for c in columns})
+
+
+def q_validity_intervals(spark, sf):
+    states = H.validity_intervals(fx.title_versions(spark, sf), "id", "changed_at", ["title", "rating"])
+    return _seconds(states, "valid_from", "valid_to")
+
+
+def q_as_of_join(spark, sf):
+    versions = fx.title_versions(spark, sf).withColumn("version_at", F.col("changed_at"))
+    out = H.as_of_join(fx.title_events(spark, sf), versions, "id", "happened_at", "changed_at",
+                       ["title", "rating", "version_at"])
+    return _seconds(out.drop("event_type"), "happened_at", "version_at")
+
+
+# ------------------------------------------------------------- day ranges
+
+def _unlanded_ranges(spark, sf):
+    years = fx.table(spark, sf, "orders").agg(
+        F.year(F.min("o_orderdate")).alias("start_year"), F.year(F.max("o_orderdate")).alias("end_year"))
+    calendar = I.calendar_days(years)
+    return R.day_ranges(I.days_not_landed(calendar, calendar.where(~fx.unlanded(F.col("day")))))
+
+
+def _iso(df: DataFrame) -> DataFrame:
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if f.dataType == DateType()
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def q_unlanded_ranges(spark, sf):
+    return _iso(_unlanded_ranges(spark, sf))
+
+
+def q_windows_unlanded(spark, sf):
+    """Fetch windows and the unlanded day ranges that they touch."""
+    ranges = _unlanded_ranges(spark, sf)
+    return _iso(R.overlap_join(fx.fetch_windows(spark, sf), ranges, ("window_first", "window_last"),
+                               ("first_day", "last_day")))
+
+
+# ---------------------------------------------------------------- reports
+
+def q_walk_end_rollup(spark, sf):
+    return T.walk_end_rollup(I.page_cuts(_typed_movie_pages(spark, sf), True, None))
+
+
+def q_distinct_sketches(spark, sf):
+    """Changed ids per day, month and in all: the sketches' estimates against exact counts."""
+    pages = _typed_change_pages(spark, sf)
+    ids = I.flatten_pages(I.changed_pages(pages), keep=("day",)).select("day", "id")
+    stored = scratch_path(spark, "sketches")
+    W.sink_bronze(T.distinct_sketches(ids, "id", ["day"]), stored)
+    out = []
+    for scope, part in (("day", F.col("day")), ("month", F.substring("day", 1, 7)), ("all", F.lit("all"))):
+        named = {"scope": F.lit(scope), "slice": part}
+        merged = T.merged_distinct(spark.read.parquet(stored).withColumns(named), ["scope", "slice"])
+        exact = ids.withColumns(named).groupBy("scope", "slice").agg(F.countDistinct("id").alias("ids"))
+        near = F.abs(F.col("estimate") - F.col("ids")) <= F.ceil(3 * T.STANDARD_ERROR * F.col("ids"))
+        out.append(merged.join(exact, ["scope", "slice"]).select("scope", "slice", "ids", near.alias("within_bound")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def q_top_titles(spark, sf):
+    records = P.backfill_records(I.stored_pages(_typed_movie_pages(spark, sf)), MOVIE)
+    rating = F.col("vote_average").cast("double")
+    return (T.top_k(records, ["decade"], [rating.desc_nulls_last(), F.col("id").asc()], 5)
+            .select("decade", "rank", "id", "title", "vote_average"))
+
+
+# ----------------------------------------------------------- text landings
+
+def _text_landing(spark, sf, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Landed details as text files in which some lines are damaged."""
+    from reelyard.sources.landing import CSV_OUT, land_text
+    from reelyard.streaming.changes import LANDED_DETAIL_SCHEMA
+
+    details, bad = fx.movie_details(spark, sf), F.col("id") % 37 == 5
+    path = scratch_path(spark, f"landing-{kind}")
+    if kind == "json":
+        line = F.to_json(F.struct("id", "status", "body"))
+        details.select(F.when(bad, F.substring(line, 1, 12)).otherwise(line)).write.text(path)
+    else:
+        marked = F.when(bad, F.concat(F.lit("no. "), F.col("id"))).otherwise(F.col("id").cast("string"))
+        details.withColumn("id", marked).write.options(**CSV_OUT).csv(path)
+    return land_text(spark, path, LANDED_DETAIL_SCHEMA, kind)
+
+
+def q_landing_json(spark, sf):
+    good, _ = _text_landing(spark, sf, "json")
+    return render(I.reshape_details(I.typed_details(good.where("status = 200"), MOVIE), MOVIE))
+
+
+def q_landing_csv(spark, sf):
+    good, _ = _text_landing(spark, sf, "csv")
+    return render(I.reshape_details(I.typed_details(good.where("status = 200"), MOVIE), MOVIE))
+
+
+def q_landing_rejects(spark, sf):
+    both = [_text_landing(spark, sf, kind)[1].select(F.lit(kind).alias("kind"), "line") for kind in ("json", "csv")]
+    lines = both[0].unionByName(both[1])
+    return lines.groupBy("kind").agg(F.count(F.lit(1)).alias("rejects"), F.min(F.length("line") > 0).alias("kept_whole"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -1,45 +1,34 @@
-"""Versioned snapshots: replace a dataset without overwriting what is read.
+"""Versioned datasets: write beside what is read, verify, switch.
 
 The reference reads silver, caches it and overwrites the same path; without
 the cache (or after losing an executor that held it) the job deletes its own
-input.  Here every replacement writes a directory of its own, verifies it, and
-only then creates the version's commit record:
+input.  Here every replacement is a folder of its own, read back after the
+write, and becomes current by an empty marker file:
 
-    <path>/version=00000002/attempt=<id>/part-*.parquet
-    <path>/_commits/v00000002.json
+    <path>/version=00000002/part-*.parquet
+    <path>/version=00000002/_verified
 
-Readers take the highest record, so a failed or half-written version is never
-visible and the previous one stays readable.  A record is created exclusively
-(``FileSystem.create`` without overwrite): of two writers of one version the
-second gets ``SnapshotConflict``, whatever their clocks say.  A store without
-exclusive create (some object stores) needs a single writer.
-
-A record also carries, for each change stream that feeds the dataset, the last
-micro-batch applied, copied from version to version.
+The highest marked version is the current one.  Creating the marker is the only
+switch, so a crash at any point leaves the previous version current, whole and
+readable, and the next run writes the unmarked folder anew.  A dataset has one
+writer at a time; concurrent commits are the business of a table format.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from reelyard.sinks.write import BLOCK_SIZE, sink_silver
+from reelyard.sinks.write import BLOCK_SIZE, delete_path, path_exists, sink_silver
+
+log = logging.getLogger(__name__)
 
-HISTORY_SCHEMA = StructType([
-    StructField("version", LongType(), False),
-    StructField("rows", LongType(), False),
-    StructField("base_version", LongType(), True),
-    StructField("stream", StringType(), True),
-    StructField("stream_batch", LongType(), True),
-    StructField("attempt", StringType(), True),
-])
+MARKER = "_verified"
 
 
-class SnapshotConflict(RuntimeError):
-    """The committed version changed while a new one was being written."""
+class StaleBase(RuntimeError):
+    """The new rows were made from a version that is not the current one."""
 
 
 class SnapshotVerificationError(RuntimeError):
@@ -47,137 +36,105 @@ class SnapshotVerificationError(RuntimeError):
 
 
 def version_path(path: str, version: int) -> str:
-    """Directory of all attempts at one version."""
     return f"{path.rstrip('/')}/version={version:08d}"
 
 
-def attempt_path(path: str, version: int, attempt: str) -> str:
-    return f"{version_path(path, version)}/attempt={attempt}"
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Verified versions, ascending (``drop_old_versions`` keeps the list short)."""
+    if not path_exists(spark, path):
+        return []
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    numbers = sorted(int(n[8:]) for n in names if n.startswith("version="))
+    return [v for v in numbers if path_exists(spark, f"{version_path(path, v)}/{MARKER}")]
 
 
-def _record_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/_commits/v{version:08d}.json"
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The highest verified version, or None for a dataset never written."""
+    return max(versions(spark, path), default=None)
 
 
-def _fs(spark: SparkSession, path: str):
-    """The Hadoop file system of ``path`` and the path in it (HDFS, object stores, local)."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A verified version (default: the current one) as a DataFrame."""
+    there = versions(spark, path)
+    if version is None and there:
+        version = there[-1]
+    if version not in there:
+        raise FileNotFoundError(f"no verified version {version or ''} at {path}")
+    return spark.read.parquet(version_path(path, version))
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions with a commit record, ascending (``vacuum_snapshots`` keeps the list short)."""
-    fs, folder = _fs(spark, f"{path.rstrip('/')}/_commits")
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
-
-
-def _record(spark: SparkSession, path: str, version: int) -> dict:
-    fs, target = _fs(spark, _record_path(path, version))
-    if not fs.exists(target):
-        raise FileNotFoundError(f"no committed version {version} at {path}")
-    with_stream = fs.open(target)
-    try:
-        text = bytes(with_stream.readAllBytes()).decode()
-    finally:
-        with_stream.close()
-    if not text:
-        raise SnapshotConflict(f"{path}: version {version} is being committed or its writer died; "
-                               f"remove {_record_path(path, version)} if it did")
-    return json.loads(text)
-
-
-def _commit(spark: SparkSession, path: str, record: dict) -> None:
-    """Create the version's record; an existing one raises ``SnapshotConflict``."""
-    from py4j.protocol import Py4JJavaError
-
-    fs, target = _fs(spark, _record_path(path, record["version"]))
-    try:
-        out = fs.create(target, False)
-    except Py4JJavaError as e:
-        if fs.exists(target):
-            raise SnapshotConflict(
-                f"{path}: another writer committed version {record['version']} first") from e
-        raise
-    try:
-        out.write(bytearray(json.dumps(record).encode()))
-    finally:
-        out.close()
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a versioned dataset, or a plain Parquet folder."""
+    if current_version(spark, path) is not None:
+        return read_snapshot(spark, path)
+    return spark.read.parquet(path)
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version, or None for a dataset never written."""
-    versions = _versions(spark, path)
-    return versions[-1] if versions else None
+def _switch(spark: SparkSession, path: str, version: int) -> None:
+    """Make a written and verified version the current one."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{version_path(path, version)}/{MARKER}")
+    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(marker)
 
 
-def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The committed version (default: current) as a DataFrame."""
-    if version is None:
-        version = current_version(spark, path)
-        if version is None:
-            raise FileNotFoundError(f"no committed snapshot at {path}")
-    record = _record(spark, path, version)
-    return spark.read.parquet(attempt_path(path, version, record["attempt"]))
+def _write_version(df: DataFrame, path: str, version: int, files: int | None,
+                   block_size: int) -> int:
+    """Write and read back one version without making it current; its rows."""
+    target = version_path(path, version)
+    written = sink_silver(df, target, files, block_size)
+    found = df.sparkSession.read.parquet(target).count()  # from the files' footers
+    if found != written:
+        raise SnapshotVerificationError(f"{target}: wrote {written} rows, read back {found}")
+    return found
 
 
 def write_snapshot(df: DataFrame, path: str, base_version: int | None = None,
-                   files: int | None = None, block_size: int = BLOCK_SIZE,
-                   stream: tuple[str, int] | None = None) -> tuple[int, int]:
-    """Write ``df`` as the next version, verify it, commit it.
+                   files: int | None = None, block_size: int = BLOCK_SIZE) -> tuple[int, int]:
+    """Write ``df`` as the next version, verify it, switch to it.
 
     ``base_version`` is the version the caller read ``df`` from (None for the
-    first write).  ``stream`` names the change stream and the micro-batch that
-    made the version, so a replayed batch can be recognised.  The row count is
-    that of the written files.  Returns ``(version, rows)``.
+    first write).  Returns ``(version, rows)``.
     """
     spark = df.sparkSession
+    if (now := current_version(spark, path)) != base_version:
+        raise StaleBase(f"{path}: the current version is {now}, the rows come from {base_version}")
     new = (base_version or 0) + 1
-    latest = current_version(spark, path)
-    if latest is not None and latest >= new:
-        raise SnapshotConflict(f"{path}: version {latest} exists, base was {base_version}")
-    streams = _record(spark, path, base_version)["streams"] if base_version else {}
-    attempt = uuid.uuid4().hex
-    target = attempt_path(path, new, attempt)
-    observed = sink_silver(df, target, files, block_size)
-    rows = spark.read.parquet(target).count()  # from the files' footers
-    if rows != observed:
-        raise SnapshotVerificationError(f"{target}: wrote {observed} rows, read back {rows}")
-    name, batch = stream or (None, None)
-    if name is not None:
-        streams = streams | {name: batch}
-    _commit(spark, path, {"version": new, "rows": rows, "base_version": base_version,
-                          "stream": name, "stream_batch": batch, "streams": streams,
-                          "attempt": attempt})
+    rows = _write_version(df, path, new, files, block_size)
+    _switch(spark, path, new)
     return new, rows
 
 
-def batch_committed(spark: SparkSession, path: str, stream: str, batch_id: int) -> bool:
-    """Whether this micro-batch of this stream is in the current version."""
-    version = current_version(spark, path)
-    return version is not None and _record(spark, path, version)["streams"].get(stream, -1) >= batch_id
+def sink_if_nonempty(df: DataFrame, path: str) -> int:
+    """Replace the dataset only when there is at least one row (W3); returns rows.
+
+    The rows are written once, as the next version, and counted on the way.
+    Without rows that folder goes and the current version stays; the previous
+    version is removed only after the switch, so a change set that was there
+    before is never lost.
+    """
+    spark = df.sparkSession
+    now = current_version(spark, path)
+    new = (now or 0) + 1
+    rows = _write_version(df, path, new, None, BLOCK_SIZE)
+    if rows == 0:
+        log.warning("no rows to write to %s; previous data left in place", path)
+        delete_path(spark, version_path(path, new))
+        return 0
+    _switch(spark, path, new)
+    drop_old_versions(spark, path)
+    return rows
 
 
-def vacuum_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete the versions, records included, older than the newest ``keep``.
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` verified versions; returns those removed.
 
     Readers pin a version when they start, so keep at least 2 while jobs may
-    still read the previous one.  Returns the versions removed.
+    still read the previous one.
     """
     if keep < 1:
         raise ValueError("keep at least the current version")
-    old = _versions(spark, path)[:-keep]
+    old = versions(spark, path)[:-keep]
     for v in old:
-        fs, data = _fs(spark, version_path(path, v))
-        fs.delete(data, True)
-        fs.delete(_fs(spark, _record_path(path, v))[1], False)
+        delete_path(spark, version_path(path, v))
     return old
-
-
-def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
-    """The commit records of the versions kept, oldest first."""
-    rows = [tuple(_record(spark, path, v)[f.name] for f in HISTORY_SCHEMA.fields)
-            for v in _versions(spark, path)]
-    return spark.createDataFrame(rows, HISTORY_SCHEMA)

@@ -1,14 +1,10 @@
-"""Parquet sinks."""
+"""Parquet sinks."""
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 BLOCK_SIZE = 256 * 1024 * 1024
 
 
@@ -58,31 +54,6 @@ def sink_silver(df: DataFrame, path: str, files: int | None = None,
     return int(obs.get["rows"])
 
 
-def sink_if_nonempty(df: DataFrame, path: str) -> int:
-    """Write only when there is at least one row (W3); returns rows written.
-
-    The rows are written once, into a folder beside ``path``, and counted on
-    the way; with rows, that folder takes the place of ``path``, without, it is
-    removed and the previous dataset is left in place.  Readers of ``path``
-    during the exchange see the old data or none; the change set has one writer
-    and is read after it.
-    """
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}.new"
-    rows = sink_bronze(df, fresh)
-    if rows == 0:
-        log.warning("no rows to write to %s; previous data left in place", path)
-        delete_path(spark, fresh)
-        return 0
-    jvm = spark.sparkContext._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"{fresh} could not take the place of {path}; the new rows are there")
-    return rows
-
-
 def preview(df: DataFrame, n: int = 10, order_by: tuple[str, ...] = ("id",)) -> DataFrame:
     """The first ``n`` rows in key order (W6): a top-n, not a full sort."""
     return df.orderBy(*order_by).limit(n)

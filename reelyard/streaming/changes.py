@@ -8,12 +8,11 @@ the next silver snapshot version.  Run it with ``availableNow`` from the
 scheduler for batch-like runs, or with a processing-time trigger to apply
 changes continuously.
 
-Exactly-once: the stream's checkpoint records which files each batch consumed;
-by default it lies in the dataset itself (``<silver>/_stream_checkpoint/<feed>``),
-so every run of one feed goes on where the last one stopped.  A commit records
-the stream (the id Spark keeps in the checkpoint) and its batch; a batch that is
-replayed after a failure finds itself there and is skipped.  Two feeds, or a
-feed started anew with another checkpoint, are different streams.
+The stream's checkpoint records which files each batch consumed; by default it
+lies in the dataset itself (``<silver>/_stream_checkpoint/<feed>``), so every run
+of one feed goes on where the last one stopped.  A batch that is replayed after a
+failure is the last one applied, and applying the same whole-row upsert again
+gives the same rows.
 """
 
 from __future__ import annotations
@@ -29,12 +28,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from reelyard.operators.ingest import reshape_details, typed_details
 from reelyard.plans.pipelines import merged_frame
 from reelyard.schemas import MediaSpec
-from reelyard.sinks.snapshot import (
-    batch_committed,
-    current_version,
-    read_snapshot,
-    write_snapshot,
-)
+from reelyard.sinks.snapshot import current_version, read_snapshot, write_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -63,20 +57,17 @@ def landed_changes(spark: SparkSession, landing_dir: str, spec: MediaSpec,
     return reshape_details(typed_details(ok, spec, keep=(FETCHED,)), spec, keep=(FETCHED,))
 
 
-def _apply_batch(silver_path: str, spec: MediaSpec, files: int | None):
+def apply_batch(silver_path: str, spec: MediaSpec, files: int | None = None):
+    """A ``foreachBatch`` function: upsert a micro-batch of rows into the next silver version."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if batch_committed(spark, silver_path, stream, batch_id):
-            log.info("batch %s already applied to %s; skipping replay", batch_id, silver_path)
-            return
         base = current_version(spark, silver_path)
         # ``merged_frame`` stores the batch's latest changes once; the rest reads that table.
         merged, _, changes = merged_frame(read_snapshot(spark, silver_path, base), batch, spec,
                                           order=(FETCHED,))
         if changes == 0:
             return
-        version, rows = write_snapshot(merged, silver_path, base, files, stream=(stream, batch_id))
+        version, rows = write_snapshot(merged, silver_path, base, files)
         log.info("batch %s -> %s v%s (%s rows)", batch_id, silver_path, version, rows)
 
     return apply
@@ -95,7 +86,7 @@ def start_change_stream(spark: SparkSession, landing_dir: str, silver_path: str,
     feed = f"{landing_dir.rstrip('/').rsplit('/', 1)[-1]}-{zlib.crc32(landing_dir.rstrip('/').encode()):08x}"
     rows = landed_changes(spark, landing_dir, spec, max_files_per_trigger)
     writer = (rows.writeStream
-              .foreachBatch(_apply_batch(silver_path, spec, files))
+              .foreachBatch(apply_batch(silver_path, spec, files))
               .option("checkpointLocation", checkpoint or f"{silver_path.rstrip('/')}/_stream_checkpoint/{feed}"))
     if available_now:
         writer = writer.trigger(availableNow=True)

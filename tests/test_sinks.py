@@ -21,7 +21,7 @@ def movies(spark, rows):
 ROWS = [(1, "a", "o", "d", "1.0", [1]), (2, "b", "o", "d", "2.0", [])]
 
 
-def test_snapshot_versions_and_history(spark, scratch):
+def test_snapshot_versions(spark, scratch):
     path = scratch("snap")
     assert S.current_version(spark, path) is None
     assert S.write_snapshot(movies(spark, ROWS), path, None) == (1, 2)
@@ -29,14 +29,14 @@ def test_snapshot_versions_and_history(spark, scratch):
     assert S.write_snapshot(v1.where("id = 1"), path, 1) == (2, 1)
     assert S.read_snapshot(spark, path).count() == 1
     assert S.read_snapshot(spark, path, 1).count() == 2
-    assert [r.version for r in S.snapshot_history(spark, path).collect()] == [1, 2]
+    assert S.versions(spark, path) == [1, 2]
 
 
 def test_stale_base_is_refused(spark, scratch):
     path = scratch("snap")
     S.write_snapshot(movies(spark, ROWS), path, None)
     S.write_snapshot(movies(spark, ROWS), path, 1)
-    with pytest.raises(S.SnapshotConflict):
+    with pytest.raises(S.StaleBase):
         S.write_snapshot(movies(spark, ROWS), path, 1)
     assert S.current_version(spark, path) == 2
 
@@ -69,9 +69,9 @@ def test_merge_pipeline_reads_and_replaces_without_losing_input(spark, scratch):
 
 def test_sink_if_nonempty_keeps_old_data(spark, scratch):
     path = scratch("changes")
-    assert W.sink_if_nonempty(movies(spark, ROWS), path) == 2
-    assert W.sink_if_nonempty(movies(spark, ROWS).where("id < 0"), path) == 0
-    assert spark.read.parquet(path).count() == 2
+    assert S.sink_if_nonempty(movies(spark, ROWS), path) == 2
+    assert S.sink_if_nonempty(movies(spark, ROWS).where("id < 0"), path) == 0
+    assert S.read_snapshot(spark, path).count() == 2
 
 
 def test_sink_silver_fixed_file_count(spark, scratch):
@@ -169,12 +169,12 @@ def test_vacuum_keeps_newest_versions(spark, scratch):
     S.write_snapshot(movies(spark, ROWS), path, None)
     for base in (1, 2, 3):
         S.write_snapshot(S.read_snapshot(spark, path), path, base)
-    assert S.vacuum_snapshots(spark, path, keep=2) == [1, 2]
+    assert S.drop_old_versions(spark, path, keep=2) == [1, 2]
     assert S.read_snapshot(spark, path).count() == 2
     assert S.read_snapshot(spark, path, 3).count() == 2
     assert not os.path.exists(S.version_path(path, 1))
-    assert S.vacuum_snapshots(spark, path, keep=2) == []
-    assert [r.version for r in S.snapshot_history(spark, path).collect()] == [3, 4]  # records go, too
+    assert S.drop_old_versions(spark, path, keep=2) == []
+    assert S.versions(spark, path) == [3, 4]
     with pytest.raises(FileNotFoundError):
         S.read_snapshot(spark, path, 1)
 
@@ -206,59 +206,65 @@ def test_backfill_reports_walk_ends_and_days_not_landed(spark, scratch):
     assert rep.metrics["days_not_landed"] == 366 - 2
 
 
-def test_racing_writers_the_loser_gets_a_conflict(spark, scratch):
-    import threading
+@pytest.mark.parametrize("step", ["_write_version", "_switch"])
+def test_a_crash_before_the_switch_keeps_the_change_set(spark, scratch, monkeypatch, step):
+    path = scratch("changes")
+    assert S.sink_if_nonempty(movies(spark, ROWS), path) == 2
 
-    path = scratch("snap")
-    S.write_snapshot(movies(spark, ROWS), path, None)
-    results = {}
-
-    def writer(name):
-        df = movies(spark, [(9, name, None, None, None, None)])
-        try:
-            results[name] = S.write_snapshot(df, path, 1)
-        except Exception as e:  # noqa: BLE001 - told apart below
-            results[name] = e
-
-    threads = [threading.Thread(target=writer, args=(n,)) for n in ("w1", "w2")]
-    for t in threads:
-        t.start()
-    for t in threads:
-        t.join()
-    won = [n for n, r in results.items() if r == (2, 1)]
-    lost = [r for r in results.values() if isinstance(r, S.SnapshotConflict)]
-    assert len(won) == 1 and len(lost) == 1, results
-    assert S.current_version(spark, path) == 2
-    assert [r.title for r in S.read_snapshot(spark, path).collect()] == won
-    assert [r.version for r in S.snapshot_history(spark, path).collect()] == [1, 2]
+    def crash(*args):
+        if step == "_write_version":  # half a version is on disk
+            W.sink_bronze(movies(spark, ROWS[:1]), S.version_path(path, 2))
+        raise OSError("lost")
 
+    monkeypatch.setattr(S, step, crash)
+    with pytest.raises(OSError):
+        S.sink_if_nonempty(movies(spark, [(9, "new", None, None, None, None)]), path)
+    assert {r.id for r in S.read_snapshot(spark, path).collect()} == {1, 2}
+    monkeypatch.undo()
+    assert S.sink_if_nonempty(movies(spark, []), path) == 0  # a run without rows takes nothing away
+    assert {r.id for r in S.read_dataset(spark, path).collect()} == {1, 2}
+    assert S.sink_if_nonempty(movies(spark, [(9, "new", None, None, None, None)]), path) == 1
+    assert {r.id for r in S.read_snapshot(spark, path).collect()} == {9}
 
-def test_a_late_writer_loses_whatever_its_clock_says(spark, scratch, monkeypatch):
+
+def test_rows_lost_between_write_and_read_back_are_noticed(spark, scratch, monkeypatch):
     path = scratch("snap")
     S.write_snapshot(movies(spark, ROWS), path, None)
-    real = S.sink_silver
+    monkeypatch.setattr(S, "sink_silver", lambda df, target, *a: W.sink_silver(df.limit(1), target, *a) + 1)
+    with pytest.raises(S.SnapshotVerificationError):
+        S.write_snapshot(movies(spark, ROWS), path, 1)
+    assert S.current_version(spark, path) == 1
 
-    def slow(df, target, *args):
-        rows = real(df, target, *args)
-        monkeypatch.setattr(S, "sink_silver", real)  # the other writer commits meanwhile
-        assert S.write_snapshot(movies(spark, ROWS[:1]), path, 1) == (2, 1)
-        return rows
 
-    monkeypatch.setattr(S, "sink_silver", slow)
-    with pytest.raises(S.SnapshotConflict, match="another writer committed version 2"):
-        S.write_snapshot(movies(spark, [(9, "late", None, None, None, None)]), path, 1)
-    assert [r.title for r in S.read_snapshot(spark, path).collect()] == ["a"]
+def landed(spark, pages):
+    import json as _json
 
+    rows = [(day, 1, status, _json.dumps({"page": 1, "total_pages": 1, "results": [{"id": 1, "title": day}]}))
+            for day, status in pages]
+    return spark.createDataFrame(rows, "day string, page int, status int, body string")
 
-def test_an_unfinished_record_blocks_with_a_clear_error(spark, scratch):
-    path = scratch("snap")
-    S.write_snapshot(movies(spark, ROWS), path, None)
-    fs, record = S._fs(spark, S._record_path(path, 2))
-    fs.create(record, False).close()
-    with pytest.raises(S.SnapshotConflict, match="being committed"):
-        S.read_snapshot(spark, path)
-    with pytest.raises(S.SnapshotConflict):
-        S.write_snapshot(movies(spark, ROWS), path, 1)
+
+def test_backfill_keeps_decades_however_far_off(spark, scratch):
+    days = ["2999-01-01", "2020-01-01", "1860-05-05", "0999-01-01", "1859-12-31"]
+    rep = P.backfill(landed(spark, [(d, 200) for d in days]), MOVIE, scratch("bronze"))
+    assert rep.rows_written == 5 and rep.metrics["emptied"] == []
+    got = {(r.title, r.decade) for r in spark.read.parquet(rep.metrics["path"]).collect()}
+    assert got == {(d, int(d[:3]) * 10) for d in days}
+
+
+def test_a_backfill_without_records_leaves_a_typed_table(spark, scratch):
+    root = scratch("bronze")
+    rep = P.backfill(landed(spark, [("1975-01-01", 500)]), MOVIE, root)
+    assert rep.rows_written == 0 and rep.metrics["emptied"] == ["decade=1970"]
+    there = spark.read.parquet(rep.metrics["path"])
+    assert there.count() == 0 and there.drop("decade").schema == MOVIE.schema
+    rep = P.backfill(landed(spark, []), MOVIE, root, years=(1975, 1991))
+    assert spark.read.parquet(f"{rep.metrics['path']}/decade=1990").schema == MOVIE.schema
+    P.backfill(landed(spark, [("1985-01-01", 200)]), MOVIE, root)
+    rep = P.backfill(landed(spark, []), MOVIE, root, years=(1980, 1989))  # a slice that is there stays
+    assert [r.title for r in spark.read.parquet(rep.metrics["path"]).collect()] == ["1985-01-01"]
+    silver = scratch("silver")
+    assert P.build_silver(spark, root, MOVIE, silver).rows_written == 1
 
 
 def test_an_emptied_decade_is_replaced(spark, scratch):
@@ -291,7 +297,7 @@ def test_bad_details_are_counted_and_leave_the_change_set(spark, scratch):
     rep = collect([(1, 200, '{"id": 1, "ti'), (2, 404, "{}")])
     assert rep.rows_written == 0
     assert (rep.metrics["failed_lookups"], rep.metrics["unreadable_details"]) == (1, 1)
-    assert [r.title for r in spark.read.parquet(path).collect()] == ["a"]
+    assert [r.title for r in S.read_snapshot(spark, path).collect()] == ["a"]
 
 
 def test_a_capped_day_is_reported(spark, scratch):

@@ -36,8 +36,6 @@ def test_stream_applies_each_landing_once(spark, scratch):
     assert apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt) == 3
     got = {r.id: r.title for r in S.read_snapshot(spark, silver).collect()}
     assert got == {1: "a2", 2: "b2", 3: "c"}
-    batches = [r.stream_batch for r in S.snapshot_history(spark, silver).collect()]
-    assert batches[0] is None and len(set(batches[1:])) == 2
 
 
 def titles(spark, silver):
@@ -65,19 +63,18 @@ def test_two_feeds_into_one_silver(spark, scratch):
     assert titles(spark, silver) == {1: "a", 2: "b", 9: "z"}
 
 
-def test_a_batch_committed_before_a_crash_is_not_applied_again(spark, scratch):
+def test_a_batch_that_runs_again_after_a_crash_changes_nothing(spark, scratch):
     import shutil
 
     silver, landing, ckpt = scratch("silver"), scratch("landing"), scratch("ckpt")
     S.write_snapshot(spark.createDataFrame([(1, "a", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
-    land(spark, landing, [detail(1, "a2")])
+    land(spark, landing, [detail(1, "a2"), detail(4, "d")])
     apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt)
-    (record,) = [r for r in S.snapshot_history(spark, silver).collect() if r.stream]
-    assert S.batch_committed(spark, silver, record.stream, record.stream_batch)
-    assert not S.batch_committed(spark, silver, "another stream", record.stream_batch)
-    # The stream dies after the snapshot's commit and before its own: the batch is run again.
+    before = sorted(S.read_snapshot(spark, silver).collect())
+    # The stream dies after the switch and before its own commit: the batch is run again.
     shutil.rmtree(ckpt.removeprefix("file:") + "/commits")
-    assert apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt) == 2
+    apply_landed_changes(spark, landing, silver, MOVIE, checkpoint=ckpt)
+    assert sorted(S.read_snapshot(spark, silver).collect()) == before
 
 
 def test_newest_fetch_wins_within_a_batch(spark, scratch):
