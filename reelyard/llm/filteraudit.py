@@ -8,12 +8,12 @@ comes from the tries:
    hold the smallest id.  A document that meets a smaller id there is decided at once and goes on without its text; the
    trie is written out and begun anew after ``WINDOW`` bytes.  So a text that a third of all rows share leaves a task
    once per window, not once per row.
-2. Adaptive prefixes: a prefix whose remaining texts hold more than ``LEAF`` bytes is heavy, and its texts are told apart
-   by a prefix of twice the length, until no heavy one is left or its texts are all the same.  Only hashes of heavy
-   prefixes are kept (at most ``total / LEAF`` a round, 8 bytes each).
+2. Adaptive prefixes: a prefix whose remaining texts hold more than a quarter of a partition's share is heavy, and its
+   texts are told apart by a prefix of twice the length, until no heavy one is left or its texts are all the same.  Only
+   hashes of heavy prefixes are kept (8 bytes each, at most four a partition in each round).
 3. The remaining texts are range-partitioned by their adaptive prefixes and sorted by them; a task builds one trie per
-   prefix, so it holds about ``LEAF`` bytes at a time.  Traversing a finished trie gives the undecided documents and
-   whether a smaller id had their text.
+   prefix, so it holds a quarter of a partition at a time, and a partition holds ``PARTITION`` bytes at most.  Traversing
+   a finished trie gives the undecided documents and whether a smaller id had their text.
 4. Each document is now a bit mask.  Masks are counted by part, quality and toxicity (at most 128 rows a part); every
    filter order and step is read off these counts.
 
@@ -43,9 +43,11 @@ SYMBOLS = b"#$%&*|"
 _CAPITALS = bytes(range(65, 91))
 _CONTINUED = bytes(range(0x80, 0xC0))
 
-#: Bytes of text in a task's trie before it is written out, and of texts below one adaptive prefix.
+#: Bytes of text in a task's trie before it is written out, and of texts in a range partition.
 WINDOW = 32 << 20
-LEAF = 16 << 20
+PARTITION = 64 << 20
+#: Adaptive prefixes of a range partition, at least.
+LEAVES = 4
 #: Characters of the first adaptive prefix; each round doubles them.
 FIRST_PREFIX = 4
 ROW_BYTES = 100
@@ -223,7 +225,7 @@ def _leaves(rows: DataFrame, leaf: int) -> DataFrame:
         heavy = store(sums.where((F.col("bytes") > leaf) & (F.col("a") != F.col("b"))).select("heavy"))
         if heavy.isEmpty():
             break
-        # One number per LEAF bytes of text at most: 8 bytes for each 16 MB.
+        # At most total / leaf numbers, LEAVES for each partition.
         hot = out.join(F.broadcast(heavy), F.col("leaf").isNull() & (F.xxhash64(prefix) == F.col("heavy")), "left")
         out = hot.withColumn("leaf", F.coalesce("leaf", F.when(F.col("heavy").isNull(), prefix))).drop("heavy")
         left = out.where(F.col("leaf").isNull()).drop("leaf")
@@ -231,13 +233,13 @@ def _leaves(rows: DataFrame, leaf: int) -> DataFrame:
     return out.withColumn("leaf", F.coalesce("leaf", F.substring("text", 1, length)))
 
 
-def masks(docs: DataFrame, window: int = WINDOW, leaf: int = LEAF) -> DataFrame:
+def masks(docs: DataFrame, window: int = WINDOW, leaf: int | None = None) -> DataFrame:
     """``doc_id, part, mask, n``: the failed filters' bits of every row of ``docs`` (``n`` equal rows as one)."""
     rows = _scan(docs, window)
     open_rows = rows.where(F.col("text").isNotNull())
     spark = docs.sparkSession
     total = open_rows.agg(F.sum(F.octet_length("text").cast("long") + ROW_BYTES)).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * WINDOW)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, here, ready = RadixTrie(), None, []
@@ -254,7 +256,7 @@ def masks(docs: DataFrame, window: int = WINDOW, leaf: int = LEAF) -> DataFrame:
         ready += _undecided(trie)
         yield _batch(ready)
 
-    placed = _leaves(open_rows, leaf).repartitionByRange(parts, "leaf").sortWithinPartitions("leaf")
+    placed = _leaves(open_rows, total // (LEAVES * parts) if leaf is None else leaf).repartitionByRange(parts, "leaf").sortWithinPartitions("leaf")
     return rows.where(F.col("text").isNull()).drop("text").unionByName(map_arrow(placed, decide, _ROWS))
 
 
@@ -308,6 +310,6 @@ def _as_json(rows: list[tuple]) -> str:
     return json.dumps([dict(zip(names, r, strict=True)) for r in rows])
 
 
-def report(docs: DataFrame, labels: DataFrame, window: int = WINDOW, leaf: int = LEAF) -> DataFrame:
+def report(docs: DataFrame, labels: DataFrame, window: int = WINDOW, leaf: int | None = None) -> DataFrame:
     """``part, filter_order, step`` and the document counts of that step, zeros included."""
     return audit(masks(docs, window, leaf), labels)
