@@ -1,8 +1,7 @@
 """Bronze -> silver cleaning operators (C1-C8) and de-duplication.
 
 All are narrow ``DataFrame -> DataFrame`` projections/filters except the
-de-duplication: one grouped aggregate with map-side partial aggregation,
-whatever the size of the input.
+de-duplication, which finds the winners on keys and versions alone.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelyard.functions.columns import or_empty
+from reelyard.functions.joins import DEFAULT_BROADCAST_BYTES, materialize_table
 from reelyard.schemas import MediaSpec
 
 
@@ -102,19 +102,57 @@ def clean(df: DataFrame, spec: MediaSpec) -> DataFrame:
     return df.select(*spec.silver_order, *extra)
 
 
-def dedupe_by_id(df: DataFrame, key: str = "id", order: list[str] | tuple = ()) -> DataFrame:
-    """One row per key: the greatest row in the order ``(order..., rest...)``.
+def greatest_rows(df: DataFrame, key: str = "id") -> DataFrame:
+    """One row per key: the greatest in column order.
 
-    ``order`` names version columns (newest slice wins); the remaining columns
-    in their schema order break ties, so the survivor is deterministic, unlike
-    ``dropDuplicates``.  Plans as partial + final aggregate: duplicates of a
-    hot key collapse map-side before the shuffle, so no task receives more than
-    one partial row per key and input partition.  Null structs fields order
-    first, so non-null values win.
+    Plans as partial + final aggregate: duplicates of a hot key collapse
+    map-side before the shuffle, so no task receives more than one partial row
+    per key and input partition.  Null struct fields order first, so non-null
+    values win.
     """
     cols = df.columns
-    rest = [c for c in cols if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in (*order, *rest)])
+    packed = F.struct(*[F.col(c) for c in cols if c != key])
     return (df.groupBy(key)
             .agg(F.max(packed).alias("_best"))
             .select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in cols]))
+
+
+def dedupe_by_id(df: DataFrame, key: str = "id", order: list[str] | tuple = (),
+                 source: DataFrame | None = None,
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """One row per key: the greatest row in the order ``(order..., rest...)``.
+
+    ``order`` names version columns (newest slice wins); the remaining columns
+    in their schema order break ties, so the survivor is deterministic, unlike
+    ``dropDuplicates``.
+
+    With version columns the winners are found on keys and versions alone: two
+    narrow aggregates name the keys that occur more than once and the newest
+    version of each, and the rows are then filtered in place against that list
+    (broadcast behind the size bound, else a shuffled hash join).  Whole rows are
+    never sorted, and not shuffled while the list is small.  Only rows that tie
+    in key and newest version are compared whole; so are all rows without
+    version columns (``greatest_rows``).  ``source`` has the same rows where
+    ``df`` must be read once only (it is observed).
+    """
+    cols, order = df.columns, tuple(order)
+    if not order:
+        return greatest_rows(df, key)
+    source = df if source is None else source
+    seen = source.groupBy(key, *order).agg(F.count(F.lit(1)).alias("_ties"))
+    newest = seen.groupBy(key).agg(F.max(F.struct(*order, "_ties")).alias("_best"), F.sum("_ties").alias("_rows"))
+    version = F.struct(*[F.col(f"_best.{c}").alias(c) for c in order])
+    listed, _, size = materialize_table(
+        newest.where("_rows > 1").select(F.col(key).alias("_key"), version.alias("_version"), F.col("_best._ties").alias("_ties")),
+        "repeated-keys")
+    side = F.broadcast(listed) if size <= broadcast_bytes else listed.hint("shuffle_hash")
+    won = F.col("_version").eqNullSafe(F.struct(*order))
+
+    def matched(rows: DataFrame, how: str) -> DataFrame:
+        return rows.join(side, F.col(key).eqNullSafe(F.col("_key")), how)
+
+    single = matched(df, "left").where(F.col("_ties").isNull() | ((F.col("_ties") == 1) & won)).select(*cols)
+    if listed.where("_ties > 1").isEmpty():
+        return single
+    tied = matched(source, "inner").where((F.col("_ties") > 1) & won).select(*cols)
+    return single.unionByName(greatest_rows(tied, key))

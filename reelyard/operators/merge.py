@@ -11,7 +11,7 @@ from reelyard.functions.joins import (
     bounded_broadcast,
     materialize_table,
 )
-from reelyard.operators.clean import clean, dedupe_by_id
+from reelyard.operators.clean import clean, greatest_rows
 from reelyard.schemas import MediaSpec
 
 
@@ -52,7 +52,9 @@ def latest_changes(changes: DataFrame, columns: list[str], key: str = "id",
     known before the join is planned.  ``order`` names version columns of
     ``changes`` (newest wins); they are dropped after the de-duplication.
     """
-    latest = dedupe_by_id(changes.select(*columns, *order), key, order).select(*columns)
+    # One pass: a micro-batch must not be computed twice.
+    rest = [c for c in columns if c != key]
+    latest = greatest_rows(changes.select(key, *order, *rest), key).select(*columns)
     return materialize_table(latest, "changes")
 
 

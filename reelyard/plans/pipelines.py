@@ -136,16 +136,16 @@ def build_silver(spark: SparkSession, bronze_root: str, spec: MediaSpec, silver_
                  files: int | None = None) -> RunReport:
     """P3 (movies) / P4 (TV): glob every bronze slice, clean, dedupe, snapshot.
 
-    One job, with one partially aggregated shuffle whatever the size of the
-    input.  Of an id in several slices the row whose file was written last
-    wins.  The null profiles and row counts of the raw, cleaned and silver rows
+    A narrow pass lists the ids that occur more than once, then one job filters
+    and writes the rows in place.  Of an id in several slices the row whose file
+    was written last wins.  The null profiles and row counts of the raw, cleaned and silver rows
     are observed during the write job.
     """
     bronze = scan_glob(spark, bronze_root, spec.bronze_prefix, schema=spec.schema,
                        version_column="_written")
     raw, obs_raw = _observed(bronze, "raw", spec.columns)
     cleaned, obs_clean = _observed(clean(raw, spec), "cleaned")
-    out = dedupe_by_id(cleaned, "id", ("_written",))
+    out = dedupe_by_id(cleaned, "id", ("_written",), source=clean(bronze, spec))
     out, obs_out = _observed(out.select(*spec.silver_order), "silver", spec.silver_order)
     base = current_version(spark, silver_path)
     version, rows = write_snapshot(out, silver_path, base, files)

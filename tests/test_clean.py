@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -111,6 +112,26 @@ def test_dedupe_hot_key_collapses_before_shuffle(spark):
     assert got == {1: "t04999", 2: "z"}
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_dedupe_with_versions_finds_winners_on_narrow_rows(spark, limit):
+    """A hot key, ties in the version, null keys and versions; whole rows are not sorted."""
+    draw = random.Random(1)
+    rows = [(draw.choice([1, 1, 1, None, *range(2, 60)]), f"t{draw.randrange(5)}", None, None, str(i % 3), [i % 4], draw.choice([None, 0, 1, 2])) for i in range(600)]
+    rows += rows[:5]
+    schema = StructType([*MOVIE_SCHEMA.fields, StructField("slice", IntegerType())])
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    low = lambda r: [(x is not None, x) for x in (r[6], *r[1:6])]
+    best = {}
+    for r in rows:
+        best[r[0]] = max(best.get(r[0], r), r, key=low)
+    got = C.dedupe_by_id(df, "id", ("slice",), broadcast_bytes=limit)
+    assert got.columns == df.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, best.values()))
+    one = spark.createDataFrame([(1, "a", None, None, None, None, 0), (1, "b", None, None, None, None, 1), (2, "c", None, None, None, None, 0)], schema)
+    plan = plan_text(C.dedupe_by_id(one, "id", ("slice",), broadcast_bytes=limit), "simple")
+    assert "Sort" not in plan.replace("SortMerge", "Sort") and "Aggregate" not in plan
+    assert C.dedupe_by_id(one.limit(0), "id", ("slice",)).collect() == []
+
+
 def test_removed_counts(spark):
     rows = [(1, "a", None, None, None, None), (1, "b", None, None, None, None),
             (None, "c", None, None, None, None), (2, None, None, None, None, None)]

@@ -1,10 +1,10 @@
-"""De-duplication at a larger size: the aggregate in use vs ``row_number() = 1``.
+"""De-duplication at a larger size: winners found on keys and versions, against whole-row aggregate and window.
 
     python tools/dedupe_strategy_check.py [sf_dir] [copies]
 
 Each document of ``documents`` is expanded into ``copies`` catalogue rows with
 distinct ids (``explode(sequence(...))``, no join); every tenth id comes again
-with a newer title.  Both plans write the same rows; prints their times.
+with a newer title.  All plans write the same rows; prints their times.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from reelyard.operators.clean import dedupe_by_id  # noqa: E402
+from reelyard.operators.clean import dedupe_by_id, greatest_rows  # noqa: E402
 from reelyard.schemas import MOVIE  # noqa: E402
 from reelyard.session import local_session, scratch_path  # noqa: E402
 
@@ -43,16 +43,20 @@ def main() -> None:
         w = Window.partitionBy("id").orderBy(*[F.col(c).desc() for c in ("v", *MOVIE.columns[1:])])
         return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
-    plans = {"aggregate": lambda df: dedupe_by_id(df, "id", ("v",)), "window": window}
+    def aggregate(df):
+        return greatest_rows(df.select("id", "v", *MOVIE.columns[1:])).select(*df.columns)
+
+    plans = {"winners": lambda df: dedupe_by_id(df, "id", ("v",)), "aggregate": aggregate, "window": window,
+             "winners, shuffled": lambda df: dedupe_by_id(df, "id", ("v",), broadcast_bytes=0)}
     out, written = {}, {}
-    for name in ("aggregate", "window", "aggregate", "window"):
+    for name in [*plans, *plans]:
         target = scratch_path(spark, f"big-{name}")
         t0 = time.perf_counter()
         plans[name](spark.read.parquet(path)).write.parquet(target)
         dt = time.perf_counter() - t0
         out[name] = round(min(dt, out.get(name, dt)), 2)
         written[name] = spark.read.parquet(target)
-    same = written["aggregate"].exceptAll(written["window"].select(*written["aggregate"].columns)).isEmpty()
+    same = all(written["window"].exceptAll(w.select(*written["window"].columns)).isEmpty() for w in written.values())
     print(json.dumps({"rows": n_docs * copies, "seconds": out, "same_result": same}))
 
 
