@@ -43,6 +43,19 @@ def store(df: DataFrame, at: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` stored once like ``store``, in as many buckets of ``key`` as a shuffle has partitions.
+
+    Joins and aggregates by ``key`` read it in place, without shuffling it again.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Remove stored tables that nothing reads any more."""
     for path in paths:

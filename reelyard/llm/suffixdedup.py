@@ -2,17 +2,19 @@
 
 1. Anchors.  Of every ``LENGTH``-byte string the ``GRAM``-byte window with the smallest hash is its anchor, so equal
    strings have equal anchors at equal places.  Only strings whose anchor occurs twice or more can repeat.
-2. Segments.  The consecutive strings of one anchor form a segment of the text.  Equal segments are counted, not
-   compared: all strings of a segment found twice repeat.
-3. Suffix arrays.  The distinct segments of an anchor are joined into one text, whose suffixes are put in order by
+2. Segments.  The consecutive strings of one anchor form a segment of the text.  Equal segments are told by a 128-bit
+   digest and counted, not compared: all strings of a segment found twice repeat.  Up to here only narrow rows move: the
+   texts that hold such an anchor were stored once, bucketed by row, and are not shuffled again.
+3. Suffix arrays.  One copy of each distinct segment is cut out, if its anchor has others.  They are joined into one text,
+   whose suffixes are put in order by
    two-stage sorting: those smaller than their successors directly, the others induced by bucket scans.  Neighbours
    with a common prefix of ``LENGTH`` bytes are repeated strings.  Segments are dealt by anchor.  An anchor with more
    than ``SALTED`` distinct segments is not gathered: each of its strings is one row, dealt and counted by its 128-bit
    digest, so rows grow with the strings and no task holds more of the anchor than its share.
 4. Repeated strings are mapped back to their documents, their spans united and removed.
 
-Nothing is compared by hash alone but anchors and whole segments (64 bits each, both needed) and the strings of the
-anchors that are too common to gather (128 bits); all others are compared byte by byte in the suffix array.
+Whole segments, and the strings of the anchors that are too common to gather, are compared by 128-bit digest; all others
+byte by byte in the suffix array.  Anchors only find candidates.
 
 Defined results: null and empty texts have nothing to remove; repeated rows repeat each other's strings like any other
 documents; texts shorter than ``LENGTH`` bytes keep all; an empty table gives an empty result; other columns are
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelyard.llm.common import discard, map_arrow, shared_folder, store
+from reelyard.llm.common import discard, map_arrow, shared_folder, store, store_bucketed
 from reelyard.llm.suffixsort import common_prefix, suffix_order
 from reelyard.llm.textscan import SpanHasher, strings
 
@@ -44,7 +46,7 @@ SORTED_BYTES = 400_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, SpanHasher]:
+def _anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hash, first and one past the last start of each run of strings with one anchor, in ``data``."""
     span = SpanHasher(data)
     n = len(data) - gram + 1
@@ -62,7 +64,7 @@ def _anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.n
     starts = len(data) - length + 1
     least = np.minimum(right[:starts], left[width - 1 : width - 1 + starts]) & _PLACE
     first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    return h[least[first].astype(np.int64)], first, np.append(first[1:], starts), span
+    return h[least[first].astype(np.int64)], first, np.append(first[1:], starts)
 
 
 def _pieces(text: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -83,7 +85,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> I
         owner, found = [], []
         for i, text in enumerate(strings(batch.column("text")).cast(pa.binary())):
             for _, data in _pieces(text.as_py(), length):
-                h, _, _, _ = _anchors(data, length, gram)
+                h, _, _ = _anchors(data, length, gram)
                 found.append(h)
                 owner.append(np.full(len(h), i))
         if found:
@@ -91,42 +93,60 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> I
             yield pa.RecordBatch.from_arrays([batch.column("mark").take(at), pa.array(np.concatenate(found).view(np.int64))], ["mark", "anchor"])
 
 
-SEGMENTS = "mark long, anchor long, segment long, starts int, place long, bytes binary"
+SEGMENTS = "mark long, anchor long, segment binary, starts int, place long"
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """The segments of the anchors listed with each document."""
-    rows: list[list] = [[] for _ in range(6)]
-    held = 0
+    """The segments of the anchors listed with each document, by digest."""
     for batch in batches:
+        rows: list[list] = [[] for _ in range(5)]
         for mark, text, listed in zip(batch.column("mark").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("anchors"), strict=True):
             wanted = np.sort(listed.values.to_numpy().view(np.uint64))
-            for place, data in _pieces(text.as_py(), length):
-                h, first, last, span = _anchors(data, length, gram)
+            raw = text.as_py()
+            for place, data in _pieces(raw, length):
+                h, first, last = _anchors(data, length, gram)
                 own = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-                h, first, last = h[own], first[own], last[own]
-                end = last + length - 1
-                rows[0] += [mark] * len(h)
+                h, first, last = h[own], first[own] + place, last[own] + place
+                rows[0].append(np.full(len(h), mark))
                 rows[1].append(h.view(np.int64))
-                rows[2].append(span(first, end).view(np.int64))
+                rows[2] += [_digest(raw[a:b]) for a, b in zip(first.tolist(), (last + length - 1).tolist(), strict=True)]
                 rows[3].append(last - first)
-                rows[4].append(first + place)
-                rows[5] += [data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)]
-                held += int((end - first).sum())
+                rows[4].append(first)
+        if rows[2]:
+            mark, anchor, starts, place = (np.concatenate(rows[k]) for k in (0, 1, 3, 4))
+            yield pa.RecordBatch.from_arrays([pa.array(mark, pa.int64()), pa.array(anchor), pa.array(rows[2], pa.binary()), pa.array(starts).cast(pa.int32()), pa.array(place)], [f.split()[0] for f in SEGMENTS.split(", ")])
+
+
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+CUTS = "anchor long, segment binary, starts int, bytes binary"
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of the segments listed with each document."""
+    names = [f.split()[0] for f in CUTS.split(", ")]
+    for batch in batches:
+        rows, held = [], 0
+        for text, cuts in zip(batch.column("text").cast(pa.binary()), batch.column("cuts"), strict=True):
+            raw = text.as_py()
+            for cut in cuts.as_py():
+                rows.append((cut["anchor"], cut["segment"], cut["starts"], raw[cut["place"] : cut["place"] + cut["starts"] + length - 1]))
+                held += cut["starts"] + length
                 if held > SORTED_BYTES:
-                    yield _segment_batch(rows)
-                    rows, held = [[] for _ in range(6)], 0
-    if rows[0]:
-        yield _segment_batch(rows)
+                    yield _cut_batch(rows, names)
+                    rows, held = [], 0
+        if rows:
+            yield _cut_batch(rows, names)
 
 
-def _segment_batch(rows: list[list]) -> pa.RecordBatch:
-    numbers = [pa.array(np.concatenate(x)) for x in rows[1:5]]
-    numbers[2] = numbers[2].cast(pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *numbers, pa.array(rows[5], pa.binary())], [f.split()[0] for f in SEGMENTS.split(", ")])
+def _cut_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-REPEATS = "anchor long, segment long, starts int, lo int, hi int"
+REPEATS = "anchor long, segment binary, starts int, lo int, hi int"
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -167,12 +187,12 @@ def _repeats(rows: list[tuple], length: int) -> pa.RecordBatch:
     lo, hi = at[first] - begin[of[first]], at[final] - begin[of[first]] + 1
     pick = [rows[i] for i in of[first].tolist()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in pick], pa.int64()), pa.array([r[1] for r in pick], pa.int64()), pa.array([r[2] for r in pick], pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
+        [pa.array([r[0] for r in pick], pa.int64()), pa.array([r[1] for r in pick], pa.binary()), pa.array([r[2] for r in pick], pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
         [f.split()[0] for f in REPEATS.split(", ")],
     )
 
 
-STRINGS = "anchor long, segment long, starts int, at int, string binary"
+STRINGS = "anchor long, segment binary, starts int, at int, string binary"
 
 
 def _string_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -182,7 +202,7 @@ def _string_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         for lo in range(0, batch.num_rows, 256):
             n = starts[lo : lo + 256]
             texts = batch.column("bytes").slice(lo, 256).to_pylist()
-            told = [hashlib.blake2b(t[i : i + length], digest_size=16).digest() for t, k in zip(texts, n.tolist(), strict=True) for i in range(k)]
+            told = [_digest(t[i : i + length]) for t, k in zip(texts, n.tolist(), strict=True) for i in range(k)]
             of = pa.array(np.repeat(np.arange(len(n)), n) + lo)
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in ("anchor", "segment", "starts")), pa.array(at, pa.int32()), pa.array(told, pa.binary())], [f.split()[0] for f in STRINGS.split(", ")])
@@ -197,14 +217,6 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in ("anchor", "segment", "starts")), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], [f.split()[0] for f in REPEATS.split(", ")])
 
 
-def _dealt(distinct: DataFrame, groups: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """The segments to sort, gathered by anchor, and the single strings of the anchors with more than ``SALTED``."""
-    columns = ("anchor", "segment", "starts", "bytes")
-    few = distinct.select(*columns).join(groups.where(F.col("n") <= SALTED), "anchor", "left_semi")
-    many = distinct.select(*columns).join(groups.where(F.col("n") > SALTED), "anchor", "left_semi")
-    return few.repartition("anchor").sortWithinPartitions("anchor"), map_arrow(many, lambda b: _string_rows(b, length), STRINGS)
-
-
 def _united(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
@@ -224,13 +236,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     # Stored, so that the join has two shuffled sides and a very common anchor can be split over tasks.
     twice = store(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), used[1])
     listed = anchors.join(twice, "anchor", "left_semi").groupBy("mark").agg(F.collect_set("anchor").alias("anchors"))
-    rich = store(texts.select("mark", "text").join(listed, "mark"))
+    # Bucketed by row: what is joined to it below moves, the texts do not.
+    rich = store_bucketed(texts.select("mark", "text").join(listed, "mark"), "mark")
     discard(spark, *used[:2])  # from here on all comes from ``rich``
     segments = map_arrow(rich, lambda b: _segment_rows(b, length, gram), SEGMENTS)
-    distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes")), used[2])
+    distinct = store(segments.groupBy("anchor", "segment", "starts").agg(F.count(F.lit(1)).alias("copies"), F.min("mark").alias("mark"), F.min_by("place", "mark").alias("place")), used[2])
     groups = store(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), used[3])
-    sorted_, strings_ = _dealt(distinct, groups, length)
-    found = map_arrow(sorted_, lambda b: _sort_groups(b, length), REPEATS)
+
+    def cut(which: DataFrame) -> DataFrame:
+        """One copy of the distinct segments of some anchors, with its bytes."""
+        one = distinct.join(which, "anchor", "left_semi")
+        lists = one.groupBy("mark").agg(F.collect_list(F.struct("anchor", "segment", "starts", "place")).alias("cuts"))
+        return map_arrow(rich.select("mark", "text").join(lists, "mark").select("text", "cuts"), lambda b: _cut_rows(b, length), CUTS)
+
+    gathered = cut(groups.where(F.col("n") <= SALTED)).repartition("anchor").sortWithinPartitions("anchor")
+    found = map_arrow(gathered, lambda b: _sort_groups(b, length), REPEATS)
+    strings_ = map_arrow(cut(groups.where(F.col("n") > SALTED)), lambda b: _string_rows(b, length), STRINGS)
     # Stored like the anchors above: a very common string is split over tasks.
     common = store(strings_.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string"), used[4])
     held = strings_.join(common, "string", "left_semi").groupBy("anchor", "segment", "starts").agg(F.collect_set("at").alias("places"))
@@ -238,7 +259,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     whole = distinct.where("copies > 1").select("anchor", "segment", "starts", F.lit(0).alias("lo"), F.col("starts").alias("hi"))
     runs = store(whole.unionByName(found))
     discard(spark, *used[2:])
-    places = segments.select("mark", "anchor", "segment", "starts", "place").join(runs, ["anchor", "segment", "starts"])
+    places = segments.join(runs, ["anchor", "segment", "starts"])
     span = F.struct((F.col("place") + F.col("lo")).alias("lo"), (F.col("place") + F.col("hi") + length - 1).alias("hi"))
     spans = places.groupBy("mark").agg(F.collect_set(span).alias("spans"))
     return rich.select("mark", "text").join(spans, "mark")
