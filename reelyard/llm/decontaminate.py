@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelyard.llm.common import map_arrow, spare_name, store
-from reelyard.llm.textscan import PUNCTUATED, Chunk, SpanHasher, grams, powers, text_chunks
+from reelyard.llm.textscan import PUNCTUATED, Chunk, grams, powers, text_chunks, word_keys
 
 MIN_MATCH = 4
 THRESHOLD = 0.6
@@ -37,7 +37,7 @@ _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 
 def tokens(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     start, end, doc = chunk.words(PUNCTUATED)
-    return SpanHasher(chunk.data, lower=True)(start, end), doc
+    return word_keys(chunk.data, start, end, lower=True), doc
 
 
 def _windows(seq: np.ndarray, size: int) -> np.ndarray:

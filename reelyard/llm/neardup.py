@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from reelyard.llm.common import map_arrow, spare_name, store
 from reelyard.llm.graph import components
 from reelyard.llm.superminhash import signatures
-from reelyard.llm.textscan import Chunk, SpanHasher, grams, mix, text_chunks
+from reelyard.llm.textscan import Chunk, grams, mix, text_chunks, word_keys
 
 WORDS = 5
 ROWS, BANDS = 5, 30
@@ -39,7 +39,7 @@ PERCENT = 80
 def shingle_sets(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of the chunk's documents, sorted by document and hash."""
     start, end, doc = chunk.words()
-    words = SpanHasher(chunk.data, lower=True)(start, end)
+    words = word_keys(chunk.data, start, end, lower=True)
     n = np.bincount(doc, minlength=len(chunk))
     h, at = grams(words, doc, WORDS)
     hashes, owners = [h], [doc[at]]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from reelyard.llm.common import crc_fold, discard, map_arrow, shared_folder, store
 from reelyard.llm.packing import pack, pack_sorted, unpack, unpack_sorted
-from reelyard.llm.textscan import SpanHasher, mix, text_chunks
+from reelyard.llm.textscan import mix, text_chunks, word_keys
 
 BLOCK_TOKENS = 1_000_000
 HEAVY = 1000
@@ -83,7 +83,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids = batch.column("doc_id").to_pylist()
         for chunk in text_chunks(batch.column("text")):
             start, end, doc = chunk.words()
-            words = np.maximum(SpanHasher(chunk.data, lower=True)(start, end), np.uint64(1))
+            words = np.maximum(word_keys(chunk.data, start, end, lower=True), np.uint64(1))
             last = np.searchsorted(doc, np.arange(1, len(chunk) + 1))
             tokens.append(np.insert(words, last, END))
             sizes += (np.bincount(doc, minlength=len(chunk)) + 1).tolist()

@@ -3,13 +3,15 @@
 Tasks get Arrow batches (``mapInArrow``).  A batch is walked in chunks of whole documents of about ``CHUNK`` bytes, so
 working memory follows the chunk (or the longest single document), never the partition.  A null text is read as empty.
 
-Hashes are 64-bit: a polynomial over per-byte table values modulo 2**64, taken from one prefix sum for all words of a
-chunk, then mixed.  Equal strings always agree; two different strings of one comparison collide with odds of about
-2**-64, which the operators that need certainty state and check.
+Two kinds of 64-bit hashes.  ``SpanHasher`` takes a polynomial modulo 2**64 of any spans of a chunk from one prefix sum:
+equal strings agree, but unequal strings that agree can be made up, so it only finds candidates, which are then compared.
+``word_keys`` stands for the words themselves: a word of up to eight bytes is its own key, mixed with its length, and a
+longer one has its BLAKE2b digest, so results that rest on equal words rest on these.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,6 +77,41 @@ class SpanHasher:
         return mix((self.sums[end] - self.sums[start]) * self.inv[start])
 
 
+_BLOCK_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
+#: Digests of distinct longer words that a task remembers.
+MAX_WORDS = 300_000
+_DIGESTS: dict[bytes, int] = {}
+
+
+def first_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each span as one number (shorter spans: theirs, filled with zeros)."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    return blocks[start] & _BLOCK_MASKS[np.minimum(size, 8)]
+
+
+def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit keys of the words at ``start`` to ``end``, with A-Z lower-cased if ``lower``."""
+    if lower:
+        data = fold(data)
+    size = end - start
+    keys = mix(first_bytes(data, start, size) + size.astype(np.uint64) * _R)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+        if len(_DIGESTS) > MAX_WORDS:
+            _DIGESTS.clear()
+        known = _DIGESTS.get
+        found = [known(w) for w in words]
+        for i, key in enumerate(found):
+            if key is None:
+                word = words[i]
+                found[i] = _DIGESTS[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        keys[long] = np.array(found, dtype=np.uint64)
+    return keys
+
+
 @dataclass
 class Chunk:
     """Some whole documents of a batch: ``rows`` index the batch, ``data`` their bytes, ``offsets`` their bounds."""
