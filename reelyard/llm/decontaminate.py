@@ -31,6 +31,8 @@ from reelyard.llm.textscan import PUNCTUATED, Chunk, grams, powers, text_chunks,
 MIN_MATCH = 4
 THRESHOLD = 0.6
 BLOCK_BYTES = 16_000_000
+#: Places of items that are counted at once.
+PAIRS = 1_000_000
 _BASE = np.uint64(0x2545F4914F6CDD1D)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 
@@ -103,6 +105,15 @@ def _matches(item: np.ndarray, text: np.ndarray, free_item: np.ndarray, free_tex
     return out
 
 
+class Seeds:
+    """Seeds of a block's items, sorted by hash, and their order by item."""
+
+    def __init__(self, seed: np.ndarray, item: np.ndarray, pos: np.ndarray):
+        self.seed, self.item, self.pos = seed, item, pos
+        self.order = np.argsort(item, kind="stable")
+        self.by_item = item[self.order]
+
+
 class Items:
     """A block of test items: their tokens and a sorted seed table (hash, item, position)."""
 
@@ -115,6 +126,7 @@ class Items:
                 if at[i + 1] > at[i]:
                     self.ids.append(ids[chunk.rows.start + i])
                     self.tokens.append(h[at[i] : at[i + 1]])
+        self.lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
         seeds = {}
         for n in range(1, MIN_MATCH + 1):  # short items are seeds as a whole
             own = [k for k, t in enumerate(self.tokens) if (len(t) >= n if n == MIN_MATCH else len(t) == n)]
@@ -125,52 +137,62 @@ class Items:
                 first = np.concatenate([[0], np.cumsum([len(self.tokens[k]) for k in own])[:-1]])
                 pos = at - np.repeat(first, [len(self.tokens[k]) for k in own])[at]
                 order = np.argsort(h, kind="stable")
-                seeds[n] = h[order], item[at][order], pos[order]
+                seeds[n] = Seeds(h[order], item[at][order], pos[order])
         self.seeds = seeds
 
     def covered(self, h: np.ndarray, doc: np.ndarray, docs: int) -> list[tuple[int, int, int]]:
-        """``(document, item, covered tokens)`` of the pairs that reach the threshold."""
-        if not self.ids:
-            return []
-        pairs = []
-        for n, (seed, item, pos) in self.seeds.items():
-            g, at = grams(h, doc, n)
-            lo, hi = np.searchsorted(seed, g, "left"), np.searchsorted(seed, g, "right")
-            hit = np.flatnonzero(hi > lo)
-            many = hi[hit] - lo[hit]
-            which = np.repeat(lo[hit], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            pairs.append(np.stack([np.repeat(doc[at[hit]], many), item[which], pos[which], np.repeat(at[hit], many), np.full(len(which), n)]))
-        found = np.concatenate(pairs, axis=1)
-        found = found[:, np.lexsort((found[3], found[1], found[0]))]
-        new = np.append(True, (np.diff(found[0]) != 0) | (np.diff(found[1]) != 0))[: found.shape[1]]
-        group = np.cumsum(new) - 1
-        lengths = np.array([len(t) for t in self.tokens])
-        enough = np.bincount(group)[group] * found[4] >= THRESHOLD * lengths[found[1]]  # each seed covers its own length at most
-        found = found[:, enough]
-        cut = np.flatnonzero((np.diff(found[0]) != 0) | (np.diff(found[1]) != 0)) + 1
+        """``(document, item, covered tokens)`` of the pairs that reach the threshold.
+
+        Items are first counted by how many of their places a document's distinct seeds reach, ``PAIRS`` at a time, so
+        seeds that many items and places share cost time in proportion to the items, and no memory; the few items
+        reached often enough are tiled one by one.
+        """
         first = np.searchsorted(doc, np.arange(docs + 1))
         out = []
-        for part in np.split(found, cut, axis=1):
-            if not part.shape[1]:
-                continue
-            d, k, n = int(part[0, 0]), int(part[1, 0]), int(part[4, 0])
-            item = self.tokens[k]
-            reach = np.zeros(len(item), dtype=bool)
-            for j in range(n):
-                reach[part[2] + j] = True
-            if reach.sum() < THRESHOLD * len(item):
-                continue
-            own = h[first[d] : first[d + 1]]
-            seeded = np.zeros(len(own) + 1, dtype=np.int64)  # only runs of seeds can hold tiles
-            np.add.at(seeded, part[3] - first[d], 1)
-            np.add.at(seeded, part[3] - first[d] + n, -1)
-            inside = np.cumsum(seeded)[:-1] > 0
-            text = np.where(inside, own, np.uint64(0))[inside | np.append(inside[1:], False)]  # a gap stays one empty token
-            marked = sum(x for _, _, x in tile(item, text, n))
-            if marked >= THRESHOLD * len(item):
-                out.append((d, k, marked))
+        for n, table in self.seeds.items():
+            g, at = grams(h, doc, n)
+            near = np.searchsorted(table.seed, g, "right") > np.searchsorted(table.seed, g, "left")
+            g, at = g[near], at[near]
+            for d in np.unique(doc[at]).tolist():
+                own = slice(*np.searchsorted(at, first[d : d + 2]))
+                seeds, places = g[own], at[own] - first[d]
+                for k in self._reached(table, np.unique(seeds), n):
+                    mine = slice(*np.searchsorted(table.by_item, [k, k + 1]))
+                    hashes, pos = table.seed[table.order[mine]], table.pos[table.order[mine]]
+                    item = self.tokens[k]
+                    reach = np.zeros(len(item), dtype=bool)
+                    for j in range(n):
+                        reach[pos[np.isin(hashes, seeds)] + j] = True
+                    if reach.sum() < THRESHOLD * len(item):
+                        continue
+                    text = h[first[d] : first[d + 1]]
+                    found = places[np.isin(seeds, hashes)]
+                    seeded = np.zeros(len(text) + 1, dtype=np.int64)  # only runs of seeds can hold tiles
+                    np.add.at(seeded, found, 1)
+                    np.add.at(seeded, found + n, -1)
+                    inside = np.cumsum(seeded)[:-1] > 0
+                    text = np.where(inside, text, np.uint64(0))[inside | np.append(inside[1:], False)]  # a gap stays one empty token
+                    marked = sum(x for _, _, x in tile(item, text, n))
+                    if marked >= THRESHOLD * len(item):
+                        out.append((d, k, marked))
         return out
 
+    def _reached(self, table: Seeds, seeds: np.ndarray, n: int) -> list[int]:
+        """Items of whose tokens enough can lie under the places of some distinct seeds."""
+        lo, hi = np.searchsorted(table.seed, seeds, "left"), np.searchsorted(table.seed, seeds, "right")
+        many = hi - lo
+        total = np.cumsum(many)
+        counts = np.zeros(len(self.tokens), dtype=np.int64)
+        begin = 0
+        while begin < len(seeds):
+            done = total[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(total, done + PAIRS, "right")), begin + 1)
+            part = many[begin:end]
+            rows = np.repeat(lo[begin:end], part) + np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
+            counts += np.bincount(table.item[rows], minlength=len(counts))
+            begin = end
+        return np.flatnonzero((counts > 0) & (counts * n >= THRESHOLD * self.lengths)).tolist()  # a place covers n tokens at most
+
 
 def _blocks(items: DataFrame) -> int:
     return -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES) or 1

@@ -13,8 +13,8 @@ The filter's bits are a parameter, by default ``BITS_A_DOC`` for each document u
 beyond that more keys are suspected and shuffled, with the same result.
 
 Defined results: a null or empty text is one empty line; keys shorter than ``min_chars`` code points never count;
-repeated rows are documents of their own; an empty table gives an empty result; other columns pass through unread,
-whatever their names.
+documents are counted by doc_id, so rows that repeat an id count once and rows without one not at all, but all of them
+lose the repeated lines; an empty table gives an empty result; other columns pass through unread, whatever their names.
 """
 
 from __future__ import annotations
@@ -178,7 +178,7 @@ def repeated_keys(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
             yield pa.RecordBatch.from_arrays([batch.column("line_row").take(at), batch.column("doc_id").take(at), pa.array([digests[i] for i in hit], pa.binary())], ["line_row", "doc_id", "key"])
 
     seen = store(map_arrow(rows, suspects, "line_row long, doc_id long, key binary"))
-    often = seen.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where(F.col("n") >= min_docs)
+    often = seen.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_id")).where(F.col("n") >= min_docs)
     # Stored, so that the join has two shuffled sides and a very common line can be split over tasks.
     return seen.join(store(often.select("key", "first_id")), "key")
 

@@ -311,6 +311,14 @@ def test_line_dedup_equals_brute_force(docs, texts, bits, keep_first):
     assert got == want
 
 
+def test_documents_of_a_line_are_counted_by_id(spark):
+    line = "the same line\nown line %d"
+    rows = [(7, line % i) for i in range(12)] + [(None, "only without id\nx")] * 12 + [(i, "often") for i in range(3)]
+    got = linededup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3).collect()
+    assert sum("the same line" in r.text for r in got) == 12 and sum("only without id" in r.text for r in got) == 12
+    assert [r.text for r in got if r.doc_id in (0, 1, 2)] == ["", "", ""]
+
+
 def test_bloom_pairs_combine_like_one():
     draw = random.Random(2)
     keys = [hashlib.blake2b(str(draw.randrange(300)).encode(), digest_size=16).digest() for _ in range(500)]
@@ -524,6 +532,26 @@ def test_rows_are_the_same_with_items_in_one_block_or_several(spark, monkeypatch
     assert {r[2] for r in said[0] if r[4] and r[0] in (None, 1)} == {1}
 
 
+def test_a_seed_of_all_items_takes_no_memory_for_all_places(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from reelyard.llm.textscan import text_chunks
+
+    items = decontaminate.Items(list(range(4000)), [f"which of the following {cases.prose(k, 20, 5000)}" for k in range(4000)])
+    text = "which of the following " * 1500 + cases.prose(17, 20, 5000) + " which of the following" * 10
+    (chunk,) = text_chunks(pa.array([text]))
+    h, doc = decontaminate.tokens(chunk)
+    tracemalloc.start()
+    got = items.covered(h, doc, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(d, k) for d, k, _ in got] == [(0, 17)] and peak < 50_000_000
+    monkeypatch.setattr(decontaminate, "PAIRS", 100)
+    assert items.covered(h, doc, 1) == got
+
+
 def test_benchmark_passages_of_the_driver_table(spark):
     import re
 
