@@ -2,8 +2,10 @@
 
 A word is a sequence of bytes (A-Z lower-cased) after a start mark.  For each class, toxic and ordinary, an
 interpolated Kneser-Ney model of order ``ORDER`` gives each byte's probability in its context; the discounted mass of
-both goes to one backoff distribution, made of the continuation counts of both classes together.  So an expression
-that neither class has seen gets the same probability from both and weighs nothing, and a rare one weighs little.
+both goes to one shared backoff model.  That is Kneser-Ney again, order by order down to single bytes and then to all
+256 alike: a shorter n-gram counts the different symbols seen before it in either class, and every order has a discount
+of its own, from its counts of ones and twos.  So an expression that neither class has seen gets the same probability
+from both, but for how much mass each has left in its context, and a rare one weighs little.
 
 The models compare as ``log p_toxic - log p_ordinary``.  A document gives two length-normalised values: the mean over its
 bytes, and the largest mean over the bytes of one word (totals would favour long words, such as random keys).  A logistic scale fitted on labelled documents that the models have
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelyard.llm.common import bounded_sample, crc_fold, map_arrow, store
@@ -34,10 +36,9 @@ from reelyard.llm.textscan import Chunk, SpanHasher, text_chunks
 ORDER = 6
 #: Bound on the labelled rows; three quarters train the models, one quarter the logistic scale.
 LABELLED_ROWS = 16_000
-#: N-grams that differ from their context's value by less use the context's value.
-LEAST_DIFFERENCE = 0.05
 _START = np.uint64(0xA0761D6478BD642F)
-GRAMS = "gram long, context long, low long, low_context long, toxic long, plain long"
+#: An n-gram, its context, and its shorter n-grams with their contexts (one symbol less at the front each time).
+GRAMS = "gram long, context long, lows array<long>, low_contexts array<long>, toxic long, plain long"
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ def _distinct_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def _grams(start: np.ndarray, end: np.ndarray, span: SpanHasher) -> tuple[np.ndarray, ...]:
-    """For every byte of the words: its word, n-gram, context, and both without their first symbol."""
+    """For every byte of the words: its word, n-gram, context, place, and where the n-gram without its first symbol starts."""
     size = end - start
     word = np.repeat(np.arange(len(start)), size)
     at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start[word]
@@ -66,8 +67,7 @@ def _grams(start: np.ndarray, end: np.ndarray, span: SpanHasher) -> tuple[np.nda
     # The start mark is a symbol of its own: with it, the n-gram reaches back to the word's start.
     anchored = at - start[word] < ORDER - 1
     mark = np.where(anchored, _START, np.uint64(0))
-    short = np.where(anchored, lo, lo + 1)
-    return word, span(lo, at + 1) ^ mark, span(lo, at) ^ mark, span(short, at + 1), span(short, at)
+    return word, span(lo, at + 1) ^ mark, span(lo, at) ^ mark, at, np.where(anchored, lo, lo + 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,10 +80,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = toxic[chunk.rows.start + doc] == 1
             n_toxic = np.bincount(which[of], minlength=len(start))
             n_plain = np.bincount(which[~of], minlength=len(start))
-            word, gram, context, low, low_context = _grams(start, end, span)
+            word, gram, context, at, low = _grams(start, end, span)
             _, first, same = np.unique(gram, return_index=True, return_inverse=True)
             counts = [np.bincount(same, weights=n[word]).astype(np.int64) for n in (n_toxic, n_plain)]
-            yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)) for x in (gram, context, low, low_context)] + [pa.array(c) for c in counts], [f.split()[0] for f in GRAMS.split(", ")])
+            at, low = at[first], low[first]
+            many = at - low + 1  # shorter n-grams: down to the byte itself
+            of = np.repeat(np.arange(len(at)), many)
+            lo = low[of] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            bounds = pa.array(np.append(0, np.cumsum(many)), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(span(lo, hi).view(np.int64))) for hi in (at[of] + 1, at[of])]
+            yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)) for x in (gram, context)] + lists + [pa.array(c) for c in counts], [f.split()[0] for f in GRAMS.split(", ")])
 
 
 def _evidence(chunk: Chunk, model: ToxicityModel) -> np.ndarray:
@@ -92,7 +98,7 @@ def _evidence(chunk: Chunk, model: ToxicityModel) -> np.ndarray:
     start, end, which, doc, span = _distinct_words(chunk)
     if not len(start):
         return out
-    word, gram, context, _, _ = _grams(start, end, span)
+    word, gram, context, *_ = _grams(start, end, span)
     value = _look_up(context, model.contexts, model.context_values, 0.0)
     value = _look_up(gram, model.grams, model.gram_values, value)
     total = np.bincount(word, weights=value, minlength=len(start))
@@ -111,29 +117,58 @@ def _look_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray, default: n
     return np.where(known[at] == keys, values[at], default)
 
 
+def discount(ones: int, twos: int) -> float:
+    return (ones + 1) / (ones + 2 * twos + 2)
+
+
+def _backoff(grams: DataFrame) -> DataFrame:
+    """``low, backoff``: the shared probability of every shorter n-gram, all orders, down to the byte itself.
+
+    An n-gram's count is the number of different n-grams, one symbol longer, that end with it.
+    """
+    parent = F.concat(F.array("gram"), F.slice("lows", 1, F.size("lows") - 1))
+    rest = F.concat(F.slice("lows", 2, F.size("lows")), F.array(F.lit(None).cast("long")))
+    steps = F.arrays_zip(F.col("lows").alias("low"), F.col("low_contexts").alias("low_context"), parent.alias("parent"), rest.alias("next"))
+    each = grams.select(F.posexplode(steps).alias("k", "s"), F.size("lows").alias("n")).select((F.col("n") - F.col("k") - 1).alias("order"), "s.*")
+    counted = store(each.groupBy("order", "low", "low_context", "next").agg(F.count_distinct("parent").alias("n")))
+    sums = counted.groupBy("order").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"))
+    discounts = {r["order"]: discount(r["ones"], r["twos"]) for r in sums.collect()}  # ORDER rows at most
+    contexts = counted.groupBy("order", "low_context").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("types"))
+    below = None
+    done = []
+    for order in sorted(discounts):
+        d = discounts[order]
+        here = counted.where(F.col("order") == order).join(contexts.where(F.col("order") == order).drop("order"), "low_context")
+        if below is None:
+            here = here.withColumn("p", F.lit(1 / 256))
+        else:
+            here = here.join(below.select(F.col("low").alias("next"), F.col("backoff").alias("p")), "next", "left").withColumn("p", F.coalesce("p", F.lit(1 / 256)))
+        p = F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("all") + d * F.col("types") / F.col("all") * F.col("p")
+        below = store(here.select("low", p.alias("backoff")))
+        done.append(below)
+    out = grams.select(F.lit(0).cast("long").alias("low"), F.lit(0.0).alias("backoff")).limit(0)
+    for part in done:
+        out = out.unionByName(part)
+    return out
+
+
 def _ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The log ratio of the two models for each n-gram, and for each context's unseen continuations."""
-    grams = store(counts.groupBy("gram", "context", "low", "low_context").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
+    grams = store(counts.groupBy("gram", "context").agg(F.first("lows").alias("lows"), F.first("low_contexts").alias("low_contexts"), F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
     singles = grams.agg(*[F.count_if(F.col(c) == n).alias(f"{c}{n}") for c in ("toxic", "plain") for n in (1, 2)]).first()
-    discount = {c: (singles[f"{c}1"] + 1) / (singles[f"{c}1"] + 2 * singles[f"{c}2"] + 2) for c in ("toxic", "plain")}
+    discounts = {c: discount(singles[f"{c}1"], singles[f"{c}2"]) for c in ("toxic", "plain")}
     contexts = grams.groupBy("context").agg(
-        *[F.sum(c).alias(f"{c}_all") for c in discount],
-        *[F.count_if(F.col(c) > 0).alias(f"{c}_types") for c in discount],
+        *[F.sum(c).alias(f"{c}_all") for c in discounts],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_types") for c in discounts],
     )
-    for c, d in discount.items():
+    for c, d in discounts.items():
         contexts = contexts.withColumn(f"{c}_left", F.when(F.col(f"{c}_all") > 0, d * F.col(f"{c}_types") / F.col(f"{c}_all")).otherwise(1.0))
     contexts = contexts.withColumn("unseen", F.log("toxic_left") - F.log("plain_left"))
-    # Shared backoff: in how many larger n-grams of either class a shorter one continues.
-    by_low, by_low_context = Window.partitionBy("low"), Window.partitionBy("low_context")
-    shared = grams.withColumn("n_low", F.count(F.lit(1)).over(by_low)).withColumn("n_all", F.count(F.lit(1)).over(by_low_context))
-    shared = shared.withColumn("backoff", 0.75 * F.col("n_low") / F.col("n_all") + 0.25 / 256)
-    both = shared.join(contexts, "context")
-    for c, d in discount.items():
+    both = grams.select("gram", "context", F.element_at("lows", 1).alias("low"), "toxic", "plain").join(_backoff(grams), "low").join(contexts, "context")
+    for c, d in discounts.items():
         seen = F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(0.0)
         both = both.withColumn(f"p_{c}", seen + F.col(f"{c}_left") * F.col("backoff"))
-    values = both.withColumn("value", F.log("p_toxic") - F.log("p_plain"))
-    values = values.where(F.abs(F.col("value") - F.col("unseen")) >= LEAST_DIFFERENCE)
-    return values.select("gram", "value"), contexts.where(F.abs("unseen") >= LEAST_DIFFERENCE).select("context", "unseen")
+    return both.select("gram", (F.log("p_toxic") - F.log("p_plain")).alias("value")), contexts.select("context", "unseen")
 
 
 def _table(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -100,6 +100,59 @@ def test_words_seen_once_count_for_the_class_they_were_seen_in(spark):
     assert said[0, 0] > 0.1 and said[0, 1] > 0.1 and said[1, 0] < -0.1
 
 
+def test_kneser_ney_values_equal_a_brute_force_model(spark):
+    import math
+
+    import pyarrow as pa
+
+    from reelyard.llm.textscan import text_chunks
+
+    draw = random.Random(8)
+    texts = [(" ".join("".join(draw.choices("abc", k=draw.randint(1, 9))) for _ in range(draw.randint(1, 30))), draw.randrange(2)) for _ in range(12)]
+    top = {0: Counter(), 1: Counter()}
+    parents, hashes = defaultdict(set), {}
+    for text, toxic in texts:
+        for word in text.split():
+            (chunk,) = text_chunks(pa.array([word]))
+            start, end, *_, span = toxicity._distinct_words(chunk)
+            _, told, context, *_ = toxicity._grams(start, end, span)
+            for i in range(len(word)):
+                lo = max(i - toxicity.ORDER + 1, 0)
+                marked = i < toxicity.ORDER - 1
+                gram, low = (marked, word[lo : i + 1]), word[lo : i + 1] if marked else word[lo + 1 : i + 1]
+                top[toxic][gram] += 1
+                hashes[gram], hashes[marked, word[lo:i], "context"] = told[i].astype(np.int64), context[i].astype(np.int64)
+                above = gram
+                while low:
+                    parents[low].add(above)
+                    above, low = low, low[1:]
+    sizes = {low: len(p) for low, p in parents.items()}
+    ones_twos = {n: [sum(v == k and len(low) == n for low, v in sizes.items()) for k in (1, 2)] for n in range(1, toxicity.ORDER)}
+
+    def shared(low):
+        if not low:
+            return 1 / 256
+        d = toxicity.discount(*ones_twos[len(low)])
+        own = [v for x, v in sizes.items() if len(x) == len(low) and x[:-1] == low[:-1]]
+        return max(sizes[low] - d, 0) / sum(own) + d * len(own) / sum(own) * shared(low[1:])
+
+    def likely(toxic, gram, low):
+        counts = top[toxic]
+        d = toxicity.discount(*[sum(v == k for v in counts.values()) for k in (1, 2)])
+        own = [v for g, v in counts.items() if (g[0], g[1][:-1]) == (gram[0], gram[1][:-1])]
+        left = d * len(own) / sum(own) if own else 1.0
+        return (max(counts[gram] - d, 0) / sum(own) if own else 0.0) + left * shared(low)
+
+    marked = spark.createDataFrame(texts, "text string, toxic long").repartition(3)
+    values, _ = toxicity._ratios(toxicity.map_arrow(marked, toxicity._count, toxicity.GRAMS))
+    got = {r.gram: r.value for r in values.collect()}
+    assert len(got) == len(top[0] | top[1])
+    for gram in top[0] | top[1]:
+        low = gram[1] if gram[0] else gram[1][1:]
+        want = math.log(likely(1, gram, low)) - math.log(likely(0, gram, low))
+        assert abs(got[int(hashes[gram])] - want) < 1e-9
+
+
 # op2
 
 
