@@ -169,6 +169,27 @@ def test_fenwick_tree_and_chains_against_brute_force():
         assert links in ([0, 1, 2], [3, 4])
 
 
+def test_recall_of_edited_passages(spark):
+    """Passages of 52 to 60 words, every n-th word replaced, between prose of their own."""
+    rows, every = [], {}
+    draw = random.Random(5)
+    for n in (0, 15, 10, 8):
+        for k in range(60):
+            words = cases.prose(100_000 + 1000 * n + k, draw.randint(52, 60), 6000).split()
+            edited = list(words)
+            for j in range(draw.randrange(n), len(words), n) if n else ():
+                edited[j] = f"zq{draw.randrange(10**6)}"
+            for copy in (words, edited):
+                i = len(rows)
+                around = [cases.prose(200_000 + 2 * i + side, draw.randint(40, 120), 6000).split() for side in (0, 1)]
+                rows.append((i, " ".join(around[0] + copy + around[1])))
+                every[i] = n
+    got = {r.doc_id: r.n_passages for r in fuzzydedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    recall = {n: np.mean([got[i] > 0 for i in every if every[i] == n]) for n in (0, 15, 10, 8)}
+    assert recall[0] == 1 and recall[15] >= 0.95 and recall[10] >= 0.9 and recall[8] >= 0.75
+    assert fuzzydedup.report(spark.createDataFrame([(i, cases.prose(500_000 + i, 200, 6000)) for i in range(100)], "doc_id long, text string")).where("n_passages > 0").count() == 0
+
+
 def test_planted_fuzzy_passages_are_found(spark):
     passage = cases.prose(7, 90).split()
     edited = passage.copy()
