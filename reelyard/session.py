@@ -66,6 +66,9 @@ def scale_settings(input_bytes: int, slots: int, most_reducers: int | None = Non
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
         "spark.sql.session.timeZone": "UTC",
+        # Stream state on disk: it need not fit in an executor's memory.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 

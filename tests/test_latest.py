@@ -5,11 +5,25 @@ from __future__ import annotations
 import datetime
 import json
 
+import pytest
+
 from reelyard.schemas import MOVIE, MOVIE_SCHEMA
+from reelyard.session import scale_settings
 from reelyard.sinks import snapshot as S
 from reelyard.streaming.latest import LANDED_FETCH_SCHEMA, apply_latest_fetches, count_landed_changes
 
 
+@pytest.fixture(params=[False, True], ids=["memory", "rocksdb"])
+def stores_on_disk(spark, request):
+    """The state store of a small session, and the one that ``scale_settings`` asks for."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    if request.param:
+        spark.conf.set(name, scale_settings(1, 1)[name])
+    yield
+    spark.conf.set(name, before)
+
+
 def at(day, hour=0):
     return datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc) + datetime.timedelta(days=day, hours=hour)
 
@@ -23,7 +37,7 @@ def titles(spark, silver):
     return {r.id: r.title for r in S.read_snapshot(spark, silver).collect()}
 
 
-def test_a_late_older_fetch_never_replaces_a_newer_one(spark, scratch):
+def test_a_late_older_fetch_never_replaces_a_newer_one(spark, scratch, stores_on_disk):
     silver, landing, ckpt = scratch("silver"), scratch("landing"), scratch("ckpt")
     S.write_snapshot(spark.createDataFrame([(1, "old", "o", "d", "1", []), (9, "kept", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
 
@@ -46,7 +60,7 @@ def test_a_late_older_fetch_never_replaces_a_newer_one(spark, scratch):
     assert run() == titles(spark, silver) and S.current_version(spark, silver) == version  # nothing landed
 
 
-def test_window_counts_equal_a_batch_and_drop_what_is_too_late(spark, scratch):
+def test_window_counts_equal_a_batch_and_drop_what_is_too_late(spark, scratch, stores_on_disk):
     landing, out, ckpt = (scratch(n) for n in ("landing", "out", "ckpt"))
     ddl = "id int, kind string, at timestamp"
 
