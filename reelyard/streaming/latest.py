@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,24 +25,55 @@ LANDED_FETCH_SCHEMA = StructType([*LANDED_DETAIL_SCHEMA.fields, StructField("fet
 DELAY = "10 days"
 
 
+#: Ids that share a row of the state store: one call of Python, and one state, for 2 ** BLOCK_BITS neighbouring ids.
+BLOCK_BITS = 8
+
+
+def _newest_of_each(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per id: the newest, of several of one time the one with the greatest record."""
+    ids, fetched = rows["id"].to_numpy(), rows["fetched"].to_numpy()
+    order = np.lexsort((fetched, ids))
+    ids, fetched = ids[order], fetched[order]
+    last = np.append(ids[1:] != ids[:-1], True)
+    best = order[last]
+    tied = np.flatnonzero(~last & np.append((ids[1:] == ids[:-1]) & (fetched[1:] == fetched[:-1]), False))
+    if len(tied):
+        top = dict(zip(ids[last].tolist(), fetched[last].tolist(), strict=True))
+        record = rows["record"].to_numpy()
+        greatest = dict(zip(ids[last].tolist(), best.tolist(), strict=True))
+        for at in tied.tolist():
+            i = ids[at].item()
+            if fetched[at] == top[i] and record[order[at]] > record[greatest[i]]:
+                greatest[i] = order[at]
+        best = np.fromiter(greatest.values(), dtype=np.int64, count=len(greatest))
+    return rows.iloc[best]
+
+
 def _newest(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The newest of an id's fetches if it is newer than the one remembered."""
+    """The newest fetch of each id of a block if it is newer than the one remembered."""
     if state.hasTimedOut:
         state.remove()
         return
-    known = state.get[0] if state.exists else None
     best = None
-    for part in parts:  # a hot id comes in several parts; only the best row is held
-        top = part.sort_values(["fetched", "record"]).iloc[-1]
-        if best is None or (top["fetched"], top["record"]) > (best["fetched"], best["record"]):
-            best = top
-    at = int(best["fetched"])
-    if known is None or at > known:
-        state.update((at,))
-        known = at
-        yield pd.DataFrame([best])[["id", "record", "fetched"]]
-    # Forgotten once the watermark has passed: nothing older can arrive any more.
-    state.setTimeoutTimestamp(max(known // 1000, state.getCurrentWatermarkMs()) + 1)
+    for part in parts:  # a hot block comes in several parts; only the best rows are held
+        best = _newest_of_each(part if best is None else pd.concat([best, part], ignore_index=True))
+    known: dict[int, int] = {}
+    if state.exists:
+        ids, times = state.get
+        known = dict(zip(np.frombuffer(ids, np.int32).tolist(), np.frombuffer(times, np.int64).tolist(), strict=True))
+    ids, fetched = best["id"].tolist(), best["fetched"].tolist()
+    newer = [i not in known or t > known[i] for i, t in zip(ids, fetched, strict=True)]
+    known |= {i: t for i, t, new in zip(ids, fetched, newer, strict=True) if new}
+    if any(newer):
+        yield best.loc[newer, ["id", "record", "fetched"]]
+    # An id is forgotten once the watermark has passed: nothing older can arrive any more.
+    passed = state.getCurrentWatermarkMs()
+    kept = {i: t for i, t in known.items() if t // 1000 >= passed}
+    if not kept:
+        state.remove()
+        return
+    state.update((np.array(list(kept), np.int32).tobytes(), np.array(list(kept.values()), np.int64).tobytes()))
+    state.setTimeoutTimestamp(max(max(kept.values()) // 1000, passed) + 1)
 
 
 def latest_fetches(rows: DataFrame, spec: MediaSpec, delay: str = DELAY) -> DataFrame:
@@ -49,7 +81,8 @@ def latest_fetches(rows: DataFrame, spec: MediaSpec, delay: str = DELAY) -> Data
     the newest of their id so far.
 
     The state store holds one time per id, for as long as a fetch not newer than
-    it may still come: a fetch older than the watermark (``delay`` behind the
+    it may still come (ids side by side share a state row, so that Python is not
+    called for each id): a fetch older than the watermark (``delay`` behind the
     newest one seen) is dropped by Spark, so an older fetch never follows a
     newer one, whatever micro-batch or run it lands in.  Of two fetches of one
     time the first one stays, within a batch the greatest.  Rows without a time
@@ -58,9 +91,10 @@ def latest_fetches(rows: DataFrame, spec: MediaSpec, delay: str = DELAY) -> Data
     record = F.to_json(F.struct(*spec.columns), {"ignoreNullFields": "false"})
     packed = (rows.where(F.col(FETCHED).isNotNull() & F.col("id").isNotNull())
               .withWatermark(FETCHED, delay)
-              .select("id", record.alias("record"), F.unix_micros(FETCHED).alias("fetched"), FETCHED))
-    out = packed.groupBy("id").applyInPandasWithState(
-        _newest, "id int, record string, fetched long", "fetched long", "update",
+              .select(F.shiftright("id", BLOCK_BITS).alias("block"), "id", record.alias("record"),
+                      F.unix_micros(FETCHED).alias("fetched"), FETCHED))
+    out = packed.groupBy("block").applyInPandasWithState(
+        _newest, "id int, record string, fetched long", "ids binary, fetched binary", "update",
         GroupStateTimeout.EventTimeTimeout)
     typed = out.select(F.from_json("record", spec.schema).alias("_r"), F.timestamp_micros("fetched").alias(FETCHED))
     return typed.select("_r.*", FETCHED)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 
 import pytest
 
@@ -60,6 +61,27 @@ def test_a_late_older_fetch_never_replaces_a_newer_one(spark, scratch, stores_on
     assert run() == titles(spark, silver) and S.current_version(spark, silver) == version  # nothing landed
 
 
+def test_ids_of_one_block_are_told_apart_and_take_one_state(spark, scratch, stores_on_disk):
+    """Neighbouring, negative and far ids over two runs equal a plain maximum; there are fewer state rows than ids."""
+    silver, landing, ckpt = scratch("silver"), scratch("landing"), scratch("ckpt")
+    S.write_snapshot(spark.createDataFrame([(-9, "old", "o", "d", "1", [])], MOVIE_SCHEMA), silver, None)
+    draw, known = random.Random(4), {-9: (at(-1), "old")}
+    ids = [*range(-300, 700), 2**31 - 1, -(2**31)]
+    for run in range(2):
+        rows = [(i, f"{run}{draw.randrange(90)}", at(draw.randrange(6)), 200) for i in ids for _ in range(draw.randint(0, 3))]
+        land(spark, landing, rows)
+        fresh = {}
+        for i, title, when, _ in rows:
+            fresh[i] = max(fresh.get(i, (when, title)), (when, title))
+        for i, (when, title) in fresh.items():
+            if i not in known or when > known[i][0]:
+                known[i] = (when, title)
+        apply_latest_fetches(spark, landing, silver, MOVIE, ckpt, delay="9 days")
+        assert titles(spark, silver) == {i: title for i, (_, title) in known.items()}
+    state = spark.read.format("statestore").load(ckpt)
+    assert 0 < state.count() < len(ids) / 100
+
+
 def test_window_counts_equal_a_batch_and_drop_what_is_too_late(spark, scratch, stores_on_disk):
     landing, out, ckpt = (scratch(n) for n in ("landing", "out", "ckpt"))
     ddl = "id int, kind string, at timestamp"
