@@ -18,6 +18,7 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,10 @@ GAP, MAX_GAP = 0.15, 40
 IDENTITY, REACH = 0.7, 48
 #: Words of the shortest alignment that counts; unions are longer.
 MIN_CHAIN = 12
-#: Equal words, place by place, that a lone seed needs within reach for its alignment to be searched.
+#: Equal words, place by place, within reach of a lone seed that let its alignment be searched without a closer look.
 NEAR = 4
+#: Equal words of the shortest passage.
+NEED = math.ceil(IDENTITY * MIN_WORDS - 1e-9)
 _NTH = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -240,10 +243,16 @@ def _extend_beyond(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
 
 
 def _lonely(a: np.ndarray, b: np.ndarray, x: int, y: int) -> bool:
-    """Whether hardly any words around a lone seed are equal, place by place: a phrase met by chance."""
+    """Whether a lone seed is a phrase met by chance.
+
+    Hardly any words around it are equal, place by place, and too few are in both for a passage in any other alignment.
+    """
     left, right = min(x, y, REACH), min(len(a) - x, len(b) - y, K + REACH)
     equal = np.count_nonzero(a[x - left : x] == b[y - left : y]) + np.count_nonzero(a[x + K : x + right] == b[y + K : y + right])
-    return equal < NEAR
+    if equal >= NEAR:
+        return False
+    beside = sum(np.isin(u, v).sum() for u, v in ((a[max(x - REACH, 0) : x], b[max(y - REACH, 0) : y]), (a[x + K : x + K + REACH], b[y + K : y + K + REACH])))
+    return beside + K < NEED
 
 
 def align(a: np.ndarray, b: np.ndarray, anchors: np.ndarray) -> tuple[int, int, int, int, int]:

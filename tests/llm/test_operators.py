@@ -191,6 +191,17 @@ def test_recall_of_edited_passages(spark):
     assert fuzzydedup.report(spark.createDataFrame([(i, cases.prose(500_000 + i, 200, 6000)) for i in range(100)], "doc_id long, text string")).where("n_passages > 0").count() == 0
 
 
+def test_a_lone_seed_between_inserted_words_is_aligned():
+    """A word put in on both sides of the seed moves all others: none is equal place by place."""
+    a = np.arange(61, dtype=np.uint32)
+    b = np.concatenate([a[:28], [900], a[28:33], [901], a[33:]]).astype(np.uint32)
+    anchors = np.array([[28, 29]])
+    x0, x1, y0, y1, same = fuzzydedup.align(a, b, anchors)
+    assert (x0, x1, y0, y1, same) == (0, 61, 0, 63, 61)
+    # A phrase met by chance is still not searched, nor are words that are common on the other side of the seed only.
+    assert fuzzydedup.align(a, np.concatenate([a[33:], a[28:33], a[:28]]), np.array([[28, 28]]))[4] == 5
+
+
 def test_planted_fuzzy_passages_are_found(spark):
     passage = cases.prose(7, 90).split()
     edited = passage.copy()
