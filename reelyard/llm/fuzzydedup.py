@@ -8,7 +8,8 @@
    both documents and costs ``GAP`` for each skipped word; a Fenwick tree over the positions in the second document keeps
    the best chain that ends before a position.  A lone match is a chain, too.
 4. Alignment.  Chains are aligned word by word between their seeds and extended at both ends, as far as a passage of
-   ``MIN_WORDS`` reaches from a seed; an alignment with enough equal words is a passage, in both documents.
+   ``MIN_WORDS`` reaches from a seed; an alignment with enough equal words is a passage, in both documents.  The tables
+   of many pairs are filled at once, a row of each at a time.
 5. A document's passages are united, whoever shares them; unions of ``MIN_WORDS`` words or more are reported.
 
 Defined results: null, empty and shorter texts have no passage; rows with one doc_id are one document (the same text),
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ MIN_CHAIN = 12
 NEAR = 4
 #: Equal words of the shortest passage.
 NEED = math.ceil(IDENTITY * MIN_WORDS - 1e-9)
+#: Pairs that are aligned at once.
+BLOCK = 2048
 _NTH = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -199,91 +203,180 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int32(), pa.binary()], strict=True)], ["doc", "lo", "hi", "words"])
 
 
-def _gap_matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Equal words in the best alignment of two short runs (longest common subsequence, row by row)."""
-    if not len(a) or not len(b):
-        return 0
-    if len(a) == len(b) and (a == b).mean() > 0.5:
-        return int((a == b).sum())
-    row = np.zeros(len(b) + 1, dtype=np.int64)
-    for word in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)))
-    return int(row[-1])
+@dataclass
+class Runs:
+    """Runs of ``words``, forwards (``step`` 1) or backwards (-1) from ``start``, one for each pair to compare."""
 
+    words: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    step: int = 1
 
-def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """How many words of each run an alignment is extended by, and the equal ones.
+    def __getitem__(self, rows: np.ndarray) -> Runs:
+        return Runs(self.words, self.start[rows], self.size[rows], self.step)
+
+    def after(self, skipped: np.ndarray) -> Runs:
+        return Runs(self.words, self.start + self.step * skipped, self.size - skipped, self.step)
+
+    def first(self, size: np.ndarray) -> Runs:
+        return Runs(self.words, self.start, size, self.step)
+
+    def columns(self, longest: int, filler: int) -> np.ndarray:
+        """A column for each run: its words, then ``filler`` (negative: no word)."""
+        k = np.arange(longest)[:, None]
+        inside = k < self.size
+        return np.where(inside, self.words[np.where(inside, self.start + self.step * k, 0)].astype(np.int64), filler)
+
+
+def _blocks(a: Runs, b: Runs) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs where neither run is empty, in blocks of like length: their numbers, and the columns of both runs."""
+    longest = np.maximum(a.size, b.size)
+    rows = np.flatnonzero(np.minimum(a.size, b.size) > 0)
+    rows = rows[np.argsort(longest[rows], kind="stable")]
+    for lo in range(0, len(rows), BLOCK):
+        part = rows[lo : lo + BLOCK]
+        size = int(longest[part[-1]])
+        yield part, a[part].columns(size, -1), b[part].columns(size, -2)
+
+
+def _running_max(rows: np.ndarray) -> None:
+    for j in range(1, len(rows)):
+        np.maximum(rows[j], rows[j - 1], out=rows[j])
+
+
+def _gap_matches(a: Runs, b: Runs) -> np.ndarray:
+    """Equal words in the best alignment of two short runs (longest common subsequence, row by row), for each pair."""
+    out = np.zeros(len(a.size), dtype=np.int64)
+    for part, u, v in _blocks(a, b):
+        out[part] = (u == v).sum(axis=0)
+        search = (a.size[part] != b.size[part]) | (2 * out[part] <= a.size[part])
+        part, u, v = part[search], u[:, search], v[:, search]
+        row = np.zeros((len(v) + 1, len(part)), dtype=np.int16)
+        for word in u:
+            row[1:] = np.maximum(row[1:], row[:-1] + (v == word))
+            _running_max(row)
+        out[part] = row[-1]
+    return out
+
+
+def _extend(a: Runs, b: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many words of each run an alignment is extended by, and the equal ones, for each pair.
 
     The prefixes that align best: +1 for equal words, -1 for each other, left out or put in.
     """
-    a, b = a[:REACH], b[:REACH]
-    n = min(len(a), len(b))
-    other = np.flatnonzero(a[:n] != b[:n])
-    run = int(other[0]) if len(other) else n  # equal words need no search
-    i, j, same = _extend_beyond(a[run:], b[run:])
-    return run + i, run + j, run + same
-
-
-def _extend_beyond(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    if not len(a) or not len(b):
-        return 0, 0, 0
-    steps = np.arange(len(b) + 1)
-    row = -steps
-    best, at = 0, (0, 0)
-    for i, word in enumerate(a):
-        above = row - 1
-        above[1:] = np.maximum(above[1:], row[:-1] + np.where(b == word, 1, -1))
-        row = np.maximum.accumulate(above + steps) - steps
-        j = int(row.argmax())
-        if row[j] > best:
-            best, at = int(row[j]), (i + 1, j)
-        elif row[j] < best - 8:
-            break
-    return *at, _gap_matches(a[: at[0]], b[: at[1]])
-
-
-def _lonely(a: np.ndarray, b: np.ndarray, x: int, y: int) -> bool:
-    """Whether a lone seed is a phrase met by chance.
+    a, b = a.first(np.minimum(a.size, REACH)), b.first(np.minimum(b.size, REACH))
+    run, i, j = np.zeros((3, len(a.size)), dtype=np.int64)
+    for part, u, v in _blocks(a, b):
+        other = u != v
+        run[part] = np.where(other.any(axis=0), other.argmax(axis=0), len(u))  # equal words need no search
+    a, b = a.after(run), b.after(run)
+    for part, u, v in _blocks(a, b):
+        i[part], j[part] = _extend_beyond(u, v, a.size[part])
+    return run + i, run + j, run + _gap_matches(a.first(i), b.first(j))
+
+
+def _extend_beyond(u: np.ndarray, v: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.zeros((2, len(size)), dtype=np.int64)
+    pair, best = np.arange(len(size)), np.zeros(len(size), dtype=np.int16)
+    steps = np.arange(len(v) + 1, dtype=np.int16)[:, None]
+    raised = np.zeros((len(v) + 1, len(size)), dtype=np.int16)  # the row of scores, plus the words of v that are passed
+    for i in range(len(u)):
+        above = raised - np.int16(1)
+        above[1:] = np.maximum(above[1:], raised[:-1] + np.int16(2) * (v == u[i]))
+        _running_max(above)
+        raised = above
+        row = raised - steps
+        top = row.max(axis=0)
+        better = np.flatnonzero(top > best)
+        ended = (top < best - 8) | (size <= i + 1)
+        best[better] = top[better]
+        at[0, pair[better]], at[1, pair[better]] = i + 1, row[:, better].argmax(axis=0)
+        best[ended] = np.iinfo(np.int16).max  # no better one follows
+        if 4 * np.count_nonzero(ended) > len(ended):
+            going = ~ended
+            pair, best, size, u, v, raised = pair[going], best[going], size[going], u[:, going], v[:, going], raised[:, going]
+            if not len(pair):
+                break
+    return at[0], at[1]
+
+
+def _lonely(sides: list[tuple[Runs, Runs]]) -> np.ndarray:
+    """Whether a lone seed is a phrase met by chance, for each pair.
 
     Hardly any words around it are equal, place by place, and too few are in both for a passage in any other alignment.
     """
-    left, right = min(x, y, REACH), min(len(a) - x, len(b) - y, K + REACH)
-    equal = np.count_nonzero(a[x - left : x] == b[y - left : y]) + np.count_nonzero(a[x + K : x + right] == b[y + K : y + right])
-    if equal >= NEAR:
-        return False
-    beside = sum(np.isin(u, v).sum() for u, v in ((a[max(x - REACH, 0) : x], b[max(y - REACH, 0) : y]), (a[x + K : x + K + REACH], b[y + K : y + K + REACH])))
-    return beside + K < NEED
+    equal = np.zeros(len(sides[0][0].size), dtype=np.int64)
+    for a, b in sides:
+        for part, u, v in _blocks(a, b):
+            equal[part] += (u == v).sum(axis=0)
+    rows = np.flatnonzero(equal < NEAR)
+    beside = np.zeros(len(rows), dtype=np.int64)
+    for a, b in sides:
+        for part, u, v in _blocks(a[rows], b[rows]):
+            for word in u:
+                beside[part] += (v == word).any(axis=0)
+    out = np.zeros(len(equal), dtype=bool)
+    out[rows] = beside + K < NEED
+    return out
+
+
+def align_pairs(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, anchors: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bounds in both runs, and equal words, of the alignment of each pair through its ``anchors``.
+
+    Pair ``i`` has the words ``a_at[i]`` to ``a_at[i + 1]`` of ``a``, those of ``b`` alike, and the anchors ``at[i]`` to
+    ``at[i + 1]``, positions in its words where K words are equal.
+    """
+    (x0, y0), (x, y) = anchors[at[:-1]].T, anchors[at[1:] - 1].T + K
+    pair = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    before = np.flatnonzero(pair[1:] == pair[:-1])
+    gap = anchors[before + 1] - anchors[before] - K
+    step = gap.min(axis=1)
+    new = np.where(step < 0, np.maximum(K + step, 0), K)  # overlapping seeds count their new words
+    between = np.flatnonzero(step > 0)
+    left, owner = anchors[before[between]] + K, pair[before[between]]
+    new[between] += _gap_matches(Runs(a, a_at[owner] + left[:, 0], gap[between, 0]), Runs(b, b_at[owner] + left[:, 1], gap[between, 1]))
+    same = K + np.bincount(pair[before], new, minlength=len(x0)).astype(np.int64)
+    a_to, b_to = a_at[:-1], b_at[:-1]
+    ends = [
+        (Runs(a, a_to + x0 - 1, np.minimum(x0, REACH), -1), Runs(b, b_to + y0 - 1, np.minimum(y0, REACH), -1)),
+        (Runs(a, a_to + x, np.minimum(np.diff(a_at) - x, REACH)), Runs(b, b_to + y, np.minimum(np.diff(b_at) - y, REACH))),
+    ]
+    searched = np.ones(len(x0), dtype=bool)
+    lone = np.flatnonzero(np.diff(at) == 1)
+    searched[lone] = ~_lonely([(u[lone], v[lone]) for u, v in ends])
+    rows = np.flatnonzero(searched)
+    (left_x, left_y, left_same), (right_x, right_y, right_same) = (_extend(u[rows], v[rows]) for u, v in ends)
+    x0[rows] -= left_x
+    y0[rows] -= left_y
+    x[rows] += right_x
+    y[rows] += right_y
+    same[rows] += left_same + right_same
+    return x0, x, y0, y, same
 
 
 def align(a: np.ndarray, b: np.ndarray, anchors: np.ndarray) -> tuple[int, int, int, int, int]:
     """Bounds in both runs, and equal words, of the alignment through ``anchors`` (positions of K equal words)."""
-    (x0, y0), same = anchors[0], K
-    if len(anchors) == 1 and _lonely(a, b, x0, y0):
-        return int(x0), int(x0 + K), int(y0), int(y0 + K), K
-    x, y = x0 + K, y0 + K
-    for u, v in anchors[1:]:
-        step = min(u - x, v - y)
-        if step < 0:  # overlapping seeds
-            new = K + step
-            same += max(new, 0)
-        else:
-            same += K + _gap_matches(a[x:u], b[y:v])
-        x, y = u + K, v + K
-    left_x, left_y, left_same = _extend(a[:x0][::-1], b[:y0][::-1])
-    right_x, right_y, right_same = _extend(a[x:], b[y:])
-    return int(x0 - left_x), int(x + right_x), int(y0 - left_y), int(y + right_y), int(same + left_same + right_same)
+    found = align_pairs(a, np.array([0, len(a)]), b, np.array([0, len(b)]), anchors, np.array([0, len(anchors)]))
+    return tuple(int(v[0]) for v in found)
+
+
+def _joined(column: pa.Array, kind: type, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays of a binary column one after the other, and the bounds of each in items of ``width`` numbers."""
+    values = column.to_pylist()
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // (np.dtype(kind).itemsize * width)
+    return np.frombuffer(b"".join(values), kind), np.append(0, np.cumsum(sizes))
 
 
 def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for doc, hub, lo, hub_lo, anchors, a, b in zip(*(batch.column(c).to_pylist() for c in ("doc", "hub", "lo", "hub_lo", "anchors", "words", "hub_words")), strict=True):
-            at = np.frombuffer(anchors, np.int32).reshape(-1, 2).astype(np.int64) - (lo, hub_lo)
-            x0, x1, y0, y1, same = align(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), at)
-            if min(x1 - x0, y1 - y0) >= MIN_CHAIN and same >= IDENTITY * max(x1 - x0, y1 - y0):
-                rows += [(doc, x0 + lo, x1 + lo, hub), (hub, y0 + hub_lo, y1 + hub_lo, doc)]
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int32(), pa.int64()], strict=True)], ["doc", "lo", "hi", "partner"])
+        doc, hub, lo, hub_lo = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc", "hub", "lo", "hub_lo"))
+        (a, a_at), (b, b_at) = _joined(batch.column("words"), np.uint32), _joined(batch.column("hub_words"), np.uint32)
+        anchors, at = _joined(batch.column("anchors"), np.int32, 2)
+        anchors = anchors.reshape(-1, 2) - np.repeat(np.stack([lo, hub_lo], axis=1), np.diff(at), axis=0)
+        x0, x1, y0, y1, same = align_pairs(a, a_at, b, b_at, anchors, at)
+        kept = (np.minimum(x1 - x0, y1 - y0) >= MIN_CHAIN) & (same >= IDENTITY * np.maximum(x1 - x0, y1 - y0))
+        columns = [np.concatenate([u[kept], v[kept]]) for u, v in ((doc, hub), (x0 + lo, y0 + hub_lo), (x1 + lo, y1 + hub_lo), (hub, doc))]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, [np.int64, np.int32, np.int32, np.int64], strict=True)], ["doc", "lo", "hi", "partner"])
 
 
 def passages(docs: DataFrame) -> DataFrame:

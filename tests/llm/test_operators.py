@@ -6,12 +6,14 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import Window
@@ -202,6 +204,96 @@ def test_a_lone_seed_between_inserted_words_is_aligned():
     assert fuzzydedup.align(a, np.concatenate([a[33:], a[28:33], a[:28]]), np.array([[28, 28]]))[4] == 5
 
 
+def plain_alignment(a: list[int], b: list[int], anchors: list[tuple[int, int]]) -> tuple[int, int, int, int, int]:
+    """The alignment of one pair, cell by cell."""
+    K, REACH = fuzzydedup.K, fuzzydedup.REACH
+
+    def common(u, v):
+        straight = sum(p == q for p, q in zip(u, v, strict=False))
+        if len(u) == len(v) and 2 * straight > len(u):
+            return straight
+        row = [0] * (len(v) + 1)
+        for p in u:
+            above, row = row, [0]
+            for j, q in enumerate(v):
+                row.append(max(above[j + 1], row[j], above[j] + (p == q)))
+        return row[-1]
+
+    def extend(u, v):
+        run = next((k for k, (p, q) in enumerate(zip(u, v, strict=False)) if p != q), min(len(u), len(v)))
+        u, v = u[run:], v[run:]
+        best, at, row = 0, (0, 0), [-j for j in range(len(v) + 1)]
+        for i, p in enumerate(u if v else []):
+            above, row = row, [row[0] - 1]
+            for j, q in enumerate(v):
+                row.append(max(above[j + 1] - 1, row[j] - 1, above[j] + (1 if p == q else -1)))
+            top = max(row)
+            if top > best:
+                best, at = top, (i + 1, row.index(top))
+            elif top < best - 8:
+                break
+        return run + at[0], run + at[1], run + common(u[: at[0]], v[: at[1]])
+
+    (x0, y0), (x, y), same = anchors[0], (anchors[0][0] + K, anchors[0][1] + K), K
+    for p, q in anchors[1:]:
+        step = min(p - x, q - y)
+        same += max(K + step, 0) if step < 0 else K + common(a[x:p], b[y:q])
+        x, y = p + K, q + K
+    left, right = (a[:x0][::-1][:REACH], b[:y0][::-1][:REACH]), (a[x:][:REACH], b[y:][:REACH])
+    if len(anchors) == 1:
+        equal = sum(p == q for u, v in (left, right) for p, q in zip(u, v, strict=False))
+        if equal < fuzzydedup.NEAR and sum(p in v for u, v in (left, right) for p in u) + K < fuzzydedup.NEED:
+            return x0, x, y0, y, K
+    (i, j, m), (k, n, o) = extend(*left), extend(*right)
+    return x0 - i, x + k, y0 - j, y + n, same + m + o
+
+
+def edited_pairs(n: int) -> list[tuple[list[int], list[int], list[tuple[int, int]]]]:
+    draw, out = random.Random(11), []
+    while len(out) < n:
+        a = [draw.randrange(draw.choice((3, 20, 2000))) for _ in range(draw.randint(5, 130))]
+        b = list(a)
+        for _ in range(draw.randint(0, 30)):
+            k = draw.randrange(len(b))
+            b[k : k + draw.randint(0, 1)] = [draw.randrange(2000)] * draw.randint(0, 2)
+            if not b:
+                b = [0]
+        if len(b) < fuzzydedup.K:
+            continue
+        m = draw.choice((1, 1, 2, 4))
+        xs, ys = ([draw.randrange(len(v) - fuzzydedup.K + 1) for _ in range(m)] for v in (a, b))
+        anchors = [p for p in zip(sorted(xs), sorted(ys), strict=True)]
+        if all(p < q and r < s and max(q - p, s - r) <= fuzzydedup.MAX_GAP + fuzzydedup.K for (p, r), (q, s) in itertools.pairwise(anchors)):
+            out.append((a, b, anchors))
+    return out
+
+
+def test_many_pairs_are_aligned_at_once_as_one_by_one():
+    """Equal results, for less than a third of the CPU seconds of calls for each pair."""
+    pairs = edited_pairs(1200)
+    want = [plain_alignment(*p) for p in pairs]
+    assert len({w[1] - w[0] for w in want}) > 50
+    assert [fuzzydedup.align(np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32), np.array(at)) for a, b, at in pairs[:200]] == want[:200]
+    binary = lambda k, kind: pa.array([np.array(p[k], dtype=kind).tobytes() for p in pairs], pa.binary())
+    ids, zeros = pa.array(range(len(pairs)), pa.int64()), pa.array([0] * len(pairs), pa.int32())
+    hubs = pa.array(range(10_000, 10_000 + len(pairs)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, hubs, zeros, zeros, binary(2, np.int32), binary(0, np.uint32), binary(1, np.uint32)], ["doc", "hub", "lo", "hub_lo", "anchors", "words", "hub_words"])
+    rows = lambda batches: sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+    expected = []
+    for i, (x0, x1, y0, y1, same) in enumerate(want):
+        if min(x1 - x0, y1 - y0) >= fuzzydedup.MIN_CHAIN and same >= fuzzydedup.IDENTITY * max(x1 - x0, y1 - y0):
+            expected += [(i, x0, x1, 10_000 + i), (10_000 + i, y0, y1, i)]
+    assert len(expected) > 100 and rows(fuzzydedup._align_rows(iter([batch]))) == sorted(expected)
+    assert rows(fuzzydedup._align_rows(iter([batch.slice(0, 0)]))) == []
+    begun = time.process_time()
+    list(fuzzydedup._align_rows(iter([batch])))
+    at_once = time.process_time() - begun
+    begun = time.process_time()
+    for k in range(len(pairs)):
+        list(fuzzydedup._align_rows(iter([batch.slice(k, 1)])))
+    assert 3 * at_once < time.process_time() - begun
+
+
 def test_planted_fuzzy_passages_are_found(spark):
     passage = cases.prose(7, 90).split()
     edited = passage.copy()
