@@ -292,7 +292,7 @@ def _seat_shards(batches: Iterator[pa.RecordBatch], shards: int, heavy: np.ndarr
             asked = unpack_sorted(r["a"]).astype(np.uint64)
             at = np.minimum(np.searchsorted(contexts, asked), max(len(contexts) - 1, 0))
             there = (contexts[at] == asked) if len(contexts) else np.zeros(len(asked), dtype=bool)
-            told = np.where(there, by_context[:, at] if len(contexts) else 0, 0)
+            told = np.where(there, by_context[:, at] if len(contexts) else np.zeros((SAMPLES, 1), dtype=np.int64), 0)
             out.append((BIGRAM, r["block"], shard, pack(c[own]), pack(tables[:, own].reshape(-1)), r["a"], pack(told.reshape(-1))))
         order = np.argsort(words % np.uint64(shards), kind="stable")
         cut = np.searchsorted((words % np.uint64(shards))[order], np.arange(shards + 1, dtype=np.uint64))
